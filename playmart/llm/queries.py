@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, langid, minhash, packing, sharding, token_counts, url_filter
+from . import chat, decontam, html_text, langid, minhash, packing, sharding, token_counts, topk, url_filter
 from .common import read_table
 
 URL_RULES = [
@@ -51,10 +51,19 @@ def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(windows)
 
 
+def op6_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_text.extract(read_table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.leaks(read_table(spark, sf_dir, "documents").select("doc_id", "text"), read_table(spark, sf_dir, "benchmark"))
 
@@ -70,7 +79,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_counts": op3_token_counts,
     "op4_language_id": op4_language_id,
     "op5_chat_format": op5_chat_format,
+    "op6_exact_top_k": op6_exact_top_k,
     "op7_near_duplicates": op7_near_duplicates,
+    "op8_html_text": op8_html_text,
     "op9_decontamination": op9_decontamination,
     "op10_sharding": op10_sharding,
 }
@@ -96,4 +107,19 @@ ORACLE_SQL: dict[str, str] = {
         SELECT page_id, coalesce(host, '') AS host, coalesce(path, '') AS path, rule,
                CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' ELSE 'allow' END AS verdict
         FROM judged""",
+    "op6_exact_top_k": """
+        WITH v AS (
+          SELECT vec_id, list_transform(embedding, x -> CAST(floor(CAST(x AS DOUBLE) * 64) AS BIGINT)) AS v
+          FROM embeddings
+          WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+            AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+        scored AS (
+          SELECT q.vec_id AS query_id, d.vec_id AS vec_id,
+                 CAST(list_sum(list_transform(list_zip(q.v, d.v), p -> p[1] * p[2])) AS BIGINT) AS score
+          FROM v q JOIN v d ON q.vec_id <> d.vec_id
+          WHERE q.vec_id % 20 = 0),
+        ranked AS (
+          SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+          FROM scored)
+        SELECT * FROM ranked WHERE rank <= 20""",
 }
