@@ -1,12 +1,36 @@
-"""Corpus preparation in stages, each written as Parquet and read again by the next."""
+"""Corpus preparation in four stages, each written as Parquet and read again by the next.
+
+Language ID keeps documents in a learned language; near-duplicate detection keeps one document of each class;
+decontamination keeps documents that leak no benchmark item; packing cuts what is left into windows of token
+ids, in which lexically close documents meet. No stage can be said in SQL (a trained model, signatures, tiles, a
+tokenizer), so ORACLE_SQL is None and the tests hold the rows against plain versions.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from playmart.llm.common import read_table, written
+from playmart.llm import decontam, langid, minhash, packing
+from playmart.llm.common import read_table, vocabulary, written
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return langid.keep_identified(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return minhash.deduplicate(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontam.remove_leaks(docs, read_table(spark, sf_dir, "benchmark"))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.pack(docs, vocabulary("word_bpe_49k.json"))
+
 
-STAGES: list = []
+STAGES = [("language", language), ("near_duplicates", near_duplicates), ("decontamination", decontamination), ("packing", pack)]
 ORACLE_SQL: str | None = None
 
 

@@ -35,3 +35,10 @@ def shuffle_partitions(spark: SparkSession) -> int:
 
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
+
+
+def vocabulary(name: str) -> str:
+    """Path of a public tokenizer's file, the same on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)

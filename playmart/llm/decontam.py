@@ -222,3 +222,10 @@ def leaks(df: DataFrame, benchmark: DataFrame) -> DataFrame:
         return leaks_by_join(df, benchmark)
     found = with_leaks(df.select("doc_id", "text"), benchmark, keep_text=False)
     return found.select("doc_id", F.explode("leaks").alias("leak")).select("doc_id", "leak.*")
+
+
+def remove_leaks(df: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of `df` that leak no benchmark item."""
+    if _small(benchmark):
+        return with_leaks(df, benchmark).where(F.size("leaks") == 0).select(df.columns)
+    return df.join(leaks_by_join(df, benchmark).select("doc_id").distinct(), "doc_id", "left_anti").select(df.columns)

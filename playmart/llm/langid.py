@@ -232,3 +232,9 @@ def identify(df: DataFrame) -> DataFrame:
     """All columns of `df`, held_out, lang_pred and score; learned from the folds 1 to 4."""
     model = fit(df, F.coalesce(fold() != 0, F.lit(False)))
     return predict(df.withColumn("held_out", F.coalesce(fold() == 0, F.lit(False))), model)
+
+
+def keep_identified(df: DataFrame, least_score: float = 0.4) -> DataFrame:
+    """The rows of `df` whose text is in a learned language, with a calibrated score of `least_score` or more."""
+    found = identify(df.select([c for c in df.columns if c not in ("held_out", "lang_pred", "score")]))
+    return found.where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= least_score)).select([c for c in df.columns if c in found.columns])

@@ -239,3 +239,15 @@ def near_duplicates(df: DataFrame) -> DataFrame:
     placed = sketches.select("doc_id", "digest").join(named, "digest").select("doc_id", "class_id")
     alone = df.where(F.col("text").isNull()).select("doc_id", F.col("doc_id").alias("class_id"))
     return placed.union(alone).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(True)))
+
+
+def deduplicate(df: DataFrame) -> DataFrame:
+    """The rows of `df` that stay: one for each class. Rows without a doc_id cannot be told apart and all stay."""
+    classes = written(near_duplicates(df.select("doc_id", "text")), "classes")
+    gone = written(classes.where(~F.col("kept")).select("doc_id").distinct(), "gone")
+    left = df.join(gone, "doc_id", "left_anti")
+    repeated = written(classes.where(F.col("kept") & F.col("doc_id").isNotNull()).groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
+    if repeated.isEmpty():
+        return left.select(df.columns)
+    once = left.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return left.join(repeated, "doc_id", "left_anti").unionByName(once).select(df.columns)

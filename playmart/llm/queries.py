@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import chat, decontam, html_text, langid, minhash, packing, sharding, token_counts, topk, url_filter
-from .common import read_table
+from .common import read_table, vocabulary
 
 URL_RULES = [
     url_filter.Rule("net", "/", "block"),
@@ -18,23 +18,17 @@ URL_RULES = [
 ]
 
 
-def _vocabulary(name: str) -> str:
-    import public_tokenizers
-
-    return public_tokenizers.path(name)
-
-
 def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(read_table(spark, sf_dir, "pages"), URL_RULES)
 
 
 def op2_lexical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pieces = packing.pack(read_table(spark, sf_dir, "documents"), _vocabulary("word_bpe_49k.json"))
+    pieces = packing.pack(read_table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_counts.count_tokens(read_table(spark, sf_dir, "documents"), _vocabulary("piece_bpe_32k.model"))
+    return token_counts.count_tokens(read_table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
 
 
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,7 +41,7 @@ def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
     table = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], table.schema)
-    windows = chat.format_windows(table.unionByName(extra), _vocabulary("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    windows = chat.format_windows(table.unionByName(extra), vocabulary("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     return chat.digests(windows)
 
 
