@@ -25,7 +25,7 @@ def query(sql: str | None = None, *views: str) -> Callable:
 
 
 def _load() -> None:
-    from playmart.plans import cdc, source_marts, tables  # noqa: F401
+    from playmart.plans import activity, cdc, cohorts, source_marts, tables  # noqa: F401
 
 
 _load()
