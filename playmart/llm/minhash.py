@@ -19,7 +19,7 @@ names the class and is kept. An empty table gives an empty result.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -33,8 +33,10 @@ from .shingles import mix, shingle_hashes, slices, text_buffer
 _U = np.uint64
 WORDS, SIMILARITY = 5, 0.8
 BANDS, ROWS = 25, 5
-#: Signature agreement below which two documents are not compared exactly: 4.5 standard deviations under 0.8.
-LEAST_AGREEMENT = 0.64
+#: Components of the longer signatures by which blocks are compared, and the agreement below which two documents
+#: are not compared exactly: four standard deviations under 0.8.
+LONG = 800
+LEAST_AGREEMENT = SIMILARITY - 4 * (SIMILARITY * (1 - SIMILARITY) / LONG) ** 0.5
 CHUNK_BYTES = 2 << 20
 BLOCK = 256
 _STEP = _U(0x9E3779B97F4A7C15)
@@ -95,23 +97,29 @@ def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 keys = mix(keys * _U(0xD6E8FEB86659FD93) + bits[:, :, r])
             counts = np.zeros(stop - start, "i4")
             counts[full] = BANDS
-            marks = np.zeros((stop - start, size), "u1")
-            marks[full] = (mix(sig[full].view(_U)) >> _U(56)).astype("u1")
             yield pa.RecordBatch.from_arrays(
                 [
                     b.column(0).slice(start, stop - start),
                     b.column(1).slice(start, stop - start),
                     pa.ListArray.from_arrays(np.concatenate(([0], np.cumsum(counts))).astype("i4"), keys.view("i8").ravel()),
-                    pa.array([m.tobytes() for m in marks], pa.binary()),
                 ],
-                names=["doc_id", "digest", "bands", "marks"],
+                names=["doc_id", "digest", "bands"],
             )
 
 
+def _marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        data, bounds = text_buffer(b.column(1))
+        for start, stop in slices(bounds, CHUNK_BYTES // 4):
+            sig = signatures(*shingle_hashes(data, bounds[start : stop + 1], WORDS), LONG)
+            marks = (mix(sig.view(_U)) >> _U(56)).astype("u1")
+            yield pa.RecordBatch.from_arrays([b.column(0).slice(start, stop - start), pa.array([m.tobytes() for m in marks], pa.binary())], names=["node", "marks"])
+
+
 def sketch(df: DataFrame) -> DataFrame:
-    """(doc_id, digest, bands, marks) of every row with a text."""
+    """(doc_id, digest, bands) of every row with a text."""
     rows = df.where(F.col("text").isNotNull()).select("doc_id", F.md5(F.col("text").cast("binary")).alias("digest"), F.lower("text").alias("text"))
-    return rows.mapInArrow(_sketched, "doc_id long, digest string, bands array<long>, marks binary")
+    return rows.mapInArrow(_sketched, "doc_id long, digest string, bands array<long>")
 
 
 def similarity(a: np.ndarray, b: np.ndarray) -> float:
@@ -159,11 +167,12 @@ def connected_components(edges: DataFrame, what: str = "components") -> DataFram
 
     Smallest labels spread along edges and through their own labels until none changes.
     """
-    both = written(edges.select("a", "b").union(edges.select("b", "a")).distinct(), f"{what}-edges")
-    labels = written(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("component")).withColumnRenamed("a", "node"), what)
+    both = edges.select(F.col("a").alias("src"), F.col("b").alias("dst")).union(edges.select("b", "a")).distinct()
+    both = written(both, f"{what}-edges")
+    labels = written(both.groupBy(F.col("src").alias("node")).agg(F.least(F.col("src"), F.min("dst")).alias("component")), what)
     total = None
     while True:
-        near = both.join(labels.withColumnRenamed("node", "a"), "a").select(F.col("b").alias("node"), "component")
+        near = both.join(labels.withColumnRenamed("node", "src"), "src").select(F.col("dst").alias("node"), "component")
         spread = labels.union(near).groupBy("node").agg(F.min("component").alias("component"))
         roots = labels.select(F.col("node").alias("component"), F.col("component").alias("root"))
         jumped = spread.join(roots, "component", "left").select("node", F.least("component", F.coalesce("root", "component")).alias("component"))
@@ -174,6 +183,19 @@ def connected_components(edges: DataFrame, what: str = "components") -> DataFram
         total = now
 
 
+def merge_components(labels: DataFrame, edges: DataFrame, what: str = "components") -> DataFrame:
+    """The components after more edges: they link components, of which there are fewer than nodes."""
+    named = edges
+    for side in ("a", "b"):
+        mine = labels.select(F.col("node").alias(side), F.col("component").alias(f"{side}_component"))
+        named = named.join(mine, side, "left").withColumn(f"{side}_component", F.coalesce(f"{side}_component", side))
+    named = written(named, f"{what}-links")
+    between = named.select(F.col("a_component").alias("a"), F.col("b_component").alias("b")).where("a <> b").distinct()
+    joined = connected_components(between, what).select(F.col("node").alias("component"), F.col("component").alias("joined"))
+    new = named.select(F.col("a").alias("node"), F.col("a_component").alias("component")).union(named.select("b", "b_component"))
+    return written(labels.union(new).distinct().join(joined, "component", "left").select("node", F.coalesce("joined", "component").alias("component")), what)
+
+
 def _in_blocks(rows: DataFrame) -> DataFrame:
     """Pairs (a, b) with agreeing signatures across components, from (key, node, component, marks, blocks, block)."""
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
@@ -181,20 +203,43 @@ def _in_blocks(rows: DataFrame) -> DataFrame:
         "key", "node", "component", "marks", "block", F.least("block", "_o").alias("i"), F.greatest("block", "_o").alias("j")
     )
 
-    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
-        i, j = pdf["i"].iat[0], pdf["j"].iat[0]
-        left, right = pdf[pdf["block"] == i], pdf[pdf["block"] == j]
-        x = np.frombuffer(b"".join(left["marks"]), "u1").reshape(len(left), -1)
-        y = np.frombuffer(b"".join(right["marks"]), "u1").reshape(len(right), -1)
-        least = LEAST_AGREEMENT * x.shape[1]
+    def pairs(left: pd.DataFrame, right: pd.DataFrame, same: bool) -> list[tuple[int, int]]:
+        x, y = (np.frombuffer(b"".join(side["marks"]), "u1").reshape(len(side), -1) for side in (left, right))
+        c, d = left["component"].to_numpy(), right["component"].to_numpy()
+        a, b = left["node"].to_numpy(), right["node"].to_numpy()
         out = []
         for k in range(len(x)):
-            same = (y == x[k]).sum(axis=1)
-            hit = np.flatnonzero((same >= least) & (right["component"].to_numpy() != left["component"].iat[k]))
-            out.extend((left["node"].iat[k], right["node"].iat[h]) for h in hit)
-        return pd.DataFrame([(min(p), max(p)) for p in out], columns=["a", "b"], dtype="int64")
+            at = np.flatnonzero(d != c[k])
+            if same:
+                at = at[at > k]
+            hit = at[(y[at] == x[k]).sum(axis=1) >= LEAST_AGREEMENT * LONG]
+            out.extend(zip(np.minimum(a[k], b[hit]).tolist(), np.maximum(a[k], b[hit]).tolist(), strict=True))
+        return out
+
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None
+        for pdf in batches:
+            pdf = pdf if held is None else pd.concat((held, pdf), ignore_index=True)
+            group = pdf[["key", "i", "j"]].to_numpy()
+            cuts = [0, *(np.flatnonzero((group[1:] != group[:-1]).any(axis=1)) + 1).tolist()]
+            held = pdf.iloc[cuts[-1] :]  # may go on in the next batch
+            yield _pair_frame(p for start, stop in zip(cuts, cuts[1:], strict=False) for p in met(pdf.iloc[start:stop]))
+        if held is not None:
+            yield _pair_frame(met(held))
+
+    def met(pdf: pd.DataFrame) -> list[tuple[int, int]]:
+        if not len(pdf):
+            return []
+        i, j = pdf["i"].iat[0], pdf["j"].iat[0]
+        block = pdf["block"].to_numpy()
+        return pairs(pdf[block == i], pdf[block == j], i == j)
+
+    placed = dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    return placed.mapInPandas(compare, "a long, b long").distinct()
 
-    return dealt.groupBy("key", "i", "j").applyInPandas(compare, "a long, b long").distinct()
+
+def _pair_frame(pairs: Iterable[tuple[int, int]]) -> pd.DataFrame:
+    return pd.DataFrame(list(set(pairs)), columns=["a", "b"], dtype="int64")
 
 
 def near_duplicates(df: DataFrame) -> DataFrame:
@@ -203,14 +248,14 @@ def near_duplicates(df: DataFrame) -> DataFrame:
     groups = sketches.groupBy("digest").agg(F.min("doc_id").alias("node"))
     groups = written(groups.select("digest", F.coalesce("node", F.xxhash64("digest")).alias("node")), "texts")
     nodes = written(
-        sketches.where(F.size("bands") > 0).join(groups, "digest").where((F.col("doc_id") == F.col("node")) | F.col("doc_id").isNull()).select("node", "bands", "marks"), "nodes"
+        sketches.where(F.size("bands") > 0).join(groups, "digest").where((F.col("doc_id") == F.col("node")) | F.col("doc_id").isNull()).select("node", "bands"), "nodes"
     )
     keyed = nodes.select("node", F.explode("bands").alias("key"))
     heads = keyed.groupBy("key").agg(F.min(F.struct(F.xxhash64("node"), "node"))["node"].alias("b"), F.count("*").alias("n")).where("n > 1")
     shared = written(keyed.join(heads, "key").select("key", "node", "b", "n"), "buckets")
     pairs = written(shared.where("node <> b").select(F.col("node").alias("a"), "b").distinct(), "pairs")
     wanted = shared.select("node").distinct()
-    texts = df.where(F.col("text").isNotNull()).select(F.col("doc_id").alias("node"), F.lower("text").alias("text")).join(wanted, "node", "left_semi")
+    texts = df.where(F.col("text").isNotNull()).select(F.col("doc_id").alias("node"), F.lower("text").alias("text")).join(wanted.hint("merge"), "node", "left_semi")
     texts = written(texts, "candidates")
     edges = written(verify(pairs, texts), "links")
     labels = connected_components(edges)
@@ -225,15 +270,15 @@ def near_duplicates(df: DataFrame) -> DataFrame:
 
     again = apart(labels).where(F.col("component") != F.col("head.component")).select(F.col("node").alias("a"), F.col("head.node").alias("b")).distinct()
     again = written(again.join(pairs, ["a", "b"], "left_anti"), "pairs")
-    edges = written(edges.union(verify(again, texts)), "links")
-    labels = connected_components(edges)
+    labels = merge_components(labels, written(verify(again, texts), "links"))
     left = apart(labels).withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
-    left = left.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    rest = _in_blocks(left.join(nodes.select("node", "marks"), "node"))
+    left = written(left.select("key", "node", "component", "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block")), "apart")
+    marks = texts.join(left.select("node").distinct(), "node", "left_semi").mapInArrow(_marked, "node long, marks binary")
+    rest = _in_blocks(left.join(marks, "node"))
     rest = written(rest.join(pairs.union(again), ["a", "b"], "left_anti"), "pairs")
     found = written(verify(rest, texts), "links")
     if not found.isEmpty():
-        labels = connected_components(edges.union(found))
+        labels = merge_components(labels, found)
 
     named = groups.join(labels, "node", "left").select("digest", F.coalesce("component", "node").alias("class_id"))
     placed = sketches.select("doc_id", "digest").join(named, "digest").select("doc_id", "class_id")
