@@ -14,6 +14,8 @@ gives an empty result.
 from __future__ import annotations
 
 import math
+import os
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +25,7 @@ from pyspark.sql import functions as F
 WINDOW = 4096
 K1, B = 1.2, 0.75
 #: White space of Python's split() that the tokenizer does not take for white space, or may not.
-ODD_SPACE = frozenset("\x1c\x1d\x1e\x1f\x85")
+ODD_SPACE = re.compile("[\x1c-\x1f\x85]")
 PIECE_SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
 
@@ -36,33 +38,53 @@ class WordEncoder:
     _open: dict[str, WordEncoder] = {}
 
     def __init__(self, path: str, cache_entries: int) -> None:
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the parallelism
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         if self.tokenizer.get_vocab_size() > 1 << 16:
             raise ValueError("ids beyond 16 bits")
+        special = [(t.content, i) for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special and t.content.startswith("<")]
+        self.mark = special[0] if special else None
         self.known: dict[str, bytes] = {}
         self.cache_entries = cache_entries
 
     @classmethod
-    def of(cls, path: str, cache_entries: int = 400_000) -> WordEncoder:
+    def of(cls, path: str, cache_entries: int = 600_000) -> WordEncoder:
         if path not in cls._open:
             cls._open[path] = cls(path, cache_entries)
         return cls._open[path]
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
+    def _encode(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of each word. Plain words go through the tokenizer joined by a special token, which parts them."""
+        out: dict[str, bytes] = {}
+        if self.mark is not None:
+            text, number = self.mark
+            plain = [w for w in words if "<" not in w and len(w) <= 64]
+            groups = [plain[k : k + 500] for k in range(0, len(plain), 500)]
+            for group, e in zip(groups, self.tokenizer.encode_batch_fast([text.join(g) for g in groups], add_special_tokens=False), strict=True):
+                ids = np.array(e.ids, "<u2")
+                raw, ends = ids.tobytes(), (2 * np.flatnonzero(ids == number)).tolist()
+                if len(ends) == len(group) - 1:
+                    ends.append(len(raw))
+                    out.update(zip(group, (raw[a:b] for a, b in zip([0, *(c + 2 for c in ends)], ends, strict=False)), strict=True))
+        rest = [w for w in words if w not in out]
+        out.update(zip(rest, self._each(rest), strict=True))
+        return out
+
+    def _each(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u2").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         known = self.known
-        words = [[t] if not ODD_SPACE.isdisjoint(t) else t.split() for t in texts]
-        new = list(set().union(*words).difference(known)) if words else []
+        words = [[t] if ODD_SPACE.search(t) else t.split() for t in texts]
+        wanted = set().union(*words)
+        new = list(wanted.difference(known))
         if len(known) + len(new) > self.cache_entries:
-            known.clear()
-            new = list(set().union(*words))
+            known = self.known = {w: known[w] for w in wanted if w in known}
         for at in range(0, len(new), 20_000):
             part = new[at : at + 20_000]
-            known.update(zip(part, self._encode(part), strict=True))
+            known.update(self._encode(part))
         get = known.__getitem__
         out = [np.frombuffer(b"".join(map(get, w)), "<u2") for w in words]
         for w in new:
@@ -78,15 +100,13 @@ class Index:
         n = len(docs)
         length = np.array([len(d) for d in docs], "f8")
         average = max(length.mean(), 1.0) if n else 1.0
-        owner, term, tf, self.terms = [], [], [], []
-        for i, d in enumerate(docs):
-            counts = np.bincount(d)
-            t = np.flatnonzero(counts)
-            self.terms.append(t)
-            owner.append(np.full(len(t), i, "i4"))
-            term.append(t)
-            tf.append(counts[t])
-        owner, term, tf = (np.concatenate(x) if x else np.zeros(0, "i8") for x in (owner, term, tf))
+        keys = np.repeat(np.arange(n, dtype="i8") << 16, length.astype("i8"))
+        keys |= np.concatenate(docs).astype("i8") if n else 0
+        keys.sort()
+        new = np.flatnonzero(np.concatenate((np.ones(min(1, len(keys)), bool), keys[1:] != keys[:-1])))
+        tf = np.diff(new, append=len(keys))
+        owner, term = keys[new] >> 16, keys[new] & 0xFFFF
+        self.terms = np.split(term, np.cumsum(np.bincount(owner, minlength=n))[:-1]) if n else []
         df = np.bincount(term, minlength=1)
         # a term of more than half of the documents weighs nothing
         idf = np.maximum(0.0, np.log((n - df + 0.5) / (df + 0.5)))

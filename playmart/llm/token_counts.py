@@ -53,10 +53,10 @@ class SegmentCounter:
             parts = t.split(" ") if self.splits and SPACE_MARK not in t else [t]
             split.append(parts if len(parts) < 2 or all(parts) else [t])
         known = self.known
-        new = list(set().union(*split).difference(known)) if split else []
+        wanted = set().union(*split)
+        new = list(wanted.difference(known))
         if len(known) + len(new) > self.cache_entries:
-            known.clear()
-            new = list(set().union(*split))
+            known = self.known = {w: known[w] for w in wanted if w in known}
         if new:
             known.update(zip(new, map(len, self.model.encode(new, num_threads=1)), strict=True))
         get = known.__getitem__
