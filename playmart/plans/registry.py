@@ -25,7 +25,7 @@ def query(sql: str | None = None, *views: str) -> Callable:
 
 
 def _load() -> None:
-    from playmart.plans import activity, alerts, bonus, cdc, cohorts, source_marts, state, tables  # noqa: F401
+    from playmart.plans import activity, alerts, bonus, cdc, cohorts, quality, source_marts, state, streams, tables  # noqa: F401
 
 
 _load()
