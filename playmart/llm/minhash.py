@@ -113,7 +113,9 @@ def _marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for start, stop in slices(bounds, CHUNK_BYTES // 4):
             sig = signatures(*shingle_hashes(data, bounds[start : stop + 1], WORDS), LONG)
             marks = (mix(sig.view(_U)) >> _U(56)).astype("u1")
-            yield pa.RecordBatch.from_arrays([b.column(0).slice(start, stop - start), pa.array([m.tobytes() for m in marks], pa.binary())], names=["node", "marks"])
+            bands = np.asarray(b.column(2).slice(start, stop - start).flatten()).reshape(-1, BANDS)
+            both = pa.array([x.tobytes() + m.tobytes() for x, m in zip(bands, marks, strict=True)], pa.binary())
+            yield pa.RecordBatch.from_arrays([b.column(0).slice(start, stop - start), both], names=["node", "marks"])
 
 
 def sketch(df: DataFrame) -> DataFrame:
@@ -197,14 +199,18 @@ def merge_components(labels: DataFrame, edges: DataFrame, what: str = "component
 
 
 def _in_blocks(rows: DataFrame) -> DataFrame:
-    """Pairs (a, b) with agreeing signatures across components, from (key, node, component, marks, blocks, block)."""
+    """Pairs (a, b) with agreeing signatures across components, from (key, node, component, marks, blocks, block).
+
+    `marks`: a node's band keys, then its long signature.
+    """
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     dealt = rows.select("key", "node", "component", "marks", "block", other.alias("_o")).select(
         "key", "node", "component", "marks", "block", F.least("block", "_o").alias("i"), F.greatest("block", "_o").alias("j")
     )
 
-    def pairs(left: pd.DataFrame, right: pd.DataFrame, same: bool) -> list[tuple[int, int]]:
+    def pairs(key: int, left: pd.DataFrame, right: pd.DataFrame, same: bool) -> list[tuple[int, int]]:
         x, y = (np.frombuffer(b"".join(side["marks"]), "u1").reshape(len(side), -1) for side in (left, right))
+        (x_bands, x), (y_bands, y) = ((np.ascontiguousarray(z[:, : 8 * BANDS]).view("i8"), z[:, 8 * BANDS :]) for z in (x, y))
         c, d = left["component"].to_numpy(), right["component"].to_numpy()
         a, b = left["node"].to_numpy(), right["node"].to_numpy()
         out = []
@@ -212,6 +218,8 @@ def _in_blocks(rows: DataFrame) -> DataFrame:
             at = np.flatnonzero(d != c[k])
             if same:
                 at = at[at > k]
+            # a pair is compared in the first of the buckets that it shares, all of which are dealt out
+            at = at[x_bands[k][(y_bands[at] == x_bands[k]).argmax(axis=1)] == key]
             hit = at[(y[at] == x[k]).sum(axis=1) >= LEAST_AGREEMENT * LONG]
             out.extend(zip(np.minimum(a[k], b[hit]).tolist(), np.maximum(a[k], b[hit]).tolist(), strict=True))
         return out
@@ -232,7 +240,7 @@ def _in_blocks(rows: DataFrame) -> DataFrame:
             return []
         i, j = pdf["i"].iat[0], pdf["j"].iat[0]
         block = pdf["block"].to_numpy()
-        return pairs(pdf[block == i], pdf[block == j], i == j)
+        return pairs(pdf["key"].iat[0], pdf[block == i], pdf[block == j], i == j)
 
     placed = dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
     return placed.mapInPandas(compare, "a long, b long").distinct()
@@ -273,7 +281,8 @@ def near_duplicates(df: DataFrame) -> DataFrame:
     labels = merge_components(labels, written(verify(again, texts), "links"))
     left = apart(labels).withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
     left = written(left.select("key", "node", "component", "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block")), "apart")
-    marks = texts.join(left.select("node").distinct(), "node", "left_semi").mapInArrow(_marked, "node long, marks binary")
+    mine = nodes.join(left.select("node").distinct(), "node", "left_semi")
+    marks = texts.join(mine, "node").select("node", "text", "bands").mapInArrow(_marked, "node long, marks binary")
     rest = _in_blocks(left.join(marks, "node"))
     rest = written(rest.join(pairs.union(again), ["a", "b"], "left_anti"), "pairs")
     found = written(verify(rest, texts), "links")
