@@ -10,24 +10,33 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from playmart.functions.session import find_package, frugal_workers
 from playmart.llm import decontam, langid, minhash, packing
 from playmart.llm.common import read_table, vocabulary, written
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return langid.keep_identified(docs)
+    find_package(spark)
+    with frugal_workers(spark):
+        return langid.keep_identified(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return minhash.deduplicate(docs)
+    find_package(spark)
+    with frugal_workers(spark):
+        return minhash.deduplicate(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return decontam.remove_leaks(docs, read_table(spark, sf_dir, "benchmark"))
+    find_package(spark)
+    with frugal_workers(spark):
+        return decontam.remove_leaks(docs, read_table(spark, sf_dir, "benchmark"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack(docs, vocabulary("word_bpe_49k.json"))
+    find_package(spark)
+    with frugal_workers(spark):
+        return packing.pack(docs, vocabulary("word_bpe_49k.json"))
 
 
 STAGES = [("language", language), ("near_duplicates", near_duplicates), ("decontamination", decontamination), ("packing", pack)]
