@@ -37,7 +37,7 @@ BANDS, ROWS = 25, 5
 #: are not compared exactly: four standard deviations under 0.8.
 LONG = 800
 LEAST_AGREEMENT = SIMILARITY - 4 * (SIMILARITY * (1 - SIMILARITY) / LONG) ** 0.5
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 BLOCK = 256
 _STEP = _U(0x9E3779B97F4A7C15)
 
