@@ -63,42 +63,50 @@ class Block:
         weight = np.concatenate((np.maximum(q, 0), np.maximum(-q, 0)), axis=1)
         # sums of integers below 2^24 are exact in single precision
         kind = "f4" if weight.sum(axis=1).max() * (self.top + 2 * self.step) < 1 << 24 else "f8"
-        weight = weight.astype(kind)
+        weight, kind_of = weight.astype(kind), np.dtype(kind).type
         # what is the same for all vectors of the block is left out of the bounds
         base = np.maximum(q, 0) @ self.low - np.maximum(-q, 0) @ self.high
-        least = np.zeros((len(q), len(self.ids)), kind)
-        open_weight = np.repeat(weight.sum(axis=1)[:, None], len(self.ids), axis=1)
-        seen_weight = np.zeros_like(least)
+        least = np.zeros((len(q), len(self.ids)), kind)  # of the active queries, as the next two
+        seen = np.zeros_like(least)
+        everything = weight.sum(axis=1)
         active = np.arange(len(q))
         done: dict[int, np.ndarray] = {}
         for level in range(LEVELS - 1, -1, -1):
             if level and not self.segments[level].any():
                 continue
             in_segment = weight[active] @ self.segments[level].astype(kind, copy=False)
-            least[active] += in_segment * (level * self.step)
-            seen_weight[active] += in_segment
-            open_weight[active] -= in_segment
+            seen += in_segment
+            in_segment *= level * self.step
+            least += in_segment
             # a processed posting may be worth step - 1 more; an open one at most what the next level down can hold
-            most = least[active] + seen_weight[active] * (self.step - 1) + np.maximum(open_weight[active], 0) * (level * self.step - 1 if level else 0)
-            still = []
-            for row, i in enumerate(active):
-                low = least[i]
+            rest = level * self.step - 1 if level else 0
+            gap = seen * kind_of(self.step - 1 - rest) + (everything[active] * kind_of(rest))[:, None]
+            keep = np.zeros(len(active), bool)
+            if level:
+                # as long as every candidate may still pass the best one, nothing can be proved
+                top = least.max(axis=1)
+                keep = (gap.min(axis=1) > top - least.min(axis=1)) & (top >= bar[active] - base[active])
+            for row in np.flatnonzero(~keep):
+                i, low = active[row], least[row]
                 if own[i] >= 0:
                     low = low.copy()
                     low[own[i]] = -np.inf
                 need = bar[i] - base[i]
                 if len(low) >= k:
                     need = max(need, np.partition(low, len(low) - k)[len(low) - k])
-                may = np.flatnonzero(most[row] >= need)
+                may = np.flatnonzero(least[row] + gap[row] >= need)
                 if level == 0 or len(may) <= 4 * k:
                     done[i] = may[may != own[i]]
                 else:
-                    still.append(i)
-            active = np.array(still, dtype="i8")
+                    keep[row] = True
+            if not keep.all():
+                active, least, seen = active[keep], least[keep], seen[keep]
             if not len(active):
                 break
+        # one product for the block is cheaper than many gathers once much is left
+        whole = q @ self.vectors.T if sum(map(len, done.values())) * 8 > len(q) * len(self.ids) else None
         for i, may in done.items():
-            yield i, may, (self.vectors[may] @ q[i]).astype("i8")
+            yield i, may, (whole[i][may] if whole is not None else self.vectors[may] @ q[i]).astype("i8")
 
 
 def pack_blocks(df: DataFrame, id_col: str, vector: str, scale: int, query: Column) -> DataFrame:

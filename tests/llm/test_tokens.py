@@ -10,7 +10,7 @@ from playmart.llm import packing, queries, token_counts
 
 ODD = [
     None, "", " ", "  a  b ", "a b", "▁a ▁ b", "tab\tand\nline\r\nends", "<s> x </s> <unk>", "naïve façade Ünï", "emoji 👩‍👩‍👧 ok", "a b　c", "\x1cx\x1dy\x85z",
-    "<|endoftext|>abc<|startoftext|> d", "x" * 3000, ("word " * 3000).strip(), "ÀÉÎ ΣΊΣΥΦΟΣ İstanbul é ́x", "it's we'll '' ' s 12345", " a b​c", "a" + " " * 40 + "b",
+    "<|endoftext|>abc<|startoftext|> d", "<|ENDOFTEXT|> THE the, The. THE., é. ÉT, a.b. .. , 5. J̌a, \u0130.", "x" * 3000, ("word " * 3000).strip(), "ÀÉÎ ΣΊΣΥΦΟΣ İstanbul é ́x", "it's we'll '' ' s 12345", " a b​c", "a" + " " * 40 + "b",
 ]
 
 
