@@ -1,14 +1,19 @@
 """Lexical retrieval packing: BM25 neighbours of a seed document fill its window.
 
-Documents are dealt into shards of about `shard_bytes` of text by hash. Each shard builds a BM25 inverted index
-over the token ids of its documents. A window opens with a seed (the rest of a document that was cut, else the
-next unused one); the index returns the seed's unused neighbours, best first, and they fill the window; the
-last one is cut where the window ends and its rest opens the next. So every sequence but the last of a shard
-is full, and each id lies in exactly one piece.
-
-Defined cases: a null text is empty and packs as its end id alone; repeated rows are packed each; ties between
-neighbours go by document order in the shard; a document longer than a window fills several. An empty table
-gives an empty result.
+A window opens with a seed (the rest of a document that was cut, else an unused one); its unused neighbours, best
+first, fill the window; the last one is cut where the window ends and its rest is a seed of a later round. Neighbours
+are sought among all documents, with the number of documents, document frequencies and the average length counted
+over all of them.
+
+Up to `shard_bytes` of unused text is packed by one task, one seed after the other. While more is left, a round draws
+seeds, every part of the table lists the best of its unused documents for each of them, the lists are merged, and
+the seeds take their neighbours in turn from what the seeds before have left. A seed whose list ends before its window
+is full gives back what it took and waits for a later round. So every sequence but the very last is full, and
+each id lies in exactly one piece. Work grows with seeds x documents, that is with the square of the table.
+
+Defined cases: a null text is empty and packs as its end id alone; repeated rows are packed each; a document longer
+than a window fills several. Scores of a round are single-precision sums; ties go by the order in which rows are read.
+An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -16,16 +21,25 @@ from __future__ import annotations
 import math
 import os
 import re
+import uuid
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import shared_dir, written
+from .shingles import slices, text_buffer
+
 WINDOW = 4096
 K1, B = 1.2, 0.75
 #: White space of Python's split() that the tokenizer does not take for white space, or may not.
 ODD_SPACE = re.compile("[\x1c-\x1f\x85]")
+#: Entries of all lists of a round, seeds of a chunk of lists, documents compared at once, bytes of text encoded at once.
+LISTED, CHUNK, COMPARED, ENCODED_BYTES = 1 << 22, 256, 2048, 1 << 20
+PLACE_SCHEMA = "key long, start long, length long, sequence_id long, offset long"
 PIECE_SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
 
@@ -93,43 +107,59 @@ class WordEncoder:
         return out
 
 
+class Statistics:
+    """Number, average length and document frequencies of all documents."""
+
+    def __init__(self, n: int, average: float, df: np.ndarray) -> None:
+        self.n, self.average = n, max(average, 1.0)
+        # a term of more than half of the documents weighs nothing
+        self.idf = np.maximum(0.0, np.log((n - df + 0.5) / (df + 0.5)))
+        self.common = df >= n / 32
+
+    def weights(self, term: np.ndarray, tf: np.ndarray, length: np.ndarray) -> np.ndarray:
+        return self.idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / self.average))
+
+
+def counted(docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(document, term, frequency) of every different term of every document, in this order."""
+    keys = np.repeat(np.arange(len(docs), dtype="i8") << 16, [len(d) for d in docs])
+    keys |= np.concatenate(docs).astype("i8") if docs else 0
+    keys.sort()
+    new = np.flatnonzero(np.concatenate((np.ones(min(1, len(keys)), bool), keys[1:] != keys[:-1])))
+    return keys[new] >> 16, keys[new] & 0xFFFF, np.diff(new, append=len(keys))
+
+
 class Index:
-    """BM25 postings over the documents of a shard."""
+    """BM25 postings over some documents, whose statistics are those of all where given."""
 
-    def __init__(self, docs: list[np.ndarray]) -> None:
+    def __init__(self, docs: list[np.ndarray], statistics: Statistics | None = None) -> None:
         n = len(docs)
         length = np.array([len(d) for d in docs], "f8")
-        average = max(length.mean(), 1.0) if n else 1.0
-        keys = np.repeat(np.arange(n, dtype="i8") << 16, length.astype("i8"))
-        keys |= np.concatenate(docs).astype("i8") if n else 0
-        keys.sort()
-        new = np.flatnonzero(np.concatenate((np.ones(min(1, len(keys)), bool), keys[1:] != keys[:-1])))
-        tf = np.diff(new, append=len(keys))
-        owner, term = keys[new] >> 16, keys[new] & 0xFFFF
+        owner, term, tf = counted(docs)
         self.terms = np.split(term, np.cumsum(np.bincount(owner, minlength=n))[:-1]) if n else []
-        df = np.bincount(term, minlength=1)
-        # a term of more than half of the documents weighs nothing
-        idf = np.maximum(0.0, np.log((n - df + 0.5) / (df + 0.5)))
+        df = np.bincount(term, minlength=1 << 16)
+        statistics = statistics or Statistics(n, length.mean() if n else 1.0, df)
         order = np.argsort(term, kind="stable")
-        order = order[idf[term[order]] > 0]
+        order = order[statistics.idf[term[order]] > 0]
         self.owner, term, tf = owner[order], term[order], tf[order].astype("f8")
-        self.weight = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length[self.owner] / average))
+        self.weight = statistics.weights(term, tf, length[self.owner])
         self.size = np.bincount(term, minlength=len(df))
         self.first = np.cumsum(self.size) - self.size
         self.n = n
 
     def scores(self, doc: int) -> np.ndarray:
-        """BM25 of every document of the shard for the terms of one of them."""
+        """BM25 of every document for the terms of one of them."""
         terms = self.terms[doc]
         size = self.size[terms]
         at = np.repeat(self.first[terms] - (np.cumsum(size) - size), size) + np.arange(size.sum())
         return np.bincount(self.owner[at], self.weight[at], minlength=self.n)
 
 
-def fill(docs: list[np.ndarray], window: int) -> list[tuple[int, int, int, int, int]]:
-    """(document, start, length, sequence, offset) of every piece of a shard."""
-    index = Index(docs)
+def fill(docs: list[np.ndarray], window: int, statistics: Statistics | None = None, begins: list[int] | None = None) -> list[tuple[int, int, int, int, int]]:
+    """(document, start, length, sequence, offset) of every piece of the documents from `begins` on, one seed after the other."""
+    index = Index(docs, statistics)
     length = [len(d) for d in docs]
+    begins = begins or [0] * len(docs)
     free = np.ones(len(docs), bool)
     out, sequence, offset, seed = [], 0, 0, 0
     rest: tuple[int, int] | None = None  # document and start of what a cut has left over
@@ -150,7 +180,7 @@ def fill(docs: list[np.ndarray], window: int) -> list[tuple[int, int, int, int,
             if seed == len(docs):
                 return out
             free[seed] = False
-            rest = (seed, 0)
+            rest = (seed, begins[seed])
         opener = rest[0]
         while rest is not None:
             place(*rest)
@@ -168,46 +198,253 @@ def fill(docs: list[np.ndarray], window: int) -> list[tuple[int, int, int, int,
                 floor = np.partition(score, len(score) - k)[len(score) - k]
                 among = np.flatnonzero(score >= floor)
                 best = among[np.lexsort((left[among], -score[among]))]
-            if k >= len(left) or sum(length[i] for i in left[best]) >= room:
+            if k >= len(left) or sum(length[i] - begins[i] for i in left[best]) >= room:
                 break
             k *= 4
         for i in left[best].tolist():
             free[i] = False
-            place(i, 0)
+            place(i, begins[i])
             if rest is not None or offset == 0:
                 break
 
 
+class Pool:
+    """What is left of every document: `start` up to `length`, by position; a key is (partition << 32) + place in it."""
+
+    def __init__(self, keys: np.ndarray, length: np.ndarray) -> None:
+        order = np.argsort(keys)
+        self.keys, self.length = keys[order], length[order]
+        self.start = np.zeros(len(keys), "i4")
+
+    def take(self, at: np.ndarray, lists: np.ndarray, window: int, sequence: int) -> tuple[list[tuple[int, int, int, int, int]], int]:
+        """(position, start, length, sequence, offset) of the windows that the seeds `at` fill from their lists, in turn."""
+        out = []
+        for seed, near in zip(at.tolist(), lists.tolist(), strict=True):
+            mine, offset, now = [], 0, sequence
+            for d in (seed, *near):
+                start, stop = int(self.start[d]), int(self.length[d])
+                if d < 0 or start == stop or (mine and d == seed):
+                    continue
+                while start < stop and (offset or not mine or d == seed):
+                    n = min(stop - start, window - offset)
+                    mine.append((d, start, n, now, offset))
+                    start, offset = start + n, offset + n
+                    if offset == window:
+                        now, offset = now + 1, 0
+                        if d != seed:
+                            break
+                if not offset:
+                    break
+            if offset:
+                continue
+            for d, start, n, _, _ in mine:
+                self.start[d] = start + n
+            out.extend(mine)
+            sequence = now
+        return out, sequence
+
+
+def _ragged(size: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Positions first[i], ..., first[i] + size[i] - 1 of all i."""
+    return np.repeat(first - (np.cumsum(size) - size), size) + np.arange(size.sum())
+
+
+def compared(terms: np.ndarray, size: np.ndarray, owner: np.ndarray, term: np.ndarray, weight: np.ndarray, n: int, common: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """(first seed, scores) of chunks of seeds, given by their terms and numbers of terms, against postings of n documents.
+
+    Common terms meet in a matrix product, others by their postings.
+    """
+    often = common[term]
+    columns = np.unique(term[often])
+    column = np.full(1 << 16, -1)
+    column[columns] = np.arange(len(columns))
+    matrix = np.zeros((len(columns), n), "f4")
+    matrix[column[term[often]], owner[often]] = weight[often]
+    order = np.flatnonzero(~often)
+    order = order[np.argsort(term[order], kind="stable")]
+    rare_owner, rare_weight = owner[order], weight[order]
+    many = np.bincount(term[order], minlength=1 << 16)
+    first = np.cumsum(many) - many
+    cuts = np.concatenate(([0], np.cumsum(size)))
+    for low in range(0, len(size), CHUNK):
+        high = min(low + CHUNK, len(size))
+        seed, t = np.repeat(np.arange(high - low), size[low:high]), terms[cuts[low] : cuts[high]]
+        asked = np.zeros((high - low, len(columns)), "f4")
+        hit = column[t] >= 0
+        asked[seed[hit], column[t[hit]]] = 1
+        scores = asked @ matrix
+        hit = many[t] > 0
+        if hit.any():
+            at = _ragged(many[t[hit]], first[t[hit]])
+            scores += np.bincount(np.repeat(seed[hit], many[t[hit]]) * n + rare_owner[at], rare_weight[at], minlength=scores.size).reshape(scores.shape).astype("f4")
+        yield low, scores
+
+
+def best_of(scores: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The k best of each row, in no order."""
+    if scores.shape[1] <= k:
+        return scores, ids
+    at = np.argpartition(scores, scores.shape[1] - k, axis=1)[:, -k:]
+    return np.take_along_axis(scores, at, 1), np.take_along_axis(ids, at, 1)
+
+
+def neighbours(vectors: DataFrame, pool: Pool, statistics: Statistics, seeds: np.ndarray, k: int) -> np.ndarray:
+    """Positions of the k best unused documents of the whole table for each seed, best first; -1 where there are fewer."""
+    spark = vectors.sparkSession
+    wanted = spark.sparkContext.broadcast(np.sort(pool.keys[seeds]))
+
+    def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            keys = np.asarray(b.column(0))
+            at = np.minimum(np.searchsorted(wanted.value, keys), len(wanted.value) - 1)
+            yield b.filter(pa.array(wanted.value[at] == keys))
+
+    found = {r[0]: np.frombuffer(r[1], "<u2") for r in vectors.select("key", "terms").mapInArrow(asked, "key long, terms binary").collect()}
+    each = [found[key] for key in pool.keys[seeds].tolist()]
+    free = pool.start < pool.length
+    shared = spark.sparkContext.broadcast((np.concatenate(each), np.array([len(t) for t in each]), pool.keys[free], np.flatnonzero(free).astype("i4")))
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        terms, size, free_keys, position = shared.value
+        kept: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for b in batches:
+            keys = np.asarray(b.column(0))
+            place = np.minimum(np.searchsorted(free_keys, keys), len(free_keys) - 1)
+            rows = np.flatnonzero(free_keys[place] == keys)
+            for some in np.array_split(rows, math.ceil(len(rows) / COMPARED)) if len(rows) else []:
+                part = b.take(pa.array(some))
+                term, tf = (np.frombuffer(b"".join(part.column(c).to_pylist()), "<u2").astype("i8") for c in (2, 3))
+                length = np.asarray(part.column(1))
+                owner = np.repeat(np.arange(len(some)), [len(x) // 2 for x in part.column(2).to_pylist()])
+                weight = statistics.weights(term, tf, length[owner])
+                for low, scores in compared(terms, size, owner, term, weight, len(some), statistics.common):
+                    ids = np.broadcast_to(position[place[some]], scores.shape)
+                    if low in kept:
+                        scores, ids = (np.concatenate(x, axis=1) for x in zip(kept[low], (scores, ids), strict=True))
+                    kept[low] = best_of(scores, ids, k)
+        for low, (scores, ids) in kept.items():
+            yield pa.RecordBatch.from_pylist([{"low": low, "n": len(scores), "scores": scores.astype("<f4").tobytes(), "ids": ids.astype("<i4").tobytes()}], chunk_schema)
+
+    def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for b in batches:
+            for r in b.to_pylist():
+                new = tuple(np.frombuffer(r[c], t).reshape(r["n"], -1) for c, t in (("scores", "<f4"), ("ids", "<i4")))
+                if r["low"] in kept:
+                    new = tuple(np.concatenate(x, axis=1) for x in zip(kept[r["low"]], new, strict=True))
+                kept[r["low"]] = best_of(*new, k)
+        for low, (scores, ids) in kept.items():
+            order = np.lexsort((ids, -scores), axis=1)
+            yield pa.RecordBatch.from_pylist([{"low": low, "n": len(scores), "scores": b"", "ids": np.take_along_axis(ids, order, 1).tobytes()}], chunk_schema)
+
+    chunk_schema = pa.schema([("low", pa.int32()), ("n", pa.int32()), ("scores", pa.binary()), ("ids", pa.binary())])
+    kind = "low int, n int, scores binary, ids binary"
+    parts = vectors.coalesce(spark.sparkContext.defaultParallelism).mapInArrow(listed, kind).repartition("low").mapInArrow(merged, kind)
+    out = np.full((len(seeds), k), -1, "i4")
+    for r in parts.collect():
+        ids = np.frombuffer(r["ids"], "<i4").reshape(r["n"], -1)
+        out[r["low"] : r["low"] + r["n"], : ids.shape[1]] = ids
+    wanted.unpersist()
+    shared.unpersist()
+    return out
+
+
+def encoded(df: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
+    """(key, doc_id, ids, length, terms, tf) of every row, the binaries of 16-bit values; keys are unique once written."""
+    rows = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, end, key = WordEncoder.of(tokenizer), np.array([end_id], "<u2"), TaskContext.get().partitionId() << 32
+        for b in batches:
+            _, bounds = text_buffer(b.column(1))
+            for start, stop in slices(bounds, ENCODED_BYTES):
+                docs = [np.concatenate((x, end)) for x in encoder.encode(b.column(1).slice(start, stop - start).to_pylist())]
+                owner, term, tf = counted(docs)
+                cuts = np.cumsum(np.bincount(owner, minlength=len(docs)))[:-1]
+                # a frequency beyond 16 bits weighs as much as the largest within
+                terms, tfs = (np.split(x.astype("<u2"), cuts) for x in (term, np.minimum(tf, 0xFFFF)))
+                binary = [pa.array([x.tobytes() for x in side], pa.binary()) for side in (docs, terms, tfs)]
+                lengths = pa.array([len(d) for d in docs], pa.int32())
+                yield pa.RecordBatch.from_arrays([pa.array(key + np.arange(len(docs))), b.column(0).slice(start, stop - start), binary[0], lengths, *binary[1:]], names=["key", "doc_id", "ids", "length", "terms", "tf"])
+                key += len(docs)
+
+    return rows.mapInArrow(encode, "key long, doc_id long, ids binary, length int, terms binary, tf binary")
+
+
+def collection(docs: DataFrame, n: int, average: float) -> Statistics:
+    def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        df = np.zeros(1 << 16, "i8")
+        for b in batches:
+            df += np.bincount(np.frombuffer(b"".join(b.column(0).to_pylist()), "<u2"), minlength=1 << 16)
+        at = np.flatnonzero(df)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(df[at])], names=["term", "df"])
+
+    rows = docs.select("terms").mapInArrow(frequencies, "term long, df long").groupBy("term").agg(F.sum("df").alias("df")).toArrow()
+    df = np.zeros(1 << 16, "i8")
+    df[rows["term"].to_numpy()] = rows["df"].to_numpy()
+    return Statistics(n, average, df)
+
+
 def pack(df: DataFrame, tokenizer: str, end_id: int = 2, window: int = WINDOW, shard_bytes: int = 4 << 20, seed: int = 17) -> DataFrame:
     """Pieces of every document, as PIECE_SCHEMA; `ids` holds unsigned little-endian 32-bit values.
 
-    `tokenizer`: path of the tokenizer file on every machine. A shard is held in memory by one task.
+    `tokenizer`: path of the tokenizer file on every machine. `shard_bytes`: text that one task may hold; `seed` draws
+    the seeds of a round. The driver holds a document's key, length and start, 16 bytes.
     """
-    rows = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    shards = max(1, math.ceil(total / shard_bytes))
-    # the text's hash takes part, so that rows which repeat an id do not meet in one shard
-    dealt = rows.withColumn("shard", F.pmod(F.xxhash64(F.lit(seed), "doc_id", "text"), F.lit(shards)).cast("int"))
-
-    def packed(table: pa.Table) -> pa.Table:
-        table = table.combine_chunks()
-        ids, texts, shard = table["doc_id"].to_pylist(), table["text"].to_pylist(), table["shard"][0].as_py()
-        order = sorted(range(len(ids)), key=lambda i: (ids[i] is None, ids[i] or 0, texts[i]))
-        encoder = WordEncoder.of(tokenizer)
-        end = np.array([end_id], "<u2")
-        docs = [np.concatenate((x, end)) for x in encoder.encode([texts[i] for i in order])]
-        pieces = fill(docs, window)
-        doc, start, length, sequence, offset = (np.array(x, "i8") for x in zip(*pieces, strict=True))
-        return pa.table(
-            {
-                "doc_id": pa.array([ids[order[d]] for d in doc], pa.int64()),
-                "start": start,
-                "length": length,
-                "ids": pa.array([docs[d][s : s + n].astype("<u4").tobytes() for d, s, n in zip(doc, start, length, strict=True)], pa.binary()),
-                "doc_tokens": np.array([len(d) for d in docs])[doc],
-                "sequence_id": (np.int64(shard) << 32) + sequence,
-                "offset": offset,
-            }
-        )
-
-    return dealt.groupBy("shard").applyInArrow(packed, PIECE_SCHEMA)
+    spark = df.sparkSession
+    docs = written(encoded(df, tokenizer, end_id), "encoded")
+    have = docs.select("key", "length").toArrow()
+    pool = Pool(have["key"].to_numpy().astype("i8"), have["length"].to_numpy().astype("i4"))
+    statistics = collection(docs, len(pool.keys), float(pool.length.mean()) if len(pool.keys) else 1.0)
+    places = f"{shared_dir(spark)}/places-{uuid.uuid4().hex}"
+
+    def place(rows: pa.Table) -> None:
+        spark.createDataFrame(rows, PLACE_SCHEMA).write.mode("append").parquet(places)
+
+    draw, sequence, more = np.random.default_rng(seed), 0, 1
+    while True:
+        left = pool.length - pool.start
+        tokens = int(left.sum())
+        # about four bytes of text make a token
+        if tokens <= max(window, shard_bytes // 4):
+            break
+        free = np.flatnonzero(left)
+        k = min(len(free), more * max(64, math.ceil(8 * window * len(free) / tokens)))
+        n = max(1, min(LISTED // k, math.ceil(tokens / window / 2)))
+        cut, whole = free[pool.start[free] > 0], free[pool.start[free] == 0]
+        seeds = np.concatenate((cut, draw.permutation(whole)[: max(0, n - len(cut))]))[:n]
+        lists = neighbours(docs.select("key", "length", "terms", "tf"), pool, statistics, seeds, k)
+        taken, after = pool.take(seeds, lists, window, sequence)
+        # lists that end too early to fill a single window are made longer
+        more = 1 if taken else more * 4
+        if taken:
+            d, start, length, number, offset = (np.array(x, "i8") for x in zip(*taken, strict=True))
+            place(pa.table({"key": pool.keys[d], "start": start, "length": length, "sequence_id": number, "offset": offset}))
+        sequence = after
+
+    rest = spark.sparkContext.broadcast((pool.keys[pool.start < pool.length], pool.start[pool.start < pool.length]))
+
+    def unused(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield b.filter(pa.array(np.isin(np.asarray(b.column(0)), rest.value[0])))
+
+    def last(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = sorted((r for b in batches for r in b.to_pylist()), key=lambda r: (r["doc_id"] is None, r["doc_id"] or 0, r["ids"], r["key"]))
+        if rows:
+            keys = np.array([r["key"] for r in rows])
+            begins = rest.value[1][np.searchsorted(rest.value[0], keys)].tolist()
+            pieces = fill([np.frombuffer(r["ids"], "<u2") for r in rows], window, statistics, begins)
+            d, start, length, number, offset = (np.array(x, "i8") for x in zip(*pieces, strict=True))
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (keys[d], start, length, sequence + number, offset)], names=["key", "start", "length", "sequence_id", "offset"])
+
+    end = docs.select("key", "doc_id", "ids").mapInArrow(unused, "key long, doc_id long, ids binary").repartition(1).mapInArrow(last, PLACE_SCHEMA)
+    end.write.mode("append").parquet(places)
+
+    def cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ids = [np.frombuffer(x, "<u2").astype("<u4").tobytes() for x in b.column(3).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(3)), pa.array(ids, pa.binary()), *(b.column(i) for i in range(4, 7))], names=[f.split()[0] for f in PIECE_SCHEMA.split(", ")])
+
+    both = spark.read.schema(PLACE_SCHEMA).parquet(places).join(docs.select("key", "doc_id", "ids", F.col("length").alias("doc_tokens")), "key")
+    part = F.expr("substring(ids, cast(2 * start + 1 as int), cast(2 * length as int))")
+    return both.select("doc_id", "start", "length", part.alias("ids"), F.col("doc_tokens").cast("long").alias("doc_tokens"), "sequence_id", "offset").mapInArrow(cut_out, PIECE_SCHEMA)

@@ -83,3 +83,39 @@ def test_empty_tables(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert packing.pack(empty, public_tokenizers.path("word_bpe_49k.json")).count() == 0
     assert token_counts.count_tokens(empty, public_tokenizers.path("piece_bpe_32k.model")).count() == 0
+
+
+def test_neighbours_are_sought_in_all_documents(spark):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    rng = np.random.default_rng(3)
+    topics = [[f"{a}{b}" for a in rng.choice(list("bcdfghklmnprst"), 6) for b in ("ando", "ilu", "etra")] for _ in range(40)]
+    rows = [(i, " ".join(rng.choice(topics[i % 40], 60))) for i in range(1600)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    pieces = packing.pack(df, path, window=512, shard_bytes=20_000).collect()
+    together = {}
+    for r in pieces:
+        together.setdefault(r["sequence_id"], []).append(r["doc_id"] % 40)
+    assert len(together) > 100
+    same = sum(max(x.count(t) for t in x) for x in together.values()) / sum(map(len, together.values()))
+    assert same > 0.8
+    used = {}
+    for r in sorted(pieces, key=lambda r: (r["sequence_id"], r["offset"])):
+        assert r["offset"] == used.get(r["sequence_id"], 0)
+        used[r["sequence_id"]] = r["offset"] + r["length"]
+    assert sum(n < 512 for n in used.values()) <= 1
+
+
+def test_lists_are_those_of_brute_force(spark, tiny):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    docs = packing.written(packing.encoded(spark.read.parquet(f"{tiny}/documents.parquet").repartition(5), path, 2), "encoded")
+    rows = sorted(docs.collect(), key=lambda r: r["key"])
+    ids = [np.frombuffer(r["ids"], "<u2") for r in rows]
+    pool = packing.Pool(np.array([r["key"] for r in rows]), np.array([len(x) for x in ids], "i4"))
+    pool.start[::7] = pool.length[::7]
+    statistics = packing.collection(docs, len(ids), float(np.mean([len(x) for x in ids])))
+    index = packing.Index(ids)
+    seeds = np.flatnonzero(pool.start < pool.length)[:40]
+    got = packing.neighbours(docs.select("key", "length", "terms", "tf"), pool, statistics, seeds, 20)
+    for s, near in zip(seeds, got, strict=True):
+        score = np.where(pool.start < pool.length, index.scores(s), -1)
+        assert np.allclose(score[near], np.sort(score)[::-1][:20], rtol=1e-4)
