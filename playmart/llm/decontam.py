@@ -17,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -178,42 +178,62 @@ def with_leaks(df: DataFrame, benchmark: DataFrame, text_col: str = "text", keep
     return source.mapInArrow(found, schema)
 
 
-def leaks_by_join(df: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """(doc_id, item_id, coverage, tiles, longest) for benchmarks of any size; needs unique doc_ids and item_ids."""
+def _digest() -> Column:
+    return F.md5(F.lower("text").cast("binary"))
+
+
+def _found_by_join(df: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """(digest, item, coverage, tiles, longest) of every different text of `df` and of the items, named by their digests."""
 
     def seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             data, bounds = text_buffer(b.column(1))
             for start, stop in slices(bounds, CHUNK_BYTES):
                 found, cuts = shingle_hashes(data, bounds[start : stop + 1], MIN_MATCH)
-                each = [np.unique(found[cuts[i] : cuts[i + 1]]) for i in range(stop - start)]
-                ends = np.cumsum([0, *map(len, each)]).astype("i4")
-                flat = np.concatenate(each) if each else np.zeros(0, _U)
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(start, stop - start), pa.ListArray.from_arrays(ends, flat.view("i8"))], names=["id", "seeds"])
-
-    def seeded(table: DataFrame, key: str) -> DataFrame:
-        rows = table.where(F.col("text").isNotNull()).select(F.col(key).alias("id"), F.lower("text"))
-        return rows.mapInArrow(seeds, "id long, seeds array<long>")
-
-    items = seeded(benchmark, "item_id").select(F.col("id").alias("item_id"), F.size("seeds").alias("n"), F.explode("seeds").alias("seed"))
-    docs = seeded(df, "doc_id").select(F.col("id").alias("doc_id"), F.explode("seeds").alias("seed"))
-    # a tile of m words holds m - MIN_MATCH + 1 seeds, so tiles over half the words need some of the seeds
-    pairs = docs.join(items, "seed").groupBy("doc_id", "item_id").agg(F.count("*").alias("shared"), F.max("n").alias("n"))
-    pairs = pairs.where(F.col("shared") * MIN_MATCH >= COVERAGE * F.col("n")).select("doc_id", "item_id")
-    full = pairs.join(df.select("doc_id", F.lower("text").alias("text")), "doc_id").join(benchmark.select("item_id", F.lower("text").alias("item")), "item_id")
+                _, owner, _ = word_hashes(data, bounds[start : stop + 1])
+                words = np.bincount(owner, minlength=stop - start)
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0).slice(start, stop - start), pa.array(words), pa.ListArray.from_arrays(cuts.astype("i4"), found.view("i8"))], names=["digest", "words", "seeds"]
+                )
+
+    def seeded(table: DataFrame) -> DataFrame:
+        rows = table.where(F.col("text").isNotNull()).select(_digest().alias("digest"), F.lower("text"))
+        return rows.mapInArrow(seeds, "digest string, words long, seeds array<long>").where(F.col("words") >= MIN_MATCH)
+
+    items = seeded(benchmark).dropDuplicates(["digest"]).select(F.col("digest").alias("item"), "words", F.posexplode("seeds").alias("place", "seed"))
+    docs = seeded(df).select("digest", F.explode(F.array_distinct("seeds")).alias("seed")).distinct()
+    # as Benchmark.candidates: how much of the item its places in common could cover
+    after = F.lead("place").over(Window.partitionBy("digest", "item").orderBy("place")) - F.col("place")
+    met = docs.join(items, "seed").select("digest", "item", "words", F.least(F.coalesce(after, F.lit(MIN_MATCH)), F.lit(MIN_MATCH)).alias("step"))
+    pairs = met.groupBy("digest", "item").agg(F.sum("step").alias("covered"), F.max("words").alias("words")).where(F.col("covered") >= COVERAGE * F.col("words")).select("digest", "item")
+
+    def texts(table: DataFrame, name: str, text: str) -> DataFrame:
+        rows = table.select(_digest().alias(name), F.lower("text").alias(text))
+        return rows.join(pairs.select(name).distinct(), name, "left_semi").dropDuplicates([name])
+
+    full = pairs.join(texts(df, "digest", "text"), "digest").join(texts(benchmark, "item", "item_text"), "item")
 
     def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out = []
-            for doc_id, item_id, text, item in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            for digest, item, text, item_text in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 data, bounds = text_buffer(pa.array([text], pa.large_string()))
-                one = Benchmark([item_id], [item])
                 words, _, _ = word_hashes(data, bounds)
-                if len(one.items[0]) >= MIN_MATCH and (leak := one.leak(0, words)):
-                    out.append({"doc_id": doc_id} | leak)
-            yield pa.RecordBatch.from_pylist(out, pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("coverage", pa.float64()), ("tiles", pa.int32()), ("longest", pa.int32())]))
+                if leak := Benchmark([0], [item_text]).leak(0, words):
+                    out.append({"digest": digest, "item": item} | leak)
+            kind = [("digest", pa.string()), ("item", pa.string()), ("coverage", pa.float64()), ("tiles", pa.int32()), ("longest", pa.int32())]
+            yield pa.RecordBatch.from_pylist(out, pa.schema(kind))
+
+    return full.select("digest", "item", "text", "item_text").mapInArrow(judged, "digest string, item string, coverage double, tiles int, longest int")
 
-    return full.select("doc_id", "item_id", "text", "item").mapInArrow(judged, "doc_id long, item_id long, coverage double, tiles int, longest int")
+
+def leaks_by_join(df: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """(doc_id, item_id, coverage, tiles, longest) for benchmarks of any size; each row is judged by its own text, as in `leaks`."""
+    items = benchmark.where(F.col("text").isNotNull() & F.col("item_id").isNotNull())
+    found = _found_by_join(df, items)
+    rows = df.select(F.col("doc_id").cast("long").alias("doc_id"), _digest().alias("digest"))
+    named = items.select(F.col("item_id").cast("long").alias("item_id"), _digest().alias("item"))
+    return rows.join(found, "digest").join(named, "item").select("doc_id", "item_id", "coverage", "tiles", "longest")
 
 
 def leaks(df: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -228,4 +248,6 @@ def remove_leaks(df: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of `df` that leak no benchmark item."""
     if _small(benchmark):
         return with_leaks(df, benchmark).where(F.size("leaks") == 0).select(df.columns)
-    return df.join(leaks_by_join(df, benchmark).select("doc_id").distinct(), "doc_id", "left_anti").select(df.columns)
+    items = benchmark.where(F.col("text").isNotNull() & F.col("item_id").isNotNull())
+    gone = _found_by_join(df, items).select(F.col("digest").alias("_digest")).distinct()
+    return df.withColumn("_digest", _digest()).join(gone, "_digest", "left_anti").select(df.columns)

@@ -108,3 +108,20 @@ def test_leaks(spark, tiny):
     joined = {(r["doc_id"], r["item_id"]): r["coverage"] for r in decontam.leaks_by_join(both, items).collect()}
     assert joined == got
     assert decontam.leaks(both.limit(0), items).count() == 0 and decontam.leaks(both, items.limit(0)).count() == 0
+
+
+def test_large_benchmarks_are_judged_alike(spark, monkeypatch):
+    alone = [f"w{k}x" for k in range(160)]
+    items = [(1, " ".join(["a b c d"] * 40 + alone)), (2, "one two three four five six"), (2, "red green blue white black pink"), (3, "one two three four five six"), (None, "sun moon star sky cloud rain"), (4, "a b c")]
+    docs = [
+        (1, "a b c d " * 40), (2, " ".join(alone)), (None, "so one two three FOUR five six"), (None, "clean words with no leak at all"), (7, "red green blue white black pink"),
+        (7, "another clean row of the same id"), (7, "red green blue white black pink"), (8, "sun moon star sky cloud rain"), (9, None), (10, ""), (11, "a b c"),
+    ]
+    df, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    rows = lambda x: sorted((tuple(r) for r in x.collect()), key=str)
+    want, stays = rows(decontam.leaks(df, bench)), rows(decontam.remove_leaks(df, bench))
+    assert {(d, i) for d, i, *_ in want} == {(1, 1), (2, 1), (None, 2), (None, 3), (7, 2)}
+    assert rows(decontam.leaks_by_join(df, bench)) == want
+    monkeypatch.setattr(decontam, "MAX_BROADCAST_BYTES", 0)
+    assert rows(decontam.remove_leaks(df, bench)) == stays
+    assert rows(decontam.leaks(df, bench)) == want
