@@ -13,8 +13,8 @@ far); what is still apart in a bucket is compared in blocks, by signature, witho
 be similar. Every link is confirmed on the multisets of shingles. Classes are connected components.
 
 Defined cases: a null text is a class of its own; empty texts are equal texts; texts without a word have no
-shingle and match equal texts only; rows that share a doc_id belong to one class. Ties: the smallest doc_id
-names the class and is kept. An empty table gives an empty result.
+shingle and match equal texts only; rows that share a doc_id belong to one class; texts without any doc_id link
+as others do. Ties: the smallest doc_id names the class and is kept. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -253,8 +253,8 @@ def _pair_frame(pairs: Iterable[tuple[int, int]]) -> pd.DataFrame:
 def near_duplicates(df: DataFrame) -> DataFrame:
     """(doc_id, class_id, kept) of every row; `df` needs doc_id and text."""
     sketches = written(sketch(df), "sketches")
-    groups = sketches.groupBy("digest").agg(F.min("doc_id").alias("node"))
-    groups = written(groups.select("digest", F.coalesce("node", F.xxhash64("digest")).alias("node")), "texts")
+    groups = sketches.groupBy("digest").agg(F.min("doc_id").alias("id"))
+    groups = written(groups.select("digest", "id", F.coalesce("id", F.xxhash64("digest")).alias("node")), "texts")
     nodes = written(
         sketches.where(F.size("bands") > 0).join(groups, "digest").where((F.col("doc_id") == F.col("node")) | F.col("doc_id").isNull()).select("node", "bands"), "nodes"
     )
@@ -263,8 +263,10 @@ def near_duplicates(df: DataFrame) -> DataFrame:
     shared = written(keyed.join(heads, "key").select("key", "node", "b", "n"), "buckets")
     pairs = written(shared.where("node <> b").select(F.col("node").alias("a"), "b").distinct(), "pairs")
     wanted = shared.select("node").distinct()
-    texts = df.where(F.col("text").isNotNull()).select(F.col("doc_id").alias("node"), F.lower("text").alias("text")).join(wanted.hint("merge"), "node", "left_semi")
-    texts = written(texts, "candidates")
+    mine = groups.join(wanted, "node", "left_semi").select("digest", "node")
+    texts = df.where(F.col("text").isNotNull()).select("doc_id", F.md5(F.col("text").cast("binary")).alias("digest"), F.lower("text").alias("text"))
+    texts = texts.join(mine.hint("merge"), "digest").where((F.col("doc_id") == F.col("node")) | F.col("doc_id").isNull()).dropDuplicates(["digest"])
+    texts = written(texts.select("node", "text"), "candidates")
     edges = written(verify(pairs, texts), "links")
     labels = connected_components(edges)
 
@@ -289,7 +291,10 @@ def near_duplicates(df: DataFrame) -> DataFrame:
     if not found.isEmpty():
         labels = merge_components(labels, found)
 
-    named = groups.join(labels, "node", "left").select("digest", F.coalesce("component", "node").alias("class_id"))
+    # a text whose rows have no doc_id may be the smallest node of a class, but does not name it
+    classes = groups.join(labels, "node", "left").select("digest", "id", F.coalesce("component", "node").alias("component"))
+    names = classes.groupBy("component").agg(F.coalesce(F.min("id"), F.col("component")).alias("class_id"))
+    named = classes.join(names, "component").select("digest", "class_id")
     placed = sketches.select("doc_id", "digest").join(named, "digest").select("doc_id", "class_id")
     alone = df.where(F.col("text").isNull()).select("doc_id", F.col("doc_id").alias("class_id"))
     return placed.union(alone).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(True)))

@@ -105,3 +105,17 @@ def test_odd_rows(spark):
         (10, 10, True), (11, 10, False), (12, 12, True),
     ]
     assert minhash.near_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_texts_without_ids_link(spark):
+    random.seed(8)
+    words = [f"t{i}" for i in range(2000)]
+    cut = lambda line, at: " ".join(line[at : at + 240])
+    rows, want = [], []
+    for g in range(6):
+        line = [random.choice(words) for _ in range(300)]
+        a, b = 10 * g + 1, 10 * g + 2
+        rows += [(a, cut(line, 0)), (None, cut(line, 20)), (None, cut(line, 20)), (b, cut(line, 40))]
+        want += [(a, a, True), (None, a, True), (None, a, True), (b, a, False)]
+    got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
