@@ -189,15 +189,17 @@ def new_account_report(cases: DataFrame, as_of: datetime | str) -> DataFrame:
 def generic_report(cases: DataFrame, title: str, limit: int = MESSAGE_BYTES) -> DataFrame:
     """One row with all messages below a title, in order of client, cut to `limit` bytes with a note that says so.
 
-    All messages of a report meet here, as in the report itself; only the cut text leaves.
+    A line holds three bytes or more with its break, so the first `limit` messages hold all that can be shown; only they
+    meet here. Null messages show no line, but count as cases.
     """
     n = text(F.count("*"))
+    shown = cases.where(F.col("message").isNotNull()).select("client_id", "message").orderBy("client_id", "message").limit(limit)
     lines = joined(F.collect_list(F.struct("client_id", F.concat(F.lit("* "), F.col("message")).alias("t"))), "\n")
     head = F.concat(F.lit(f"{title}: "), F.col("n"), F.lit(" cases\n"))
     note = F.concat(F.lit("\n[cut, "), F.col("n"), F.lit(" cases in all]"))
     room = F.lit(limit) - F.octet_length(head) - F.octet_length(note)
     whole = F.concat(head, F.col("lines"))
-    row = cases.agg(n.alias("n"), lines.alias("lines"))
+    row = cases.agg(n.alias("n")).crossJoin(shown.agg(lines.alias("lines")))
     return row.select(F.when(F.octet_length(whole) <= limit, whole).otherwise(F.concat(head, truncate_utf8_bytes("lines", room), note)).alias("message"))
 
 

@@ -278,3 +278,19 @@ def test_soft_delete_scope(spark):
     state = lambda s: {(r["client_id"], r["pix_key"]): r["is_active"] for r in shared_keys.soft_delete_sync(usage, recomputed, s, "2024-02-01 00:00:00").collect()}
     assert state(scope) == {(1, "a"): False, (1, "c"): True, (2, "b"): True}
     assert state(None) == {(1, "a"): False, (1, "c"): True, (2, "b"): False}
+
+
+def test_generic_report_gathers_what_can_be_shown(spark):
+    from playmart.operators import reports
+
+    data = [(k % 40, None if k % 9 == 0 else "" if k % 2 else f"é case {k}") for k in range(400)]
+    for some in (data, data[:5], data[:1], []):
+        for limit in (60, 200, 3500):
+            lines = "\n".join("* " + m for _, m in sorted((c, m) for c, m in some if m is not None)).encode()
+            head, note = f"T: {len(some)} cases\n".encode(), f"\n[cut, {len(some)} cases in all]".encode()
+            whole = head + lines
+            if len(whole) > limit:
+                whole = head + lines[: limit - len(head) - len(note)].decode(errors="ignore").encode() + note
+            report = reports.generic_report(frame(spark, some, "client_id long, message string"), "T", limit)
+            assert [r["message"] for r in report.collect()] == [whole.decode()]
+    assert "TakeOrderedAndProject" in report._jdf.queryExecution().toString()
