@@ -1,19 +1,22 @@
 """Lexical retrieval packing: BM25 neighbours of a seed document fill its window.
 
-A window opens with a seed (the rest of a document that was cut, else an unused one); its unused neighbours, best
-first, fill the window; the last one is cut where the window ends and its rest is a seed of a later round. Neighbours
-are sought among all documents, with the number of documents, document frequencies and the average length counted
-over all of them.
+Documents are dealt to the shards of the index by their words, not at random. A bounded number of pivot documents is
+drawn; every document is scored by BM25 against each of them, and the ranking of its best pivots, then two
+min-hashes of its terms, then a hash of its key make one order in which lexically close documents stand
+together and no group of copies is bound to one place. The order is cut into ranges, a task each. The number of documents,
+document frequencies and the average length are counted once, over all documents.
 
-Up to `shard_bytes` of unused text is packed by one task, one seed after the other. While more is left, a round draws
-seeds, every part of the table lists the best of its unused documents for each of them, the lists are merged, and
-the seeds take their neighbours in turn from what the seeds before have left. A seed whose list ends before its window
-is full gives back what it took and waits for a later round. So every sequence but the very last is full, and
-each id lies in exactly one piece. Work grows with seeds x documents, that is with the square of the table.
+A task reads its range in order and holds one index shard of it at a time. A round draws seeds (rests of documents that were
+cut come first); each, in turn, takes its unused neighbours in the shard, best BM25 first, until its window is full; the
+last one is cut there and its rest stays unused. What is left when a quarter of the shard is unused goes on into the
+next shard, so only the last window of a range can be short.
+
+Neighbours are those of the seed's shard: the best of `shard_tokens` of text, chosen by the order, not of the whole table
+(README has the share found). Work grows in proportion to the table.
 
 Defined cases: a null text is empty and packs as its end id alone; repeated rows are packed each; a document longer
-than a window fills several. Scores of a round are single-precision sums; ties go by the order in which rows are read.
-An empty table gives an empty result.
+than a window fills several. Ties go by the order in the range. Extra columns are ignored. An empty table gives an empty
+result. Tokenizers with ids beyond 16 bits are refused.
 """
 
 from __future__ import annotations
@@ -21,32 +24,36 @@ from __future__ import annotations
 import math
 import os
 import re
-import uuid
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import shared_dir, written
-from .shingles import slices, text_buffer
+from .common import written
+from .shingles import mix, slices, text_buffer
 
 WINDOW = 4096
 K1, B = 1.2, 0.75
-#: White space of Python's split() that the tokenizer does not take for white space, or may not.
-ODD_SPACE = re.compile("[\x1c-\x1f\x85]")
-#: Entries of all lists of a round, seeds of a chunk of lists, documents compared at once, bytes of text encoded at once.
-LISTED, CHUNK, COMPARED, ENCODED_BYTES = 1 << 22, 256, 2048, 1 << 20
-PLACE_SCHEMA = "key long, start long, length long, sequence_id long, offset long"
+TERMS = 1 << 16
+#: Documents against which all are ranked, and how many of the ranking's first places make the order.
+PIVOTS, PLACES = 64, 4
+#: Tokens of one index shard and of one range; seeds of a round; bytes of text encoded at once.
+SHARD_TOKENS, RANGE_TOKENS, SEEDS, ENCODED_BYTES = 6 << 20, 12 << 20, 64, 8 << 20
 PIECE_SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
+#: Letters, then ASCII punctuation without an apostrophe: the tokenizer parts the two.
+_PLAIN = re.compile(r"([^\W\d_]+)([!-&(-/:-@\[-^`{-~]*)")
 
 
 class WordEncoder:
-    """Token ids of whole texts by a tokenizer that drops white space and never merges across it.
+    """Token ids of whole texts, by the different words of a batch; frequent ones stay in a bounded cache of the worker.
 
-    Words are encoded in batches; frequent ones stay in a bounded cache of the worker.
+    Texts are split at ASCII white space where the vocabulary shows that no piece holds any and that it leaves no id;
+    else they are encoded whole.
     """
 
     _open: dict[str, WordEncoder] = {}
@@ -56,10 +63,17 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        if self.tokenizer.get_vocab_size() > 1 << 16:
+        size = self.tokenizer.get_vocab_size()
+        if size > TERMS:
             raise ValueError("ids beyond 16 bits")
-        special = [(t.content, i) for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special and t.content.startswith("<")]
-        self.mark = special[0] if special else None
+        vocabulary = self.tokenizer.get_vocab()
+        spaces = set("ĠĉĊċČ \t\n\v\f\r")  # as byte-level vocabularies write them, and as they are
+        apart = all(spaces.isdisjoint(p) or spaces.issuperset(p.removesuffix("</w>")) for p in vocabulary)
+        whole = self._each(["ab  cd\n\tef ", "ab", "cd", "ef", " \t\n\v\f\r"])
+        self.splits = apart and whole[0] == b"".join(whole[1:4]) and not whole[4]
+        #: Pieces that end a word, so that words encoded together can be told apart.
+        self.ends = np.zeros(size, bool)
+        self.ends[[i for piece, i in vocabulary.items() if piece.endswith("</w>")]] = True
         self.known: dict[str, bytes] = {}
         self.cache_entries = cache_entries
 
@@ -69,42 +83,73 @@ class WordEncoder:
             cls._open[path] = cls(path, cache_entries)
         return cls._open[path]
 
-    def _encode(self, words: list[str]) -> dict[str, bytes]:
-        """Ids of each word. Plain words go through the tokenizer joined by a special token, which parts them."""
-        out: dict[str, bytes] = {}
-        if self.mark is not None:
-            text, number = self.mark
-            plain = [w for w in words if "<" not in w and len(w) <= 64]
-            groups = [plain[k : k + 500] for k in range(0, len(plain), 500)]
-            for group, e in zip(groups, self.tokenizer.encode_batch_fast([text.join(g) for g in groups], add_special_tokens=False), strict=True):
-                ids = np.array(e.ids, "<u2")
-                raw, ends = ids.tobytes(), (2 * np.flatnonzero(ids == number)).tolist()
-                if len(ends) == len(group) - 1:
-                    ends.append(len(raw))
-                    out.update(zip(group, (raw[a:b] for a, b in zip([0, *(c + 2 for c in ends)], ends, strict=False)), strict=True))
-        rest = [w for w in words if w not in out]
-        out.update(zip(rest, self._each(rest), strict=True))
-        return out
-
     def _each(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u2").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        known = self.known
-        words = [[t] if ODD_SPACE.search(t) else t.split() for t in texts]
-        wanted = set().union(*words)
-        new = list(wanted.difference(known))
-        if len(known) + len(new) > self.cache_entries:
-            known = self.known = {w: known[w] for w in wanted if w in known}
+    def _together(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of words of letters only: encoded in one text and parted at the pieces that end a word."""
+        groups = [words[k : k + 500] for k in range(0, len(words), 500)]
+        out: dict[str, bytes] = {}
+        for group, e in zip(groups, self.tokenizer.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False), strict=True):
+            ids = np.array(e.ids, "<u2")
+            raw, cuts = ids.tobytes(), (2 * np.flatnonzero(self.ends[ids]) + 2).tolist()
+            parted = [raw[a:b] for a, b in zip([0, *cuts], cuts, strict=False)] if len(cuts) == len(group) else self._each(group)
+            out.update(zip(group, parted, strict=True))
+        return out
+
+    def _learn(self, words: list[str]) -> None:
+        known, stems, rest = self.known, {}, []
+        for w in words:
+            if (m := _PLAIN.fullmatch(w)) and len(w) <= 64 and (w.isascii() or _letters(m[1])):
+                stems[w] = m.groups()
+            else:
+                rest.append(w)
+        new = list({s for s, _ in stems.values() if s not in known})
         for at in range(0, len(new), 20_000):
-            part = new[at : at + 20_000]
-            known.update(self._encode(part))
-        get = known.__getitem__
-        out = [np.frombuffer(b"".join(map(get, w)), "<u2") for w in words]
+            known.update(self._together(new[at : at + 20_000]))
+        tails = list({t for _, t in stems.values() if t})
+        tail = dict(zip(tails, self._each(tails), strict=True)) | {"": b""}
+        known.update({w: known[s] + tail[t] for w, (s, t) in stems.items() if t})
+        for at in range(0, len(rest), 20_000):
+            known.update(zip(rest[at : at + 20_000], self._each(rest[at : at + 20_000]), strict=True))
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, and n + 1 bounds into them."""
+        if self.splits:
+            split = pc.ascii_split_whitespace(texts.cast(pa.large_string()).fill_null(""))
+            words, bounds = split.flatten(), np.asarray(split.offsets)
+            bounds = bounds - bounds[0]
+        else:
+            words, bounds = texts.cast(pa.large_string()).fill_null(""), np.arange(len(texts) + 1)
+        if not len(words):
+            return np.zeros(0, "<u2"), np.zeros(len(texts) + 1, "i8")
+        coded = words.dictionary_encode()
+        names = coded.dictionary.to_pylist()
+        new = [w for w in names if w not in self.known]
+        if len(self.known) + len(new) > self.cache_entries:
+            self.known = {w: self.known[w] for w in names if w in self.known}
+        self._learn(new)
+        get = self.known.__getitem__
+        parts = list(map(get, names))
+        size = np.fromiter(map(len, parts), "i8", len(parts)) // 2
+        first = np.cumsum(size) - size
+        which = np.asarray(coded.indices)
+        many = size[which]
+        ids = np.frombuffer(b"".join(parts), "<u2")[_ragged(many, first[which])]
         for w in new:
             if len(w) > 64:
-                del known[w]
-        return out
+                del self.known[w]
+        return ids, np.concatenate(([0], np.cumsum(many)))[bounds]
+
+
+def _letters(stem: str) -> bool:
+    """Letters only, and still so once composed and lower-cased as tokenizers do."""
+    return unicodedata.normalize("NFC", stem).lower().isalpha()
+
+
+def _ragged(size: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Positions first[i], ..., first[i] + size[i] - 1 of all i."""
+    return np.repeat(first - (np.cumsum(size) - size), size) + np.arange(size.sum())
 
 
 class Statistics:
@@ -120,233 +165,154 @@ class Statistics:
         return self.idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / self.average))
 
 
-def counted(docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def counted(ids: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(document, term, frequency) of every different term of every document, in this order."""
-    keys = np.repeat(np.arange(len(docs), dtype="i8") << 16, [len(d) for d in docs])
-    keys |= np.concatenate(docs).astype("i8") if docs else 0
+    keys = np.repeat(np.arange(len(bounds) - 1, dtype="i8") << 16, np.diff(bounds)) | ids.astype("i8")
     keys.sort()
     new = np.flatnonzero(np.concatenate((np.ones(min(1, len(keys)), bool), keys[1:] != keys[:-1])))
     return keys[new] >> 16, keys[new] & 0xFFFF, np.diff(new, append=len(keys))
 
 
 class Index:
-    """BM25 postings over some documents, whose statistics are those of all where given."""
-
-    def __init__(self, docs: list[np.ndarray], statistics: Statistics | None = None) -> None:
-        n = len(docs)
-        length = np.array([len(d) for d in docs], "f8")
-        owner, term, tf = counted(docs)
-        self.terms = np.split(term, np.cumsum(np.bincount(owner, minlength=n))[:-1]) if n else []
-        df = np.bincount(term, minlength=1 << 16)
-        statistics = statistics or Statistics(n, length.mean() if n else 1.0, df)
-        order = np.argsort(term, kind="stable")
-        order = order[statistics.idf[term[order]] > 0]
-        self.owner, term, tf = owner[order], term[order], tf[order].astype("f8")
-        self.weight = statistics.weights(term, tf, length[self.owner])
-        self.size = np.bincount(term, minlength=len(df))
-        self.first = np.cumsum(self.size) - self.size
-        self.n = n
-
-    def scores(self, doc: int) -> np.ndarray:
-        """BM25 of every document for the terms of one of them."""
-        terms = self.terms[doc]
-        size = self.size[terms]
-        at = np.repeat(self.first[terms] - (np.cumsum(size) - size), size) + np.arange(size.sum())
-        return np.bincount(self.owner[at], self.weight[at], minlength=self.n)
-
-
-def fill(docs: list[np.ndarray], window: int, statistics: Statistics | None = None, begins: list[int] | None = None) -> list[tuple[int, int, int, int, int]]:
-    """(document, start, length, sequence, offset) of every piece of the documents from `begins` on, one seed after the other."""
-    index = Index(docs, statistics)
-    length = [len(d) for d in docs]
-    begins = begins or [0] * len(docs)
-    free = np.ones(len(docs), bool)
-    out, sequence, offset, seed = [], 0, 0, 0
-    rest: tuple[int, int] | None = None  # document and start of what a cut has left over
-
-    def place(doc: int, start: int) -> None:
-        nonlocal sequence, offset, rest
-        n = min(length[doc] - start, window - offset)
-        out.append((doc, start, n, sequence, offset))
-        rest = (doc, start + n) if start + n < length[doc] else None
-        offset += n
-        if offset == window:
-            sequence, offset = sequence + 1, 0
-
-    while True:
-        if rest is None:
-            while seed < len(docs) and not free[seed]:
-                seed += 1
-            if seed == len(docs):
-                return out
-            free[seed] = False
-            rest = (seed, begins[seed])
-        opener = rest[0]
-        while rest is not None:
-            place(*rest)
-        if offset == 0:
-            continue
-        left = np.flatnonzero(free)
-        if not left.size:
-            return out
-        score = index.scores(opener)[left]
-        room, k = window - offset, 32
-        while True:  # the best k, more if they do not fill the room
-            if k >= len(left):
-                best = np.lexsort((left, -score))
-            else:
-                floor = np.partition(score, len(score) - k)[len(score) - k]
-                among = np.flatnonzero(score >= floor)
-                best = among[np.lexsort((left[among], -score[among]))]
-            if k >= len(left) or sum(length[i] - begins[i] for i in left[best]) >= room:
-                break
-            k *= 4
-        for i in left[best].tolist():
-            free[i] = False
-            place(i, begins[i])
-            if rest is not None or offset == 0:
-                break
-
-
-class Pool:
-    """What is left of every document: `start` up to `length`, by position; a key is (partition << 32) + place in it."""
-
-    def __init__(self, keys: np.ndarray, length: np.ndarray) -> None:
-        order = np.argsort(keys)
-        self.keys, self.length = keys[order], length[order]
-        self.start = np.zeros(len(keys), "i4")
-
-    def take(self, at: np.ndarray, lists: np.ndarray, window: int, sequence: int) -> tuple[list[tuple[int, int, int, int, int]], int]:
-        """(position, start, length, sequence, offset) of the windows that the seeds `at` fill from their lists, in turn."""
-        out = []
-        for seed, near in zip(at.tolist(), lists.tolist(), strict=True):
-            mine, offset, now = [], 0, sequence
-            for d in (seed, *near):
-                start, stop = int(self.start[d]), int(self.length[d])
-                if d < 0 or start == stop or (mine and d == seed):
-                    continue
-                while start < stop and (offset or not mine or d == seed):
-                    n = min(stop - start, window - offset)
-                    mine.append((d, start, n, now, offset))
-                    start, offset = start + n, offset + n
-                    if offset == window:
-                        now, offset = now + 1, 0
-                        if d != seed:
-                            break
-                if not offset:
-                    break
-            if offset:
-                continue
-            for d, start, n, _, _ in mine:
-                self.start[d] = start + n
-            out.extend(mine)
-            sequence = now
-        return out, sequence
-
-
-def _ragged(size: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Positions first[i], ..., first[i] + size[i] - 1 of all i."""
-    return np.repeat(first - (np.cumsum(size) - size), size) + np.arange(size.sum())
-
+    """BM25 postings of some documents: common terms in a matrix, others as lists. Documents are given by terms and frequencies."""
+
+    def __init__(self, terms: list[np.ndarray], tf: list[np.ndarray], length: np.ndarray, statistics: Statistics) -> None:
+        self.terms, self.statistics = terms, statistics
+        size = np.array([len(t) for t in terms])
+        owner, term = np.repeat(np.arange(len(terms)), size), np.concatenate(terms).astype("i8")
+        weight = statistics.weights(term, np.concatenate(tf).astype("f8"), length[owner].astype("f8"))
+        often = statistics.common[term] & (statistics.idf[term] > 0)
+        columns = np.unique(term[often])
+        self.column = np.full(TERMS, -1)
+        self.column[columns] = np.arange(len(columns))
+        self.matrix = np.zeros((len(columns), len(terms)), "f4")
+        self.matrix[self.column[term[often]], owner[often]] = weight[often]
+        rare = np.flatnonzero(~statistics.common[term])
+        rare = rare[np.argsort(term[rare], kind="stable")]
+        self.owner, self.weight = owner[rare], weight[rare]
+        self.many = np.bincount(term[rare], minlength=TERMS)
+        self.first = np.cumsum(self.many) - self.many
+        self.kept = np.arange(len(terms))
+
+    def keep(self, positions: np.ndarray) -> None:
+        """Score only these documents from now on."""
+        place = np.full(len(self.terms), -1)
+        place[positions] = np.arange(len(positions))
+        now = place[self.kept[self.owner]]
+        term = np.repeat(np.arange(TERMS), self.many)[now >= 0]
+        self.matrix = np.ascontiguousarray(self.matrix[:, np.isin(self.kept, positions)])
+        self.owner, self.weight = now[now >= 0], self.weight[now >= 0]
+        self.many = np.bincount(term, minlength=TERMS)
+        self.first = np.cumsum(self.many) - self.many
+        self.kept = positions
+
+    def scores(self, documents: np.ndarray) -> np.ndarray:
+        """BM25 of every kept document for the terms of each of these."""
+        n = len(self.kept)
+        size = np.array([len(self.terms[d]) for d in documents])
+        seed, term = np.repeat(np.arange(len(documents)), size), np.concatenate([self.terms[d] for d in documents]).astype("i8")
+        asked = np.zeros((len(documents), len(self.matrix)), "f4")
+        hit = self.column[term] >= 0
+        asked[seed[hit], self.column[term[hit]]] = 1
+        out = asked @ self.matrix
+        hit = self.many[term] > 0
+        at = _ragged(self.many[term[hit]], self.first[term[hit]])
+        if len(at):
+            key = np.repeat(seed[hit], self.many[term[hit]]) * n + self.owner[at]
+            out += np.bincount(key, self.weight[at], minlength=out.size).reshape(out.shape).astype("f4")
+        return out
 
-def compared(terms: np.ndarray, size: np.ndarray, owner: np.ndarray, term: np.ndarray, weight: np.ndarray, n: int, common: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    """(first seed, scores) of chunks of seeds, given by their terms and numbers of terms, against postings of n documents.
 
-    Common terms meet in a matrix product, others by their postings.
-    """
-    often = common[term]
-    columns = np.unique(term[often])
-    column = np.full(1 << 16, -1)
-    column[columns] = np.arange(len(columns))
-    matrix = np.zeros((len(columns), n), "f4")
-    matrix[column[term[often]], owner[often]] = weight[often]
-    order = np.flatnonzero(~often)
-    order = order[np.argsort(term[order], kind="stable")]
-    rare_owner, rare_weight = owner[order], weight[order]
-    many = np.bincount(term[order], minlength=1 << 16)
-    first = np.cumsum(many) - many
-    cuts = np.concatenate(([0], np.cumsum(size)))
-    for low in range(0, len(size), CHUNK):
-        high = min(low + CHUNK, len(size))
-        seed, t = np.repeat(np.arange(high - low), size[low:high]), terms[cuts[low] : cuts[high]]
-        asked = np.zeros((high - low, len(columns)), "f4")
-        hit = column[t] >= 0
-        asked[seed[hit], column[t[hit]]] = 1
-        scores = asked @ matrix
-        hit = many[t] > 0
-        if hit.any():
-            at = _ragged(many[t[hit]], first[t[hit]])
-            scores += np.bincount(np.repeat(seed[hit], many[t[hit]]) * n + rare_owner[at], rare_weight[at], minlength=scores.size).reshape(scores.shape).astype("f4")
-        yield low, scores
-
-
-def best_of(scores: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """The k best of each row, in no order."""
-    if scores.shape[1] <= k:
-        return scores, ids
-    at = np.argpartition(scores, scores.shape[1] - k, axis=1)[:, -k:]
-    return np.take_along_axis(scores, at, 1), np.take_along_axis(ids, at, 1)
-
-
-def neighbours(vectors: DataFrame, pool: Pool, statistics: Statistics, seeds: np.ndarray, k: int) -> np.ndarray:
-    """Positions of the k best unused documents of the whole table for each seed, best first; -1 where there are fewer."""
-    spark = vectors.sparkSession
-    wanted = spark.sparkContext.broadcast(np.sort(pool.keys[seeds]))
-
-    def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            keys = np.asarray(b.column(0))
-            at = np.minimum(np.searchsorted(wanted.value, keys), len(wanted.value) - 1)
-            yield b.filter(pa.array(wanted.value[at] == keys))
-
-    found = {r[0]: np.frombuffer(r[1], "<u2") for r in vectors.select("key", "terms").mapInArrow(asked, "key long, terms binary").collect()}
-    each = [found[key] for key in pool.keys[seeds].tolist()]
-    free = pool.start < pool.length
-    shared = spark.sparkContext.broadcast((np.concatenate(each), np.array([len(t) for t in each]), pool.keys[free], np.flatnonzero(free).astype("i4")))
-
-    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        terms, size, free_keys, position = shared.value
-        kept: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-        for b in batches:
-            keys = np.asarray(b.column(0))
-            place = np.minimum(np.searchsorted(free_keys, keys), len(free_keys) - 1)
-            rows = np.flatnonzero(free_keys[place] == keys)
-            for some in np.array_split(rows, math.ceil(len(rows) / COMPARED)) if len(rows) else []:
-                part = b.take(pa.array(some))
-                term, tf = (np.frombuffer(b"".join(part.column(c).to_pylist()), "<u2").astype("i8") for c in (2, 3))
-                length = np.asarray(part.column(1))
-                owner = np.repeat(np.arange(len(some)), [len(x) // 2 for x in part.column(2).to_pylist()])
-                weight = statistics.weights(term, tf, length[owner])
-                for low, scores in compared(terms, size, owner, term, weight, len(some), statistics.common):
-                    ids = np.broadcast_to(position[place[some]], scores.shape)
-                    if low in kept:
-                        scores, ids = (np.concatenate(x, axis=1) for x in zip(kept[low], (scores, ids), strict=True))
-                    kept[low] = best_of(scores, ids, k)
-        for low, (scores, ids) in kept.items():
-            yield pa.RecordBatch.from_pylist([{"low": low, "n": len(scores), "scores": scores.astype("<f4").tobytes(), "ids": ids.astype("<i4").tobytes()}], chunk_schema)
-
-    def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-        for b in batches:
-            for r in b.to_pylist():
-                new = tuple(np.frombuffer(r[c], t).reshape(r["n"], -1) for c, t in (("scores", "<f4"), ("ids", "<i4")))
-                if r["low"] in kept:
-                    new = tuple(np.concatenate(x, axis=1) for x in zip(kept[r["low"]], new, strict=True))
-                kept[r["low"]] = best_of(*new, k)
-        for low, (scores, ids) in kept.items():
-            order = np.lexsort((ids, -scores), axis=1)
-            yield pa.RecordBatch.from_pylist([{"low": low, "n": len(scores), "scores": b"", "ids": np.take_along_axis(ids, order, 1).tobytes()}], chunk_schema)
-
-    chunk_schema = pa.schema([("low", pa.int32()), ("n", pa.int32()), ("scores", pa.binary()), ("ids", pa.binary())])
-    kind = "low int, n int, scores binary, ids binary"
-    parts = vectors.coalesce(spark.sparkContext.defaultParallelism).mapInArrow(listed, kind).repartition("low").mapInArrow(merged, kind)
-    out = np.full((len(seeds), k), -1, "i4")
-    for r in parts.collect():
-        ids = np.frombuffer(r["ids"], "<i4").reshape(r["n"], -1)
-        out[r["low"] : r["low"] + r["n"], : ids.shape[1]] = ids
-    wanted.unpersist()
-    shared.unpersist()
-    return out
+def best_first(score: np.ndarray, k: int) -> np.ndarray:
+    """Positions of the k best scores, best first, ties by position; scores below 0 are out."""
+    if k < len(score):
+        among = np.flatnonzero(score >= max(0.0, np.partition(score, len(score) - k)[len(score) - k]))
+    else:
+        among = np.flatnonzero(score >= 0)
+    return among[np.lexsort((among, -score[among]))][:k]
+
+
+class Shard:
+    """Documents (id, ids, terms, frequencies) of one index shard, of each of which what follows `start` is unused."""
+
+    def __init__(self, documents: list[tuple], start: list[int], window: int, statistics: Statistics) -> None:
+        self.documents, self.window = documents, window
+        self.start = np.array(start, "i8")
+        self.length = np.array([len(d[1]) for d in documents], "i8")
+        self.index = Index([d[2] for d in documents], [d[3] for d in documents], self.length, statistics)
+
+    def windows(self, sequence: int, floor: int) -> Iterator[tuple[int, int, int, int, int]]:
+        """(document, start, length, sequence, offset) of every piece, as long as `floor` tokens or more are unused.
+
+        With floor 0 all are used, and only then the last window may be short.
+        """
+        left = self.length - self.start
+        offset = 0
+
+        def place(d: int) -> tuple[int, int, int, int, int]:
+            nonlocal sequence, offset
+            n = int(min(left[d], self.window - offset))
+            piece = d, int(self.start[d]), n, sequence, offset
+            left[d] -= n
+            self.start[d] += n
+            offset += n
+            if offset == self.window:
+                sequence, offset = sequence + 1, 0
+            return piece
+
+        while left.sum() >= max(floor, 1):
+            free = np.flatnonzero(left)
+            if len(free) < 0.7 * len(self.index.kept):
+                self.index.keep(free)
+            cut, whole = free[self.start[free] > 0], free[self.start[free] == 0]
+            seeds = np.concatenate((cut, whole[:: max(1, len(whole) // SEEDS)]))[:SEEDS]
+            scores = self.index.scores(seeds)
+            for seed, score in zip(seeds.tolist(), scores, strict=True):
+                if left.sum() < max(floor, 1):
+                    break
+                if not left[seed]:
+                    continue
+                while left[seed] >= self.window:
+                    yield place(seed)
+                if not left[seed] or left.sum() < floor:
+                    continue
+                yield place(seed)
+                score = np.where(left[self.index.kept] > 0, score, -1)
+                k = 32
+                while offset:
+                    near = self.index.kept[best_first(score, k)]
+                    for d in near.tolist():
+                        if left[d]:
+                            yield place(d)
+                            if not offset:
+                                break
+                    if offset and k >= len(score):  # nothing is left
+                        sequence, offset = sequence + 1, 0
+                    k *= 8
+
+
+def fill(documents: Iterator[tuple], window: int, statistics: Statistics, shard_tokens: int, sequence: int = 0) -> Iterator[tuple[tuple, int, int, int, int]]:
+    """(document, start, length, sequence, offset) of every piece of the documents, which come in the order of a range."""
+    held: list[tuple] = []
+    start: list[int] = []
+    more = True
+    while more:
+        tokens = sum(len(d[1]) for d in held) - sum(start)
+        while more and tokens < shard_tokens:
+            if (d := next(documents, None)) is None:
+                more = False
+            else:
+                held.append(d)
+                start.append(0)
+                tokens += len(d[1])
+        if not held:
+            return
+        shard = Shard(held, start, window, statistics)
+        for d, at, n, number, offset in shard.windows(sequence, max(shard_tokens // 4, window) if more else 0):
+            yield held[d], at, n, number, offset
+            sequence = number + 1
+        unused = np.flatnonzero(shard.start < shard.length).tolist()
+        held, start = [held[d] for d in unused], shard.start[unused].tolist()
 
 
 def encoded(df: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
@@ -354,97 +320,131 @@ def encoded(df: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
     rows = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, end, key = WordEncoder.of(tokenizer), np.array([end_id], "<u2"), TaskContext.get().partitionId() << 32
+        encoder, key = WordEncoder.of(tokenizer), TaskContext.get().partitionId() << 32
         for b in batches:
-            _, bounds = text_buffer(b.column(1))
-            for start, stop in slices(bounds, ENCODED_BYTES):
-                docs = [np.concatenate((x, end)) for x in encoder.encode(b.column(1).slice(start, stop - start).to_pylist())]
-                owner, term, tf = counted(docs)
-                cuts = np.cumsum(np.bincount(owner, minlength=len(docs)))[:-1]
+            _, sizes = text_buffer(b.column(1))
+            for at, stop in slices(sizes, ENCODED_BYTES):
+                n = stop - at
+                inner, bounds = encoder.encode(b.column(1).slice(at, n))
+                bounds = bounds + np.arange(n + 1)  # each document ends with the end id
+                ids = np.full(bounds[-1], end_id, "<u2")
+                ids[np.delete(np.arange(len(ids)), bounds[1:] - 1)] = inner
+                owner, term, tf = counted(ids, bounds)
+                cuts = np.searchsorted(owner, np.arange(n + 1))
                 # a frequency beyond 16 bits weighs as much as the largest within
-                terms, tfs = (np.split(x.astype("<u2"), cuts) for x in (term, np.minimum(tf, 0xFFFF)))
-                binary = [pa.array([x.tobytes() for x in side], pa.binary()) for side in (docs, terms, tfs)]
-                lengths = pa.array([len(d) for d in docs], pa.int32())
-                yield pa.RecordBatch.from_arrays([pa.array(key + np.arange(len(docs))), b.column(0).slice(start, stop - start), binary[0], lengths, *binary[1:]], names=["key", "doc_id", "ids", "length", "terms", "tf"])
-                key += len(docs)
+                columns = [_binaries(ids, bounds), pa.array(np.diff(bounds).astype("i4")), _binaries(term, cuts), _binaries(np.minimum(tf, 0xFFFF), cuts)]
+                yield pa.RecordBatch.from_arrays([pa.array(key + np.arange(n)), b.column(0).slice(at, n), *columns], names=["key", "doc_id", "ids", "length", "terms", "tf"])
+                key += n
 
     return rows.mapInArrow(encode, "key long, doc_id long, ids binary, length int, terms binary, tf binary")
 
 
-def collection(docs: DataFrame, n: int, average: float) -> Statistics:
+def _binaries(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """Each document's 16-bit values as one binary."""
+    offsets = (2 * bounds).astype("i4" if 2 * int(bounds[-1]) < 1 << 31 else "i8")
+    kind = pa.binary() if offsets.dtype == "i4" else pa.large_binary()
+    return pa.Array.from_buffers(kind, len(bounds) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(values.astype("<u2"))]).cast(pa.binary())
+
+
+def _values(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The 16-bit values of all rows of a binary column, and n + 1 bounds into them."""
+    column = column.cast(pa.large_binary())
+    _, offsets, data = column.buffers()
+    bounds = np.frombuffer(offsets, "i8")[column.offset : column.offset + len(column) + 1] // 2
+    return np.frombuffer(data, "<u2")[bounds[0] : bounds[-1]] if len(column) else np.zeros(0, "<u2"), bounds - bounds[0]
+
+
+def collection(docs: DataFrame) -> tuple[Statistics, int]:
+    """The statistics of all documents (at most 2^16 counts come to the driver), and their tokens."""
+
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        df = np.zeros(1 << 16, "i8")
+        df = np.zeros(TERMS, "i8")
         for b in batches:
-            df += np.bincount(np.frombuffer(b"".join(b.column(0).to_pylist()), "<u2"), minlength=1 << 16)
+            df += np.bincount(_values(b.column(0))[0], minlength=TERMS)
         at = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(df[at])], names=["term", "df"])
 
+    n, tokens = docs.agg(F.count("*"), F.coalesce(F.sum("length"), F.lit(0))).first()
     rows = docs.select("terms").mapInArrow(frequencies, "term long, df long").groupBy("term").agg(F.sum("df").alias("df")).toArrow()
-    df = np.zeros(1 << 16, "i8")
+    df = np.zeros(TERMS, "i8")
     df[rows["term"].to_numpy()] = rows["df"].to_numpy()
-    return Statistics(n, average, df)
-
-
-def pack(df: DataFrame, tokenizer: str, end_id: int = 2, window: int = WINDOW, shard_bytes: int = 4 << 20, seed: int = 17) -> DataFrame:
+    return Statistics(n, tokens / max(n, 1), df), tokens
+
+
+def ordered(docs: DataFrame, statistics: Statistics, pivots: int, seed: int) -> DataFrame:
+    """All columns of `docs` and the order by words: `place`, `place2`, both long."""
+    drawn = docs.orderBy(F.xxhash64(F.lit(seed), "key")).limit(4 * pivots).select("terms", "tf", "length").collect()
+    different = list({r["terms"]: r for r in drawn}.values())[:pivots]
+    columns = np.full(TERMS, -1)
+    terms = [np.frombuffer(r["terms"], "<u2") for r in different]
+    used = np.unique(np.concatenate([t[statistics.idf[t] > 0] for t in terms])) if terms else np.zeros(0, "i8")
+    columns[used] = np.arange(len(used))
+    pivot = np.zeros((len(used), len(different)), "f4")
+    for k, (r, t) in enumerate(zip(different, terms, strict=True)):
+        hit = columns[t] >= 0
+        pivot[columns[t[hit]], k] = statistics.weights(t, np.frombuffer(r["tf"], "<u2").astype("f8"), float(r["length"]))[hit]
+    hashes = [np.where(statistics.idf > 0, mix(np.arange(TERMS, dtype="u8") * np.uint64(64) + np.uint64(k + 1)) >> np.uint64(1), np.uint64((1 << 63) - 1)) for k in range(2)]
+    shared = docs.sparkSession.sparkContext.broadcast((columns, pivot, hashes))
+    bits = max(1, (pivots - 1).bit_length())
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        columns, pivot, hashes = shared.value
+        for batch in batches:
+            for at in range(0, batch.num_rows, 2048):
+                b = batch.slice(at, 2048)
+                term, bounds = _values(b.column("terms"))
+                n = b.num_rows
+                owner, column = np.repeat(np.arange(n), np.diff(bounds)), columns[term]
+                has = np.zeros((n, len(pivot)), "f4")
+                has[owner[column >= 0], column[column >= 0]] = 1
+                score = has @ pivot
+                best = np.argsort(-score, axis=1, kind="stable")[:, :PLACES]
+                order = np.zeros(n, "i8")
+                for k in range(best.shape[1]):
+                    order = (order << bits) | best[:, k]
+                # every document has a term: the end id
+                low = [np.minimum.reduceat(h[term], bounds[:-1]).astype("i8") for h in hashes]
+                free = 63 - bits * best.shape[1]
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.array((order << free) | (low[0] >> (63 - free))), pa.array(low[1])], names=[*b.schema.names, "place", "place2"])
+
+    return docs.mapInArrow(place, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in docs.schema) + ", place long, place2 long")
+
+
+def pack(
+    df: DataFrame, tokenizer: str, end_id: int = 2, window: int = WINDOW, shard_tokens: int = SHARD_TOKENS, range_tokens: int = RANGE_TOKENS, pivots: int = PIVOTS, seed: int = 17
+) -> DataFrame:
     """Pieces of every document, as PIECE_SCHEMA; `ids` holds unsigned little-endian 32-bit values.
 
-    `tokenizer`: path of the tokenizer file on every machine. `shard_bytes`: text that one task may hold; `seed` draws
-    the seeds of a round. The driver holds a document's key, length and start, 16 bytes.
+    `tokenizer`: path of the tokenizer file on every machine. `shard_tokens`: of one index shard, which a task holds;
+    `range_tokens`: of one task. `pivots`: documents drawn, by `seed`, to order all by; the driver holds these only.
     """
-    spark = df.sparkSession
     docs = written(encoded(df, tokenizer, end_id), "encoded")
-    have = docs.select("key", "length").toArrow()
-    pool = Pool(have["key"].to_numpy().astype("i8"), have["length"].to_numpy().astype("i4"))
-    statistics = collection(docs, len(pool.keys), float(pool.length.mean()) if len(pool.keys) else 1.0)
-    places = f"{shared_dir(spark)}/places-{uuid.uuid4().hex}"
-
-    def place(rows: pa.Table) -> None:
-        spark.createDataFrame(rows, PLACE_SCHEMA).write.mode("append").parquet(places)
-
-    draw, sequence, more = np.random.default_rng(seed), 0, 1
-    while True:
-        left = pool.length - pool.start
-        tokens = int(left.sum())
-        # about four bytes of text make a token
-        if tokens <= max(window, shard_bytes // 4):
-            break
-        free = np.flatnonzero(left)
-        k = min(len(free), more * max(64, math.ceil(8 * window * len(free) / tokens)))
-        n = max(1, min(LISTED // k, math.ceil(tokens / window / 2)))
-        cut, whole = free[pool.start[free] > 0], free[pool.start[free] == 0]
-        seeds = np.concatenate((cut, draw.permutation(whole)[: max(0, n - len(cut))]))[:n]
-        lists = neighbours(docs.select("key", "length", "terms", "tf"), pool, statistics, seeds, k)
-        taken, after = pool.take(seeds, lists, window, sequence)
-        # lists that end too early to fill a single window are made longer
-        more = 1 if taken else more * 4
-        if taken:
-            d, start, length, number, offset = (np.array(x, "i8") for x in zip(*taken, strict=True))
-            place(pa.table({"key": pool.keys[d], "start": start, "length": length, "sequence_id": number, "offset": offset}))
-        sequence = after
-
-    rest = spark.sparkContext.broadcast((pool.keys[pool.start < pool.length], pool.start[pool.start < pool.length]))
-
-    def unused(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield b.filter(pa.array(np.isin(np.asarray(b.column(0)), rest.value[0])))
-
-    def last(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = sorted((r for b in batches for r in b.to_pylist()), key=lambda r: (r["doc_id"] is None, r["doc_id"] or 0, r["ids"], r["key"]))
-        if rows:
-            keys = np.array([r["key"] for r in rows])
-            begins = rest.value[1][np.searchsorted(rest.value[0], keys)].tolist()
-            pieces = fill([np.frombuffer(r["ids"], "<u2") for r in rows], window, statistics, begins)
-            d, start, length, number, offset = (np.array(x, "i8") for x in zip(*pieces, strict=True))
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (keys[d], start, length, sequence + number, offset)], names=["key", "start", "length", "sequence_id", "offset"])
+    statistics, tokens = collection(docs)
+    shared = df.sparkSession.sparkContext.broadcast(statistics)
+    keys = ["place", "place2", F.xxhash64("key"), "key"]
+    ranges = max(1, math.ceil(tokens / range_tokens))
+    dealt = ordered(docs, statistics, pivots, seed).repartitionByRange(ranges, *keys).sortWithinPartitions(*keys).select("doc_id", "ids", "terms", "tf")
 
-    end = docs.select("key", "doc_id", "ids").mapInArrow(unused, "key long, doc_id long, ids binary").repartition(1).mapInArrow(last, PLACE_SCHEMA)
-    end.write.mode("append").parquet(places)
-
-    def cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def documents(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for b in batches:
-            ids = [np.frombuffer(x, "<u2").astype("<u4").tobytes() for x in b.column(3).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(3)), pa.array(ids, pa.binary()), *(b.column(i) for i in range(4, 7))], names=[f.split()[0] for f in PIECE_SCHEMA.split(", ")])
-
-    both = spark.read.schema(PLACE_SCHEMA).parquet(places).join(docs.select("key", "doc_id", "ids", F.col("length").alias("doc_tokens")), "key")
-    part = F.expr("substring(ids, cast(2 * start + 1 as int), cast(2 * length as int))")
-    return both.select("doc_id", "start", "length", part.alias("ids"), F.col("doc_tokens").cast("long").alias("doc_tokens"), "sequence_id", "offset").mapInArrow(cut_out, PIECE_SCHEMA)
+            for doc_id, *binary in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                yield doc_id, *(np.frombuffer(x, "<u2") for x in binary)
+
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: list[tuple] = []
+
+        def batch() -> pa.RecordBatch:
+            d, start, length, sequence, offset = zip(*found, strict=True)
+            ids = [x[1][a : a + n].astype("<u4").tobytes() for x, a, n in zip(d, start, length, strict=True)]
+            columns = [[x[0] for x in d], start, length, ids, [len(x[1]) for x in d], sequence, offset]
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.binary() if c is ids else pa.int64()) for c in columns], names=[f.split()[0] for f in PIECE_SCHEMA.split(", ")])
+
+        for piece in fill(documents(batches), window, shared.value, shard_tokens, TaskContext.get().partitionId() << 32):
+            found.append(piece)
+            if len(found) == 1000:
+                yield batch()
+                found.clear()
+        if found:
+            yield batch()
+
+    return dealt.mapInArrow(pieces, PIECE_SCHEMA)
