@@ -46,21 +46,21 @@ PIVOTS, PLACES = 64, 4
 SHARD_TOKENS, RANGE_TOKENS, SEEDS, ENCODED_BYTES = 6 << 20, 12 << 20, 64, 8 << 20
 PIECE_SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 #: Letters, then ASCII punctuation without an apostrophe: the tokenizer parts the two.
-_PLAIN = re.compile(r"([^\W\d_]+)([!-&(-/:-@\[-^`{-~]*)")
+_TAILED = re.compile(r"([^\W\d_]+)([!-&(-/:-@\[-^`{-~]+)")
 
 
 class WordEncoder:
     """Token ids of whole texts, by the different words of a batch; frequent ones stay in a bounded cache of the worker.
 
     Texts are split at ASCII white space where the vocabulary shows that no piece holds any and that it leaves no id;
-    else they are encoded whole.
+    else they are encoded whole. Lower-case words take a shorter way through the same model where it is seen to agree.
     """
 
     _open: dict[str, WordEncoder] = {}
 
     def __init__(self, path: str, cache_entries: int) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the parallelism
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         size = self.tokenizer.get_vocab_size()
@@ -74,11 +74,24 @@ class WordEncoder:
         #: Pieces that end a word, so that words encoded together can be told apart.
         self.ends = np.zeros(size, bool)
         self.ends[[i for piece, i in vocabulary.items() if piece.endswith("</w>")]] = True
+        self.short = Tokenizer.from_file(path)
+        self.short.normalizer = normalizers.Sequence([])
+        self.short.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        pieces = sorted(p.removesuffix("</w>") for p in vocabulary if p.isascii())
+        words = [a + b for a, b in zip(pieces, pieces[7:], strict=False) if (a + b).isalpha()] + ["été", "ñandú", "straße", "жук", "你好"]
+        words = [w for w in words if _plain(w)]
+        agrees = self._each(words) == [np.array(e.ids, "<u2").tobytes() for e in self.short.encode_batch_fast(words, add_special_tokens=False)]
+        # lower-casing first must change nothing either
+        lower = ["Ab CD,Ef. G'S", "ab cd ,ef . g's"]
+        self.lowers = agrees and len(set(self._each(lower))) == 1
+        if not agrees:
+            self.short = self.tokenizer
+        self.special = [t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.known: dict[str, bytes] = {}
         self.cache_entries = cache_entries
 
     @classmethod
-    def of(cls, path: str, cache_entries: int = 600_000) -> WordEncoder:
+    def of(cls, path: str, cache_entries: int = 400_000) -> WordEncoder:
         if path not in cls._open:
             cls._open[path] = cls(path, cache_entries)
         return cls._open[path]
@@ -87,69 +100,98 @@ class WordEncoder:
         return [np.array(e.ids, "<u2").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _together(self, words: list[str]) -> dict[str, bytes]:
-        """Ids of words of letters only: encoded in one text and parted at the pieces that end a word."""
-        groups = [words[k : k + 500] for k in range(0, len(words), 500)]
+        """Ids of lower-case words of letters only: encoded in one text and parted at the pieces that end a word."""
+        groups = [words[k : k + 50] for k in range(0, len(words), 50)]
         out: dict[str, bytes] = {}
-        for group, e in zip(groups, self.tokenizer.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False), strict=True):
+        for group, e in zip(groups, self.short.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False), strict=True):
             ids = np.array(e.ids, "<u2")
             raw, cuts = ids.tobytes(), (2 * np.flatnonzero(self.ends[ids]) + 2).tolist()
             parted = [raw[a:b] for a, b in zip([0, *cuts], cuts, strict=False)] if len(cuts) == len(group) else self._each(group)
             out.update(zip(group, parted, strict=True))
         return out
 
-    def _learn(self, words: list[str]) -> None:
-        known, stems, rest = self.known, {}, []
+    def _learnt(self, words: list[str]) -> dict[str, bytes]:
+        known, out = self.known, {}
+        plain, tailed, rest = [], {}, []
         for w in words:
-            if (m := _PLAIN.fullmatch(w)) and len(w) <= 64 and (w.isascii() or _letters(m[1])):
-                stems[w] = m.groups()
+            if len(w) > 64:
+                rest.append(w)
+            elif w.isalpha() and _plain(w):
+                plain.append(w)
+            elif (m := _TAILED.fullmatch(w)) and _plain(m[1]):
+                tailed[w] = m.groups()
             else:
                 rest.append(w)
-        new = list({s for s, _ in stems.values() if s not in known})
-        for at in range(0, len(new), 20_000):
-            known.update(self._together(new[at : at + 20_000]))
-        tails = list({t for _, t in stems.values() if t})
-        tail = dict(zip(tails, self._each(tails), strict=True)) | {"": b""}
-        known.update({w: known[s] + tail[t] for w, (s, t) in stems.items() if t})
+        plain.extend({s for s, _ in tailed.values()}.difference(known, plain))
+        for at in range(0, len(plain), 20_000):
+            out.update(self._together(plain[at : at + 20_000]))
         for at in range(0, len(rest), 20_000):
-            known.update(zip(rest[at : at + 20_000], self._each(rest[at : at + 20_000]), strict=True))
+            out.update(zip(rest[at : at + 20_000], self._each(rest[at : at + 20_000]), strict=True))
+        tails = list({t for _, t in tailed.values()})
+        tail = dict(zip(tails, self._each(tails), strict=True))
+        out.update({w: (out.get(s) or known[s]) + tail[t] for w, (s, t) in tailed.items()})
+        return out
+
+    def _lowered(self, texts: pa.Array) -> pa.Array:
+        """The texts in lower case, with a space between a letter and a full stop or comma, where this changes no id.
+
+        Not where a special token might appear, or a mark compose with a small letter that it does not with a capital.
+        """
+        lower = pc.ascii_lower(texts)
+        odd = [pc.match_substring(lower, s) for s in self.special]
+        data, bounds = text_buffer(texts)
+        if ((data[bounds[0] : bounds[-1]] & 0xFE) == 0xCC).any():
+            odd.append(pc.match_substring_regex(texts, "[\u0300-\u036f]"))
+        lower = pc.replace_substring_regex(lower, pattern="([a-z])([.,])", replacement=r"\1 \2")
+        for mask in odd:
+            if pc.any(mask).as_py():
+                lower = pc.if_else(mask, texts, lower)
+        return lower
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, and n + 1 bounds into them."""
+        # a copy that begins at its buffer's first byte: Arrow's kernels misread some slices
+        data, starts = text_buffer(texts)
+        texts = pa.LargeStringArray.from_buffers(len(texts), pa.py_buffer(starts - starts[0]), pa.py_buffer(data[starts[0] : starts[-1]].tobytes()))
         if self.splits:
-            split = pc.ascii_split_whitespace(texts.cast(pa.large_string()).fill_null(""))
+            split = pc.ascii_split_whitespace(self._lowered(texts) if self.lowers else texts)
             words, bounds = split.flatten(), np.asarray(split.offsets)
             bounds = bounds - bounds[0]
         else:
-            words, bounds = texts.cast(pa.large_string()).fill_null(""), np.arange(len(texts) + 1)
+            words, bounds = texts, np.arange(len(texts) + 1)
         if not len(words):
             return np.zeros(0, "<u2"), np.zeros(len(texts) + 1, "i8")
         coded = words.dictionary_encode()
-        names = coded.dictionary.to_pylist()
-        new = [w for w in names if w not in self.known]
-        if len(self.known) + len(new) > self.cache_entries:
-            self.known = {w: self.known[w] for w in names if w in self.known}
-        self._learn(new)
-        get = self.known.__getitem__
-        parts = list(map(get, names))
-        size = np.fromiter(map(len, parts), "i8", len(parts)) // 2
-        first = np.cumsum(size) - size
-        which = np.asarray(coded.indices)
+        names, which = coded.dictionary.to_pylist(), np.asarray(coded.indices)
+        parts = list(map(self.known.get, names))
+        new = [k for k, p in enumerate(parts) if p is None]
+        if new:
+            learnt = self._learnt([names[k] for k in new])
+            often = (np.bincount(which, minlength=len(names)) > 1).tolist()
+            for k in new:
+                parts[k] = learnt[names[k]]
+            if len(self.known) > self.cache_entries:
+                self.known = {w: self.known[w] for w in names if w in self.known}
+            self.known.update({names[k]: parts[k] for k in new if often[k] and len(names[k]) <= 64})
+        size = np.fromiter(map(len, parts), "i4", len(parts)) // 2
+        first = np.cumsum(size, dtype="i4") - size
         many = size[which]
         ids = np.frombuffer(b"".join(parts), "<u2")[_ragged(many, first[which])]
-        for w in new:
-            if len(w) > 64:
-                del self.known[w]
-        return ids, np.concatenate(([0], np.cumsum(many)))[bounds]
+        return ids, np.concatenate(([0], np.cumsum(many, dtype="i8")))[bounds]
 
 
-def _letters(stem: str) -> bool:
-    """Letters only, and still so once composed and lower-cased as tokenizers do."""
-    return unicodedata.normalize("NFC", stem).lower().isalpha()
+def _plain(word: str) -> bool:
+    """Letters in lower case, composed, as tokenizers make them first."""
+    return word.islower() and word.isalpha() and (word.isascii() or word == word.lower() == unicodedata.normalize("NFC", word))
 
 
 def _ragged(size: np.ndarray, first: np.ndarray) -> np.ndarray:
     """Positions first[i], ..., first[i] + size[i] - 1 of all i."""
-    return np.repeat(first - (np.cumsum(size) - size), size) + np.arange(size.sum())
+    total = int(size.sum())
+    kind = "i4" if total < 1 << 31 and len(first) and int(first.max()) < 1 << 31 else "i8"
+    out = np.repeat((first - (np.cumsum(size, dtype="i8") - size)).astype(kind), size)
+    out += np.arange(total, dtype=kind)
+    return out
 
 
 class Statistics:
