@@ -42,8 +42,8 @@ K1, B = 1.2, 0.75
 TERMS = 1 << 16
 #: Documents against which all are ranked, and how many of the ranking's first places make the order.
 PIVOTS, PLACES = 64, 4
-#: Tokens of one index shard and of one range; seeds of a round; bytes of text encoded at once.
-SHARD_TOKENS, RANGE_TOKENS, SEEDS, ENCODED_BYTES = 6 << 20, 12 << 20, 64, 8 << 20
+#: Tokens of one index shard and of one range; seeds of a round; bytes of text encoded and tokens counted at once.
+SHARD_TOKENS, RANGE_TOKENS, SEEDS, ENCODED_BYTES, COUNTED_TOKENS = 6 << 20, 12 << 20, 64, 16 << 20, 1 << 20
 PIECE_SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 #: Letters, then ASCII punctuation without an apostrophe: the tokenizer parts the two.
 _TAILED = re.compile(r"([^\W\d_]+)([!-&(-/:-@\[-^`{-~]+)")
@@ -87,11 +87,11 @@ class WordEncoder:
         if not agrees:
             self.short = self.tokenizer
         self.special = [t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.known: dict[str, bytes] = {}
         self.cache_entries = cache_entries
+        self._keep(np.zeros(0, bool))
 
     @classmethod
-    def of(cls, path: str, cache_entries: int = 400_000) -> WordEncoder:
+    def of(cls, path: str, cache_entries: int = 1_000_000) -> WordEncoder:
         if path not in cls._open:
             cls._open[path] = cls(path, cache_entries)
         return cls._open[path]
@@ -110,10 +110,22 @@ class WordEncoder:
             out.update(zip(group, parted, strict=True))
         return out
 
-    def _learnt(self, words: list[str]) -> dict[str, bytes]:
-        known, out = self.known, {}
+    def _keep(self, which: np.ndarray) -> None:
+        """Forget all other words. The cache: words, their ids one after the other, first and number of ids, whether asked for since."""
+        if not len(which):
+            self.words, self.ids = pa.array([], pa.large_string()), np.zeros(0, "<u2")
+            self.first, self.size, self.used = np.zeros(0, "i4"), np.zeros(0, "i4"), np.zeros(0, bool)
+            return
+        self.ids = self.ids[_ragged(self.size[which], self.first[which])]
+        self.words, self.size = self.words.filter(pa.array(which)), self.size[which]
+        self.first = np.cumsum(self.size, dtype="i4") - self.size
+        self.used = np.zeros(len(self.size), bool)
+
+    def _learn(self, words: pa.Array) -> None:
+        names = words.to_pylist()
+        out: dict[str, bytes] = {}
         plain, tailed, rest = [], {}, []
-        for w in words:
+        for w in names:
             if len(w) > 64:
                 rest.append(w)
             elif w.isalpha() and _plain(w):
@@ -122,15 +134,20 @@ class WordEncoder:
                 tailed[w] = m.groups()
             else:
                 rest.append(w)
-        plain.extend({s for s, _ in tailed.values()}.difference(known, plain))
+        plain.extend({s for s, _ in tailed.values()}.difference(plain))
         for at in range(0, len(plain), 20_000):
             out.update(self._together(plain[at : at + 20_000]))
         for at in range(0, len(rest), 20_000):
             out.update(zip(rest[at : at + 20_000], self._each(rest[at : at + 20_000]), strict=True))
         tails = list({t for _, t in tailed.values()})
         tail = dict(zip(tails, self._each(tails), strict=True))
-        out.update({w: (out.get(s) or known[s]) + tail[t] for w, (s, t) in tailed.items()})
-        return out
+        out.update({w: out[s] + tail[t] for w, (s, t) in tailed.items()})
+        parts = [out[w] for w in names]
+        size = np.fromiter(map(len, parts), "i4", len(parts)) // 2
+        self.first = np.concatenate((self.first, len(self.ids) + np.cumsum(size, dtype="i4") - size))
+        self.size, self.used = np.concatenate((self.size, size)), np.concatenate((self.used, np.zeros(len(size), bool)))
+        self.ids = np.concatenate((self.ids, np.frombuffer(b"".join(parts), "<u2")))
+        self.words = pa.concat_arrays([self.words, words])
 
     def _lowered(self, texts: pa.Array) -> pa.Array:
         """The texts in lower case, with a space between a letter and a full stop or comma, where this changes no id.
@@ -162,21 +179,19 @@ class WordEncoder:
         if not len(words):
             return np.zeros(0, "<u2"), np.zeros(len(texts) + 1, "i8")
         coded = words.dictionary_encode()
-        names, which = coded.dictionary.to_pylist(), np.asarray(coded.indices)
-        parts = list(map(self.known.get, names))
-        new = [k for k, p in enumerate(parts) if p is None]
-        if new:
-            learnt = self._learnt([names[k] for k in new])
-            often = (np.bincount(which, minlength=len(names)) > 1).tolist()
-            for k in new:
-                parts[k] = learnt[names[k]]
-            if len(self.known) > self.cache_entries:
-                self.known = {w: self.known[w] for w in names if w in self.known}
-            self.known.update({names[k]: parts[k] for k in new if often[k] and len(names[k]) <= 64})
-        size = np.fromiter(map(len, parts), "i4", len(parts)) // 2
-        first = np.cumsum(size, dtype="i4") - size
-        many = size[which]
-        ids = np.frombuffer(b"".join(parts), "<u2")[_ragged(many, first[which])]
+        at = np.array(pc.index_in(coded.dictionary, value_set=self.words).fill_null(-1))
+        new = np.flatnonzero(at < 0)
+        self.used[at[at >= 0]] = True
+        if len(new):
+            at[new] = len(self.words) + np.arange(len(new))
+            self._learn(coded.dictionary.take(pa.array(new)))
+        which = at[np.asarray(coded.indices)]
+        many = self.size[which]
+        ids = self.ids[_ragged(many, self.first[which])]
+        if len(self.words) > self.cache_entries:
+            # words asked for again, as far as they leave room for new ones; no long ones
+            keep = self.used & (pc.binary_length(self.words).to_numpy() <= 64)
+            self._keep(keep if keep.sum() <= self.cache_entries // 2 else keep & (np.cumsum(keep) <= self.cache_entries // 2))
         return ids, np.concatenate(([0], np.cumsum(many, dtype="i8")))[bounds]
 
 
@@ -366,17 +381,18 @@ def encoded(df: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
         for b in batches:
             _, sizes = text_buffer(b.column(1))
             for at, stop in slices(sizes, ENCODED_BYTES):
-                n = stop - at
-                inner, bounds = encoder.encode(b.column(1).slice(at, n))
-                bounds = bounds + np.arange(n + 1)  # each document ends with the end id
-                ids = np.full(bounds[-1], end_id, "<u2")
-                ids[np.delete(np.arange(len(ids)), bounds[1:] - 1)] = inner
-                owner, term, tf = counted(ids, bounds)
-                cuts = np.searchsorted(owner, np.arange(n + 1))
-                # a frequency beyond 16 bits weighs as much as the largest within
-                columns = [_binaries(ids, bounds), pa.array(np.diff(bounds).astype("i4")), _binaries(term, cuts), _binaries(np.minimum(tf, 0xFFFF), cuts)]
-                yield pa.RecordBatch.from_arrays([pa.array(key + np.arange(n)), b.column(0).slice(at, n), *columns], names=["key", "doc_id", "ids", "length", "terms", "tf"])
-                key += n
+                inner, ends = encoder.encode(b.column(1).slice(at, stop - at))
+                for low, high in slices(ends, COUNTED_TOKENS):
+                    n, bounds = high - low, ends[low : high + 1] - ends[low]
+                    bounds = bounds + np.arange(n + 1)  # each document ends with the end id
+                    ids = np.full(bounds[-1], end_id, "<u2")
+                    ids[np.delete(np.arange(len(ids)), bounds[1:] - 1)] = inner[ends[low] : ends[high]]
+                    owner, term, tf = counted(ids, bounds)
+                    cuts = np.searchsorted(owner, np.arange(n + 1))
+                    # a frequency beyond 16 bits weighs as much as the largest within
+                    columns = [_binaries(ids, bounds), pa.array(np.diff(bounds).astype("i4")), _binaries(term, cuts), _binaries(np.minimum(tf, 0xFFFF), cuts)]
+                    yield pa.RecordBatch.from_arrays([pa.array(key + np.arange(n)), b.column(0).slice(at + low, n), *columns], names=["key", "doc_id", "ids", "length", "terms", "tf"])
+                    key += n
 
     return rows.mapInArrow(encode, "key long, doc_id long, ids binary, length int, terms binary, tf binary")
 
