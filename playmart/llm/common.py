@@ -14,9 +14,11 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the cluster shares for cut lineages; a local one only where none is named."""
+    """The folder that the cluster shares for cut lineages. Where none is named, one machine alone may use a folder of its own."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if named is None:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         named = tempfile.mkdtemp(prefix="spark-shared-")
         spark.conf.set("spark.checkpoint.dir", named)
     return named.rstrip("/")
@@ -37,6 +39,14 @@ def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name like `name` that `df` does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def vocabulary(name: str) -> str:
     """Path of a public tokenizer's file, the same on every machine."""
     import public_tokenizers

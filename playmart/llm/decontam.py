@@ -7,12 +7,14 @@ order, so reordered passages count. A document leaks an item when its tiles cove
 item's words.
 
 Defined cases: null and empty texts leak nothing; null or empty items, and items of fewer than MIN_MATCH words,
-are leaked by nobody; items with equal texts are each reported; repeated rows are judged alike. Words are
-lower-cased runs of letters and digits. Empty tables give no leaks.
+are leaked by nobody; items with equal texts are each reported; repeated rows, and rows without an id, are judged alike by
+their text. Words are lower-cased runs of letters, marks and digits of any script, or single characters of scripts written
+without spaces. Extra columns stay as they are, whatever their names. Empty tables give no leaks.
 """
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,6 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import fresh
 from .shingles import mix, shingle_hashes, slices, text_buffer, word_hashes
 
 _U = np.uint64
@@ -80,15 +83,20 @@ def tiles(item: np.ndarray, doc: np.ndarray, least: int) -> list[tuple[int, int,
         if longest > 2 * length:
             length = longest
             continue
-        again = False
-        for n, i, d in sorted(matches, key=lambda m: (-m[0], m[1], m[2])):
-            if in_item[i : i + n].any() or in_doc[d : d + n].any():
-                again = True  # what is left of it may still be long enough
+        queue = [(-n, i, d) for n, i, d in matches]
+        heapq.heapify(queue)
+        while queue:
+            n, i, d = heapq.heappop(queue)
+            n = -n
+            free = ~(in_item[i : i + n] | in_doc[d : d + n])
+            if free.all():
+                in_item[i : i + n] = in_doc[d : d + n] = True
+                out.append((n, i, d))
                 continue
-            in_item[i : i + n] = in_doc[d : d + n] = True
-            out.append((n, i, d))
-        if again:
-            continue
+            edges = np.flatnonzero(np.diff(np.concatenate(([False], free, [False])).astype("i1")))
+            for low, high in zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True):  # what is left of it waits its turn
+                if high - low >= length:
+                    heapq.heappush(queue, (low - high, i + low, d + low))
         if length == least:
             return out
         length = max(least, length // 2)
@@ -154,15 +162,16 @@ def _small(benchmark: DataFrame) -> bool:
     return (benchmark.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0) <= MAX_BROADCAST_BYTES
 
 
-def with_leaks(df: DataFrame, benchmark: DataFrame, text_col: str = "text", keep_text: bool = True) -> DataFrame:
-    """All columns of `df` and `leaks`: the benchmark items each row's text leaks. Needs a benchmark of bounded size."""
+def with_leaks(df: DataFrame, benchmark: DataFrame, text_col: str = "text", keep_text: bool = True, into: str = "leaks") -> DataFrame:
+    """All columns of `df` and `into`: the benchmark items each row's text leaks. Needs a benchmark of bounded size."""
     if not _small(benchmark):
         raise ValueError("the benchmark is too large to broadcast; use leaks_by_join")
     rows = benchmark.where(F.col("text").isNotNull() & F.col("item_id").isNotNull()).select("item_id", F.lower("text")).orderBy("item_id").collect()
     shared = df.sparkSession.sparkContext.broadcast(([r[0] for r in rows], [r[1] for r in rows]))
-    base = df.drop("leaks") if keep_text else df.drop("leaks", text_col)
-    source = base.withColumn("_lower", F.lower(text_col)) if keep_text else df.drop("leaks").withColumn("_lower", F.lower(text_col)).drop(text_col)
-    schema = T.StructType([*base.schema.fields, T.StructField("leaks", T.ArrayType(T.StructType.fromDDL(LEAK)))])
+    rest = df.drop(into)
+    base = rest if keep_text else rest.drop(text_col)
+    source = rest.select(*(F.col(f"`{c}`") for c in base.columns), F.lower(text_col).alias(fresh(df, "lower")))
+    schema = T.StructType([*base.schema.fields, T.StructField(into, T.ArrayType(T.StructType.fromDDL(LEAK)))])
     kind = pa.list_(pa.struct([("item_id", pa.int64()), ("coverage", pa.float64()), ("tiles", pa.int32()), ("longest", pa.int32())]))
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -247,7 +256,9 @@ def leaks(df: DataFrame, benchmark: DataFrame) -> DataFrame:
 def remove_leaks(df: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of `df` that leak no benchmark item."""
     if _small(benchmark):
-        return with_leaks(df, benchmark).where(F.size("leaks") == 0).select(df.columns)
+        into = fresh(df, "leaks")
+        return with_leaks(df, benchmark, into=into).where(F.size(into) == 0).drop(into)
     items = benchmark.where(F.col("text").isNotNull() & F.col("item_id").isNotNull())
-    gone = _found_by_join(df, items).select(F.col("digest").alias("_digest")).distinct()
-    return df.withColumn("_digest", _digest()).join(gone, "_digest", "left_anti").select(df.columns)
+    name = fresh(df, "digest")
+    gone = _found_by_join(df, items).select(F.col("digest").alias(name)).distinct()
+    return df.withColumn(name, _digest()).join(gone, name, "left_anti").drop(name)

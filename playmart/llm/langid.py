@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import fresh
 from .shingles import slices, text_buffer
 
 UNDETERMINED = "und"
@@ -190,14 +191,14 @@ def fit(
     return Model(labels, np.array(got["weights"]).reshape(len(labels), -1), idf, got["temperature"])
 
 
-def predict(df: DataFrame, model: Model | None) -> DataFrame:
-    """All columns of `df`, lang_pred and score."""
-    base = df.drop("lang_pred", "score")
+def predict(df: DataFrame, model: Model | None, into: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """All columns of `df`, and the language and its score in the columns `into`."""
+    base = df.drop(*into)
     if model is None:
-        return base.withColumns({"lang_pred": F.lit(UNDETERMINED), "score": F.lit(0.0)})
+        return base.withColumns({into[0]: F.lit(UNDETERMINED), into[1]: F.lit(0.0)})
     shared = df.sparkSession.sparkContext.broadcast((model.labels, model.weights.T.copy(), model.idf, model.temperature))  # labels x BUCKETS values
-    rows = base.withColumn("_lower", F.when(F.col("text").rlike(r"\p{L}"), F.lower("text")))
-    schema = rows.drop("_lower").withColumns({"lang_pred": F.lit("").cast("string"), "score": F.lit(0.0)}).schema
+    rows = base.withColumn(fresh(base, "lower"), F.when(F.col("text").rlike(r"\p{L}"), F.lower("text")))
+    schema = base.withColumns({into[0]: F.lit("").cast("string"), into[1]: F.lit(0.0)}).schema
 
     def predicted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         labels, weights, idf, temperature = shared.value
@@ -235,6 +236,9 @@ def identify(df: DataFrame) -> DataFrame:
 
 
 def keep_identified(df: DataFrame, least_score: float = 0.4) -> DataFrame:
-    """The rows of `df` whose text is in a learned language, with a calibrated score of `least_score` or more."""
-    found = identify(df.select([c for c in df.columns if c not in ("held_out", "lang_pred", "score")]))
-    return found.where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= least_score)).select([c for c in df.columns if c in found.columns])
+    """The rows of `df`, with its columns, whose text is in a learned language with a calibrated score of `least_score` or more."""
+    model = fit(df, F.coalesce(fold() != 0, F.lit(False)))
+    language = fresh(df, "lang_pred")
+    score = fresh(df, "score")
+    found = predict(df, model, (language, score))
+    return found.where((F.col(language) != UNDETERMINED) & (F.col(score) >= least_score)).drop(language, score)

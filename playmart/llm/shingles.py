@@ -1,7 +1,12 @@
-"""Word shingles of whole Arrow batches as 64-bit hashes, without a Python loop over words."""
+"""Word shingles of whole Arrow batches as 64-bit hashes, without a Python loop over words.
+
+Words are runs of Unicode letters, marks and numbers; a character of a script that is written without spaces is a word of
+its own. A-Z count as a-z; other letters are taken as they are, so callers lower-case first.
+"""
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,11 +15,14 @@ import pyarrow as pa
 _U = np.uint64
 BASE = 0x9E3779B97F4A7C15 | 1
 BASE_INVERSE = pow(BASE, -1, 1 << 64)
-#: Bytes that belong to a word: ASCII letters and digits, and everything beyond ASCII; A-Z count as a-z.
+#: Bytes that may belong to a word: ASCII letters and digits, and bytes beyond ASCII; A-Z count as a-z.
 _WORD = np.zeros(256, "u1")
 for _c in (*range(48, 58), *range(97, 123), *range(128, 256)):
     _WORD[_c] = _c
 _WORD[65:91] = np.arange(97, 123)
+#: Ranges of scripts written without spaces: South-East Asian ones, kana, ideographs.
+UNSPACED = ((0xE00, 0xEFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3040, 0x30FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0x20000, 0x323AF))
+_kinds: list[np.ndarray] = []
 _powers = {"up": np.ones(1, _U), "down": np.ones(1, _U)}
 
 
@@ -54,10 +62,41 @@ def slices(bounds: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
         start = stop
 
 
+def code_kinds() -> np.ndarray:
+    """Of every code point: 0 between words, 1 part of a word, 2 a word of its own."""
+    if not _kinds:
+        kinds = np.zeros(0x110000, "u1")
+        kinds[:0x32400] = [unicodedata.category(chr(c))[0] in "LMN" for c in range(0x32400)]
+        for low, high in UNSPACED:
+            kinds[low : high + 1] *= 2
+        _kinds.append(kinds)
+    return _kinds[0]
+
+
+def _beyond_ascii(raw: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Clears the bytes of characters between words from `b`; first and last bytes of the words of one character."""
+    lead = np.flatnonzero(raw >= 0xC2)
+    if not lead.size:
+        return lead, lead
+    first = raw[lead].astype("i4")
+    n = 2 + (first >= 0xE0) + (first >= 0xF0)
+    code = first & (0xFF >> (n + 1))
+    for k in range(1, 4):
+        more = n > k
+        code[more] = code[more] << 6 | raw[lead[more] + k] & 0x3F
+    kind = code_kinds()[code]
+    for k in range(4):
+        b[lead[(kind == 0) & (n > k)] + k] = 0
+    own = kind == 2
+    return lead[own], lead[own] + n[own] - 1
+
+
 def word_hashes(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hashes of all words of the texts data[bounds[i]:bounds[i + 1]], their texts, and their first bytes."""
     low = int(bounds[0])
-    b = _WORD[data[low : int(bounds[-1])]]
+    raw = data[low : int(bounds[-1])]
+    b = _WORD[raw]
+    alone, till = _beyond_ascii(raw, b)
     cuts = bounds - low
     inside = b > 0
     begins = inside.copy()
@@ -69,6 +108,10 @@ def word_hashes(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.nd
     last = cuts[1:] - 1
     last = last[last >= 0]
     ends[last] = inside[last]
+    begins[alone] = ends[till] = True
+    after, before = till[till + 1 < len(b)] + 1, alone[alone > 0] - 1
+    begins[after] = inside[after]
+    ends[before] = inside[before]
     start, stop = np.flatnonzero(begins), np.flatnonzero(ends) + 1
     total = np.zeros(len(b) + 1, _U)
     np.cumsum(b.astype(_U) * _power("up", len(b)), out=total[1:])

@@ -25,6 +25,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import fresh
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: An index travels to executors by broadcast; larger rule lists go through `judge_by_join`.
 MAX_INDEX_BYTES = 256 * 1024 * 1024
@@ -156,7 +158,8 @@ def judge_urls(df: DataFrame, rules: Iterable[Rule], id_col: str = "page_id", ur
         return pd.DataFrame({"rule": pd.Series(rule, dtype=object), "verdict": verdict})
 
     parsed = df.select(F.col(id_col), url_host(F.col(url_col)).alias("host"), url_path(F.col(url_col)).alias("path"))
-    return parsed.withColumn("_j", judged("host", "path")).select(id_col, "host", "path", "_j.rule", "_j.verdict")
+    found = fresh(parsed, "judged")
+    return parsed.withColumn(found, judged("host", "path")).select(id_col, "host", "path", f"{found}.rule", f"{found}.verdict")
 
 
 def judge_by_join(df: DataFrame, rules: DataFrame, path_lengths: list[int], id_col: str = "page_id", url_col: str = "url", default: str = "allow") -> DataFrame:

@@ -1,11 +1,11 @@
 """BagMinHash near-duplicates against brute force, and its signatures against the exact similarity."""
 
 import random
-import re
 from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
+from test_language_leaks import words as word_list
 
 from playmart.llm import minhash, shingles
 
@@ -13,7 +13,7 @@ SCHEMA = "doc_id long, text string, lang string"
 
 
 def multiset(text, words=5):
-    w = re.findall(r"[a-z0-9\u0080-\U0010ffff]+", text.lower())
+    w = word_list(text)
     runs = [tuple(w[i : i + words]) for i in range(max(1, len(w) - words + 1))] if w else []
     return Counter(runs)
 
