@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_path(spark: SparkSession, what: str) -> str:
-    """A new path in spark.checkpoint.dir; where the session names none, in a local folder."""
+    """A new path in spark.checkpoint.dir; where the session names none, on one machine alone, in a folder of its own."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if named is None:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         named = tempfile.mkdtemp(prefix="spark-shared-")
         spark.conf.set("spark.checkpoint.dir", named)
     return f"{named.rstrip('/')}/{what}-{uuid.uuid4().hex}"
