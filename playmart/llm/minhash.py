@@ -13,8 +13,10 @@ far); what is still apart in a bucket is compared in blocks, by signature, witho
 be similar. Every link is confirmed on the multisets of shingles. Classes are connected components.
 
 Defined cases: a null text is a class of its own; empty texts are equal texts; texts without a word have no
-shingle and match equal texts only; rows that share a doc_id belong to one class; texts without any doc_id link
-as others do. Ties: the smallest doc_id names the class and is kept. An empty table gives an empty result.
+shingle and match equal texts only; rows are classed by their text, so rows that share a doc_id but no text need not
+share a class; texts without any doc_id link as others do. Ties: the smallest doc_id names the class and is kept (with
+several texts of that id, the one of the smallest digest). Extra columns are ignored, or kept by `deduplicate`. An empty
+table gives an empty result.
 """
 
 from __future__ import annotations
@@ -24,10 +26,10 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import fresh, written
 from .shingles import mix, shingle_hashes, slices, text_buffer
 
 _U = np.uint64
@@ -120,7 +122,7 @@ def _marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def sketch(df: DataFrame) -> DataFrame:
     """(doc_id, digest, bands) of every row with a text."""
-    rows = df.where(F.col("text").isNotNull()).select("doc_id", F.md5(F.col("text").cast("binary")).alias("digest"), F.lower("text").alias("text"))
+    rows = df.where(F.col("text").isNotNull()).select("doc_id", _digest().alias("digest"), F.lower("text").alias("text"))
     return rows.mapInArrow(_sketched, "doc_id long, digest string, bands array<long>")
 
 
@@ -199,13 +201,17 @@ def merge_components(labels: DataFrame, edges: DataFrame, what: str = "component
 
 
 def _in_blocks(rows: DataFrame) -> DataFrame:
-    """Pairs (a, b) with agreeing signatures across components, from (key, node, component, marks, blocks, block).
+    """Pairs (a, b) with agreeing signatures across components, from (key, node, component, marks, is_main, main_blocks, rest_blocks).
 
-    `marks`: a node's band keys, then its long signature.
+    `marks`: a node's band keys, then its long signature. Rows of a bucket's largest component are not compared with each
+    other: they meet the blocks of the rest, which also meet each other. Blocks of the rest come first in number.
     """
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    dealt = rows.select("key", "node", "component", "marks", "block", other.alias("_o")).select(
-        "key", "node", "component", "marks", "block", F.least("block", "_o").alias("i"), F.greatest("block", "_o").alias("j")
+    mine = F.pmod(F.xxhash64("node"), F.when(F.col("is_main"), F.col("main_blocks")).otherwise(F.col("rest_blocks"))).cast("int")
+    block = F.when(F.col("is_main"), F.col("rest_blocks") + mine).otherwise(mine)
+    # rows of the largest component meet the rest only, the rest meets all
+    others = F.explode(F.sequence(F.lit(0), F.when(F.col("is_main"), F.col("rest_blocks")).otherwise(F.col("rest_blocks") + F.col("main_blocks")) - 1))
+    dealt = rows.select("key", "node", "component", "marks", block.alias("block"), others.alias("other")).select(
+        "key", "node", "component", "marks", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")
     )
 
     def pairs(key: int, left: pd.DataFrame, right: pd.DataFrame, same: bool) -> list[tuple[int, int]]:
@@ -250,39 +256,44 @@ def _pair_frame(pairs: Iterable[tuple[int, int]]) -> pd.DataFrame:
     return pd.DataFrame(list(set(pairs)), columns=["a", "b"], dtype="int64")
 
 
-def near_duplicates(df: DataFrame) -> DataFrame:
-    """(doc_id, class_id, kept) of every row; `df` needs doc_id and text."""
+def _digest() -> Column:
+    return F.md5(F.col("text").cast("binary"))
+
+
+def _classes(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, digest) of every row with a text; (digest, id, class_id, head) of every different text.
+
+    `id`: the smallest doc_id of the text; `head`: the text stands for its class.
+    """
     sketches = written(sketch(df), "sketches")
-    groups = sketches.groupBy("digest").agg(F.min("doc_id").alias("id"))
-    groups = written(groups.select("digest", "id", F.coalesce("id", F.xxhash64("digest")).alias("node")), "texts")
-    nodes = written(
-        sketches.where(F.size("bands") > 0).join(groups, "digest").where((F.col("doc_id") == F.col("node")) | F.col("doc_id").isNull()).select("node", "bands"), "nodes"
-    )
+    groups = sketches.groupBy("digest").agg(F.min("doc_id").alias("id"), F.first("bands").alias("bands"))
+    groups = written(groups.withColumn("node", F.monotonically_increasing_id()), "texts")
+    nodes = groups.where(F.size("bands") > 0).select("node", "bands")
     keyed = nodes.select("node", F.explode("bands").alias("key"))
     heads = keyed.groupBy("key").agg(F.min(F.struct(F.xxhash64("node"), "node"))["node"].alias("b"), F.count("*").alias("n")).where("n > 1")
-    shared = written(keyed.join(heads, "key").select("key", "node", "b", "n"), "buckets")
+    shared = written(keyed.join(heads.select("key", "b"), "key"), "buckets")
     pairs = written(shared.where("node <> b").select(F.col("node").alias("a"), "b").distinct(), "pairs")
-    wanted = shared.select("node").distinct()
-    mine = groups.join(wanted, "node", "left_semi").select("digest", "node")
-    texts = df.where(F.col("text").isNotNull()).select("doc_id", F.md5(F.col("text").cast("binary")).alias("digest"), F.lower("text").alias("text"))
-    texts = texts.join(mine.hint("merge"), "digest").where((F.col("doc_id") == F.col("node")) | F.col("doc_id").isNull()).dropDuplicates(["digest"])
-    texts = written(texts.select("node", "text"), "candidates")
+    wanted = groups.select("digest", "node").join(shared.select("node").distinct(), "node", "left_semi")
+    # copies of a text meet in one row before they are shuffled
+    texts = df.where(F.col("text").isNotNull()).select(_digest().alias("digest"), "text").groupBy("digest").agg(F.first("text").alias("text"))
+    texts = written(texts.join(wanted, "digest").select("node", F.lower("text").alias("text")), "candidates")
     edges = written(verify(pairs, texts), "links")
     labels = connected_components(edges)
 
     def apart(labels: DataFrame) -> DataFrame:
-        """The bucket rows of buckets that hold more than one component."""
-        rows = shared.join(labels, "node", "left").select("key", "node", "n", F.coalesce("component", "node").alias("component"))
-        mixed = rows.groupBy("key").agg(
-            F.min("component").alias("low"), F.max("component").alias("high"), F.min(F.struct(F.xxhash64("node", "key"), "node", "component")).alias("head")
-        )
-        return rows.join(mixed.where("low <> high").select("key", "head"), "key")
-
-    again = apart(labels).where(F.col("component") != F.col("head.component")).select(F.col("node").alias("a"), F.col("head.node").alias("b")).distinct()
+        """The bucket rows of buckets that hold more than one component, with the largest, its rows and the others."""
+        rows = shared.join(labels, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
+        counts = rows.groupBy("key", "component").agg(F.count("*").alias("n"), F.min(F.struct(F.xxhash64("node", "key"), "node"))["node"].alias("head"))
+        largest = F.max(F.struct("n", "component", "head"))
+        mixed = counts.groupBy("key").agg(largest.alias("main"), F.sum("n").alias("n"), F.count("*").alias("components")).where("components > 1")
+        return rows.join(mixed.select("key", "main", (F.col("n") - F.col("main.n")).alias("others")), "key")
+
+    again = apart(labels).where(F.col("component") != F.col("main.component")).select(F.col("node").alias("a"), F.col("main.head").alias("b")).distinct()
     again = written(again.join(pairs, ["a", "b"], "left_anti"), "pairs")
     labels = merge_components(labels, written(verify(again, texts), "links"))
-    left = apart(labels).withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
-    left = written(left.select("key", "node", "component", "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block")), "apart")
+    blocks = {"main_blocks": F.ceil(F.col("main.n") / BLOCK).cast("int"), "rest_blocks": F.ceil(F.col("others") / BLOCK).cast("int")}
+    left = apart(labels).withColumns(blocks).withColumn("is_main", F.col("component") == F.col("main.component"))
+    left = written(left.select("key", "node", "component", "is_main", *blocks), "apart")
     mine = nodes.join(left.select("node").distinct(), "node", "left_semi")
     marks = texts.join(mine, "node").select("node", "text", "bands").mapInArrow(_marked, "node long, marks binary")
     rest = _in_blocks(left.join(marks, "node"))
@@ -291,22 +302,35 @@ def near_duplicates(df: DataFrame) -> DataFrame:
     if not found.isEmpty():
         labels = merge_components(labels, found)
 
-    # a text whose rows have no doc_id may be the smallest node of a class, but does not name it
     classes = groups.join(labels, "node", "left").select("digest", "id", F.coalesce("component", "node").alias("component"))
-    names = classes.groupBy("component").agg(F.coalesce(F.min("id"), F.col("component")).alias("class_id"))
-    named = classes.join(names, "component").select("digest", "class_id")
-    placed = sketches.select("doc_id", "digest").join(named, "digest").select("doc_id", "class_id")
-    alone = df.where(F.col("text").isNull()).select("doc_id", F.col("doc_id").alias("class_id"))
-    return placed.union(alone).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(True)))
+    names = classes.groupBy("component").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "digest")).alias("first"))
+    # a class without any id is named by a number below 0
+    named = classes.join(names, "component").select(
+        "digest", "id", F.coalesce("first.id", -1 - F.col("component")).alias("class_id"), (F.col("digest") == F.col("first.digest")).alias("head")
+    )
+    return sketches.select("doc_id", "digest"), written(named, "classes")
+
+
+def near_duplicates(df: DataFrame) -> DataFrame:
+    """(doc_id, class_id, kept) of every row; `df` needs doc_id and text. `kept`: the row is of the class's first text and id."""
+    rows, classes = _classes(df.select("doc_id", "text"))
+    placed = rows.join(classes, "digest").select("doc_id", "class_id", (F.col("head") & F.col("doc_id").eqNullSafe(F.col("id"))).alias("kept"))
+    return placed.union(df.where(F.col("text").isNull()).select("doc_id", F.col("doc_id").alias("class_id"), F.lit(True)))
 
 
 def deduplicate(df: DataFrame) -> DataFrame:
-    """The rows of `df` that stay: one for each class. Rows without a doc_id cannot be told apart and all stay."""
-    classes = written(near_duplicates(df.select("doc_id", "text")), "classes")
-    gone = written(classes.where(~F.col("kept")).select("doc_id").distinct(), "gone")
-    left = df.join(gone, "doc_id", "left_anti")
-    repeated = written(classes.where(F.col("kept") & F.col("doc_id").isNotNull()).groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
+    """The rows of `df` that stay: one of each class, and every row without a text."""
+    rows, classes = _classes(df.select("doc_id", "text"))
+    row, text = fresh(df, "row_id"), fresh(df, "digest")
+    judged = rows.join(classes, "digest").select(F.col("doc_id").alias(row), F.col("digest").alias(text), (F.col("head") & F.col("doc_id").eqNullSafe(F.col("id"))).alias("kept"))
+    counted = written(judged.groupBy(row, text, "kept").agg(F.count("*").alias("n")), "judged")
+
+    def of(table: DataFrame, other: DataFrame, how: str) -> DataFrame:
+        return table.join(other, (table[text] == other[text]) & table["doc_id"].eqNullSafe(other[row]), how)
+
+    left = of(df.withColumn(text, _digest()), counted.where(~F.col("kept")).select(row, text), "left_anti")
+    repeated = counted.where(F.col("kept") & (F.col("n") > 1)).select(row, text)
     if repeated.isEmpty():
-        return left.select(df.columns)
-    once = left.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return left.join(repeated, "doc_id", "left_anti").unionByName(once).select(df.columns)
+        return left.drop(text)
+    once = of(left, repeated, "left_semi").dropDuplicates([text])  # a text stands for one class
+    return of(left, repeated, "left_anti").unionByName(once).drop(text)

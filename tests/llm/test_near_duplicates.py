@@ -116,6 +116,28 @@ def test_texts_without_ids_link(spark):
         line = [random.choice(words) for _ in range(300)]
         a, b = 10 * g + 1, 10 * g + 2
         rows += [(a, cut(line, 0)), (None, cut(line, 20)), (None, cut(line, 20)), (b, cut(line, 40))]
-        want += [(a, a, True), (None, a, True), (None, a, True), (b, a, False)]
+        want += [(a, a, True), (None, a, False), (None, a, False), (b, a, False)]
     got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+
+
+def test_no_text_is_lost_where_ids_repeat(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(30)) for x in "abc")
+    rows = [(3, a), (5, a), (5, b), (None, c), (None, c), (7, c + " more"), (None, "lone"), (None, "lone"), (8, None), (8, None)]
+    df = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, Digest string")
+    got = minhash.near_duplicates(df).collect()
+    assert {(r["doc_id"], r["class_id"]) for r in got if r["doc_id"]} == {(3, 3), (5, 3), (5, 5), (7, 7), (8, 8)}
+    assert len({r["class_id"] for r in got if r["doc_id"] is None}) == 2
+    left = minhash.deduplicate(df)
+    assert left.columns == df.columns
+    assert sorted(map(str, ((r["doc_id"], r["text"]) for r in left.collect()))) == sorted(map(str, [(3, a), (5, b), (7, c + " more"), (None, "lone"), (8, None), (8, None)]))
+
+
+def test_large_components_meet_only_the_rest(spark):
+    """Buckets of one large component and a few others, over several blocks, give every link there is."""
+    random.seed(12)
+    line = [f"s{i}" for i in range(200)]
+    rows = [(k, " ".join([*line, f"end{k}"])) for k in range(400)]
+    rows += [(1000 + k, " ".join([*line[:110], *(f"u{k}x{i}" for i in range(60))])) for k in range(40)]
+    got = {r["doc_id"]: r["class_id"] for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {k: 0 if k < 1000 else k for k, _ in rows}
