@@ -187,7 +187,7 @@ DIGEST_SCHEMA = "conv_id long, n_turns long, turns_sha256 string, loss_chars lon
 
 def digests(windows: DataFrame) -> DataFrame:
     """What the windows of each conversation hold, read back from their text: new turns and targets, once each."""
-    ordered = windows.sortWithinPartitions("conv_id", "window")
+    ordered = windows.repartition("conv_id").sortWithinPartitions("conv_id", "window")
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         current = None

@@ -10,14 +10,15 @@ or by a word of class, id or role. Character references are decoded once, white
 space, blocks are joined by a line break.
 
 Defined cases: null or empty html, or html without text, gives an empty text; null urls share the empty host;
-unclosed tags and comments are read as browsers do, roughly; plain text is its own page. Ties between paths go
+unclosed tags, heads and comments are read as browsers do, roughly; plain text is its own page. A page takes time in
+proportion to its length, whatever it holds. Ties between paths go
 to the alphabetically first. Repeated rows are extracted alike; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from html import unescape
 
@@ -29,12 +30,16 @@ from pyspark.sql import functions as F
 from .common import written
 from .url_filter import url_host
 
-TOKEN = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*)>""", re.S
-)
-ATTRIBUTE = re.compile(r"""([a-zA-Z_:][-\w:.]*)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
+TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']|"[^"]*+"|'[^']*+')*+)>""")
+NAME = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)")
+#: Characters within which a tag's quotes are heeded; a longer tag ends at its first `>`.
+TAG_CHARS = 1 << 13
+ATTRIBUTE = re.compile(r"""(?<![-\w:.])([a-zA-Z_:][-\w:.]*+)\s*+=\s*+(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
+ENDS = {"<!--": "-->", "<![CDATA[": "]]>", "<!": ">", "<?": ">"}
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template iframe svg math object canvas head title textarea".split())
+RAW = frozenset("script style noscript template iframe svg object canvas head title textarea".split())
+#: What may stand in a head; any other tag, and text, ends it.
+IN_HEAD = frozenset("head base link meta script style title noscript template".split())
 OPAQUE = {t: re.compile(rf"</{t}(?=[\s/>])[^>]*>", re.I) for t in ("script", "style", "textarea", "title", "iframe")}
 OUTSIDE = frozenset("nav footer aside form button select dialog menu fieldset label".split())
 CONTAINERS = frozenset("html body div section article main td center table tbody tr".split())
@@ -49,7 +54,7 @@ MARKS = frozenset(
 )
 GOOD = frozenset("article articlebody content post entry story main text body".split())
 PRIOR = {"article": 2.0, "main": 1.8, "body": 0.5, "html": 0.3, "": 0.3}
-_WORDS = re.compile(r"[A-Za-z][a-z]*|[A-Z]+")
+_WORDS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
 _DIGITS = re.compile(r"\d+")
 
 
@@ -74,12 +79,15 @@ class Page:
         self._out = self._links = self._article = 0
         self._text: list[str] = []
         self._linked = 0
+        self._count: Counter[str] = Counter()  # open tags
         self._read(html)
 
     def _container(self) -> int:
         return self._stack[-1][1] if self._stack else 0
 
     def _say(self, text: str) -> None:
+        if self._count["head"] and self._stack[-1][0] == "head" and not text.isspace():
+            self._close("head")
         if not self._out and text:
             self._text.append(text)
             if self._links:
@@ -94,22 +102,25 @@ class Page:
 
     def _pop(self) -> None:
         tag, _, out, link = self._stack.pop()
+        self._count[tag] -= 1
         self._out -= out
         self._links -= link
         self._article -= tag in ("article", "main")
 
     def _close(self, tag: str) -> None:
-        for k in range(len(self._stack) - 1, -1, -1):
-            if self._stack[k][0] == tag:
-                while len(self._stack) > k:
-                    self._pop()
-                return
+        if self._count[tag]:
+            while self._stack[-1][0] != tag:
+                self._pop()
+            self._pop()
 
     def _open(self, tag: str, attributes: str) -> None:
-        if tag in BLOCKS:  # a paragraph, list item or cell ends where the next one begins
+        if self._count["head"] and tag not in IN_HEAD:
+            self._close("head")
+        again = tag in ("li", "dt", "dd", "option", "tr", "td", "th")
+        if tag in BLOCKS and (self._count["p"] or again and self._count[tag]):  # a paragraph, list item or cell ends where the next one begins
             for k in range(len(self._stack) - 1, -1, -1):
                 name = self._stack[k][0]
-                if name == "p" or name == tag and tag in ("li", "dt", "dd", "option", "tr", "td", "th"):
+                if name == "p" or name == tag and again:
                     while len(self._stack) > k:
                         self._pop()
                     break
@@ -140,21 +151,29 @@ class Page:
             self.nodes.append(Node(container, path, prior, above.depth + 1))
             container = len(self.nodes) - 1
         self._stack.append((tag, container, out, tag == "a"))
+        self._count[tag] += 1
 
     def _read(self, html: str) -> None:
-        at, n = 0, len(html)
-        search = TOKEN.search
+        at, n, last = 0, len(html), html.rfind(">")
         while at < n:
-            m = search(html, at)
-            if m is None:
+            start = html.find("<", at)
+            if start < 0 or start > last and html.find("<!--", start) < 0 and html.find("<![CDATA[", start) < 0:
                 self._say(html[at:])
                 break
-            if m.start() > at:
-                self._say(html[at : m.start()])
-            at = m.end()
-            end, name, attributes = (m[1], m[2], m[3]) if m[2] else (m[4], m[5], m[6])
-            if not name:
+            if start > at:
+                self._say(html[at:start])
+            mark = next((m for m in ENDS if html.startswith(m, start)), None)
+            if mark:
+                stop = html.find(ENDS[mark], start + len(mark))
+                at = stop + len(ENDS[mark]) if stop >= 0 else n if mark in ("<!--", "<![CDATA[") else start + 1
+                continue
+            m = start < last and (TAG.match(html, start, min(n, start + TAG_CHARS)) or NAME.match(html, start))
+            if not m:
+                self._say("<")
+                at = start + 1
                 continue
+            end, name = m[1], m[2]
+            attributes, at = (m[3], m.end()) if m.re is TAG else (html[m.end() : (gt := html.find(">", m.end()))], gt + 1)
             tag = name.lower()
             if tag == "br":
                 self._say(" ")
@@ -169,24 +188,22 @@ class Page:
                 stop = OPAQUE[tag].search(html, at)
                 at = stop.end() if stop else n
             elif tag not in VOID and not (attributes.endswith("/") and tag not in BLOCKS and tag != "a"):
-                if tag == "body":
-                    self._close("head")
                 self._open(tag, attributes)
         self._flush()
 
     def scores(self) -> dict[str, float]:
         """Of every container path: running text below it, less the farther up it is."""
-        each: dict[int, float] = defaultdict(float)
+        below = [0.0] * len(self.nodes)
         for node, text, linked in self.blocks:
             if 2 * linked <= len(text):
-                weight = float(len(text))
-                while node >= 0:
-                    each[node] += weight * self.nodes[node].prior
-                    weight *= 0.9
-                    node = self.nodes[node].parent
+                below[node] += len(text)
         out: dict[str, float] = defaultdict(float)
-        for node, score in each.items():
-            out[self.nodes[node].path] += score
+        for k in range(len(self.nodes) - 1, -1, -1):  # a container comes before what it holds
+            node = self.nodes[k]
+            if below[k]:
+                out[node.path] += below[k] * node.prior
+                if node.parent >= 0:
+                    below[node.parent] += 0.9 * below[k]
         return out
 
     def text(self, path: str | None) -> str:

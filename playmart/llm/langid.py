@@ -4,7 +4,8 @@ Features are hashed 1- to 3-grams of the lower-cased text, everything but letter
 read as space; weights are (1 + log tf) * idf, of length one. Document frequencies come from all rows that may
 be learned from. Weights are trained by follow-the-regularised-leader (proximal) with elastic-net penalties on
 a bounded sample of these rows (`rows_per_label`, by hash of the id), in one task; a fifth of the sample is held
-back to calibrate the temperature of the softmax. Prediction reads every whole text.
+back to calibrate the temperature of the softmax. Prediction reads every whole text. On the test tables four in five
+weights of n-grams in use are zero.
 
 Defined cases: a null text, or one without a letter, is `und` with score 0; so is every text if nothing can be
 learned. Ties go to the alphabetically first language. Repeated rows are predicted alike; an empty table gives
@@ -13,7 +14,8 @@ an empty result. Columns named like the outputs are replaced.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -133,13 +135,28 @@ def _train(sample: pd.DataFrame, labels: list[str], epochs: int, alpha: float, b
     logits = np.array([rows[i][1] @ final[rows[i][0]] for i in np.flatnonzero(held)]).reshape(-1, k)
     answers = truth[held]
 
+    # one more answer of every other label: without a wrong one, no temperature would be the least
+    wrong = 1.0 / (len(logits) + k)
+
     def loss(t: float) -> float:
         s = logits / t
         s = s - s.max(axis=1, keepdims=True)
-        return float((np.log(np.exp(s).sum(axis=1)) - s[np.arange(len(s)), answers]).mean())
+        right = s[np.arange(len(s)), answers]
+        return float((np.log(np.exp(s).sum(axis=1)) - right - wrong * (s.sum(axis=1) - k * right)).mean())
+
+    return final.T, _minimised(loss) if len(logits) and k > 1 else 1.0
 
-    grid = np.exp(np.linspace(np.log(0.05), np.log(5.0), 93))
-    return final.T, float(min(grid, key=loss)) if len(logits) else 1.0
+
+def _minimised(loss: Callable[[float], float], low: float = -14.0, high: float = 14.0) -> float:
+    """The temperature of least loss, sought on a logarithmic scale, where the loss has one minimum."""
+    ratio = (5**0.5 - 1) / 2
+    while high - low > 1e-3:
+        a, b = high - ratio * (high - low), low + ratio * (high - low)
+        if loss(math.exp(a)) < loss(math.exp(b)):
+            high = b
+        else:
+            low = a
+    return math.exp((low + high) / 2)
 
 
 def fit(
@@ -150,7 +167,7 @@ def fit(
     epochs: int = 3,
     alpha: float = 0.5,
     beta: float = 1.0,
-    l1: float = 1e-3,
+    l1: float = 0.5,
     l2: float = 1e-4,
 ) -> Model | None:
     """Learn from the rows where `learn` holds and text and label are not null.

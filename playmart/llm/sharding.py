@@ -7,7 +7,8 @@ Pass two runs a seeded Fisher-Yates shuffle over each bucket and numbers its row
 shard's earlier buckets.
 
 Defined cases: null text has size 8 and checksum 0 and stays null; a null key hashes as a value of its
-own; repeated rows take slots of their own; an empty table gives an empty result.
+own; repeated rows take slots of their own (rows equal in key and text share a bucket); an empty table gives an empty
+result; extra columns are left out.
 """
 
 from __future__ import annotations
@@ -48,7 +49,9 @@ def shuffle_into_shards(
         shard_of(key, shards + 1, seed).cast("int").alias("grown_shard"),
         F.pmod(F.xxhash64(F.lit(seed + 1), F.col(key), F.col(text)), F.lit(buckets)).cast("int").alias("bucket"),
     )
-    held = scattered.groupBy("shard", "bucket").agg(
+    # a task for each bucket: it holds about one, and the permutation depends on the data and the seed alone
+    alone = scattered.repartition(shards * buckets, "shard", "bucket")
+    held = alone.groupBy("shard", "bucket").agg(
         F.shuffle(F.sort_array(F.collect_list(F.struct(key, text, "size", "text_crc32", "grown_shard"))), F.lit(seed)).alias("rows")
     )
     counts = scattered.groupBy("shard", "bucket").agg(F.count("*").alias("n"))

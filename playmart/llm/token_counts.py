@@ -1,17 +1,18 @@
 """Token counts: batch encoding inside Arrow functions that return lengths only.
 
-Texts arrive in Arrow batches balanced by bytes (`batch_bytes`). Each text is split at safe boundaries: a
-single space between two characters that are no space. The vocabulary is checked once for pieces that
+Arrow batches are cut into parts balanced by bytes (`batch_bytes`). Each text is split at safe boundaries: a
+single space between two characters that are no space; runs of spaces stay within a segment. The vocabulary is checked once for pieces that
 would cross such a boundary, so the count of a text is the sum over its segments. Equal segments of a batch
 are encoded once; frequent ones stay in a bounded cache of the worker.
 
 Defined cases: null text counts as empty (0 bytes, 0 tokens); special strings inside texts are ordinary
-text, as the library has it by default; texts with the library's own space mark, or with runs of spaces or
-spaces at an end, are encoded whole. Repeated rows are counted each; an empty table gives an empty result.
+text, as the library has it by default; the library's own space mark counts as a space that is no boundary. A text
+without a safe boundary is encoded whole. Repeated rows are counted each; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,7 +20,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .shingles import slices, text_buffer
+
 SPACE_MARK = "▁"
+BOUNDARY = re.compile(f"(?<=[^ {SPACE_MARK}]) (?=[^ {SPACE_MARK}])")
 
 
 class SegmentCounter:
@@ -50,8 +54,9 @@ class SegmentCounter:
     def count(self, texts: list[str]) -> list[int]:
         split: list[list[str]] = []
         for t in texts:
-            parts = t.split(" ") if self.splits and SPACE_MARK not in t else [t]
-            split.append(parts if len(parts) < 2 or all(parts) else [t])
+            parts = t.split(" ") if self.splits else [t]
+            # empty parts: runs of spaces, or spaces at an end
+            split.append(BOUNDARY.split(t) if self.splits and (SPACE_MARK in t or len(parts) > 1 and not all(parts)) else parts)
         known = self.known
         wanted = set().union(*split)
         new = list(wanted.difference(known))
@@ -67,18 +72,6 @@ class SegmentCounter:
         return out
 
 
-def byte_batches(texts: list[str], sizes: np.ndarray, limit: int) -> Iterator[list[str]]:
-    """Consecutive texts, about `limit` bytes each time, one text at least."""
-    start, held = 0, 0
-    for i, n in enumerate(sizes):
-        if i > start and held + n > limit:
-            yield texts[start:i]
-            start, held = i, 0
-        held += int(n)
-    if start < len(texts):
-        yield texts[start:]
-
-
 def count_tokens(
     df: DataFrame,
     model: str,
@@ -89,18 +82,16 @@ def count_tokens(
     cache_entries: int = 400_000,
 ) -> DataFrame:
     """(id, n_bytes, n_tokens, over_limit) of every row. `model`: path of the sentencepiece model on every machine."""
-    rows = df.select(F.col(id_col), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
+    rows = df.select(F.col(id_col), F.coalesce(F.col(text_col), F.lit("")).alias(f"{id_col}_text"))
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = SegmentCounter.of(model, cache_entries)
         for b in batches:
-            sizes = np.asarray(pa.compute.binary_length(b.column(1)), dtype="i8")
-            texts = b.column(1).to_pylist()
-            n = [c for part in byte_batches(texts, sizes, batch_bytes) for c in counter.count(part)]
-            tokens = np.array(n, dtype="i8")
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(sizes), pa.array(tokens), pa.array(tokens > limit)], names=[id_col, "n_bytes", "n_tokens", "over_limit"]
-            )
+            _, bounds = text_buffer(b.column(1))
+            for start, stop in slices(bounds, batch_bytes):
+                tokens = np.array(counter.count(b.column(1).slice(start, stop - start).to_pylist()), dtype="i8")
+                columns = [b.column(0).slice(start, stop - start), pa.array(np.diff(bounds[start : stop + 1])), pa.array(tokens), pa.array(tokens > limit)]
+                yield pa.RecordBatch.from_arrays(columns, names=[id_col, "n_bytes", "n_tokens", "over_limit"])
 
     schema = f"`{id_col}` {rows.schema[id_col].dataType.simpleString()}, n_bytes long, n_tokens long, over_limit boolean"
     return rows.mapInArrow(counted, schema)

@@ -1,17 +1,20 @@
 """Exact top-k by inner product over an impact-ordered index, score at a time.
 
-Component x counts as floor(x * scale). Vectors are packed into blocks of bounded size; every block of queries
-meets every block of vectors (a stated query set against all rows, in blocks). A block's index holds, per
+Component x counts as floor(x * scale). Vectors are packed into blocks of bounded size. The queries, not the vectors,
+are sent about: groups of queries of bounded size meet every block (a stated query set against all rows, in blocks), whose
+index is built once for a group. It holds, per
 dimension and sign, the vectors' impacts (distance of the component from the block's least favourable one)
 quantised into levels; its posting segments, all postings of one level, are processed by descending level.
 After each level the scores so far and the largest impact that is left bound every candidate from both sides.
 Processing stops only when the bounds prove which vectors can still be among the k best; those are scored again
-exactly. The k best so far of earlier blocks raise the bar for the next.
+exactly. The k best of each block are merged by query.
 
 Defined cases: vectors that are null or hold null or non-finite components, and rows with a null id, take no part;
 shorter vectors count as filled up with zeros; a query excludes its own row only, so a repeated row finds its twin;
-ties go to the smaller id, then to block order. Fewer than k candidates: all of them. Empty table: empty result.
-Components beyond 2^20 in absolute value after scaling are refused, as scores are summed in doubles exactly.
+ties go to the smaller id. Fewer than k candidates: all of them. Empty table: empty result. Blocks and queries with
+components beyond 2^20 in absolute value after scaling are bounded by sums of doubles and their rounding errors, and what
+these leave is scored in Python's integers; a score beyond 64 bits is ranked as it is and shown as the largest or
+smallest 64-bit value.
 """
 
 from __future__ import annotations
@@ -21,21 +24,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import written
 
 LEVELS = 8
-BLOCK_BYTES = 1 << 20
-QUERY_BLOCK = 256
+BLOCK_BYTES = 1 << 19
+#: Queries compared at once, and bytes of queries that one task holds.
+QUERY_BLOCK, GROUP_BYTES = 256, 1 << 23
 LARGEST = 1 << 20
 
 
-def quantised(vector: str, scale: int) -> Column:
-    return F.transform(F.col(vector), lambda x: F.floor(x.cast("double") * scale).cast("int"))
-
-
 def takes_part(vector: str) -> Column:
     bad = F.exists(F.col(vector), lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     return F.col(vector).isNotNull() & ~F.coalesce(bad, F.lit(False))
@@ -54,18 +54,14 @@ class Block:
         level = (impact // self.step).astype("i1").T
         self.segments = {v: (level == v).astype("f4") for v in range(LEVELS)}
 
-    def search(self, queries: np.ndarray, own: np.ndarray, k: int, bar: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """(query, positions, exact scores) of all vectors that may be among a query's k best.
-
-        own: position of the query's own row here, else -1; bar: the score that earlier blocks ask for.
-        """
+    def search(self, queries: np.ndarray, own: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(query, positions, exact scores) of all vectors that may be among a query's k best. own: position of its own row here, else -1."""
         q = queries.astype("f8")
         weight = np.concatenate((np.maximum(q, 0), np.maximum(-q, 0)), axis=1)
         # sums of integers below 2^24 are exact in single precision
         kind = "f4" if weight.sum(axis=1).max() * (self.top + 2 * self.step) < 1 << 24 else "f8"
         weight, kind_of = weight.astype(kind), np.dtype(kind).type
         # what is the same for all vectors of the block is left out of the bounds
-        base = np.maximum(q, 0) @ self.low - np.maximum(-q, 0) @ self.high
         least = np.zeros((len(q), len(self.ids)), kind)  # of the active queries, as the next two
         seen = np.zeros_like(least)
         everything = weight.sum(axis=1)
@@ -85,15 +81,13 @@ class Block:
             if level:
                 # as long as every candidate may still pass the best one, nothing can be proved
                 top = least.max(axis=1)
-                keep = (gap.min(axis=1) > top - least.min(axis=1)) & (top >= bar[active] - base[active])
+                keep = gap.min(axis=1) > top - least.min(axis=1)
             for row in np.flatnonzero(~keep):
                 i, low = active[row], least[row]
                 if own[i] >= 0:
                     low = low.copy()
                     low[own[i]] = -np.inf
-                need = bar[i] - base[i]
-                if len(low) >= k:
-                    need = max(need, np.partition(low, len(low) - k)[len(low) - k])
+                need = np.partition(low, len(low) - k)[len(low) - k] if len(low) >= k else -np.inf
                 may = np.flatnonzero(least[row] + gap[row] >= need)
                 if level == 0 or len(may) <= 4 * k:
                     done[i] = may[may != own[i]]
@@ -109,85 +103,132 @@ class Block:
             yield i, may, (whole[i][may] if whole is not None else self.vectors[may] @ q[i]).astype("i8")
 
 
+class WideBlock:
+    """Vectors with components too large for sums of doubles to be exact."""
+
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, scale: int) -> None:
+        self.ids, self.vectors, self.scale = ids, vectors, scale
+        self.shrunk = _shrunk(vectors, scale)
+        self.whole: dict[int, list[int]] = {}
+
+    def search(self, queries: np.ndarray, scale: int, own: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, list[int]]]:
+        q = _shrunk(queries, scale)
+        about = q @ self.shrunk.T
+        error = np.abs(q) @ np.abs(self.shrunk).T * ((q.shape[1] + 4) * 2.0**-52) + 2.0**-900
+        for i in range(len(q)):
+            low = about[i] - error[i]
+            if own[i] >= 0:
+                low[own[i]] = -np.inf
+            need = np.partition(low, len(low) - k)[len(low) - k] if len(low) >= k else -np.inf
+            may = np.flatnonzero(about[i] + error[i] >= need)
+            may = may[may != own[i]]
+            mine = _integers(queries[i], scale)
+            yield i, may, [sum(a * b for a, b in zip(mine, self._integers(v), strict=True)) for v in may.tolist()]
+
+    def _integers(self, v: int) -> list[int]:
+        if v not in self.whole:
+            self.whole[v] = _integers(self.vectors[v], self.scale)
+        return self.whole[v]
+
+
+def _integers(row: np.ndarray, scale: int) -> list[int]:
+    return [math.floor(y) if math.isfinite(y := x * scale) else int(x) * scale for x in row.tolist()]
+
+
+def _shrunk(rows: np.ndarray, scale: int) -> np.ndarray:
+    """floor(x * scale), all times one power of two, so that products stay finite."""
+    power = max(0, math.frexp(np.abs(rows).max(initial=0.0))[1] - 400)
+    small = np.abs(rows) < 2.0**53
+    return np.where(small, np.ldexp(np.floor(np.where(small, rows, 0.0) * scale), -power), np.ldexp(rows, -power) * scale)
+
+
+def _shown(score: int) -> tuple[int, bytes | None]:
+    """As 64 bits, and what tells scores beyond them apart, in order."""
+    if abs(score) < 1 << 63:
+        return score, None
+    raw = abs(score).to_bytes((score.bit_length() + 7) // 8, "big")
+    raw = len(raw).to_bytes(4, "big") + raw
+    return ((1 << 63) - 1, raw) if score > 0 else (-(1 << 63), bytes(255 - x for x in raw))
+
+
 def pack_blocks(df: DataFrame, id_col: str, vector: str, scale: int, query: Column) -> DataFrame:
-    """(block, ids, vectors, dim, wanted): vectors of a block as 32-bit values, and which of them are queries."""
+    """(block, ids, vectors, dim, wide, wanted): vectors of a block, 32-bit integers or, if wide, unscaled doubles; which of them are queries."""
     rows = df.where(takes_part(vector) & F.col(id_col).isNotNull()).select(
-        F.col(id_col).cast("long").alias("id"), quantised(vector, scale).alias("v"), F.coalesce(query, F.lit(False)).alias("wanted")
+        F.col(id_col).cast("long").alias("id"), F.transform(vector, lambda x: x.cast("double")).alias("v"), F.coalesce(query, F.lit(False)).alias("wanted")
     )
-    size = rows.agg(F.sum(F.size("v") * 4 + 16), F.max(F.size("v")), F.max(F.array_max(F.transform("v", F.abs)))).first()
-    total, dim, largest = size[0] or 0, size[1] or 1, size[2] or 0
-    if largest > LARGEST:
-        raise ValueError("components are too large to be summed exactly")
+    size = rows.agg(F.sum(F.size("v") * 4 + 16), F.max(F.size("v"))).first()
+    total, dim = size[0] or 0, max(size[1] or 1, 1)
     blocks = max(1, math.ceil(total / BLOCK_BYTES))
     dealt = rows.withColumn("block", F.pmod(F.xxhash64("id", "v"), F.lit(blocks)).cast("int"))
 
     def packed(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("id", kind="stable")
-        v = np.zeros((len(pdf), dim), "<i4")
+        v = np.zeros((len(pdf), dim), "<f8")
         for r, x in enumerate(pdf["v"]):
             v[r, : len(x)] = x
-        return pd.DataFrame(
-            {"block": [pdf["block"].iat[0]], "ids": [pdf["id"].to_numpy("<i8").tobytes()], "vectors": [v.tobytes()], "dim": [dim], "wanted": [pdf["wanted"].to_numpy("u1").tobytes()]}
-        )
+        wide = bool((np.abs(v) > LARGEST / scale).any())
+        raw = v.tobytes() if wide else np.floor(v * scale).astype("<i4").tobytes()
+        return pd.DataFrame({"block": [pdf["block"].iat[0]], "ids": [pdf["id"].to_numpy("<i8").tobytes()], "vectors": [raw], "dim": [dim], "wide": [wide], "wanted": [pdf["wanted"].to_numpy("u1").tobytes()]})
 
-    return dealt.groupBy("block").applyInPandas(packed, "block int, ids binary, vectors binary, dim int, wanted binary")
+    return dealt.groupBy("block").applyInPandas(packed, "block int, ids binary, vectors binary, dim int, wide boolean, wanted binary")
 
 
 def top_k(df: DataFrame, query: Column, k: int = 20, scale: int = 64, id_col: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score) of the rows for which `query` holds, against every row but their own."""
     blocks = written(pack_blocks(df, id_col, vector, scale, query), "vector-blocks")
 
-    def questions(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for block, ids, vectors, dim, wanted in zip(*(pdf[c] for c in ("block", "ids", "vectors", "dim", "wanted")), strict=True):
-                at = np.flatnonzero(np.frombuffer(wanted, "u1"))
-                v = np.frombuffer(vectors, "<i4").reshape(-1, dim)
-                i = np.frombuffer(ids, "<i8")
-                for part in np.array_split(at, math.ceil(len(at) / QUERY_BLOCK)) if len(at) else []:
-                    yield pd.DataFrame(
-                        {"q_block": [block], "q_part": [int(part[0])], "q_ids": [i[part].tobytes()], "q_vectors": [v[part].tobytes()], "q_at": [part.astype("<i8").tobytes()]}
-                    )
+    def unpacked(row: tuple) -> np.ndarray:
+        return np.frombuffer(row.vectors, "<f8" if row.wide else "<i4").reshape(-1, row.dim)
 
-    asked = blocks.mapInPandas(questions, "q_block int, q_part int, q_ids binary, q_vectors binary, q_at binary")
-    n = blocks.agg(F.max("block")).first()[0]
-    everywhere = asked.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n if n is not None else 0))))
-    met = everywhere.join(blocks.select("block", "ids", "vectors", "dim"), "block").repartition("q_block", "q_part").sortWithinPartitions("q_block", "q_part", "block")
-
-    def answers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        current, best = None, None
+    def questions(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            out = []
             for row in pdf.itertuples(index=False):
-                if current is None or current[:2] != (row.q_block, row.q_part):
-                    if current is not None:
-                        out.append(_ranked(current, best))
-                    q_ids = np.frombuffer(row.q_ids, "<i8")
-                    current = (row.q_block, row.q_part, q_ids)
-                    best = [(np.zeros(0, "i8"), np.zeros(0, "i8"))] * len(q_ids)
-                block = Block(np.frombuffer(row.ids, "<i8"), np.frombuffer(row.vectors, "<i4").reshape(-1, row.dim))
-                q = np.frombuffer(row.q_vectors, "<i4").reshape(-1, row.dim)
-                own = np.frombuffer(row.q_at, "<i8") if row.q_block == row.block else np.full(len(q), -1)
-                bar = np.array([s[-1] if len(s) >= k else -np.inf for s, _ in best], "f8")
-                for i, may, score in block.search(q, own, k, bar):
-                    scores = np.concatenate((best[i][0], score))
-                    ids = np.concatenate((best[i][1], block.ids[may]))
-                    order = np.lexsort((ids, -scores))[:k]
-                    best[i] = scores[order], ids[order]
-            if out:
-                yield pd.concat(out)
-        if current is not None:
-            yield _ranked(current, best)
-
-    return met.mapInPandas(answers, "query_id long, rank int, vec_id long, score long")
-
-
-def _ranked(current: tuple, best: list[tuple[np.ndarray, np.ndarray]]) -> pd.DataFrame:
-    n = [len(s) for s, _ in best]
-    return pd.DataFrame(
-        {
-            "query_id": np.repeat(current[2], n),
-            "rank": np.concatenate([np.arange(1, x + 1) for x in n]).astype("i4"),
-            "vec_id": np.concatenate([i for _, i in best]),
-            "score": np.concatenate([s for s, _ in best]),
-        }
-    )
+                at = np.flatnonzero(np.frombuffer(row.wanted, "u1"))
+                v, i = unpacked(row), np.frombuffer(row.ids, "<i8")
+                for part in np.array_split(at, math.ceil(len(at) / QUERY_BLOCK)) if len(at) else []:
+                    yield pd.DataFrame({"block": [row.block], "ids": [i[part].tobytes()], "vectors": [v[part].tobytes()], "at": [part.astype("<i8").tobytes()], "dim": [row.dim], "wide": [row.wide]})
+
+    asked = blocks.mapInPandas(questions, "block int, ids binary, vectors binary, at binary, dim int, wide boolean")
+    asked = written(asked, "vector-queries")
+    n, size = blocks.agg(F.max("block")).first()[0], asked.agg(F.sum(F.octet_length("vectors"))).first()[0]
+    groups = max(1, math.ceil((size or 0) / GROUP_BYTES))
+
+    def everywhere(name: str, n: int) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias(name)
+
+    dealt = asked.withColumn("q_group", F.pmod(F.xxhash64("block", "at"), F.lit(groups)).cast("int")).withColumnRenamed("block", "q_block")
+    dealt = dealt.select("*", everywhere("block", (n if n is not None else 0) + 1))
+    copies = blocks.select("block", "ids", "vectors", "dim", "wide", everywhere("q_group", groups))
+
+    def answers(block: pd.DataFrame, parts: pd.DataFrame) -> pd.DataFrame:
+        found: list[tuple[np.ndarray, ...]] = []
+        for here in block.itertuples(index=False):
+            ids, v = np.frombuffer(here.ids, "<i8"), unpacked(here)
+            narrow = None if here.wide else Block(ids, v)
+            wide = None
+            for part in parts.itertuples(index=False):
+                q, q_ids, at = unpacked(part), np.frombuffer(part.ids, "<i8"), np.frombuffer(part.at, "<i8")
+                own = at if part.q_block == here.block else np.full(len(q), -1)
+                if here.wide or part.wide:
+                    wide = wide or WideBlock(ids, v.astype("f8"), scale if here.wide else 1)
+                    hits = wide.search(q.astype("f8"), scale if part.wide else 1, own, k)
+                else:
+                    hits = narrow.search(q, own, k)
+                for i, may, score in hits:
+                    if isinstance(score, list):
+                        order = sorted(range(len(may)), key=lambda x: (-score[x], ids[may[x]]))[:k]  # noqa: B023
+                        shown = [_shown(score[x]) for x in order]
+                        score, beyond = np.array([x for x, _ in shown], "i8"), [x for _, x in shown]
+                    else:
+                        order = np.lexsort((ids[may], -score))[:k]
+                        score, beyond = score[order], [None] * len(order)
+                    m = len(order)
+                    found.append((np.full(m, part.q_block), np.full(m, at[i]), np.full(m, q_ids[i]), ids[may[order]], score, beyond))
+        columns = list(zip(*found, strict=True)) or [()] * 6
+        out = {name: np.concatenate(c) if c else np.zeros(0, "i8") for name, c in zip(("q_block", "q_at", "query_id", "vec_id", "score"), columns, strict=False)}
+        return pd.DataFrame(out | {"beyond": pd.Series([x for c in columns[5] for x in c], dtype=object)})
+
+    schema = "q_block int, q_at long, query_id long, vec_id long, score long, beyond binary"
+    partial = copies.groupBy("block", "q_group").cogroup(dealt.groupBy("block", "q_group")).applyInPandas(answers, schema)
+    order = Window.partitionBy("q_block", "q_at").orderBy(F.desc("score"), F.desc_nulls_last("beyond"), "vec_id")
+    return partial.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -58,3 +58,30 @@ def test_odd_rows(spark):
     assert got[:5] == ["", "", "plain text", "unclosed bold", ""]
     assert got[6] == "deep" and got[7] == ("w " * 200_000).strip() and got[8] == "x\ny" and got[9] == ""
     assert texts(spark, []) == []
+
+
+def test_time_is_linear_in_the_page():
+    import time
+
+    pages = [
+        "<a " * 400_000, "<i>" * 20_000 + "</x>" * 100_000, "<div>" * 50_000 + "text" + "</div>" * 50_000, "<div>words " * 30_000, '<a ">" ' * 20_000, "<" * 300_000,
+        "<p " + "a" * 500_000 + ">x", "<i><h1>x</h1>" * 30_000, "<li><ul>" * 20_000, '<p class="' + "b " * 200_000 + '">x', "&amp;<!" * 100_000, "<!-- " * 100_000, "x<![CDATA[" * 50_000,
+    ]
+    for html in pages:
+        began = time.time()
+        page = html_text.Page(html)
+        page.text(html_text.best(page.scores()))
+        assert time.time() - began < 12, html[:30]
+
+
+def test_marks_in_capitals_open_heads_and_formulas():
+    def text(html):
+        page = html_text.Page(html)
+        return page.text(html_text.best(page.scores()))
+
+    words = "some words of the article that go on for a while, so that it is long enough. "
+    assert text(f'<body><div class="SIDEBAR">{words}</div><div class="mainContent"><p>{words}</p></div>') == words.strip()
+    assert text(f"<html><head><title>t</title><meta charset=utf8><div><p>{words}</p></div>") == words.strip()
+    assert text(f"<html><head><script>var a = '<p>';</script>{words}") == words.strip()
+    assert text(f"<p>{words}<math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds</p>") == f"{words.strip()} x=2 holds"
+    assert text("<p>a < b <!-- c --> d <? e ?> f <![CDATA[ g ]]> h <3 i") == "a < b d f h <3 i"

@@ -1,5 +1,6 @@
 """Language ID by held-out accuracy, decontamination against a plain greedy string tiling."""
 
+import math
 import random
 import re
 import unicodedata
@@ -18,6 +19,60 @@ def test_held_out_accuracy_and_calibration(spark, small):
     assert abs(sum(r["score"] for r in rows) / len(rows) - sum(right) / len(rows)) < 0.05
 
 
+def plain_ftrl(rows, labels, k, epochs, alpha, beta, l1, l2):
+    """Per-coordinate FTRL-proximal in plain loops."""
+    z, n = {}, {}
+
+    def weight(c):
+        v = z.get(c, 0.0)
+        return 0.0 if abs(v) <= l1 else -(v - (l1 if v > 0 else -l1)) / ((beta + n.get(c, 0.0) ** 0.5) / alpha + l2)
+
+    for _ in range(epochs):
+        for (at, x), y in zip(rows, labels, strict=True):
+            w = {(b, j): weight((b, j)) for b in at for j in range(k)}
+            logit = [sum(v * w[b, j] for b, v in zip(at, x, strict=True)) for j in range(k)]
+            e = [math.exp(v - max(logit)) for v in logit]
+            for b, v in zip(at, x, strict=True):
+                for j in range(k):
+                    g = v * (e[j] / sum(e) - (j == y))
+                    more = n.get((b, j), 0.0) + g * g
+                    z[b, j] = z.get((b, j), 0.0) + g - (more**0.5 - n.get((b, j), 0.0) ** 0.5) / alpha * w[b, j]
+                    n[b, j] = more
+    return {c: weight(c) for c in z}
+
+
+def test_weights_are_those_of_plain_ftrl():
+    import numpy as np
+    import pandas as pd
+
+    rng = np.random.default_rng(3)
+    rows = [np.sort(rng.choice(40, 6, replace=False)) for _ in range(50)]
+    vals = [rng.random(6) for _ in rows]
+    labels = [("a", "b", "c")[int(r[0]) % 3] for r in rows]
+    sample = pd.DataFrame({"label": labels, "buckets": rows, "vals": vals})
+    got, temperature = langid._train(sample, ["a", "b", "c"], 3, 0.5, 1.0, 0.1, 1e-4)
+    used = [i for i in range(50) if i % 5 != 4]
+    plain = [([*rows[i].tolist(), langid.BUCKETS], [*vals[i].tolist(), 1.0]) for i in used]
+    want = plain_ftrl(plain, ["abc".index(labels[i]) for i in used], 3, 3, 0.5, 1.0, 0.1, 1e-4)
+    for (bucket, j), w in want.items():
+        assert abs(got[j, bucket] - w) < 1e-9
+    assert np.count_nonzero(got) == sum(w != 0 for w in want.values())
+    assert 1e-5 < temperature < 1e5
+    for margin, right in ((3.0, 50), (3.0, 40), (0.01, 50)):
+        logits = np.where(np.arange(50)[:, None] < right, [[margin, 0.0]], [[0.0, margin]])
+        loss = lambda t, s=logits: float((np.log(np.exp(s / t).sum(axis=1)) - s[:, 0] / t * 51 / 52 - s[:, 1] / t / 52).mean())
+        t = langid._minimised(loss)
+        assert all(loss(t) <= loss(t * f) + 1e-9 for f in (0.5, 0.9, 1.1, 2.0)) and math.exp(-13) < t < math.exp(13)
+
+
+def test_most_weights_are_zero(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    model = langid.fit(docs, langid.fold() != 0)
+    used = model.weights[:, :-1][:, model.idf < model.idf.max()]
+    assert (used == 0).mean() > 0.6
+    assert 1e-4 < model.temperature < 1e3
+
+
 def test_learns_from_its_folds_only(spark, tiny):
     docs = spark.read.parquet(f"{tiny}/documents.parquet").select("doc_id", "text", "lang")
     other = docs.withColumn("lang", F.when(langid.fold() == 0, F.lit("zz")).otherwise(F.col("lang")))

@@ -1,5 +1,7 @@
 """Exact top-k against brute force."""
 
+import math
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -10,7 +12,7 @@ def brute(rows, k, scale=64):
     v = {}
     for r, (i, x) in enumerate(rows):
         if i is not None and x is not None and all(c is not None and np.isfinite(c) for c in x):
-            v[r] = i, [int(np.floor(float(c) * scale)) for c in x]
+            v[r] = i, [math.floor(float(c) * scale) if math.isfinite(float(c) * scale) else int(c) * scale for c in x]
     out = set()
     for r, (i, x) in v.items():
         if i % 20 == 0:
@@ -40,6 +42,23 @@ def test_several_blocks_ties_and_scales(spark, monkeypatch):
         assert found(df) == brute(rows, 20)
 
 
+def test_components_of_any_size(spark, monkeypatch):
+    monkeypatch.setattr(topk, "BLOCK_BYTES", 2000)
+    monkeypatch.setattr(topk, "GROUP_BYTES", 500)
+    monkeypatch.setattr(topk, "QUERY_BLOCK", 2)
+    rng = np.random.default_rng(2)
+    rows = [(int(i), rng.normal(0, 1, 4).tolist()) for i in range(120)]
+    rows += [(120 + i, (rng.normal(0, 1, 4) * 10.0 ** rng.choice([0, 4, 8])).tolist()) for i in range(60)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    shown = lambda rows: {(q, r, v, max(-(1 << 63), min((1 << 63) - 1, s))) for q, r, v, s in brute(rows, 20)}
+    assert found(df) == shown(rows)
+    # scores beyond 64 bits are ranked as they are
+    rows += [(200 + i, [1e300 * s, 1e9, float(i), -1.7e308]) for i, s in enumerate([1, -1, 1 + 1e-15, 0.5, 0, 1, 1e-300])]
+    rows += [(220 + i, [20000.0, 1e9 + i, 0.3, 1e9]) for i in range(30)]
+    got = found(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    assert got == shown(rows)
+
+
 def test_odd_rows(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 2.0]), (20, [1.0]), (40, []), (60, None), (80, [1.0, None]), (100, [nan, 1.0]), (120, [inf, 1.0]), (7, [-1.0, 0.3]), (7, [-1.0, 0.3]), (None, [1.0, 1.0])]

@@ -107,3 +107,14 @@ def test_written_shards(spark, tiny, tmp_path):
     docs = spark.read.parquet(f"{tiny}/documents.parquet")
     sharding.write_shards(docs, str(tmp_path / "out"), shards=3, bucket_bytes=50_000)
     assert spark.read.parquet(str(tmp_path / "out")).count() == docs.count()
+
+
+def test_slots_are_spread_evenly(spark):
+    """Each quarter of the ids is found in each quarter of the slots about as often, whatever the number of partitions."""
+    df = spark.range(12_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("t"), "id").alias("text"))
+    rows = sharding.shuffle_into_shards(df, shards=2, bucket_bytes=1 << 16).collect()
+    size = Counter(r["shard"] for r in rows)
+    cells = Counter((r["shard"], 4 * r["doc_id"] // 12_000, 4 * r["slot"] // size[r["shard"]]) for r in rows)
+    assert len(cells) == 32 and sum((n - 375) ** 2 / 375 for n in cells.values()) < 60  # chi-square, 18 degrees of freedom
+    other = sharding.shuffle_into_shards(df.repartition(5), shards=2, bucket_bytes=1 << 16).collect()
+    assert {(r["doc_id"], r["slot"]) for r in other} == {(r["doc_id"], r["slot"]) for r in rows}
