@@ -30,7 +30,7 @@ def detect_rollover(user_bonus: DataFrame, first_day: date | str, partner: int,
 
 def detect_burst(increment: DataFrame, as_of: datetime | str, window_minutes: int = 50, least: int = 5, time: str = "awarding_time", bonus: str = "bonus_id", prize: str = "bonus_prize") -> DataFrame:
     """Clients with `least` different bonuses or more in the last minutes, all without a prize (null counts as none)."""
-    recent = increment.where(F.col(time) >= ts(as_of) - minutes(window_minutes))
+    recent = increment.where((F.col(time) >= ts(as_of) - minutes(window_minutes)) & F.col("client_id").isNotNull())
     found = recent.groupBy("client_id").agg(
         F.count_distinct(bonus).alias("distinct_bonuses"), F.count(bonus).alias("value"), F.sum(F.coalesce(F.col(prize), F.lit(0))).alias("_prize")
     )
@@ -51,17 +51,17 @@ def detect_fresh_signup(increment: DataFrame, users: DataFrame, window_minutes:
 
 
 def detect_new_account_shared_key(usage: DataFrame, users: DataFrame, as_of: datetime | str, window_hours: int = 24) -> DataFrame:
-    """Pairs of a newly registered account and another account on the same active key.
+    """Pairs of a newly registered account and another account on the same active key that is not blank; each has a `value` of 1.
 
     Only keys that a new account holds take part, so a key that many share is paired with its new accounts only.
     """
-    active = usage.where("is_active").select("client_id", "pix_key", "pix_type", "uses")
+    active = usage.where(F.col("is_active") & (F.trim("pix_key") != "")).select("client_id", "pix_key", "pix_type", "uses")
     u = users.select(F.col("id").alias("client_id"), "registration_date", F.col("status"))
     new = active.join(u.where(F.col("registration_date").cast("timestamp_ntz") >= ts(as_of) - hours(window_hours)), "client_id")
     other = active.join(u, "client_id", "left").select(
         "pix_key", F.col("client_id").alias("previous_client_id"), F.col("uses").alias("previous_uses"), F.col("registration_date").alias("previous_registration"), F.col("status").alias("previous_status"),
     )
-    return new.join(other, "pix_key").where(F.col("previous_client_id") != F.col("client_id"))
+    return new.join(other, "pix_key").where(F.col("previous_client_id") != F.col("client_id")).withColumn("value", F.lit(1))
 
 
 def identity_match(candidates: DataFrame, alerted: DataFrame, criteria: Sequence[Sequence[str]] = IDENTITY, key: str = "client_id") -> DataFrame:

@@ -21,7 +21,7 @@ def split_valid(sales: DataFrame, as_of: datetime | str, column: str = "created_
 
 
 def reject_log(log: DataFrame, rejects: DataFrame, key: str = "tx_id") -> DataFrame:
-    """The log after the rejects: known ones are refreshed and counted, new ones count one. One row per id in `rejects`."""
+    """The log after the rejects: known ones are refreshed and counted once, new ones count one."""
     columns = [c for c in rejects.columns if c != key and c in log.columns]
     update = {c: F.col(f"new_{c}") for c in columns} | {"last_seen": F.col("new_rejected_at"), "times": F.col("old_times") + 1}
     return update_then_insert(log, rejects, [key], update, {"first_seen": F.col("new_rejected_at"), "last_seen": F.col("new_rejected_at"), "times": F.lit(1)})
@@ -32,6 +32,6 @@ def sale_stage(valid: DataFrame, as_of: datetime | str) -> DataFrame:
 
 
 def sale_upsert(sales: DataFrame, stage: DataFrame) -> DataFrame:
-    """Merge on (tx_id, created_at): known sales keep their import time."""
+    """Merge on (tx_id, created_at): known sales take all of the stage, its import time too."""
     keys = ["tx_id", "created_at"]
-    return update_then_insert(sales, stage, keys, {c: F.col(f"new_{c}") for c in stage.columns if c not in (*keys, "imported_at")})
+    return update_then_insert(sales, stage, keys, {c: F.col(f"new_{c}") for c in stage.columns if c not in keys})

@@ -43,12 +43,15 @@ def shared_key_snapshot(usage: DataFrame, users: DataFrame, run_id: int, as_of:
 
 
 def shared_key_diff(history: DataFrame, run: int, previous: int | None) -> DataFrame:
-    """Keys and clients that are new in the run or whose status changed; an unknown status changes nothing."""
-    now = history.where(F.col("run_id") == run).groupBy("pix_key", "client_id").agg(F.max("status").alias("status"))
+    """Keys and clients that are new in the run, or whose status has another name now, with the run's number of accounts.
+
+    Codes without a name, and no code, have one name in common.
+    """
+    now = history.where(F.col("run_id") == run).groupBy("pix_key", "client_id").agg(F.max("accounts").alias("accounts"), F.max("status_name").alias("status"))
     old = history.where(F.col("run_id") == (F.lit(previous) if previous is not None else F.lit(None))).groupBy("pix_key", "client_id")
-    old = old.agg(F.max("status").alias("previous_status"), F.lit(True).alias("_was"))
+    old = old.agg(F.max("status_name").alias("previous_status"), F.lit(True).alias("_was"))
     both = now.join(old, ["pix_key", "client_id"], "left").where(F.col("_was").isNull() | (F.col("status") != F.col("previous_status")))
-    return both.select("pix_key", "client_id", "status", "previous_status", F.when(F.col("_was").isNull(), "new").otherwise("status changed").alias("change"))
+    return both.select("pix_key", "client_id", "accounts", "status", "previous_status", F.when(F.col("_was").isNull(), "new").otherwise("status changed").alias("change"))
 
 
 def previous_run(history: DataFrame, run: int) -> DataFrame:

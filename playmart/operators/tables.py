@@ -49,11 +49,13 @@ def replace_by_keys(target: DataFrame, source: DataFrame, keys: Sequence[str]) -
 def update_then_insert(target: DataFrame, source: DataFrame, keys: Sequence[str], update: Mapping[str, Column], insert: Mapping[str, Column] | None = None) -> DataFrame:
     """Matched rows take the `update` expressions, unmatched source rows come in by `insert`.
 
-    Expressions see the target's columns as old_<name> and the source's as new_<name>.
+    Of several source rows of a matched key the first in order of their columns counts. Expressions see the target's columns as old_<name> and the source's as new_<name>.
     """
     t = target.select(*keys, F.lit(True).alias("_old"), *(F.col(c).alias(f"old_{c}") for c in target.columns))
-    s = source.select(*keys, F.lit(True).alias("_new"), *(F.col(c).alias(f"new_{c}") for c in source.columns))
+    nth = F.row_number().over(W.partitionBy(*keys).orderBy(*([c for c in source.columns if c not in keys] or [F.lit(0)])))
+    s = source.select(*keys, F.lit(True).alias("_new"), nth.alias("_nth"), *(F.col(c).alias(f"new_{c}") for c in source.columns))
     both, out, insert = t.join(s, list(keys), "full_outer"), [], insert or {}
+    both = both.where("_old is null or _nth is null or _nth = 1")
     for c in target.columns:
         kind = target.schema[c].dataType
         fresh = insert.get(c, F.col(f"new_{c}") if c in source.columns else F.lit(None))

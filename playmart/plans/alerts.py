@@ -19,13 +19,13 @@ _REUSE = f"""SELECT client_id, bonus_id, CAST(count(*) AS BIGINT) AS value FROM
 _ROLLOVER = """SELECT client_id, bonus_id, status, turnover_left AS value, synced_at FROM live WHERE partner_id = 180 AND status IN (6, 8) AND CAST(synced_at AS DATE) BETWEEN DATE '2000-06-01' AND DATE '2000-06-30'
       AND turnover_left > 0 AND bonus_id IS NOT NULL AND client_id IS NOT NULL"""
 _BURST = """SELECT client_id, CAST(count(DISTINCT type_id) AS BIGINT) AS distinct_bonuses, CAST(count(type_id) AS BIGINT) AS value FROM v_balance
-    WHERE created_at >= TIMESTAMP '2024-01-15 12:00:00' - INTERVAL 720 MINUTES AND type_id <> 99 GROUP BY 1 HAVING count(DISTINCT type_id) >= 2"""
+    WHERE created_at >= TIMESTAMP '2024-01-15 12:00:00' - INTERVAL 720 MINUTES AND type_id <> 99 AND client_id IS NOT NULL AND client_id % 10 <> 3 GROUP BY 1 HAVING count(DISTINCT type_id) >= 2"""
 _SIGNUP = """SELECT g.client_id, first_grant, CAST(round(epoch(first_grant - CAST(registration_date AS TIMESTAMP)) / 60, 1) AS DECIMAL(12,1)) AS value, tax_number, phone, first_name, last_name, birth_date
     FROM (SELECT client_id, min(awarding_time) AS first_grant FROM live GROUP BY 1) g JOIN v_user u ON g.client_id = u.id
     WHERE first_grant >= registration_date AND first_grant <= registration_date + INTERVAL 525600 MINUTES AND (first_deposit_date = DATE '1970-01-01' OR first_deposit_date > first_grant) AND first_withdraw_date = DATE '1970-01-01'"""
-_NEW_ACCOUNT = """SELECT n.client_id, n.pix_key, n.pix_type, n.uses, nu.registration_date, nu.status, o.client_id AS previous_client_id, o.uses AS previous_uses, ou.registration_date AS previous_registration, ou.status AS previous_status
+_NEW_ACCOUNT = """SELECT n.client_id, n.pix_key, n.pix_type, n.uses, nu.registration_date, nu.status, o.client_id AS previous_client_id, o.uses AS previous_uses, ou.registration_date AS previous_registration, ou.status AS previous_status, 1 AS value
     FROM usage n JOIN v_user nu ON n.client_id = nu.id JOIN usage o ON o.pix_key = n.pix_key AND o.client_id <> n.client_id LEFT JOIN v_user ou ON o.client_id = ou.id
-    WHERE nu.registration_date >= TIMESTAMP '1995-06-30 00:00:00' - INTERVAL 4320 HOURS"""
+    WHERE nu.registration_date >= TIMESTAMP '1995-06-30 00:00:00' - INTERVAL 4320 HOURS AND n.client_id % 11 <> 0 AND o.client_id % 11 <> 0"""
 _USAGE = """usage AS (SELECT client_id, pix_key, pix_type, CAST(count(*) AS BIGINT) AS uses FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY version DESC, synced_at DESC) AS rn FROM v_pix WHERE partner_id = 180)
     WHERE rn = 1 AND status IN (7, 8, 2) GROUP BY 1, 2, 3 HAVING pix_type <> 4 OR count(*) > 1)"""
 
@@ -39,7 +39,8 @@ def rollover(d: Data) -> DataFrame:
 
 
 def burst(d: Data) -> DataFrame:
-    rows = d.v_balance.where("type_id <> 99").withColumn("prize", F.lit(None).cast("decimal(18,2)"))
+    # some grants have no client
+    rows = d.v_balance.where("type_id <> 99").withColumn("client_id", F.when(F.col("client_id") % 10 != 3, F.col("client_id"))).withColumn("prize", F.lit(None).cast("decimal(18,2)"))
     return alerts.detect_burst(rows, "2024-01-15 12:00:00", 720, 2, time="created_at", bonus="type_id", prize="prize")
 
 
@@ -48,7 +49,9 @@ def signup(d: Data) -> DataFrame:
 
 
 def new_account(d: Data) -> DataFrame:
-    return alerts.detect_new_account_shared_key(active(usage(d)), d.v_user, "1995-06-30 00:00:00", 4320)
+    # the keys of some clients are blank
+    blank = active(usage(d)).withColumn("pix_key", F.when(F.col("client_id") % 11 == 0, F.lit(" ")).otherwise(F.col("pix_key")))
+    return alerts.detect_new_account_shared_key(blank, d.v_user, "1995-06-30 00:00:00", 4320)
 
 
 @query(f"WITH {LIVE} {_REUSE}", "v_grants")
@@ -79,14 +82,14 @@ def G5_detect_new_account_shared_key(d: Data) -> DataFrame:
     return new_account(d)
 
 
-#: Users alerted before: one in six, of which candidates are left out.
-_MATCHED = f"""cand AS ({_SIGNUP}), earlier AS (SELECT * FROM v_user WHERE id % 6 = 1 AND id NOT IN (SELECT client_id FROM cand)),
+#: Users alerted before: all but the candidates.
+_MATCHED = f"""cand AS ({_SIGNUP}), earlier AS (SELECT * FROM v_user WHERE id NOT IN (SELECT client_id FROM cand)),
     matched AS (SELECT c.*, coalesce((SELECT min(id) FROM earlier e WHERE e.tax_number = c.tax_number), (SELECT min(id) FROM earlier e WHERE e.phone = c.phone),
       (SELECT min(id) FROM earlier e WHERE e.first_name = c.first_name AND e.last_name = c.last_name AND e.birth_date = c.birth_date)) AS same_person FROM cand c)"""
 
 
 def matched(d: Data) -> DataFrame:
-    earlier = d.v_user.where("id % 6 = 1").withColumnRenamed("id", "client_id")
+    earlier = d.v_user.withColumnRenamed("id", "client_id")
     return alerts.identity_match(signup(d), earlier)
 
 

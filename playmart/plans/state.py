@@ -53,14 +53,15 @@ def history(d: Data) -> DataFrame:
     first = shared_keys.shared_key_snapshot(active(usage(d, old=True)), d.v_user, 4, NOW)
     c = F.col("client_id")
     first = first.withColumn("status", F.when(c % 5 == 0, F.lit(None)).when(c % 7 == 0, 3).otherwise(F.col("status")).cast("int"))
+    first = first.withColumn("status_name", shared_keys.code_name("status", shared_keys.STATUS_NAMES))
     return first.unionByName(shared_keys.shared_key_snapshot(active(usage(d)), d.v_user, 9, NOW))
 
 
 @query(
     f"""WITH old AS ({_snapshot_sql(4, _OLD)}), new AS ({_snapshot_sql(9, _NEW)}),
-    o AS (SELECT pix_key, client_id, max(CASE WHEN client_id % 5 = 0 THEN NULL WHEN client_id % 7 = 0 THEN 3 ELSE status END) AS previous_status FROM old GROUP BY 1, 2),
-    n AS (SELECT pix_key, client_id, max(status) AS status FROM new GROUP BY 1, 2)
-    SELECT n.pix_key, n.client_id, status, previous_status, CASE WHEN o.pix_key IS NULL THEN 'new' ELSE 'status changed' END AS change
+    o AS (SELECT pix_key, client_id, max(CASE WHEN client_id % 5 = 0 OR client_id % 7 = 0 THEN 'Unknown' ELSE status_name END) AS previous_status FROM old GROUP BY 1, 2),
+    n AS (SELECT pix_key, client_id, max(accounts) AS accounts, max(status_name) AS status FROM new GROUP BY 1, 2)
+    SELECT n.pix_key, n.client_id, accounts, status, previous_status, CASE WHEN o.pix_key IS NULL THEN 'new' ELSE 'status changed' END AS change
     FROM n LEFT JOIN o ON n.pix_key = o.pix_key AND n.client_id = o.client_id WHERE o.pix_key IS NULL OR status <> previous_status""",
     "v_pix", "v_user",
 )
@@ -135,7 +136,7 @@ _SALES = f"SELECT tx_id, {_TIME} AS created_at, max(amount) AS amount, max(statu
 
 @query(
     f"""WITH s AS ({_SALES})
-    SELECT tx_id, created_at, CASE WHEN amount > 50000 THEN amount ELSE CAST(1 AS DECIMAL(18,2)) END AS amount, CASE WHEN tx_id % 2 = 0 THEN TIMESTAMP '2001-01-01 00:00:00' ELSE TIMESTAMP '{NOW}' END AS imported_at
+    SELECT tx_id, created_at, CASE WHEN amount > 50000 THEN amount ELSE CAST(1 AS DECIMAL(18,2)) END AS amount, CASE WHEN amount > 50000 THEN TIMESTAMP '{NOW}' ELSE TIMESTAMP '2001-01-01 00:00:00' END AS imported_at
     FROM s WHERE tx_id % 2 = 0 OR amount > 50000""",
     "v_sales",
 )

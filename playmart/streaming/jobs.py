@@ -66,7 +66,7 @@ def stream_upsert(stream: DataFrame, table: SnapshotTable, keys: Sequence[str],
 def stream_burst(stream: DataFrame, time: str, bonus: str, prize: Column, minutes: int = 50, slide: int = 10, late: str = "4 hours", least: int = 5) -> DataFrame:
     """Clients with `least` different bonuses or more within a sliding window, all without a prize."""
     window = F.window(time, f"{minutes} minutes", f"{slide} minutes")
-    found = _event_time(stream.withColumn("_p", F.coalesce(prize, F.lit(0))), time, late).groupBy(window.alias("w"), "client_id")
+    found = _event_time(stream.where("client_id is not null").withColumn("_p", F.coalesce(prize, F.lit(0))), time, late).groupBy(window.alias("w"), "client_id")
     counted = found.agg(F.size(F.collect_set(bonus)).alias("distinct_bonuses"), F.count(bonus).alias("value"), F.sum("_p").alias("_prize"))
     kept = counted.where((F.col("distinct_bonuses") >= least) & (F.col("_prize") == 0))
     return kept.select("client_id", F.col("w.start").cast("timestamp_ntz").alias("window_start"), "distinct_bonuses", "value")

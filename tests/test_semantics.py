@@ -262,11 +262,15 @@ def test_sales_split(spark):
     assert sorted((r["tx_id"], r["reason"]) for r in rejects.collect()) == [(3, "INVALID_CREATED_AT"), (4, "MISSING_CREATED_AT")]
 
 
-def test_unknown_status_changes_nothing(spark):
-    history = frame(spark, [(1, "k", 1, None), (1, "k", 2, 1), (2, "k", 1, 8), (2, "k", 2, 8), (2, "k", 3, None)], "run_id int, pix_key string, client_id int, status int")
-    got = [(r["client_id"], r["change"]) for r in shared_keys.shared_key_diff(history, 2, 1).collect()]
-    assert sorted(got) == [(2, "status changed"), (3, "new")]
-    assert shared_keys.shared_key_diff(history, 1, None).count() == 2
+def test_status_is_compared_by_name(spark):
+    rows = [(1, "k", 1, None), (1, "k", 2, 1), (1, "k", 4, None), (1, "k", 5, 2), (2, "k", 1, 8), (2, "k", 2, 8), (2, "k", 3, None), (2, "k", 4, 1), (2, "k", 5, 3), (1, "k", 6, 1), (2, "k", 6, None)]
+    history = frame(spark, rows, "run_id int, pix_key string, client_id int, status int")
+    history = history.withColumns({"status_name": shared_keys.code_name("status", shared_keys.STATUS_NAMES), "accounts": F.lit(5)})
+    got = [(r["client_id"], r["accounts"], r["previous_status"], r["status"], r["change"]) for r in shared_keys.shared_key_diff(history, 2, 1).collect()]
+    assert sorted(got, key=str) == [
+        (1, 5, "Unknown", "Disabled", "status changed"), (2, 5, "Active", "Disabled", "status changed"), (3, 5, None, "Unknown", "new"), (4, 5, "Unknown", "Active", "status changed"), (6, 5, "Active", "Unknown", "status changed"),
+    ]
+    assert shared_keys.shared_key_diff(history, 1, None).count() == 5
     assert shared_keys.previous_run(history, 1).first()["previous_run"] is None
 
 
@@ -294,3 +298,28 @@ def test_generic_report_gathers_what_can_be_shown(spark):
             report = reports.generic_report(frame(spark, some, "client_id long, message string"), "T", limit)
             assert [r["message"] for r in report.collect()] == [whole.decode()]
     assert "TakeOrderedAndProject" in report._jdf.queryExecution().toString()
+
+
+def test_blank_keys_pair_nobody(spark):
+    now = t("2024-01-01 00:00:00")
+    usage = frame(spark, [(1, " ", 1, 3, True), (2, " ", 1, 3, True), (1, "k", 1, 3, True), (3, "k", 1, 3, True), (4, "k", 1, 3, False)], "client_id int, pix_key string, pix_type int, uses long, is_active boolean")
+    users = frame(spark, [(1, now, 1), (2, now, 1), (3, t("2020-01-01 00:00:00"), 1)], "id int, registration_date timestamp_ntz, status int")
+    got = alerts.detect_new_account_shared_key(usage, users, "2024-01-01 10:00:00").collect()
+    assert [(r["client_id"], r["previous_client_id"], r["value"]) for r in got] == [(1, 3, 1)]
+
+
+def test_grants_without_a_client_are_no_burst(spark):
+    now = t("2024-01-01 00:00:00")
+    grants = frame(spark, [(c, now, b, None) for c in (None, 7) for b in range(5)], "client_id int, awarding_time timestamp_ntz, bonus_id int, bonus_prize int")
+    assert [r["client_id"] for r in alerts.detect_burst(grants, "2024-01-01 00:10:00").collect()] == [7]
+
+
+def test_repeated_stage_rows_do_not_multiply_sales(spark):
+    a, b = t("2024-01-01 00:00:00"), t("2024-02-01 00:00:00")
+    held = frame(spark, [(1, a, 5, a), (3, a, 7, a)], "tx_id int, created_at timestamp_ntz, amount int, imported_at timestamp_ntz")
+    stage = frame(spark, [(1, a, 9, b), (1, a, 8, b), (2, a, 1, b)], "tx_id int, created_at timestamp_ntz, amount int, imported_at timestamp_ntz")
+    got = sorted((r["tx_id"], r["amount"], r["imported_at"]) for r in sales.sale_upsert(held, stage).collect())
+    assert got == [(1, 8, b), (2, 1, b), (3, 7, a)]
+    log = frame(spark, [(1, a, a, 4)], "tx_id int, first_seen timestamp_ntz, last_seen timestamp_ntz, times int")
+    rejects = frame(spark, [(1, b), (1, b)], "tx_id int, rejected_at timestamp_ntz")
+    assert [(r["times"], r["last_seen"]) for r in sales.reject_log(log, rejects).collect()] == [(5, b)]
