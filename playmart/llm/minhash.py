@@ -323,13 +323,13 @@ def deduplicate(df: DataFrame) -> DataFrame:
     rows, classes = _classes(df.select("doc_id", "text"))
     row, text = fresh(df, "row_id"), fresh(df, "digest")
     judged = rows.join(classes, "digest").select(F.col("doc_id").alias(row), F.col("digest").alias(text), (F.col("head") & F.col("doc_id").eqNullSafe(F.col("id"))).alias("kept"))
-    counted = written(judged.groupBy(row, text, "kept").agg(F.count("*").alias("n")), "judged")
+    judged = written(judged, "judged")  # as it is, so that Spark may split the rows of a text that many share
 
     def of(table: DataFrame, other: DataFrame, how: str) -> DataFrame:
         return table.join(other, (table[text] == other[text]) & table["doc_id"].eqNullSafe(other[row]), how)
 
-    left = of(df.withColumn(text, _digest()), counted.where(~F.col("kept")).select(row, text), "left_anti")
-    repeated = counted.where(F.col("kept") & (F.col("n") > 1)).select(row, text)
+    left = of(df.withColumn(text, _digest()), judged.where(~F.col("kept")).select(row, text), "left_anti")
+    repeated = judged.where("kept").groupBy(row, text).count().where("count > 1").select(row, text)
     if repeated.isEmpty():
         return left.drop(text)
     once = of(left, repeated, "left_semi").dropDuplicates([text])  # a text stands for one class

@@ -431,7 +431,9 @@ def collection(docs: DataFrame) -> tuple[Statistics, int]:
 
 def ordered(docs: DataFrame, statistics: Statistics, pivots: int, seed: int) -> DataFrame:
     """All columns of `docs` and the order by words: `place`, `place2`, both long."""
-    drawn = docs.orderBy(F.xxhash64(F.lit(seed), "key")).limit(4 * pivots).select("terms", "tf", "length").collect()
+    # of about so many documents by hash, so that a task sends few to the driver
+    draw = F.pmod(F.xxhash64(F.lit(seed), "key"), F.lit(1 << 40))
+    drawn = docs.where(draw < min(1.0, 8 * pivots / max(statistics.n, 1)) * (1 << 40)).orderBy(draw, "key").limit(4 * pivots).select("terms", "tf", "length").collect()
     different = list({r["terms"]: r for r in drawn}.values())[:pivots]
     columns = np.full(TERMS, -1)
     terms = [np.frombuffer(r["terms"], "<u2") for r in different]
