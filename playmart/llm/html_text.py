@@ -162,8 +162,8 @@ class Page:
                 break
             if start > at:
                 self._say(html[at:start])
-            mark = next((m for m in ENDS if html.startswith(m, start)), None)
-            if mark:
+            if html.startswith(("<!", "<?"), start):
+                mark = next(m for m in ENDS if html.startswith(m, start))
                 stop = html.find(ENDS[mark], start + len(mark))
                 at = stop + len(ENDS[mark]) if stop >= 0 else n if mark in ("<!--", "<![CDATA[") else start + 1
                 continue
