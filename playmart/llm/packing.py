@@ -43,7 +43,7 @@ TERMS = 1 << 16
 #: Documents against which all are ranked, and how many of the ranking's first places make the order.
 PIVOTS, PLACES = 64, 4
 #: Tokens of one index shard and of one range; seeds of a round; bytes of text encoded and tokens counted at once.
-SHARD_TOKENS, RANGE_TOKENS, SEEDS, ENCODED_BYTES, COUNTED_TOKENS = 6 << 20, 12 << 20, 64, 16 << 20, 1 << 20
+SHARD_TOKENS, RANGE_TOKENS, SEEDS, ENCODED_BYTES, COUNTED_TOKENS = 6 << 20, 12 << 20, 64, 8 << 20, 1 << 19
 PIECE_SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 #: Letters, then ASCII punctuation without an apostrophe: the tokenizer parts the two.
 _TAILED = re.compile(r"([^\W\d_]+)([!-&(-/:-@\[-^`{-~]+)")
@@ -91,7 +91,7 @@ class WordEncoder:
         self._keep(np.zeros(0, bool))
 
     @classmethod
-    def of(cls, path: str, cache_entries: int = 1_000_000) -> WordEncoder:
+    def of(cls, path: str, cache_entries: int = 700_000) -> WordEncoder:
         if path not in cls._open:
             cls._open[path] = cls(path, cache_entries)
         return cls._open[path]
@@ -487,8 +487,9 @@ def pack(
 
     def documents(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for b in batches:
-            for doc_id, *binary in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                yield doc_id, *(np.frombuffer(x, "<u2") for x in binary)
+            for at in range(0, b.num_rows, 256):
+                for doc_id, *binary in zip(*(c.to_pylist() for c in b.slice(at, 256).columns), strict=True):
+                    yield doc_id, *(np.frombuffer(x, "<u2") for x in binary)
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: list[tuple] = []
