@@ -30,10 +30,10 @@ def E1_first_deposit_date(d: Data) -> DataFrame:
 
 
 @query(
-    f"WITH f AS ({FTD_SQL}) SELECT DISTINCT ftd_date FROM f WHERE user_id % 3 = 0 AND ftd_date <> DATE '1970-01-01' AND ftd_date >= DATE '{AS_OF}' - INTERVAL 90 DAYS", *_V
+    f"WITH f AS ({FTD_SQL}) SELECT DISTINCT ftd_date FROM f WHERE user_id IN (SELECT id FROM v_user WHERE status <> 1) AND ftd_date <> DATE '1970-01-01' AND ftd_date >= DATE '{AS_OF}' - INTERVAL 90 DAYS", *_V
 )
 def E2_affected_cohorts(d: Data) -> DataFrame:
-    return cohorts.affected_cohorts(ftd(d), d.v_user.where("id % 3 = 0").select(F.col("id").alias("user_id")), AS_OF)
+    return cohorts.affected_cohorts(ftd(d), d.v_user.where("status <> 1").select(F.col("id").alias("user_id")), AS_OF)
 
 
 _SIZE = "size AS (SELECT ftd_date, CAST(count(DISTINCT user_id) AS BIGINT) AS cohort_size FROM f WHERE ftd_date <> DATE '1970-01-01' GROUP BY ftd_date)"

@@ -297,9 +297,9 @@ def L1_decrypt_columns(d: Data) -> DataFrame:
     return protect.decrypt_columns(encrypted(d, "tax_number").select("id", "tax_number"), ["tax_number"], KEY, IV)
 
 
-@query(f"SELECT id, status, last_name, {_PLAIN} FROM v_user WHERE id % 9 = 2", "v_user", "v_user_daily")
+@query(f"SELECT id, status, last_name, {_PLAIN} FROM v_user WHERE status <> 1", "v_user", "v_user_daily")
 def L2_suspect_report(d: Data) -> DataFrame:
-    return protect.suspect_report(encrypted(d, "tax_number"), d.v_user.where("id % 9 = 2").select("id"), ["status", "last_name", "tax_number"], ["tax_number"], KEY, IV)
+    return protect.suspect_report(encrypted(d, "tax_number"), d.v_user.where("status <> 1").select("id"), ["status", "last_name", "tax_number"], ["tax_number"], KEY, IV)
 
 
 @query("SELECT id, status, CASE WHEN id % 3 = 1 THEN tax_number ELSE 'old' END AS tax_number_protected, CASE WHEN id % 3 = 1 THEN phone ELSE 'old' END AS phone_protected FROM v_user WHERE id % 2 = 1", "v_user", "v_user_daily")

@@ -44,10 +44,10 @@ def C3_bet_totals(d: Data) -> DataFrame:
     return marts.bet_totals(d.v_bets, d.spark.sql(_CLIENTS.replace("FROM events", "FROM {events}"), events=d.events), "2024-01-29 00:00:00")
 
 
-@query(f"WITH {_NEWEST_CLIENT}, c AS (SELECT * FROM newest WHERE client_id % 3 = 0) {_TOTALS}", "v_bets")
+@query(f"WITH {_NEWEST_CLIENT}, c AS (SELECT * FROM newest WHERE client_id IN (SELECT id FROM v_user WHERE status <> 1)) {_TOTALS}", "v_bets", "v_user")
 def C4_bet_totals_for_ids(d: Data) -> DataFrame:
     clients = d.spark.sql(_CLIENTS.replace("FROM events", "FROM {events}"), events=d.events)
-    return marts.bet_totals_for_ids(d.v_bets, clients, d.events.select(F.col("user_id").alias("client_id")).where("client_id % 3 = 0").distinct())
+    return marts.bet_totals_for_ids(d.v_bets, clients, d.v_user.where("status <> 1").select(F.col("id").alias("client_id")))
 
 
 @query(
