@@ -9,7 +9,7 @@ from playmart.functions.scratch import shared_path
 from playmart.plans.registry import query
 from playmart.sources.testdata import VIEWS, Data, _named
 from playmart.streaming import jobs
-from playmart.streaming.jobs import SnapshotTable
+from playmart.streaming.jobs import KeyedTable
 
 
 def stream(d: Data, table: str) -> DataFrame:
@@ -25,8 +25,8 @@ def view_stream(d: Data, view: str) -> DataFrame:
 
 def collected(d: Data, found: DataFrame, keys: list[str]) -> DataFrame:
     """Run an aggregate in update mode: the newest state of every key. One that falls below a bound again is not taken back."""
-    table = SnapshotTable(d.spark, shared_path(d.spark, "collected"), found.schema)
-    return jobs.run_available(found, table, lambda held, batch: jobs.upsert(held, batch, keys), "update")
+    table = KeyedTable(d.spark, shared_path(d.spark, "collected"), found.schema, keys)
+    return jobs.run_available(found, table, lambda held, batch: batch, "update")
 
 
 @query(
@@ -35,7 +35,7 @@ def collected(d: Data, found: DataFrame, keys: list[str]) -> DataFrame:
 )
 def S1_stream_upsert(d: Data) -> DataFrame:
     rows = stream(d, "lineitem").selectExpr("l_orderkey * 10 + l_linenumber AS id", "l_partkey * 1000000 + l_suppkey * 100 + CAST(l_quantity AS INT) AS version", "l_suppkey", "l_shipdate AS synced_at")
-    return jobs.stream_upsert(rows, SnapshotTable(d.spark, shared_path(d.spark, "grants"), rows.schema), ["id"])
+    return jobs.stream_upsert(rows, KeyedTable(d.spark, shared_path(d.spark, "grants"), rows.schema, ["id"]))
 
 
 @query(
@@ -61,7 +61,7 @@ def S3_stream_reuse(d: Data) -> DataFrame:
 @query("SELECT 'balance' AS report, CAST(client_id AS VARCHAR) AS key, CAST(max(balance) AS DECIMAL(18,2)) AS ref_value, TIMESTAMP '2024-01-31 00:00:00' AS last_fired FROM v_balance WHERE type_id = 2 GROUP BY client_id", "v_balance")
 def S4_stream_alert_gate(d: Data) -> DataFrame:
     rows = view_stream(d, "v_balance").where("type_id = 2").select("client_id", F.col("balance").alias("value"))
-    log = SnapshotTable(d.spark, shared_path(d.spark, "alert-log"), "report string, key string, ref_value decimal(18,2), last_fired timestamp_ntz, times int")
+    log = KeyedTable(d.spark, shared_path(d.spark, "alert-log"), "report string, key string, ref_value decimal(18,2), last_fired timestamp_ntz, times int", ["report", "key"])
     return jobs.stream_alert_gate(rows, log, "balance", ["client_id"], "2024-01-31 00:00:00").drop("times")
 
 

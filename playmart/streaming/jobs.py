@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from playmart.functions.scratch import shared_path
 from playmart.functions.time import hours
@@ -13,35 +15,64 @@ from playmart.operators import alerts, cdc, source_marts
 from playmart.operators.tables import upsert
 
 
-class SnapshotTable:
-    """A table of whole snapshots in a folder; the newest finished one counts, two are kept for readers."""
+class KeyedTable:
+    """A table in a folder: the rows that each batch changed, one per key, and all rows once every EPOCH batches.
 
-    def __init__(self, spark: SparkSession, path: str, schema) -> None:
-        self.spark, self.path, self.schema = spark, path, schema
+    Batches count from 0 without a gap, as a query's do. A batch that runs again takes the place of its first run. Places are
+    used in turn, so the folder holds two whole tables and the changes of two epochs, and a reader has an epoch to finish.
+    A change of a key replaces its row; null keys are equal.
+    """
 
-    def _folders(self) -> list[int]:
-        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
-        fs = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not fs.exists(folder):
-            return []
-        names = [(int(f.getPath().getName()), f.getPath()) for f in fs.listStatus(folder)]
-        return sorted(n for n, p in names if fs.exists(self.spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")))
+    EPOCH = 16
 
-    def read(self) -> DataFrame:
-        done = self._folders()
-        return self.spark.read.schema(self.schema).parquet(f"{self.path}/{done[-1]}") if done else self.spark.createDataFrame([], self.schema)
+    def __init__(self, spark: SparkSession, path: str, schema, keys: Sequence[str]) -> None:
+        self.spark, self.path, self.keys = spark, path, list(keys)
+        empty = spark.createDataFrame([], schema)
+        self.schema = empty.schema
+        for part in ("changes", "whole"):
+            self._put(empty, part, -1, 0)  # makes the folder, leaves what it holds
+
+    def _put(self, df: DataFrame, part: str, batch: int, place: int) -> None:
+        rows = df.select(*self.schema.names, F.lit(batch).cast("long").alias("_batch"), F.lit(place).alias("_place"))
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_place").parquet(f"{self.path}/{part}")
 
-    def write(self, df: DataFrame, batch: int) -> None:
-        """The snapshot of a batch; a batch that ran before starts from the one before it."""
-        df.write.mode("overwrite").parquet(f"{self.path}/{batch}")
+    def _get(self, part: str) -> DataFrame:
+        schema = T.StructType([*self.schema.fields, T.StructField("_batch", T.LongType()), T.StructField("_place", T.IntegerType())])
+        return self.spark.read.schema(schema).parquet(f"{self.path}/{part}")
+
+    def _rows(self, epoch: int, end: int) -> DataFrame:
+        """The whole table at the start of an epoch with the changes of its batches below `end`."""
+        start = epoch * self.EPOCH
+        whole = self._get("whole").where((F.col("_place") == epoch % 2) & (F.col("_batch") == start - 1)).select(self.schema.names)
+        places = [b % (2 * self.EPOCH) for b in range(start, end)]
+        new = self._get("changes").where(F.col("_place").isin(places) & F.col("_batch").between(start, end - 1))
+        newest = new.groupBy(*self.keys).agg(F.max_by(F.struct(*self.schema.names), "_batch").alias("row")).select("row.*")
+        return _of_keys(whole, newest, self.keys, "left_anti").unionByName(newest)
 
     def before(self, batch: int) -> DataFrame:
-        done = [n for n in self._folders() if n < batch]
-        return self.spark.read.schema(self.schema).parquet(f"{self.path}/{done[-1]}") if done else self.spark.createDataFrame([], self.schema)
+        """The table that a batch starts from."""
+        return self._rows(batch // self.EPOCH, batch)
+
+    def write(self, changed: DataFrame, batch: int) -> None:
+        """The rows of all keys that a batch has changed."""
+        self._put(changed, "changes", batch, batch % (2 * self.EPOCH))
+        if (batch + 1) % self.EPOCH == 0:
+            epoch = batch // self.EPOCH
+            self._put(self._rows(epoch, batch + 1), "whole", batch, (epoch + 1) % 2)
+
+    def read(self) -> DataFrame:
+        last = self._get("changes").select("_batch").union(self._get("whole").select("_batch")).agg(F.max("_batch")).first()[0]
+        return self.before(0 if last is None else last + 1)
+
+
+def _of_keys(df: DataFrame, other: DataFrame, keys: Sequence[str], how: str = "left_semi") -> DataFrame:
+    """The rows of `df` with, or without, a key of `other`; null keys are equal."""
+    same = reduce(Column.__and__, (F.col(f"d.{k}").eqNullSafe(F.col(f"o.{k}")) for k in keys))
+    return df.alias("d").join(other.select(*keys).alias("o"), same, how)
 
 
-def run_available(stream: DataFrame, table: SnapshotTable, merge: Callable[[DataFrame, DataFrame], DataFrame], mode: str = "append") -> DataFrame:
-    """Run the stream over all that is there, merging every batch into the table; the table then."""
+def run_available(stream: DataFrame, table: KeyedTable, merge: Callable[[DataFrame, DataFrame], DataFrame], mode: str = "append") -> DataFrame:
+    """Run the stream over all that is there; the table then. `merge`: (table, batch) to the rows of the keys that change."""
 
     def each(batch: DataFrame, number: int) -> None:
         table.write(merge(table.before(number), batch), number)
@@ -51,14 +82,15 @@ def run_available(stream: DataFrame, table: SnapshotTable, merge: Callable[[Data
     return table.read()
 
 
-def stream_upsert(stream: DataFrame, table: SnapshotTable, keys: Sequence[str], order: Sequence[str] = ("version", "synced_at")) -> DataFrame:
+def stream_upsert(stream: DataFrame, table: KeyedTable, order: Sequence[str] = ("version", "synced_at")) -> DataFrame:
     """Newest row per key of every batch, merged unless the table has a newer one."""
+    keys = table.keys
 
     def merge(held: DataFrame, batch: DataFrame) -> DataFrame:
         new = cdc.latest_row(batch, keys, order).alias("n")
         old = held.select(*keys, F.struct(*order).alias("_held"))
-        newer = new.join(old, list(keys), "left").where(F.col("_held").isNull() | (F.struct(*order) >= F.col("_held"))).drop("_held")
-        return upsert(held, newer, keys)
+        newer = new.join(old, keys, "left").where(F.col("_held").isNull() | (F.struct(*order) >= F.col("_held"))).drop("_held")
+        return upsert(_of_keys(held, newer, keys), newer, keys)
 
     return run_available(stream, table, merge)
 
@@ -85,13 +117,13 @@ def stream_game_hourly(stream: DataFrame, late: str = "4 hours") -> DataFrame:
     return out.withColumn("local_hour", F.col("local_hour.start").cast("timestamp_ntz"))
 
 
-def stream_alert_gate(stream: DataFrame, log: SnapshotTable, report: str, key_columns: Sequence[str], as_of: str, escalate: bool = True) -> DataFrame:
+def stream_alert_gate(stream: DataFrame, log: KeyedTable, report: str, key_columns: Sequence[str], as_of: str, escalate: bool = True) -> DataFrame:
     """alert_gate over every batch, largest value per key, against the log; the log then."""
 
     def merge(held: DataFrame, batch: DataFrame) -> DataFrame:
         cases = batch.groupBy(*key_columns).agg(F.max("value").alias("value"))
         _, rows = alerts.alert_gate(cases, held, report, key_columns, escalate, as_of)
-        return alerts.alert_log_upsert(held, rows)
+        return alerts.alert_log_upsert(_of_keys(held, rows, log.keys), rows)
 
     return run_available(stream, log, merge)
 

@@ -3,6 +3,7 @@
 import datetime as dt
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from playmart.operators import source_marts
@@ -23,23 +24,42 @@ def files(spark, folder, batches, schema):
 
 
 def test_an_older_version_that_comes_late_does_not_win(spark, tmp_path):
-    table = jobs.SnapshotTable(spark, str(tmp_path / "table"), GRANTS)
+    table = jobs.KeyedTable(spark, str(tmp_path / "table"), GRANTS, ["id"])
     stream = files(spark, str(tmp_path / "in"), [[(1, 5, at(3), "new"), (2, 1, at(1), "a")], [(1, 2, at(4), "old"), (2, 2, at(2), "b"), (2, 3, at(2), "c"), (3, 1, at(1), None)]], GRANTS)
-    got = sorted((r["id"], r["x"]) for r in jobs.stream_upsert(stream, table, ["id"]).collect())
+    got = sorted((r["id"], r["x"]) for r in jobs.stream_upsert(stream, table).collect())
     assert got == [(1, "new"), (2, "c"), (3, None)]
 
 
 def test_a_batch_that_runs_again_starts_from_the_one_before(spark, tmp_path):
-    table = jobs.SnapshotTable(spark, str(tmp_path / "table"), "n long")
-    one = spark.range(1).select(F.col("id").alias("n"))
+    table = jobs.KeyedTable(spark, str(tmp_path / "table"), "id int, n long", ["id"])
     for batch in (0, 1, 1):
-        table.write(table.before(batch).union(one), batch)
-    assert table.read().count() == 2
+        held = table.before(batch)
+        table.write(held.select("id", (F.col("n") + 1).alias("n")) if batch else spark.createDataFrame([(1, 1), (None, 1)], "id int, n long"), batch)
+    assert sorted(map(tuple, table.read().collect()), key=str) == [(1, 2), (None, 2)]
+
+
+@pytest.mark.parametrize("last", [3, 4, 7, 8, 17, 20])
+def test_a_table_over_many_epochs(spark, tmp_path, last):
+    """Changes, whole tables and places used again; some batches change nothing, one runs again after it was put in order."""
+
+    class Short(jobs.KeyedTable):
+        EPOCH = 4
+
+    table, plain = Short(spark, str(tmp_path / "table"), "id int, n int", ["id"]), {}
+    for batch in range(last):
+        rows = [] if batch in (5, 12, 13, 14, 15, 16) else [(batch % 3, batch), (None, -batch), (100 + batch, 0)]
+        for _ in range(2 if batch in (3, 4) else 1):
+            assert {r["id"]: r["n"] for r in table.before(batch).collect()} == plain
+            table.write(spark.createDataFrame(rows, "id int, n int"), batch)
+        plain.update(rows)
+    got = [tuple(r) for r in Short(spark, str(tmp_path / "table"), "id int, n int", ["id"]).read().collect()]
+    assert len(got) == len(plain) and dict(got) == plain
+    assert len(list((tmp_path / "table" / "whole").glob("_place=*"))) <= 2 and len(list((tmp_path / "table" / "changes").glob("_place=*"))) <= 8
 
 
 def test_gate_keeps_its_log_over_batches(spark, tmp_path):
     schema = "client_id int, value int"
-    log = jobs.SnapshotTable(spark, str(tmp_path / "log"), "report string, key string, ref_value decimal(18,2), last_fired timestamp_ntz, times int")
+    log = jobs.KeyedTable(spark, str(tmp_path / "log"), "report string, key string, ref_value decimal(18,2), last_fired timestamp_ntz, times int", ["report", "key"])
     stream = files(spark, str(tmp_path / "in"), [[(1, 5), (2, 1)], [(1, 5), (2, 3), (2, 4)]], schema)
     got = sorted((r["key"], r["ref_value"], r["times"]) for r in jobs.stream_alert_gate(stream, log, "r", ["client_id"], "2024-01-01 00:00:00").collect())
     assert got == [("1", Decimal("5.00"), 1), ("2", Decimal("4.00"), 2)]
@@ -48,7 +68,7 @@ def test_gate_keeps_its_log_over_batches(spark, tmp_path):
 def test_hours_equal_the_batch_job(spark, tmp_path):
     schema = "product_id int, bet_time timestamp_ntz, bet_amount decimal(18,2), win_amount decimal(18,2), bonus_amount decimal(18,2)"
     rows = [[(k % 3, at(k % 5, k % 60), Decimal(k), None, None) for k in range(40)], [(1, at(4, 5), Decimal(7), Decimal(1), Decimal(2))]]
-    table = jobs.SnapshotTable(spark, str(tmp_path / "t"), jobs.stream_game_hourly(files(spark, str(tmp_path / "in"), rows, schema)).schema)
+    table = jobs.KeyedTable(spark, str(tmp_path / "t"), jobs.stream_game_hourly(files(spark, str(tmp_path / "in"), rows, schema)).schema, ["product_id", "local_hour"])
     stream = jobs.stream_game_hourly(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in")), "10 hours")
     got = jobs.run_available(stream, table, lambda held, batch: jobs.upsert(held, batch, ["product_id", "local_hour"]), "update")
     batch = source_marts.hourly(spark.createDataFrame(sum(rows, []), schema), F.date_trunc("hour", "bet_time").cast("timestamp_ntz"))
