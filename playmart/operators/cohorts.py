@@ -93,24 +93,45 @@ def _percent(part: Column, whole: Column) -> Column:
     return F.round(part.cast("decimal(18,0)") * 100 / F.nullif(whole, F.lit(0)), 2).cast("decimal(12,2)")
 
 
-def _day_and_before(view: DataFrame, column: str, as_of: date | str, name: str) -> DataFrame:
+def _day_and_before(column: str, as_of: date | str, name: str) -> list[Column]:
     now = F.count(F.when(F.col(column) == F.date_sub(day(as_of), 1), 1))
     before = F.count(F.when(F.col(column) == F.date_sub(day(as_of), 2), 1))
-    return view.agg(now.alias(name), F.round((now.cast("decimal(18,0)") / F.nullif(before, F.lit(0)) - 1) * 100, 2).cast("decimal(12,2)").alias(f"{name}_change"))
+    return [now.alias(name), F.round((now.cast("decimal(18,0)") / F.nullif(before, F.lit(0)) - 1) * 100, 2).cast("decimal(12,2)").alias(f"{name}_change")]
+
+
+def _conversion(as_of: date | str, lag: int) -> Column:
+    mine = F.col("registration_date") == F.date_sub(day(as_of), lag)
+    return _percent(F.count(F.when(mine & F.col("has_deposit"), 1)), F.count(F.when(mine, 1))).alias("conversion_d7")
+
+
+def _of_depositors(part: Column, name: str) -> Column:
+    return _percent(F.count(F.when(F.col("has_deposit") & part, 1)), F.count(F.when(F.col("has_deposit"), 1))).alias(name)
+
+
+def _engaged() -> Column:
+    return _of_depositors(F.col("recurrent_30d"), "engaged")
+
+
+def _churn(low: int, high: int) -> Column:
+    return _of_depositors(F.col("days_without_activity").between(low, high), "churn_30_59")
 
 
 def kpi_registrations(view: DataFrame, as_of: date | str) -> DataFrame:
-    return _day_and_before(view, "registration_date", as_of, "registrations")
+    return view.agg(*_day_and_before("registration_date", as_of, "registrations"))
 
 
 def kpi_first_deposits(view: DataFrame, as_of: date | str) -> DataFrame:
-    return _day_and_before(view, "first_deposit", as_of, "first_deposits")
+    return view.agg(*_day_and_before("first_deposit", as_of, "first_deposits"))
 
 
 def kpi_conversion(view: DataFrame, as_of: date | str, lag: int = 7) -> DataFrame:
     """Percent of the users registered `lag` days ago who have deposited."""
-    mine = F.col("registration_date") == F.date_sub(day(as_of), lag)
-    return view.agg(_percent(F.count(F.when(mine & F.col("has_deposit"), 1)), F.count(F.when(mine, 1))).alias("conversion_d7"))
+    return view.agg(_conversion(as_of, lag))
+
+
+def kpi_users(view: DataFrame, as_of: date | str, lag: int = 7, low: int = 30, high: int = 59) -> DataFrame:
+    """The indicators that need nothing but the user view, in one pass over it."""
+    return view.agg(*_day_and_before("registration_date", as_of, "registrations"), *_day_and_before("first_deposit", as_of, "first_deposits"), _conversion(as_of, lag), _engaged(), _churn(low, high))
 
 
 def kpi_activation(view: DataFrame, activity: DataFrame, as_of: date | str) -> DataFrame:
@@ -141,12 +162,11 @@ def kpi_retention(windows: DataFrame, as_of: date | str) -> DataFrame:
 
 
 def kpi_engaged(view: DataFrame) -> DataFrame:
-    return view.agg(_percent(F.count(F.when(F.col("has_deposit") & F.col("recurrent_30d"), 1)), F.count(F.when(F.col("has_deposit"), 1))).alias("engaged"))
+    return view.agg(_engaged())
 
 
 def kpi_churn(view: DataFrame, low: int = 30, high: int = 59) -> DataFrame:
-    idle = F.col("days_without_activity").between(low, high)
-    return view.agg(_percent(F.count(F.when(F.col("has_deposit") & idle, 1)), F.count(F.when(F.col("has_deposit"), 1))).alias("churn_30_59"))
+    return view.agg(_churn(low, high))
 
 
 def kpi_snapshot(frames: list[DataFrame], history: DataFrame | None, as_of: date | str) -> DataFrame:

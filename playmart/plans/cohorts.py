@@ -161,10 +161,7 @@ def E14_kpi_churn_30_59(d: Data) -> DataFrame:
 
 def snapshot(d: Data, as_of: str, history: DataFrame | None = None) -> DataFrame:
     users = view(d, as_of)
-    frames = [
-        cohorts.kpi_registrations(users, as_of), cohorts.kpi_first_deposits(users, as_of), cohorts.kpi_conversion(users, as_of), cohorts.kpi_activation(users, acts(d), as_of),
-        cohorts.kpi_retention(cohorts.cohort_window(ftd(d), acts(d)), as_of), cohorts.kpi_engaged(users), cohorts.kpi_churn(users),
-    ]
+    frames = [cohorts.kpi_users(users, as_of), cohorts.kpi_activation(users, acts(d), as_of), cohorts.kpi_retention(cohorts.cohort_window(ftd(d), acts(d)), as_of)]
     return cohorts.kpi_snapshot(frames, history, as_of)
 
 
