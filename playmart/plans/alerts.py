@@ -340,7 +340,7 @@ def G23_alert_log_upsert(d: Data) -> DataFrame:
 def G24_no_data_row(d: Data) -> DataFrame:
     compiled = burst(d).agg(F.count("*").cast("string").alias("variable2")).where("variable2 <> '0'").select(F.lit("burst").alias("report"), "variable2", F.lit("found").alias("message"))
     names = F.explode(F.array(*(F.struct(F.lit(r).alias("report"), F.lit(t).alias("title")) for r, t in (("burst", "Bursts"), ("reuse", "Reuse"), ("rollover", "Turnover"))))).alias("r")
-    return reports.no_data_rows(d.region.limit(1).select(names).select("r.*"), compiled, NOW).select("report", "variable2", "variable6", "message")
+    return reports.no_data_rows(d.spark.range(1).select(names).select("r.*"), compiled, NOW).select("report", "variable2", "variable6", "message")
 
 
 _STATUS_CASE = "coalesce(CASE {c} " + " ".join(f"WHEN {k} THEN '{v}'" for k, v in reports.STATUS_NAMES.items()) + " END, 'Unknown')"

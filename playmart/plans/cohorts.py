@@ -174,7 +174,7 @@ def snapshot(d: Data, as_of: str, history: DataFrame | None = None) -> DataFrame
 def E15_kpi_snapshot(d: Data) -> DataFrame:
     fresh = snapshot(d, KPI_DAY)
     made_up = [F.lit(7 if kind == "bigint" else 1.5).cast(kind).alias(c) for c, kind in fresh.dtypes[1:]]
-    history = d.region.limit(1).select(F.explode(F.array(F.date_sub(F.lit(KPI_DAY).cast("date"), 1), F.lit(KPI_DAY).cast("date"))).alias("run_date"), *made_up)
+    history = d.spark.range(1).select(F.explode(F.array(F.date_sub(F.lit(KPI_DAY).cast("date"), 1), F.lit(KPI_DAY).cast("date"))).alias("run_date"), *made_up)
     return snapshot(d, KPI_DAY, history)
 
 

@@ -121,7 +121,7 @@ def I2_reject_log(d: Data) -> DataFrame:
     _, rejects = sales.split_valid(d.v_sales, NOW)
     one = rejects.groupBy("tx_id").agg(F.max("amount").alias("amount"), F.max("reason").alias("reason"), F.max("rejected_at").alias("rejected_at"))
     then = ts("2001-01-01 00:00:00")
-    ids = one.where("tx_id % 2 = 0").select("tx_id").union(d.region.limit(1).select(F.lit(-1).cast("long")))
+    ids = one.where("tx_id % 2 = 0").select("tx_id").union(d.spark.range(1).select(F.lit(-1).cast("long")))
     log = ids.select("tx_id", F.lit(0).cast("decimal(18,2)").alias("amount"), F.lit("OLD").alias("reason"), then.alias("first_seen"), then.alias("last_seen"), F.lit(4).alias("times"))
     return sales.reject_log(log, one)
 
