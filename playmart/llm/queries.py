@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, html_text, langid, minhash, packing, sharding, token_counts, topk, url_filter
+from . import alignment, chat, decontam, hard_negatives, html_text, langid, minhash, packing, sharding, simhash, token_counts, topk, url_filter
 from .common import read_table, vocabulary
 
 URL_RULES = [
@@ -67,6 +67,19 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shuffled.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
 
+def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(read_table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, label)
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(read_table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
     "op2_lexical_packing": op2_lexical_packing,
@@ -78,6 +91,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html_text": op8_html_text,
     "op9_decontamination": op9_decontamination,
     "op10_sharding": op10_sharding,
+    "op11_simhash": op11_simhash,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_token_alignment": op13_token_alignment,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -103,17 +119,39 @@ ORACLE_SQL: dict[str, str] = {
         FROM judged""",
     "op6_exact_top_k": """
         WITH v AS (
-          SELECT vec_id, list_transform(embedding, x -> CAST(floor(CAST(x AS DOUBLE) * 64) AS BIGINT)) AS v
+          SELECT vec_id, [CAST(floor(CAST(x AS DOUBLE) * 64) AS BIGINT) FOR x IN embedding] AS v
           FROM embeddings
           WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
-            AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+            AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
         scored AS (
           SELECT q.vec_id AS query_id, d.vec_id AS vec_id,
-                 CAST(list_sum(list_transform(list_zip(q.v, d.v), p -> p[1] * p[2])) AS BIGINT) AS score
+                 CAST(list_sum([p[1] * p[2] FOR p IN list_zip(q.v, d.v)]) AS BIGINT) AS score
           FROM v q JOIN v d ON q.vec_id <> d.vec_id
           WHERE q.vec_id % 20 = 0),
         ranked AS (
           SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
           FROM scored)
         SELECT * FROM ranked WHERE rank <= 20""",
+    "op12_hard_negatives": """
+        WITH v AS (
+          SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                 [CAST(floor(CAST(x AS DOUBLE) * 256) AS BIGINT) FOR x IN embedding] AS v
+          FROM embeddings
+          WHERE embedding IS NOT NULL AND vec_id IS NOT NULL AND label IS NOT NULL
+            AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+        scored AS (
+          SELECT a.vec_id AS anchor_id, d.vec_id AS vec_id, a.label = d.label AS same,
+                 CAST(list_sum([p[1] * p[2] FOR p IN list_zip(a.v, d.v)]) AS BIGINT) AS score
+          FROM v a JOIN v d ON a.vec_id <> d.vec_id
+          WHERE a.vec_id % 100 = 0),
+        positives AS (
+          SELECT * FROM (
+            SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS place FROM scored WHERE same) p
+          WHERE place <= 5),
+        mined AS (
+          SELECT p.anchor_id, p.vec_id AS positive_id, n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score,
+                 CAST(row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY n.score DESC, n.vec_id) AS INTEGER) AS rank
+          FROM positives p JOIN scored n ON p.anchor_id = n.anchor_id AND NOT n.same
+          WHERE 30 * p.score <= 100 * n.score AND 100 * n.score <= 90 * p.score)
+        SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM mined WHERE rank <= 10""",
 }
