@@ -35,9 +35,12 @@ from .shingles import slices, text_buffer
 SPACE_MARK = "▁"
 #: A space that begins a new word for both tokenizers: the only one in its place, before a character that is no white space.
 BOUNDARY = re.compile(f"(?<=[^ {SPACE_MARK}]) (?=[^\\s{SPACE_MARK}])")
+#: A space beside such a segment would be no boundary.
+_ALONE = re.compile(f"{SPACE_MARK}|^\\s| $|^$")
 _ODD = re.compile(f"{SPACE_MARK}| \\s|^ | $")
-#: Segments and their characters that a worker keeps, bytes of text aligned at once, counted pairs that a task may hold.
-KEPT, KEPT_CHARS, SLICE_BYTES, MAX_PAIRS = 600_000, 1 << 25, 1 << 20, 4_000_000
+#: Segments and their characters that a worker keeps, bytes of text aligned at once, characters encoded at once, counted pairs
+#: that a task may hold.
+KEPT, KEPT_CHARS, SLICE_BYTES, TOGETHER, MAX_PAIRS = 300_000, 1 << 25, 1 << 20, 1024, 4_000_000
 COUNTS = ("n_a", "n_b", "n_groups", "n_links")
 
 
@@ -58,6 +61,14 @@ def _common(x: np.ndarray, y: np.ndarray, size: int) -> tuple[np.ndarray, np.nda
     return both[x], both[y]
 
 
+def _runs(texts: list[str], alone: int) -> Iterator[tuple[int, int]]:
+    """Ranges of texts to encode together, of bounded size; each of the last `alone` texts by itself."""
+    side_by_side = len(texts) - alone
+    sizes = np.cumsum([0, *(len(t) + 1 for t in texts[:side_by_side])])
+    yield from slices(sizes, TOGETHER)
+    yield from ((k, k + 1) for k in range(side_by_side, len(texts)))
+
+
 class Aligner:
     """Both tokenizers and the segments aligned so far."""
 
@@ -97,6 +108,22 @@ class Aligner:
         self.strings: list[bytes] = []
         self.counts = np.zeros((0, 5), "i8")  # COUNTS, and 1 where the bytes are not given back
         self.pairs, self.bounds = np.zeros(0, "i8"), np.zeros(1, "i8")
+        self.held_by = np.zeros(0, "i8")  # documents so far, since last forgotten
+
+    def forget_rare(self) -> None:
+        """Keeps the segments that most documents held, half of the store at most."""
+        least = 2
+        while len(keep := np.flatnonzero(self.held_by >= least)) > KEPT // 2:
+            least *= 2
+        words, at = list(self.known), keep.tolist()
+        size = np.diff(self.bounds)[keep]
+        begins = np.cumsum(size) - size
+        self.pairs = self.pairs[np.repeat(self.bounds[keep] - begins, size) + np.arange(size.sum())]
+        self.bounds = np.concatenate(([0], np.cumsum(size)))
+        self.strings, self.counts = [self.strings[i] for i in at], self.counts[keep]
+        self.known = {words[i]: k for k, i in enumerate(at)}
+        self.chars = sum(map(len, self.known))
+        self.held_by = np.zeros(len(at), "i8")
 
     def spans(self, texts: list[str]) -> list[dict]:
         """Ids and character spans of sentencepiece's tokens: an offset mapping, or the older library's immutable protos."""
@@ -110,27 +137,34 @@ class Aligner:
             return [text]
         return BOUNDARY.split(text) if _ODD.search(text) else text.split(" ")
 
+    def encoded(self, texts: list[str], alone: int) -> tuple[tuple[np.ndarray, ...], tuple[np.ndarray, ...]]:
+        """Of both sides (text, id, first, last character) of every token of the texts, each with a space in front.
+
+        Characters are counted from that space on. Texts are encoded together, but for the last `alone` ones.
+        """
+        found: tuple[list, list] = ([], [])
+        for first, last in _runs(texts, alone):
+            joined = " ".join(texts[first:last])
+            starts = np.cumsum([0, *(len(t) + 1 for t in texts[first : last - 1])])
+            e, (p,) = self.a.encode(f" {joined}", add_special_tokens=False), self.spans([joined])
+            # spans of B leave out the space in front
+            for side, ids, offsets, more in ((found[0], e.ids, e.offsets, 0), (found[1], p["ids"], p["offsets"], 1)):
+                span = np.fromiter(chain.from_iterable(offsets), "i8", 2 * len(ids)).reshape(-1, 2) + more
+                of = np.searchsorted(starts, span[:, 0], "right") - 1
+                side.append((of + first, np.array(ids, "i8"), span[:, 0] - starts[of], span[:, 1] - starts[of]))
+        return tuple(tuple(np.concatenate(x) for x in zip(*side, strict=True)) for side in found)
+
     def learn(self, new: list[str]) -> None:
         """Aligns segments, each with a space in front."""
-        whole = [f" {w}" for w in new]
-        encoded = self.a.encode_batch(whole, add_special_tokens=False)
-        spans = self.spans(new)
-        ids_a, ids_b = [e.ids for e in encoded], [e["ids"] for e in spans]
-        offsets_a, offsets_b = [e.offsets for e in encoded], [e["offsets"] for e in spans]
-        ok = self._given_back(whole, ids_a, ids_b)
-        if not ok.all():
-            for of_all in (ids_a, ids_b, offsets_a, offsets_b):
-                of_all[:] = [x if good else [] for x, good in zip(of_all, ok.tolist(), strict=True)]
-        len_a, len_b = (np.fromiter(map(len, x), "i8", len(new)) for x in (ids_a, ids_b))
-        a, b = (np.fromiter(chain.from_iterable(x), "i8", int(n.sum())) for x, n in ((ids_a, len_a), (ids_b, len_b)))
-        span_a, span_b = (np.fromiter(chain.from_iterable(chain.from_iterable(x)), "i8", 2 * int(n.sum())).reshape(-1, 2) for x, n in ((offsets_a, len_a), (offsets_b, len_b)))
-        seg_a, seg_b = np.repeat(np.arange(len(new)), len_a), np.repeat(np.arange(len(new)), len_b)
-        # spans of B leave out the space in front
-        ends_a, ends_b = span_a[:, 1], span_b[:, 1] + 1
+        if alone := set(filter(_ALONE.search, new)):
+            new = [*(w for w in new if w not in alone), *alone]
+        sides = self.encoded(new, len(alone))
+        ok = self._given_back(new, sides)
+        (seg_a, a, begins_a, ends_a), (seg_b, b, begins_b, ends_b) = (tuple(x[ok[side[0]]] for x in side) for side in sides)
+        len_a, len_b = (np.bincount(seg, minlength=len(new)) for seg in (seg_a, seg_b))
         follows = np.concatenate((seg_a[1:] == seg_a[:-1], [False]))[: len(a)]
-        begins = np.concatenate((span_a[1:, 0], [0]))[: len(a)]
-        clean_a = ~(follows & (begins < ends_a))
-        clean_b = ~(self.is_byte[b] & (span_b[:, 0] == span_b[:, 1]))
+        clean_a = ~(follows & (np.concatenate((begins_a[1:], [0]))[: len(a)] < ends_a))
+        clean_b = ~(self.is_byte[b] & (begins_b == ends_b))
         base = 2 + int(max(ends_a.max(initial=0), ends_b.max(initial=0)))
         cut_a, cut_b = _common(np.where(clean_a, seg_a * base + ends_a, -1), np.where(clean_b, seg_b * base + ends_b, -1), len(new) * base)
         self._refine(a, b, cut_a, cut_b, clean_a, clean_b)
@@ -150,21 +184,19 @@ class Aligner:
         self.pairs = np.concatenate((self.pairs, pairs))
         self.bounds = np.concatenate((self.bounds, self.bounds[-1] + np.cumsum(n_links)))
 
-    def _given_back(self, whole: list[str], ids_a: list[list[int]], ids_b: list[list[int]]) -> np.ndarray:
+    def _given_back(self, texts: list[str], sides: tuple[tuple[np.ndarray, ...], ...]) -> np.ndarray:
         """Whether both sides' decoded bytes are a text's."""
-        texts = [t.encode() for t in whole]
-        sizes = np.fromiter(map(len, texts), "i8", len(texts))
-        every = b"".join(texts)
-        sides = ((ids_a, self.a_bytes), (ids_b, self.b_bytes))
-        if all(b"".join(map(table.__getitem__, chain.from_iterable(ids))) == every for ids, table in sides):
-            # all together are the texts; each is its own text where its tokens are as long
-            ok = np.ones(len(texts), bool)
-            for (ids, _), size_of in zip(sides, self.sizes, strict=True):
-                ends = np.concatenate(([0], np.cumsum(np.fromiter(map(len, ids), "i8", len(ids)))))
-                upto = np.concatenate(([0], np.cumsum(size_of[np.fromiter(chain.from_iterable(ids), "i8", int(ends[-1]))])))
-                ok &= np.diff(upto[ends]) == sizes
-            return ok
-        return np.array([b"".join(map(self.a_bytes.__getitem__, x)) == t == b"".join(map(self.b_bytes.__getitem__, y)) for x, y, t in zip(ids_a, ids_b, texts, strict=True)], bool)
+        whole = [f" {t}".encode() for t in texts]
+        ok = np.ones(len(texts), bool)
+        for (seg, ids, *_), table, sizes in zip(sides, (self.a_bytes, self.b_bytes), self.sizes, strict=True):
+            decoded = list(map(table.__getitem__, ids.tolist()))
+            if b"".join(decoded) == b"".join(whole):
+                # all together are the texts; each is its own text where its tokens are as long
+                ok &= np.bincount(seg, weights=sizes[ids], minlength=len(texts)) == np.fromiter(map(len, whole), "i8", len(whole))
+            else:
+                at = np.searchsorted(seg, np.arange(len(texts) + 1)).tolist()
+                ok &= np.array([b"".join(decoded[i:j]) == t for i, j, t in zip(at, at[1:], whole, strict=False)], bool)
+        return ok
 
     def _written_out(self, a: np.ndarray, b: np.ndarray, group_a: np.ndarray, group_b: np.ndarray, seg_a: np.ndarray, seg_b: np.ndarray, n: int) -> list[bytes]:
         """The groups of each segment as text: every token's id with the mark that stands before it."""
@@ -200,7 +232,9 @@ class Aligner:
         """For texts: COUNTS, groups' digests, and the pairs of each text (its number, pair, how often)."""
         parts = [self.segments(t) if t else [] for t in texts]
         if len(self.known) > KEPT or self.chars > KEPT_CHARS:
-            self.forget()
+            self.forget_rare()
+            if self.chars > KEPT_CHARS // 2:
+                self.forget()
         new = list(set().union(*parts).difference(self.known))
         for start, stop in slices(np.cumsum([0, *map(len, new)]), SLICE_BYTES):
             self.learn(new[start:stop])
@@ -217,6 +251,9 @@ class Aligner:
         digests = [self._digest(x) if x and not gone else "" for x, gone in zip(ids, lost.tolist(), strict=True)]
         keys, times = np.unique((doc * len(self.strings) + flat)[~lost[doc]], return_counts=True)
         of, seg = np.divmod(keys, max(1, len(self.strings)))
+        held_by = np.bincount(seg, minlength=len(self.strings))
+        held_by[: len(self.held_by)] += self.held_by
+        self.held_by = held_by
         many = self.bounds[seg + 1] - self.bounds[seg]
         at = np.repeat(self.bounds[seg], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
         top = len(self.a_bytes) * len(self.b_bytes)
