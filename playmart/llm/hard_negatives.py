@@ -32,8 +32,9 @@ from .common import written
 
 #: Code words for each half (cells: their square), rows on which the codebooks are fitted, and rounds of fitting.
 CODE_WORDS, FIT_ROWS, FIT_ROUNDS = 16, 8192, 8
-#: Rows of a cell that a task holds, anchors scored at once, rows that an anchor's first round reads at least.
-CHUNK_ROWS, ASKS, FIRST_ROWS = 4096, 256, 1024
+#: Bytes of a cell's vectors that a task holds (anchors are copied to each such chunk, so that large ones save shuffle), scores
+#: computed at once, rows that an anchor's first round reads at least.
+CHUNK_BYTES, SCORES, FIRST_ROWS = 1 << 25, 1 << 21, 1024
 LOWEST, HIGHEST = -(1 << 63), (1 << 63) - 1
 ASK = "row long, anchor_id long, label int, v binary, tags array<long>, lows array<long>, highs array<long>"
 
@@ -109,9 +110,11 @@ def participants(df: DataFrame, label: Column, scale: int, id_col: str, vector:
 class Index:
     """Every row in its cell's chunk, written, and the directory."""
 
-    def __init__(self, rows: DataFrame, code_words: int, fit_rows: int, chunk_rows: int) -> None:
-        self.dim = dim = 2 * max(1, math.ceil((rows.agg(F.max(F.size("x"))).first()[0] or 1) / 2))
+    def __init__(self, rows: DataFrame, code_words: int, fit_rows: int, chunk_rows: int | None) -> None:
+        count, longest = rows.agg(F.count("*"), F.max(F.size("x"))).first()
+        self.dim = dim = 2 * max(1, math.ceil((longest or 1) / 2))
         half = dim // 2
+        chunk_rows = chunk_rows or max(1, CHUNK_BYTES // (8 * dim))
 
         def padded(x: pd.Series) -> np.ndarray:
             out = np.zeros((len(x), dim))
@@ -119,7 +122,10 @@ class Index:
                 out[r, : len(v)] = v
             return np.floor(out)
 
-        sample = rows.orderBy(F.xxhash64("id", "x"), "id").limit(fit_rows).select("x").toPandas()["x"]
+        # about twice the sample by hash, of which each task gives its part; then its first rows
+        drawn = F.pmod(F.xxhash64("id", "x"), F.lit(1 << 30))
+        few = rows.where(drawn < math.ceil(2 * fit_rows / max(count, 1) * (1 << 30)))
+        sample = few.orderBy(drawn, "id").limit(fit_rows).select("x").toPandas()["x"]
         fitted = padded(sample)
         books = tuple(fit_book(part, code_words) for part in (fitted[:, :half], fitted[:, half:]))
 
@@ -205,9 +211,10 @@ class Index:
                         continue
                     if parts:
                         chunk, parts = _Chunk(pd.concat(parts), dim), []
-                    for first in range(0, len(part), ASKS):
-                        if chunk is not None:
-                            yield chunk.answer(part.iloc[first : first + ASKS], k, same)
+                    if chunk is not None:
+                        at_once = max(1, SCORES // len(chunk.ids))
+                        for first in range(0, len(part), at_once):
+                            yield chunk.answer(part.iloc[first : first + at_once], k, same)
 
         placed = both.repartition("cell", "chunk").sortWithinPartitions("cell", "chunk", "kind")
         return placed.mapInPandas(answered, "row long, place int, found_id long, score long")
@@ -282,13 +289,14 @@ def hard_negatives(
     vector: str = "embedding",
     code_words: int = CODE_WORDS,
     fit_rows: int = FIT_ROWS,
-    chunk_rows: int = CHUNK_ROWS,
+    chunk_rows: int | None = None,
     first_rows: int = FIRST_ROWS,
 ) -> DataFrame:
     """(anchor_id, positive_id, rank, negative_id, positive_score, negative_score).
 
     `anchor`: which rows are anchors, a condition on the column `id`; `window`: the least and largest percentage of the
     positive's score that a negative's may be. `fit_rows` bounds the sample that fits the codebooks; all rows are indexed.
+    `chunk_rows`: by default as CHUNK_BYTES has it.
     """
     index = Index(participants(df, label, scale, id_col, vector), code_words, fit_rows, chunk_rows)
     whole = F.array(F.lit(0).cast("long")), F.array(F.lit(LOWEST)), F.array(F.lit(HIGHEST))

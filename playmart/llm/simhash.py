@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import shuffle_partitions, written
 from .minhash import connected_components, merge_components
 from .shingles import mix, slices, text_buffer
 
@@ -130,7 +130,9 @@ def visits(prints: DataFrame, code: tuple[int, int], threshold: int = THRESHOLD)
                     home.append(at == mine)
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (anchors, owner, home)], names=["anchor", "print", "home"])
 
-    return prints.select("print").mapInArrow(dealt, "anchor long, print long, home boolean")
+    # a row is little to read and much to do
+    spread = prints.select("print").repartition(shuffle_partitions(prints.sparkSession), "print")
+    return spread.mapInArrow(dealt, "anchor long, print long, home boolean")
 
 
 def _forest(homes: np.ndarray, others: np.ndarray, threshold: int) -> list[tuple[int, int]]:
