@@ -40,12 +40,16 @@ def S1_stream_upsert(d: Data) -> DataFrame:
 
 @query(
     """SELECT client_id, w AS window_start, CAST(count(DISTINCT type_id) AS INTEGER) AS distinct_bonuses, CAST(count(type_id) AS BIGINT) AS value
-    FROM (SELECT client_id, type_id, unnest(range(12)) AS k, date_trunc('hour', created_at) - to_hours(CAST(k AS INTEGER)) AS w FROM v_balance WHERE type_id <> 99) GROUP BY 1, 2 HAVING count(DISTINCT type_id) >= 3""",
+    FROM (SELECT client_id, type_id, balance, unnest(range(12)) AS k, date_trunc('hour', created_at) - to_hours(CAST(k AS INTEGER)) AS w FROM v_balance WHERE type_id <> 99) GROUP BY 1, 2
+    HAVING count(DISTINCT type_id) >= 2 AND sum(CASE WHEN type_id = 3 THEN coalesce(balance, 0) ELSE 0 END) = 0""",
     "v_balance",
 )
 def S2_stream_burst(d: Data) -> DataFrame:
     rows = view_stream(d, "v_balance").where("type_id <> 99")
-    return collected(d, jobs.stream_burst(rows, "created_at", "type_id", F.lit(0), 720, 60, "4 hours", 3), ["client_id", "window_start"])
+    found = jobs.stream_burst(rows, "created_at", "type_id", F.when(F.col("type_id") == 3, F.col("balance")), 720, 60, "4 hours", 2)
+    keys = ["client_id", "window_start"]
+    table = KeyedTable(d.spark, shared_path(d.spark, "bursts"), found.schema, keys)
+    return jobs.run_available(found, table, jobs.retracting(keys), "update").where("holds").drop("holds")
 
 
 @query(
@@ -58,11 +62,17 @@ def S3_stream_reuse(d: Data) -> DataFrame:
     return collected(d, found, ["client_id", "product_id", "window_start"])
 
 
-@query("SELECT 'balance' AS report, CAST(client_id AS VARCHAR) AS key, CAST(max(balance) AS DECIMAL(18,2)) AS ref_value, TIMESTAMP '2024-01-31 00:00:00' AS last_fired FROM v_balance WHERE type_id = 2 GROUP BY client_id", "v_balance")
+@query(
+    """SELECT 'balance' AS report, CAST(client_id AS VARCHAR) AS key, CAST(max(balance) AS DECIMAL(18,2)) AS ref_value, max(created_at) AS last_fired
+    FROM (SELECT *, max(CAST(created_at AS DATE)) OVER (PARTITION BY client_id) AS last_day FROM v_balance WHERE type_id = 2 AND created_at IS NOT NULL)
+    WHERE CAST(created_at AS DATE) = last_day GROUP BY client_id""",
+    "v_balance",
+)
 def S4_stream_alert_gate(d: Data) -> DataFrame:
-    rows = view_stream(d, "v_balance").where("type_id = 2").select("client_id", F.col("balance").alias("value"))
-    log = KeyedTable(d.spark, shared_path(d.spark, "alert-log"), "report string, key string, ref_value decimal(18,2), last_fired timestamp_ntz, times int", ["report", "key"])
-    return jobs.stream_alert_gate(rows, log, "balance", ["client_id"], "2024-01-31 00:00:00").drop("times")
+    rows = view_stream(d, "v_balance").where("type_id = 2").select("client_id", F.col("balance").alias("value"), "created_at")
+    fired = jobs.stream_alert_gate(rows, "balance", ["client_id"], "created_at")
+    log = jobs.append_available(fired, shared_path(d.spark, "alert-log"), shared_path(d.spark, "stream"))
+    return log.groupBy("report", "key").agg(*(F.max_by(c, "times").alias(c) for c in ("ref_value", "last_fired")))
 
 
 @query(

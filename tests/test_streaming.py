@@ -1,12 +1,13 @@
 """Streams over several batches."""
 
 import datetime as dt
+import shutil
 from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
-from playmart.operators import source_marts
+from playmart.operators import alerts, source_marts
 from playmart.streaming import jobs
 
 GRANTS = "id int, version long, synced_at timestamp_ntz, x string"
@@ -57,12 +58,88 @@ def test_a_table_over_many_epochs(spark, tmp_path, last):
     assert len(list((tmp_path / "table" / "whole").glob("_place=*"))) <= 2 and len(list((tmp_path / "table" / "changes").glob("_place=*"))) <= 8
 
 
-def test_gate_keeps_its_log_over_batches(spark, tmp_path):
-    schema = "client_id int, value int"
-    log = jobs.KeyedTable(spark, str(tmp_path / "log"), "report string, key string, ref_value decimal(18,2), last_fired timestamp_ntz, times int", ["report", "key"])
-    stream = files(spark, str(tmp_path / "in"), [[(1, 5), (2, 1)], [(1, 5), (2, 3), (2, 4)]], schema)
-    got = sorted((r["key"], r["ref_value"], r["times"]) for r in jobs.stream_alert_gate(stream, log, "r", ["client_id"], "2024-01-01 00:00:00").collect())
-    assert got == [("1", Decimal("5.00"), 1), ("2", Decimal("4.00"), 2)]
+def test_a_batch_reads_the_buckets_of_its_keys(spark, tmp_path):
+    table = jobs.KeyedTable(spark, str(tmp_path / "table"), GRANTS, ["id"], buckets=32)
+    table.EPOCH = 2
+    for batch in range(5):  # buckets put in order at different times, and changes
+        rows = [(batch * 40 + k, 1, at(1), f"{batch}") for k in range(40)] if batch != 3 else [(7, 2, at(2), "new")]
+        table.write(spark.createDataFrame(rows, GRANTS), batch)
+    new = spark.createDataFrame([(7, 1, at(1), "x"), (81, 1, at(1), "y")], GRANTS)
+    touched = table.buckets_of(new)
+    assert len(touched) <= 2 and table.read().count() == 160
+    for other in (tmp_path / "table").glob("*/_place=*/_bucket=*"):  # nothing else is read
+        if int(other.name.split("=")[1]) not in touched:
+            shutil.rmtree(other)
+    held = table.before(5, new)
+    got = {r["id"]: r["x"] for r in held.collect()}
+    assert got[7] == "new" and got[81] == "2" and len(got) < 40
+
+
+GATE = "client_id int, value decimal(18,2), time timestamp_ntz"
+LOG = "report string, key string, ref_value decimal(18,2), last_fired timestamp_ntz, times int"
+CASES = [
+    [(1, Decimal(5), at(1)), (2, Decimal(1), at(2)), (3, None, at(3))],
+    [(1, Decimal(5), at(4)), (2, Decimal(3), at(5)), (2, Decimal(4), at(4)), (3, Decimal(1), at(6)), (4, Decimal(9), at(7))],
+    [(1, Decimal(2), at(1) + dt.timedelta(1)), (2, Decimal(9), at(2) + dt.timedelta(1)), (4, Decimal(9), at(3) + dt.timedelta(1))],
+]
+
+
+def plain_gate(spark, batches, escalate, log):
+    """alert_gate batch by batch, each on its day."""
+    fired = []
+    for rows in batches:
+        cases = spark.createDataFrame(rows, GATE).groupBy("client_id").agg(F.max("value").alias("value"))
+        _, new = alerts.alert_gate(cases, spark.createDataFrame(log, LOG), "r", ["client_id"], escalate, rows[0][2])
+        new = [tuple(r) for r in new.collect()]
+        fired += new
+        log = [r for r in log if (r[0], r[1]) not in {(n[0], n[1]) for n in new}] + new
+    return sorted((r[1], r[2], r[3].date(), r[4]) for r in fired)
+
+
+@pytest.mark.parametrize("escalate", [True, False])
+def test_gate_fires_as_the_batch_job_does(spark, tmp_path, escalate):
+    """Three batches over two days, with a log from before, and a restart between them."""
+    before = [("r", "4", Decimal("9.00"), at(0), 6), ("r", "2", Decimal("7.00"), at(0) - dt.timedelta(1), 2), ("other", "1", Decimal("9.00"), at(0), 1)]
+    folder = str(tmp_path / "in")
+    for upto in (2, 3):
+        stream = files(spark, folder, CASES[:2] if upto == 2 else CASES[2:], GATE)
+        fired = jobs.stream_alert_gate(stream, "r", ["client_id"], "time", escalate, log=spark.createDataFrame(before, LOG))
+        out = jobs.append_available(fired, str(tmp_path / "log"), str(tmp_path / "checkpoint"))
+        got = sorted((r["key"], r["ref_value"], r["last_fired"].date(), r["times"]) for r in out.collect())
+        assert sorted(got, key=str) == sorted(plain_gate(spark, CASES[:upto], escalate, before), key=str)
+
+
+def test_gate_forgets_a_day_that_is_over(spark, tmp_path):
+    """Cases of earlier days never fire, whether the timer has closed the day or not."""
+    day = dt.timedelta(1)
+    batches = [[(1, Decimal(5), at(1))], [(2, Decimal(5), at(1) + 9 * day)], [(1, Decimal(9), at(2))], [(1, Decimal(3), at(2) + 9 * day), (2, Decimal(8), at(1) + 8 * day)]]
+    fired = jobs.stream_alert_gate(files(spark, str(tmp_path / "in"), batches, GATE), "r", ["client_id"], "time")
+    out = jobs.append_available(fired, str(tmp_path / "log"), str(tmp_path / "checkpoint"))
+    assert sorted((r["key"], r["ref_value"], r["times"]) for r in out.collect()) == [("1", Decimal(3), 2), ("1", Decimal(5), 1), ("2", Decimal(5), 1)]
+
+
+BURSTS = "client_id int, bonus_id int, time timestamp_ntz, prize decimal(18,2)"
+
+
+@pytest.mark.parametrize("order", [[0, 1, 2], [2, 1, 0], [1, 0, 2]])
+def test_a_burst_that_has_a_prize_later_is_taken_back(spark, tmp_path, order):
+    batches = [
+        [(c, b, at(1, 5 * b), None) for c in (1, 2) for b in range(5)],
+        [(1, 9, at(1, 2), Decimal(100)), (3, 1, at(1), Decimal(1))],
+        [(3, b, at(1, b), Decimal(0)) for b in range(5)] + [(2, 5, at(2), None), (None, 1, at(1), None)],
+    ]
+    keys = ["client_id", "window_start"]
+    found = jobs.stream_burst(files(spark, str(tmp_path / "in"), [batches[k] for k in order], BURSTS), "time", "bonus_id", F.col("prize"))
+    table = jobs.KeyedTable(spark, str(tmp_path / "table"), found.schema, keys)
+    got = jobs.run_available(found, table, jobs.retracting(keys), "update").where("holds").drop("holds")
+    rows = [r for batch in batches for r in batch if r[0] is not None]
+    want = set()
+    for start in (at(0) + dt.timedelta(minutes=10 * k) for k in range(30)):  # as the batch job finds, window by window
+        for client in (1, 2, 3):
+            own = [r for r in rows if r[0] == client and start <= r[2] < start + dt.timedelta(minutes=50)]
+            if len({r[1] for r in own}) >= 5 and sum(r[3] or 0 for r in own) == 0:
+                want.add((client, start, len({r[1] for r in own}), len(own)))
+    assert {tuple(r) for r in got.collect()} == want and {w[0] for w in want} == {2}
 
 
 def test_hours_equal_the_batch_job(spark, tmp_path):
