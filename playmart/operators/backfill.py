@@ -45,7 +45,9 @@ def filter_days(rows: DataFrame, column: str, start: datetime | str, end: dateti
     first = F.to_date(ts(start) + hours(offset_hours))
     edge = ts(end) + hours(offset_hours)
     last = F.greatest(first, F.when(edge == F.date_trunc("day", edge), F.date_sub(F.to_date(edge), 1)).otherwise(F.to_date(edge)))
-    return rows.where(local_day(column, offset_hours).between(first, last))
+    # as bounds on the column itself, so that the scan can skip what lies outside
+    edges = (d.cast("timestamp_ntz") - hours(offset_hours) for d in (first, F.date_add(last, 1)))
+    return rows.where((F.col(column) >= next(edges)) & (F.col(column) < next(edges)))
 
 
 def fixed_windows(rows: DataFrame, column: str, start: date | str, end: date | str, days: int) -> DataFrame:

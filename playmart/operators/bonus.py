@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from playmart.functions.scratch import written
 from playmart.functions.time import day
 from playmart.operators.tables import update_then_insert, upsert
 
@@ -50,14 +53,71 @@ def client_bonus_metrics(agg: DataFrame) -> DataFrame:
     )
 
 
-def p99_cutoffs(metrics: DataFrame, q: float = 0.99, exact: bool = True) -> DataFrame:
-    """(signal, cutoff): exact interpolated percentiles of the four metrics over all clients.
+#: Values that the last step of a selection ranks, and the accuracy of the sketches before.
+RANKED, ACCURACY = 10_000, 10_000
+
+
+def exact_percentiles(df: DataFrame, columns: Sequence[str], q: float, ranked: int = RANKED, accuracy: int = ACCURACY) -> dict[str, float | None]:
+    """Interpolated percentiles of columns as `percentile` gives them, by narrowing a bracket around the ranks.
 
-    The exact percentile keeps one counter per different value; `exact=False` bounds it by a sketch.
+    A sketch of the values in the bracket gives two of them that surely enclose the rank, within a few of its `accuracy`-th parts;
+    they are the next bracket, until its values are few enough to be ranked, or are nearly all equal. So no task holds a counter
+    for every value. Nulls do not count; no values: None.
     """
-    pick = (lambda c: F.percentile(c, q)) if exact else (lambda c: F.percentile_approx(c, q, 100_000).cast("double"))
-    row = metrics.agg(*(pick(F.col(m).cast("double")).alias(s) for s, m in SIGNALS.items()))
-    return row.unpivot([], list(SIGNALS), "signal", "cutoff").select("signal", F.round("cutoff", 6).alias("cutoff"))
+    rows = written(df.select(*(F.col(c).cast("double").alias(c) for c in columns)), "selection")
+    seen = rows.agg(*(f(c).alias(f"{n}{k}") for k, c in enumerate(columns) for n, f in (("n", F.count), ("low", F.min), ("high", F.max)))).first()
+    share, done = {}, set()
+    # of each column: the bracket's ends, the number of its values, the rank of the lower value among them
+    held: dict[str, tuple[float, float, int, int]] = {}
+    for k, c in enumerate(columns):
+        if n := seen[f"n{k}"]:
+            share[c] = (n - 1) * q - math.floor((n - 1) * q)
+            held[c] = seen[f"low{k}"], seen[f"high{k}"], n, math.floor((n - 1) * q)
+
+    def inside(c: str, low: float, high: float) -> Column:
+        return F.when(F.col(c).between(low, high), F.col(c))
+
+    while wide := [c for c, (low, high, n, _) in held.items() if c not in done and n > ranked and low < high]:
+        ends = {}
+        for c in wide:
+            low, high, n, rank = held[c]
+            around = F.array(F.lit(max(0.0, rank / n - 2 / accuracy)), F.lit(min(1.0, (rank + 2) / n + 2 / accuracy)))
+            ends[c] = F.percentile_approx(inside(c, low, high), around, accuracy)
+        found = rows.agg(*(e.alias(f"e{k}") for k, e in enumerate(ends.values()))).first()
+        new = {c: found[k] for k, c in enumerate(wide)}
+        counts = rows.agg(*(x for c in wide for x in (F.count_if((F.col(c) >= held[c][0]) & (F.col(c) < new[c][0])), F.count(inside(c, *new[c]))))).first()
+        for k, c in enumerate(wide):
+            low, high, n, rank = held[c]
+            below, within = counts[2 * k], counts[2 * k + 1]
+            sure = below <= rank and min(rank + 1, n - 1) < below + within
+            if not sure or within > n // 2:
+                done.add(c)  # most values are equal to an end: few are different
+            if sure:
+                held[c] = *new[c], within, rank - below
+    out: dict[str, float | None] = dict.fromkeys(columns)
+    if held:
+        each = F.explode(F.array(*(F.struct(F.lit(c).alias("c"), inside(c, low, high).alias("v")) for c, (low, high, _, _) in held.items())))
+        values: dict[str, list] = {}
+        for r in rows.select(each.alias("x")).select("x.*").where("v is not null").groupBy("c", "v").count().collect():
+            values.setdefault(r["c"], []).append((r["v"], r["count"]))
+        for c, (_, _, n, rank) in held.items():
+            pair, before = [], 0
+            for v, count in sorted(values[c]):
+                pair += [v for k in (rank, min(rank + 1, n - 1)) if before <= k < before + count]
+                before += count
+            out[c] = pair[0] if not share[c] else (1 - share[c]) * pair[0] + share[c] * pair[1]
+    return out
+
+
+def p99_cutoffs(metrics: DataFrame, q: float = 0.99, exact: bool = True) -> DataFrame:
+    """(signal, cutoff): exact interpolated percentiles of the four metrics over all clients; `exact=False` takes a sketch's."""
+    if exact:
+        found = exact_percentiles(metrics, list(SIGNALS.values()), q)
+        rows = metrics.sparkSession.createDataFrame([(s, found[m]) for s, m in SIGNALS.items()], "signal string, cutoff double")
+    else:
+        sketches = metrics.agg(*(F.percentile_approx(F.col(m).cast("double"), q, 100_000).cast("double").alias(s) for s, m in SIGNALS.items()))
+        rows = sketches.unpivot([], list(SIGNALS), "signal", "cutoff")
+    return rows.select("signal", F.round("cutoff", 6).alias("cutoff"))
 
 
 def daily_cutoff_cache(cache: DataFrame, metrics: DataFrame, as_of: date | str) -> DataFrame:

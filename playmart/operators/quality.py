@@ -28,18 +28,25 @@ def _registrations(users: DataFrame) -> DataFrame:
     return users.groupBy(F.col("registration_date").alias("day")).agg(F.count("*").alias("registrations"))
 
 
+def _by_day(parts: Sequence[DataFrame]) -> DataFrame:
+    """Parts with a row for each of their days side by side: one aggregate over their union, of one row per day and part."""
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return rows.groupBy("day").agg(*(F.max(c).alias(c) for c in rows.columns if c != "day"))
+
+
 def target_daily_totals(cash: DataFrame, user_daily: DataFrame, games: DataFrame, users: DataFrame, period: tuple[date | str, date | str] | None = None) -> DataFrame:
     """Cash, user sums, game sums and registrations per day, whichever of them has the day."""
     per_user = user_daily.groupBy(F.col("ref_date").alias("day")).agg(F.sum("bet_amount").cast(MONEY).alias("user_bets"), F.sum("ggr").cast(MONEY).alias("ggr"))
     per_game = games.groupBy(F.to_date("local_hour").alias("day")).agg(F.sum("bet_total").cast(MONEY).alias("bets"))
-    out = reduce(lambda a, b: a.join(b, "day", "full_outer"), [_cash_by_day(cash), per_user, per_game, _registrations(users)])
+    out = _by_day([_cash_by_day(cash), per_user, per_game, _registrations(users)])
     return out if period is None else out.where(F.col("day").between(day(period[0]), day(period[1])))
 
 
 def source_daily_totals(bets: DataFrame, cash: DataFrame, users: DataFrame, how: str = "left") -> DataFrame:
     """Source totals per day: `left` keeps the days with bets only, `full_outer` all."""
-    per_day = bets.groupBy(F.to_date("bet_time").alias("day")).agg(F.sum("bet_amount").cast(MONEY).alias("bets"))
-    return per_day.join(_cash_by_day(cash), "day", how).join(_registrations(users), "day", how).select("day", *COMPARED)
+    per_day = bets.groupBy(F.to_date("bet_time").alias("day")).agg(F.sum("bet_amount").cast(MONEY).alias("bets"), F.lit(True).alias("_bets"))
+    out = _by_day([per_day, _cash_by_day(cash), _registrations(users)])
+    return (out.where("_bets") if how == "left" else out).select("day", *COMPARED)
 
 
 def recon_flags(joined: DataFrame, columns: Sequence[str] = COMPARED) -> DataFrame:
@@ -51,7 +58,7 @@ def recon_flags(joined: DataFrame, columns: Sequence[str] = COMPARED) -> DataFra
 def reconcile(source: DataFrame, target: DataFrame, columns: Sequence[str] = COMPARED) -> DataFrame:
     s = source.select("day", *(F.col(c).alias(f"source_{c}") for c in columns))
     t = target.select("day", *(F.col(c).alias(f"target_{c}") for c in columns))
-    return recon_flags(s.join(t, "day", "full_outer"), columns)
+    return recon_flags(_by_day([s, t]), columns)
 
 
 def recon_period(table: DataFrame, source: DataFrame, target: DataFrame, start: date | str, end: date | str) -> DataFrame:
@@ -60,14 +67,33 @@ def recon_period(table: DataFrame, source: DataFrame, target: DataFrame, start:
     return table.where(~inside).unionByName(reconcile(source.where(inside), target.where(inside)))
 
 
-def compare_results(left: DataFrame, right: DataFrame, key: str, on_date: str, on_value: str, updated: str) -> tuple[DataFrame, DataFrame]:
-    """(differences, summary per kind) of two results.
+def differing_parts(left: DataFrame, right: DataFrame, key: str, columns: Sequence[str], parts: int = 4096) -> tuple[DataFrame, DataFrame]:
+    """Both sides' rows of those parts of the keys in which they differ.
+
+    Rows fall into `parts` by a hash of the key. A part's digest is the count, sum and exclusive or of its rows' hashes, in any
+    order; so equal tables exchange one digest for each part and task, and rows move only where digests differ.
+    """
+    part = F.pmod(F.xxhash64(key), F.lit(parts)).cast("int")
+
+    def digests(df: DataFrame, side: str) -> DataFrame:
+        row = F.xxhash64(*(F.coalesce(F.hash(c), F.lit(0)) for c in columns), *columns)
+        found = df.select(part.alias("part"), row.alias("row")).groupBy("part")
+        return found.agg(F.struct(F.count("*").alias("n"), F.sum(F.col("row").cast("decimal(20,0)")).alias("sum"), F.bit_xor("row").alias("xor")).alias(side))
+
+    both = digests(left, "l").join(digests(right, "r"), "part", "full_outer")
+    apart = F.broadcast(both.where(~F.col("l").eqNullSafe(F.col("r"))).select("part"))  # at most `parts` numbers
+    return tuple(df.withColumn("part", part).join(apart, "part", "left_semi").drop("part") for df in (left, right))
+
+
+def compare_results(left: DataFrame, right: DataFrame, key: str, on_date: str, on_value: str, updated: str, parts: int = 4096) -> tuple[DataFrame, DataFrame]:
+    """(differences, summary per kind) of two results, whose rows are joined only in parts that differ.
 
     Kinds: only_left, only_right, date, value. A difference of date or value is explained when the right row is newer.
     The summary also counts repeated keys of each side.
     """
     one = lambda df, side: cdc.latest_row(df, [key], [updated, on_value]).select(key, *(F.col(c).alias(f"{side}_{c}") for c in (on_date, on_value, updated)), F.lit(True).alias(f"_{side}"))
-    both = one(left, "left").join(one(right, "right"), key, "full_outer")
+    apart = differing_parts(left, right, key, [key, on_date, on_value, updated], parts)
+    both = one(apart[0], "left").join(one(apart[1], "right"), key, "full_outer")
     newer = F.coalesce(F.col(f"right_{updated}") > F.col(f"left_{updated}"), F.lit(False))
     value = lambda side: F.round(F.col(f"{side}_{on_value}").cast("decimal(20,4)"), 2)
     kinds = F.array_compact(
@@ -83,13 +109,12 @@ def compare_results(left: DataFrame, right: DataFrame, key: str, on_date: str, o
     return diffs, summary.union(twice(left, "repeated_left")).union(twice(right, "repeated_right"))
 
 
-def _labelled(df: DataFrame, column: str | Column, windows: Sequence[tuple[date | str, date | str]]) -> DataFrame:
-    """Rows within windows of whole days, both ends included, with the number of the window."""
-    c = F.to_date(column) if isinstance(column, str) else column
-    label = F.lit(None).cast("int")
-    for k, (start, end) in reversed(list(enumerate(windows))):
-        label = F.when(c.between(day(start), day(end)), k).otherwise(label)
-    return df.withColumn("window_id", label).where("window_id is not null")
+def _labelled(df: DataFrame, column: str, windows: Sequence[tuple[date | str, date | str]]) -> DataFrame:
+    """Rows within windows of whole days, both ends included, with the number of the first window that holds them."""
+    listed = df.sparkSession.createDataFrame([(k, str(a)[:10], str(b)[:10]) for k, (a, b) in enumerate(windows)], "window_id int, a string, b string")
+    days = listed.where(F.col("a") <= F.col("b")).select("window_id", F.explode(F.sequence(F.to_date("a"), F.to_date("b"))).alias("_day"))
+    days = days.groupBy("_day").agg(F.min("window_id").alias("window_id"))
+    return df.withColumn("_day", F.to_date(column)).join(F.broadcast(days), "_day").drop("_day")  # one row for each day
 
 
 def _count_check(source: DataFrame, target: DataFrame, windows: int, spark_df: DataFrame, strict: bool) -> DataFrame:

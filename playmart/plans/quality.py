@@ -256,15 +256,16 @@ def K8_backfill_users(d: Data) -> DataFrame:
 
 @query(
     """WITH c AS (SELECT user_id AS id, CAST(sum(deposit_qty) AS BIGINT) AS deposits FROM v_user_daily GROUP BY 1), b AS (SELECT client_id AS id, CAST(count(*) AS BIGINT) AS bets FROM v_bets GROUP BY 1)
-    SELECT u.id, u.status, CASE WHEN u.id % 4 = 1 THEN deposits ELSE -1 END AS deposits, CASE WHEN u.id % 4 = 1 THEN bets ELSE -1 END AS bets FROM v_user u LEFT JOIN c ON u.id = c.id LEFT JOIN b ON u.id = b.id""",
+    SELECT u.id, u.status, CASE WHEN u.tax_number IS NULL THEN deposits ELSE -1 END AS deposits, CASE WHEN u.tax_number IS NULL THEN bets ELSE -1 END AS bets FROM v_user u LEFT JOIN c ON u.id = c.id LEFT JOIN b ON u.id = b.id""",
     "v_user", "v_user_daily", "v_bets",
 )
 def K9_user_backfill(d: Data) -> DataFrame:
     c = d.v_user_daily.groupBy(F.col("user_id").alias("id")).agg(F.sum("deposit_qty").alias("deposits"))
     b = d.v_bets.groupBy(F.col("client_id").alias("id")).agg(F.count("*").alias("bets"))
     users = d.v_user.select("id", "status")
-    held = users.where("id % 4 <> 1 or id % 8 = 1").withColumns({"deposits": F.lit(-1).cast("long"), "bets": F.lit(-1).cast("long")})
-    return backfill.user_backfill(held, users, c, b, d.v_user.where("id % 4 = 1").select("id"))
+    again = d.v_user.where("tax_number is null").select("id")
+    held = users.join(again.where("id % 2 = 0"), "id", "left_anti").withColumns({"deposits": F.lit(-1).cast("long"), "bets": F.lit(-1).cast("long")})
+    return backfill.user_backfill(held, users, c, b, again)
 
 
 _DAYS = """SELECT client_id, CAST(created_at - INTERVAL 3 HOURS AS DATE) AS ref_date, CAST(sum(CASE WHEN type_id = 1 THEN balance ELSE 0 END) AS DECIMAL(18,2)) AS in_use, CAST(sum(CASE WHEN type_id = 2 THEN balance ELSE 0 END) AS DECIMAL(18,2)) AS available,
@@ -306,8 +307,8 @@ def L2_suspect_report(d: Data) -> DataFrame:
     return protect.suspect_report(encrypted(d, "tax_number"), d.v_user.where("status <> 1").select("id"), ["status", "last_name", "tax_number"], ["tax_number"], KEY, IV)
 
 
-@query("SELECT id, status, CASE WHEN id % 3 = 1 THEN tax_number ELSE 'old' END AS tax_number_protected, CASE WHEN id % 3 = 1 THEN phone ELSE 'old' END AS phone_protected FROM v_user WHERE id % 2 = 1", "v_user", "v_user_daily")
+@query("SELECT id, status, CASE WHEN status = 1 THEN tax_number ELSE 'old' END AS tax_number_protected, CASE WHEN status = 1 THEN phone ELSE 'old' END AS phone_protected FROM v_user", "v_user", "v_user_daily")
 def L3_protect_backfill(d: Data) -> DataFrame:
-    held = d.v_user.where("id % 2 = 1").select("id", "status", F.lit("old").alias("tax_number_protected"), F.lit("old").alias("phone_protected"))
-    stage = d.v_user.where("id % 3 = 1").select("id", "tax_number", "phone")
+    held = d.v_user.select("id", "status", F.lit("old").alias("tax_number_protected"), F.lit("old").alias("phone_protected"))
+    stage = d.v_user.where("status = 1").select("id", "tax_number", "phone")
     return protect.protect_backfill(held, stage.union(stage), {"tax_number": "tax_number_protected", "phone": "phone_protected"})

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -120,6 +122,30 @@ def A10_replace_by_keys(d: Data) -> DataFrame:
     return tables.replace_by_keys(rows, d.v_grants.where("version % 5 = 0").select("client_id", "bonus_id", "id"), ["client_id", "bonus_id"])
 
 
+def _in_partitions(d: Data, merge: Callable) -> DataFrame:
+    """Grants by bonus in a partitioned folder; the source has rows of two of its partitions."""
+    path = shared_path(d.spark, "by-bonus")
+    rows = d.v_grants.where("client_id is not null").groupBy("client_id", "bonus_id").agg(F.max("id").alias("id"), F.max("version").alias("version"))
+    rows.write.partitionBy("bonus_id").parquet(path)
+    new = rows.where("bonus_id in (3, 7) and version % 5 = 0").withColumn("id", -F.col("id"))
+    files.merge_partitions(path, new, ["client_id", "bonus_id"], "bonus_id", merge)
+    return d.spark.read.parquet(path).withColumn("bonus_id", F.col("bonus_id").cast("long"))
+
+
+_BY_BONUS = """SELECT client_id, CAST(bonus_id AS BIGINT) AS bonus_id, CASE WHEN bonus_id IN (3, 7) AND version % 5 = 0 THEN -id ELSE id END AS id, version
+    FROM (SELECT client_id, bonus_id, max(id) AS id, max(version) AS version FROM v_grants WHERE client_id IS NOT NULL GROUP BY 1, 2)"""
+
+
+@query(_BY_BONUS, "v_grants")
+def A8_upsert_partitions(d: Data) -> DataFrame:
+    return _in_partitions(d, tables.upsert)
+
+
+@query(_BY_BONUS, "v_grants")
+def A10_replace_partitions(d: Data) -> DataFrame:
+    return _in_partitions(d, tables.replace_by_keys)
+
+
 @query(
     """WITH a AS (SELECT user_id, ref_date, deposit_amount FROM v_user_daily WHERE deposit_qty > 0), b AS (SELECT user_id, ref_date, withdraw_amount FROM v_user_daily WHERE withdraw_qty > 0),
     c AS (SELECT user_id, ref_date, bet_amount, ggr FROM v_user_daily WHERE bet_qty > 0)
@@ -209,7 +235,7 @@ def A15_low_cursor(d: Data) -> DataFrame:
 
 @query("SELECT id, bet_time, bet_amount FROM v_bets WHERE CAST(bet_time AS DATE) IN (DATE '2024-01-03', DATE '2024-01-17')", "v_bets")
 def A16_read_by_event_days(d: Data) -> DataFrame:
-    return files.read_by_event_days(d.v_bets.select("id", "bet_time", "bet_amount"), F.to_date("bet_time"), ["2024-01-03", "2024-01-17"])
+    return files.read_by_event_days(d.v_bets.select("id", "bet_time", "bet_amount"), "bet_time", ["2024-01-03", "2024-01-17"])
 
 
 @query("SELECT client_id, CAST(count(*) AS BIGINT) AS grants FROM v_grants WHERE status IN (6, 8) GROUP BY client_id", "v_grants")

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from datetime import date, datetime
+from collections.abc import Callable, Sequence
+from datetime import date, datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
-from playmart.functions.time import Window, day, days, ts
+from playmart.functions.time import Window, days, hours, ts
 
 
 def read_changes(df: DataFrame, column: str, start: datetime | str | None = None, end: datetime | str | None = None) -> DataFrame:
@@ -42,15 +43,54 @@ def read_sales_source(df: DataFrame, columns: Sequence[str], mode: str, as_of: d
     return chosen if mode == "history" else chosen.where(F.col(created) >= ts(as_of) - days(7))
 
 
+def read_sales_jdbc(
+    spark: SparkSession, url: str, table: str, columns: Sequence[str], mode: str, as_of: datetime | str | None = None, created: str = "created_at",
+    split: tuple[str, object, object, int] | None = None, **options: str,
+) -> DataFrame:
+    """The same from a relational source: columns and the bound on `created` go to the source.
+
+    `split`: (column, lowest, highest, connections) reads ranges of a number or time at once, on as many connections.
+    """
+    reader = spark.read.format("jdbc").options(url=url, dbtable=table, **options)
+    if split:
+        column, low, high, connections = split
+        reader = reader.options(partitionColumn=column, lowerBound=str(low), upperBound=str(high), numPartitions=str(connections))
+    return read_sales_source(reader.load(), columns, mode, as_of, created)
+
+
 def append_rows(df: DataFrame, path: str) -> None:
     """Append, with NaN of float columns as null."""
     clean = {f.name: F.when(~F.isnan(f.name), F.col(f.name)) for f in df.schema if isinstance(f.dataType, (DoubleType, FloatType))}
     df.withColumns(clean).write.mode("append").parquet(path)
 
 
-def read_by_event_days(df: DataFrame, day_column: Column, wanted: Sequence[date | str]) -> DataFrame:
-    """The rows of the chosen days by event time, whenever they changed."""
-    return df.where(day_column.isin(*[day(d) for d in wanted]))
+def read_by_event_days(df: DataFrame, time: str, wanted: Sequence[date | str], offset_hours: int = 0) -> DataFrame:
+    """The rows of the chosen local days by event time, whenever they changed. The scan gets the days as bounds on `time`."""
+    days_on = sorted({date.fromisoformat(str(d)[:10]) for d in wanted})
+    spans: list[list[date]] = []
+    for d in days_on:  # days that follow each other are one span
+        if spans and d - spans[-1][1] == timedelta(1):
+            spans[-1][1] = d
+        else:
+            spans.append([d, d])
+    edge = lambda d: ts(d) - hours(offset_hours)
+    inside = [(F.col(time) >= edge(first)) & (F.col(time) < edge(last + timedelta(1))) for first, last in spans]
+    return df.where(reduce(Column.__or__, inside, F.lit(False)))
+
+
+def merge_partitions(path: str, source: DataFrame, keys: Sequence[str], partition: str, merge: Callable[[DataFrame, DataFrame, Sequence[str]], DataFrame]) -> None:
+    """Merge (`tables.upsert`, `tables.replace_by_keys`) into a table partitioned by one of its keys.
+
+    Only partitions that the source has rows for are read and written; those names are the one thing that the driver sees.
+    """
+    if partition not in keys:
+        raise ValueError("a key that does not hold the partition may have rows in any")
+    spark = source.sparkSession
+    touched = [r[0] for r in source.select(partition).distinct().collect()]
+    target = spark.read.parquet(path)
+    held = target.where(reduce(Column.__or__, (F.col(partition).eqNullSafe(F.lit(v)) for v in touched), F.lit(False)))
+    merged = merge(held, source, keys).select(target.columns)
+    merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
 
 
 def read_query(spark: SparkSession, sql: str, **frames: DataFrame) -> DataFrame:
