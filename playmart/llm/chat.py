@@ -1,7 +1,7 @@
 """Chat formatting in budgeted windows with a reversible template and a loss mask.
 
 A conversation's turns, in order, are cut into windows of at most `budget` tokens. Prefix sums of the
-turns' tokens choose turn-aligned spans: a window holds the system turn (if the conversation opens with
+turns' tokens, as they are written into the window, choose turn-aligned spans: a window holds the system turn (if the conversation opens with
 one), up to `history` tokens of the turns before its span, then its span. Targets are the assistant texts
 of the span; those repeated as history are masked. A single turn over the budget is a window of its own.
 
@@ -32,6 +32,10 @@ def escape(text: str) -> str:
     return text.replace("<~", "<~~").replace("<|", "<~|")
 
 
+def _head(role: str) -> str:
+    return f"{OPEN}{escape(role).replace(BREAK, '<~n')}{BREAK}"
+
+
 def unescape(text: str) -> str:
     out, at = [], 0
     while (i := text.find("<~", at)) >= 0:
@@ -84,7 +88,7 @@ class Conversation:
         before = self._before()
         parts, spans, at = [], [], 0
         for k, t in enumerate([*before, *self.span]):
-            head, body = f"{OPEN}{escape(t.role).replace(BREAK, '<~n')}{BREAK}", escape(t.text)
+            head, body = _head(t.role), escape(t.text)
             if k >= len(before) and t.role == "assistant":
                 spans.append([at + len(head), at + len(head) + len(body)])
             parts.append(f"{head}{body}{CLOSE}{BREAK}")
@@ -129,7 +133,7 @@ def format_windows(
         number = 0
         for pdf in batches:
             ids = [None if pd.isna(c) else int(c) for c in pdf["conv_id"]]
-            counts = map(len, encode([f"{OPEN}{r}{BREAK}{t}{CLOSE}{BREAK}" for r, t in zip(pdf["role"], pdf["text"], strict=True)]))
+            counts = map(len, encode([f"{_head(r)}{escape(t)}{CLOSE}{BREAK}" for r, t in zip(pdf["role"], pdf["text"], strict=True)]))
             out = []
             for conv_id, role, text, n in zip(ids, pdf["role"], pdf["text"], counts, strict=True):
                 if current is None or current.conv_id != conv_id:

@@ -14,7 +14,6 @@ without spaces. Extra columns stay as they are, whatever their names. Empty tabl
 
 from __future__ import annotations
 
-import heapq
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,73 +32,95 @@ COVERAGE = 0.5
 MAX_BROADCAST_BYTES = 32 << 20
 CHUNK_BYTES = 2 << 20
 _BASE = _U(0x9E3779B97F4A7C15)
+_BASE_INVERSE = _U(pow(int(_BASE), -1, 1 << 64))
 LEAK = "item_id long, coverage double, tiles int, longest int"
 
 
-def _windows(words: np.ndarray, marked: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Starts of the unmarked windows of `length` words and their rolling hashes."""
-    n = len(words)
-    if n < length:
-        return np.zeros(0, "i8"), np.zeros(0, _U)
-    busy = np.concatenate(([0], np.cumsum(marked)))
-    free = np.flatnonzero(busy[length:] == busy[:-length])
-    if length <= 64:
-        sums = np.zeros(n - length + 1, _U)
-        for k in range(length):
-            sums = sums * _BASE + words[k : n - length + 1 + k]
-    else:
-        power = np.multiply.accumulate(np.concatenate((np.ones(1, _U), np.full(length - 1, _BASE))))
-        sums = np.convolve(words, power, "valid")
-    return free, mix(sums)[free]
+class _Words:
+    """Word hashes with running sums, so that a window of any length has its rolling hash at once, and marks of what is used."""
+
+    def __init__(self, words: np.ndarray, busy: np.ndarray) -> None:
+        self.words, self.busy = words, busy
+        self.up, self.down = (np.concatenate((np.ones(1, _U), np.multiply.accumulate(np.full(len(words), base, _U)))) for base in (_BASE, _BASE_INVERSE))
+        self.sums = np.concatenate((np.zeros(1, _U), np.cumsum(words * self.up[:-1], dtype=_U)))
+
+    def windows(self, length: int) -> tuple[np.ndarray, np.ndarray]:
+        """Starts and hashes of the unused windows of a length."""
+        if len(self.words) < length:
+            return np.zeros(0, "i8"), np.zeros(0, _U)
+        used = np.concatenate(([0], np.cumsum(self.busy)))
+        at = np.flatnonzero(used[length:] == used[:-length])
+        return at, mix((self.sums[at + length] - self.sums[at]) * self.down[at])
+
+
+def _shared(item: np.ndarray, doc: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The document's words that lie in a window of `least` words of the item's, their places, and which of them are gaps."""
+    sides = [_Words(x, np.zeros(len(x), bool)) for x in (item, doc)]
+    hashes = [x.windows(least)[1] for x in sides]
+    inside = np.zeros(len(doc) + 1, "i8")
+    hit = np.flatnonzero(np.isin(hashes[1], hashes[0]))
+    np.add.at(inside, hit, 1)
+    np.add.at(inside, hit + least, -1)
+    places = np.flatnonzero(np.cumsum(inside)[:-1])
+    breaks = np.flatnonzero(np.diff(places) > 1) + 1
+    words, at = np.insert(doc[places], breaks, _U(0)), np.insert(places, breaks, -1)
+    return words, at, at < 0
 
 
 def tiles(item: np.ndarray, doc: np.ndarray, least: int) -> list[tuple[int, int, int]]:
-    """Greedy tiles (length, start in item, start in document) of two arrays of word hashes."""
-    in_item, in_doc = np.zeros(len(item), bool), np.zeros(len(doc), bool)
-    out = []
-    length = max(least, min(len(item), 64))
-    while True:
-        i_at, i_hash = _windows(item, in_item, length)
-        d_at, d_hash = _windows(doc, in_doc, length)
-        hit = np.flatnonzero(np.isin(d_hash, i_hash))
-        matches = []
-        if hit.size:
-            places: dict[int, list[int]] = {}
-            for i, h in zip(i_at.tolist(), i_hash.tolist(), strict=True):
-                places.setdefault(h, []).append(i)
-            seen: set[tuple[int, int]] = set()
-            for d, h in zip(d_at[hit].tolist(), d_hash[hit].tolist(), strict=True):
-                for i in places[h]:
-                    if (i - 1, d - 1) in seen:  # inside a longer match that began before
-                        seen.add((i, d))
-                        continue
-                    n = 0
-                    while i + n < len(item) and d + n < len(doc) and not in_item[i + n] and not in_doc[d + n] and item[i + n] == doc[d + n]:
-                        n += 1
-                    if n >= length:
-                        seen.add((i, d))
-                        matches.append((n, i, d))
-        longest = max((m[0] for m in matches), default=0)
-        if longest > 2 * length:
-            length = longest
-            continue
-        queue = [(-n, i, d) for n, i, d in matches]
-        heapq.heapify(queue)
-        while queue:
-            n, i, d = heapq.heappop(queue)
-            n = -n
-            free = ~(in_item[i : i + n] | in_doc[d : d + n])
-            if free.all():
-                in_item[i : i + n] = in_doc[d : d + n] = True
-                out.append((n, i, d))
+    """Greedy tiles (length, start in item, start in document) of two arrays of word hashes: the longest first, of those the
+    earliest in the item, then in the document.
+
+    The longest length with a window that both have unused is found by halving, as a longer common window holds shorter ones.
+    Its windows are then taken in order; a window that is used once stays used, so that each is looked at once, however
+    often words repeat.
+    """
+    words, places, gaps = _shared(item, doc, least)
+    a, b = _Words(item, np.zeros(len(item), bool)), _Words(words, gaps.copy())
+    out: list[tuple[int, int, int]] = []
+
+    def common(length: int) -> tuple[np.ndarray, ...] | None:
+        (i_at, i_hash), (d_at, d_hash) = a.windows(length), b.windows(length)
+        both = np.isin(d_hash, i_hash)
+        return (i_at, i_hash, d_at[both], d_hash[both]) if both.any() else None
+
+    longest = min(len(item), len(words))
+    while longest >= least:
+        low, high, best = least, longest, None
+        while low <= high:
+            middle = (low + high + 1) // 2
+            if found := common(middle):
+                best, low = (middle, found), middle + 1
+            else:
+                high = middle - 1
+        if best is None:
+            break
+        length, (i_at, i_hash, d_at, d_hash) = best
+        order = np.argsort(d_hash, kind="stable")
+        d_at, d_hash = d_at[order], d_hash[order]
+        first, last = (np.searchsorted(d_hash, i_hash, side).tolist() for side in ("left", "right"))
+        starts = d_at.tolist()
+        after: dict[int, int] = {}  # of each hash, its first window that may be unused
+        taken = len(out)
+        free_a = 0  # first place of the item behind the last tile
+        for i, low, high in zip(i_at.tolist(), first, last, strict=True):
+            if low == high or i < free_a:
                 continue
-            edges = np.flatnonzero(np.diff(np.concatenate(([False], free, [False])).astype("i1")))
-            for low, high in zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True):  # what is left of it waits its turn
-                if high - low >= length:
-                    heapq.heappush(queue, (low - high, i + low, d + low))
-        if length == least:
-            return out
-        length = max(least, length // 2)
+            k = after.get(low, low)
+            while k < high and b.busy[starts[k] : starts[k] + length].any():
+                k += 1
+            after[low] = k
+            if k == high:
+                continue
+            d = starts[k]
+            if not np.array_equal(item[i : i + length], words[d : d + length]):
+                after[low] = k + 1  # equal hashes of different words
+                continue
+            a.busy[i : i + length] = b.busy[d : d + length] = True
+            free_a = i + length
+            out.append((length, i, int(places[d])))
+        longest = length if len(out) > taken else length - 1
+    return out
 
 
 class Benchmark:
@@ -168,10 +189,12 @@ def with_leaks(df: DataFrame, benchmark: DataFrame, text_col: str = "text", keep
         raise ValueError("the benchmark is too large to broadcast; use leaks_by_join")
     rows = benchmark.where(F.col("text").isNotNull() & F.col("item_id").isNotNull()).select("item_id", F.lower("text")).orderBy("item_id").collect()
     shared = df.sparkSession.sparkContext.broadcast(([r[0] for r in rows], [r[1] for r in rows]))
-    rest = df.drop(into)
-    base = rest if keep_text else rest.drop(text_col)
-    source = rest.select(*(F.col(f"`{c}`") for c in base.columns), F.lower(text_col).alias(fresh(df, "lower")))
-    schema = T.StructType([*base.schema.fields, T.StructField(into, T.ArrayType(T.StructType.fromDDL(LEAK)))])
+    kept = [c for c in df.columns if c != into and (keep_text or c != text_col)]
+    # columns go by number meanwhile, as their names may hold dots
+    numbered = df.toDF(*(f"c{k}" for k in range(len(df.columns))))
+    of = {c: f"c{k}" for k, c in enumerate(df.columns)}
+    source = numbered.select(*(of[c] for c in kept), F.lower(of[text_col]).alias("lower"))
+    schema = T.StructType([*source.schema.fields[:-1], T.StructField("leaks", T.ArrayType(T.StructType.fromDDL(LEAK)))])
     kind = pa.list_(pa.struct([("item_id", pa.int64()), ("coverage", pa.float64()), ("tiles", pa.int32()), ("longest", pa.int32())]))
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -184,7 +207,7 @@ def with_leaks(df: DataFrame, benchmark: DataFrame, text_col: str = "text", keep
                 leaks.extend(_leaks_of(items, data, bounds[start : stop + 1]))
             yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(last)), pa.array(leaks, kind)], names=schema.names)
 
-    return source.mapInArrow(found, schema)
+    return source.mapInArrow(found, schema).toDF(*kept, into)
 
 
 def _digest() -> Column:

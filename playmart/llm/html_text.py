@@ -42,6 +42,8 @@ RAW = frozenset("script style noscript template iframe svg object canvas head ti
 IN_HEAD = frozenset("head base link meta script style title noscript template".split())
 OPAQUE = {t: re.compile(rf"</{t}(?=[\s/>])[^>]*>", re.I) for t in ("script", "style", "textarea", "title", "iframe")}
 OUTSIDE = frozenset("nav footer aside form button select dialog menu fieldset label".split())
+#: Of these, what pages also put around all they hold.
+AROUND = frozenset("form fieldset".split())
 CONTAINERS = frozenset("html body div section article main td center table tbody tr".split())
 BLOCKS = CONTAINERS | OUTSIDE | frozenset(
     "address blockquote dd details dl dt figcaption figure h1 h2 h3 h4 h5 h6 header hr li ol p pre summary th thead tfoot ul caption option".split()
@@ -52,6 +54,12 @@ MARKS = frozenset(
     aside cookie cookies consent gdpr notice popup modal overlay newsletter subscribe subscription signup comment comments reply replies disqus respond share sharing social
     related recommended recommendations widget form login search toolbar pagination pager skip masthead contentinfo complementary""".split()
 )
+#: Words that leave a mark what it is: `share-buttons` marks, `share-price` does not.
+PLAIN = frozenset(
+    """area bar block body bottom box btn button buttons card col column container content count desktop fixed foot global group head header heading icon icons inner item items left
+    link links list main message mobile module more new outer page panel popular post posts articles stories news primary right row secondary section site slot sticky tab text thread
+    title top unit wrap wrapper""".split()
+)
 GOOD = frozenset("article articlebody content post entry story main text body".split())
 PRIOR = {"article": 2.0, "main": 1.8, "body": 0.5, "html": 0.3, "": 0.3}
 _WORDS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
@@ -65,8 +73,18 @@ class Node:
         self.parent, self.path, self.prior, self.depth = parent, path, prior, depth
 
 
-def _words(value: str) -> set[str]:
-    return {w.lower() for w in _WORDS.findall(value)}
+def _words(value: str) -> list[str]:
+    return [w.lower() for w in _WORDS.findall(value)]
+
+
+def mark_of(names: list[str], marks: frozenset[str] = MARKS) -> int:
+    """2 if one of the names is made of marks and plain words alone, 1 if there is a mark in one of them, else 0."""
+    out = 0
+    for name in names:
+        words = _words(name)
+        if any(w in marks for w in words):
+            out = max(out, 2 if all(w in marks or w in PLAIN for w in words) else 1)
+    return out
 
 
 class Page:
@@ -75,12 +93,47 @@ class Page:
     def __init__(self, html: str) -> None:
         self.nodes = [Node(-1, "", PRIOR[""], 0)]
         self.blocks: list[tuple[int, str, int]] = []  # container, text, characters within links
-        self._stack: list[tuple[str, int, bool, bool]] = []  # tag, container, left out, link
+        self._stack: list[tuple[str, int, bool, bool, int]] = []  # tag, container, left out, link, mark
+        self._marks: list[tuple[int, int]] = [(-1, 0)]  # of marked elements: the mark around it, how surely it is one
+        self._marked: list[int] = []  # the innermost mark of each block
         self._out = self._links = self._article = 0
         self._text: list[str] = []
         self._linked = 0
         self._count: Counter[str] = Counter()  # open tags
         self._read(html)
+        self._leave_out()
+
+    def _mark(self) -> int:
+        return self._stack[-1][4] if self._stack else 0
+
+    def _leave_out(self) -> None:
+        """Drops blocks of marked elements: of sure marks all, of others those of links. A mark around nearly all running text is none."""
+        if len(self._marks) == 1:
+            return
+        running, whole = [0] * len(self._marks), [0] * len(self._marks)
+        for mark, (_, text, linked) in zip(self._marked, self.blocks, strict=True):
+            whole[mark] += len(text)
+            running[mark] += len(text) * (2 * linked <= len(text))
+        own = list(running)
+        for k in range(len(self._marks) - 1, 0, -1):
+            running[self._marks[k][0]] += running[k]
+            whole[self._marks[k][0]] += whole[k]
+        gone = [sure == 2 or sure == 1 and 2 * running[k] < whole[k] for k, (_, sure) in enumerate(self._marks)]
+
+        def left() -> tuple[int, list[bool]]:
+            out = list(gone)
+            for k in range(1, len(out)):
+                out[k] = out[k] or out[self._marks[k][0]]
+            return sum(n for n, o in zip(own, out, strict=True) if not o), out
+
+        rest, out = left()
+        for k in range(1, len(gone)):  # from the outermost in
+            if rest >= 0.1 * running[0]:
+                break
+            if gone[k] and 2 * running[k] > running[0]:
+                gone[k] = False
+                rest, out = left()
+        self.blocks = [b for mark, b in zip(self._marked, self.blocks, strict=True) if not out[mark]]
 
     def _container(self) -> int:
         return self._stack[-1][1] if self._stack else 0
@@ -98,10 +151,11 @@ class Page:
             text = " ".join(unescape("".join(self._text)).split())
             if text:
                 self.blocks.append((self._container(), text, self._linked))
+                self._marked.append(self._mark())
             self._text, self._linked = [], 0
 
     def _pop(self) -> None:
-        tag, _, out, link = self._stack.pop()
+        tag, _, out, link, _ = self._stack.pop()
         self._count[tag] -= 1
         self._out -= out
         self._links -= link
@@ -126,17 +180,28 @@ class Page:
                     break
                 if name in CONTAINERS or name in ("ul", "ol", "dl"):
                     break
-        marked: set[str] = set()
+        names: list[str] = []
         classes: list[str] = []
         if "=" in attributes:
             for name, *values in ATTRIBUTE.findall(attributes):
                 if name.lower() in ("class", "id", "role"):
                     value = next((v for v in values if v), "")
-                    marked |= _words(value)
+                    names += value.split()
                     if name.lower() == "class":
                         classes = sorted({_DIGITS.sub("0", c) for c in value.split()})
+        marked = {w for name in names for w in _words(name)}
         own = tag in ("article", "main", "body", "html")
-        out = tag in OUTSIDE or tag in RAW or not own and (bool(marked & MARKS) or (tag == "header" or "header" in marked) and not self._article)
+        sure = 0
+        if not own:
+            sure = mark_of(names, MARKS if self._article else MARKS | {"header"}) if marked else 0
+            if tag in AROUND or tag == "header" and not self._article:
+                sure = 2
+        # what stands within a line is left out at once, if at all
+        out = tag in OUTSIDE - AROUND or tag in RAW or sure == 2 and tag not in BLOCKS
+        mark = self._mark()
+        if sure and tag in BLOCKS and not out and not self._out:
+            self._marks.append((mark, sure))
+            mark = len(self._marks) - 1
         self._out += out
         self._links += tag == "a"
         self._article += tag in ("article", "main")
@@ -150,7 +215,7 @@ class Page:
             prior = PRIOR.get(tag) or (1.5 if marked & GOOD else 1.0)
             self.nodes.append(Node(container, path, prior, above.depth + 1))
             container = len(self.nodes) - 1
-        self._stack.append((tag, container, out, tag == "a"))
+        self._stack.append((tag, container, out, tag == "a", mark))
         self._count[tag] += 1
 
     def _read(self, html: str) -> None:

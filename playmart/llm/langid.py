@@ -214,8 +214,11 @@ def predict(df: DataFrame, model: Model | None, into: tuple[str, str] = ("lang_p
     if model is None:
         return base.withColumns({into[0]: F.lit(UNDETERMINED), into[1]: F.lit(0.0)})
     shared = df.sparkSession.sparkContext.broadcast((model.labels, model.weights.T.copy(), model.idf, model.temperature))  # labels x BUCKETS values
-    rows = base.withColumn(fresh(base, "lower"), F.when(F.col("text").rlike(r"\p{L}"), F.lower("text")))
-    schema = base.withColumns({into[0]: F.lit("").cast("string"), into[1]: F.lit(0.0)}).schema
+    # columns go by number meanwhile, as their names may hold dots
+    numbered = base.toDF(*(f"c{k}" for k in range(len(base.columns))))
+    text = f"c{base.columns.index('text')}"
+    rows = numbered.withColumn("lower", F.when(F.col(text).rlike(r"\p{L}"), F.lower(text)))
+    schema = numbered.withColumns({"label": F.lit("").cast("string"), "score": F.lit(0.0)}).schema
 
     def predicted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         labels, weights, idf, temperature = shared.value
@@ -238,7 +241,7 @@ def predict(df: DataFrame, model: Model | None, into: tuple[str, str] = ("lang_p
                 part = b.slice(start, n)
                 yield pa.RecordBatch.from_arrays([*(part.column(i) for i in range(last)), pa.array(label, pa.string()), pa.array(score)], names=schema.names)
 
-    return rows.mapInArrow(predicted, schema)
+    return rows.mapInArrow(predicted, schema).toDF(*base.columns, *into)
 
 
 def fold(key: str = "doc_id") -> Column:

@@ -7,7 +7,7 @@ Pass two runs a seeded Fisher-Yates shuffle over each bucket and numbers its row
 shard's earlier buckets.
 
 Defined cases: null text has size 8 and checksum 0 and stays null; a null key hashes as a value of its
-own; repeated rows take slots of their own (rows equal in key and text share a bucket); an empty table gives an empty
+own; repeated rows take slots of their own; an empty table gives an empty
 result; extra columns are left out.
 """
 
@@ -38,29 +38,36 @@ def shuffle_into_shards(
     `bucket_bytes` bounds the text that one bucket holds in memory, up to one row more.
     """
     size = F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + 8
-    total = df.agg(F.sum(size)).first()[0] or 0
-    buckets = max(1, math.ceil(total / shards / bucket_bytes))
-    scattered = df.select(
-        F.col(key),
-        F.col(text),
-        size.alias("size"),
-        F.coalesce(F.crc32(F.col(text).cast("binary")), F.lit(0)).cast("long").alias("text_crc32"),
-        shard_of(key, shards, seed).cast("int").alias("shard"),
-        shard_of(key, shards + 1, seed).cast("int").alias("grown_shard"),
-        F.pmod(F.xxhash64(F.lit(seed + 1), F.col(key), F.col(text)), F.lit(buckets)).cast("int").alias("bucket"),
+    # a key's rows are in one shard, which may so be much larger than others: each has buckets by its own size
+    totals = dict(map(tuple, df.groupBy(shard_of(key, shards, seed)).agg(F.sum(size)).collect()))
+    buckets = [max(1, math.ceil(totals.get(k, 0) / bucket_bytes)) for k in range(shards)]
+    of_shard = lambda values: F.element_at(F.array(*map(F.lit, values)), F.col("shard") + 1)
+    # rows equal in key and text can stand for each other: counted and numbered anew, they spread over buckets, too
+    equal = df.select(F.col(key).alias("key"), F.col(text).alias("text")).groupBy("key", "text").agg(F.count("*").alias("n"))
+    every = equal.select("key", "text", F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))).alias("nth"))
+    scattered = every.select(
+        "key",
+        "text",
+        (F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 8).alias("size"),
+        F.coalesce(F.crc32(F.col("text").cast("binary")), F.lit(0)).cast("long").alias("text_crc32"),
+        shard_of("key", shards, seed).cast("int").alias("shard"),
+        shard_of("key", shards + 1, seed).cast("int").alias("grown_shard"),
+        F.xxhash64(F.lit(seed + 1), "key", "text", "nth").alias("drawn"),
     )
-    # a task for each bucket: it holds about one, and the permutation depends on the data and the seed alone
-    alone = scattered.repartition(shards * buckets, "shard", "bucket")
-    held = alone.groupBy("shard", "bucket").agg(
-        F.shuffle(F.sort_array(F.collect_list(F.struct(key, text, "size", "text_crc32", "grown_shard"))), F.lit(seed)).alias("rows")
+    scattered = scattered.withColumn("bucket", F.pmod("drawn", of_shard(buckets)).cast("int")).drop("drawn")
+    # each bucket is a partition of its own; the permutation depends on the data and the seed alone
+    number = (of_shard([sum(buckets[:k]) for k in range(shards)]) + F.col("bucket")).alias("number")
+    alone = scattered.select("*", number).repartitionById(sum(buckets), "number")
+    held = alone.groupBy("number").agg(
+        F.shuffle(F.sort_array(F.collect_list(F.struct("key", "text", "size", "text_crc32", "grown_shard"))), F.lit(seed)).alias("rows")
     )
     counts = scattered.groupBy("shard", "bucket").agg(F.count("*").alias("n"))
     before = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select("shard", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
-    placed = held.join(starts, ["shard", "bucket"]).select("shard", "bucket", "start", F.posexplode("rows").alias("at", "row"))
+    starts = counts.select(number, "shard", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    placed = held.join(starts, "number").select("shard", "bucket", "start", F.posexplode("rows").alias("at", "row"))
     return placed.select(
-        F.col(f"row.{key}").alias(key),
-        F.col(f"row.{text}").alias(text),
+        F.col("row.key").alias(key),
+        F.col("row.text").alias(text),
         "row.size",
         "row.text_crc32",
         F.lit(LAW).alias("law"),

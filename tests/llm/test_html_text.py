@@ -85,3 +85,20 @@ def test_marks_in_capitals_open_heads_and_formulas():
     assert text(f"<html><head><script>var a = '<p>';</script>{words}") == words.strip()
     assert text(f"<p>{words}<math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds</p>") == f"{words.strip()} x=2 holds"
     assert text("<p>a < b <!-- c --> d <? e ?> f <![CDATA[ g ]]> h <3 i") == "a < b d f h <3 i"
+
+
+def test_words_that_only_sound_like_marks_lose_nothing():
+    def text(html):
+        page = html_text.Page(html)
+        return page.text(html_text.best(page.scores()))
+
+    words = "some words of the article that go on for a while, so that it is long enough."
+    menu = '<nav><a href="/">Home</a></nav><div class="sidebar"><p>Other things that the site has, in a line or two.</p></div>'
+    for around in ('<div class="content-banner-layout">', '<div class="with-sidebar">', '<form id="aspnetForm"><div>', '<div class="widget">', '<div id="popup" class="modal">'):
+        assert text(f'<body class="has-sidebar">{around}{menu}<p>{words}</p><p>{words}</p>') == f"{words}\n{words}", around
+    for inside in ('<p class="share-price">', '<p class="social-history">', '<section id="comment-on-law">', '<div class="related-work">'):
+        assert text(f"<article><p>{words}</p>{inside}{words}") == f"{words}\n{words}", inside
+    for gone in ('<div class="share-buttons">', '<div class="related-posts">', '<section id="comments">', '<div class="ad-slot top">', '<ul class="promo-links">', '<div class="cookie-consent-box">'):
+        assert text(f"<article><p>{words}</p>{gone}<p>{words}") == words, gone
+    links = '<div class="our-related-picks"><p><a>one thing</a> <a>another thing</a></p></div>'
+    assert text(f"<article><p>{words}</p>{links}</article>") == words

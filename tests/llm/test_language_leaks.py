@@ -5,6 +5,7 @@ import random
 import re
 import unicodedata
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from playmart.llm import decontam, langid, shingles
@@ -216,3 +217,28 @@ def test_large_benchmarks_are_judged_alike(spark, monkeypatch):
     clash = df.select("doc_id", "text", F.lit("x").alias("_lower"), F.lit(2).alias("leaks"), F.lit(3).alias("Digest"))
     assert rows(decontam.remove_leaks(clash, bench).select("doc_id", "text")) == stays
     assert rows(decontam.leaks(df, bench)) == want
+
+
+def test_tiling_of_repetitive_texts_is_quick_and_plain():
+    import time
+
+    rng = np.random.default_rng(11)
+    for item, doc in (([1] * 12, [1] * 40), ([1, 2, 3] * 6, [1, 2, 3] * 9 + [4] + [2, 3, 1] * 5), ([1] * 9 + [2] + [1] * 6, [1] * 30), ([*range(8), *range(8)], [*range(5), *range(8), *range(3, 8)])):
+        item, doc = np.array(item, "u8"), np.array(doc, "u8")
+        assert decontam.tiles(item, doc, 4) == plain_tiles(item.tolist(), doc.tolist(), 4)
+    for _ in range(60):
+        item, doc = rng.integers(0, 2, rng.integers(1, 25)), rng.integers(0, 2, rng.integers(1, 60))
+        assert decontam.tiles(item.astype("u8"), doc.astype("u8"), 4) == plain_tiles(item.tolist(), doc.tolist(), 4)
+    five = np.arange(50_000) % 5
+    for item, doc in ((np.ones(400), np.ones(40_000)), (np.ones(50_000), np.ones(50_000)), (five, five[2:]), (five[:400], np.concatenate((five, np.ones(5), five)))):
+        began = time.time()
+        found = decontam.tiles(item.astype("u8"), doc.astype("u8"), 4)
+        assert sum(t[0] for t in found) >= len(item) - 3 and time.time() - began < 4
+
+
+def test_names_with_dots_and_marks_pass(spark):
+    names = ["a.b", "c`d", "e f", "leaks", "lower"]
+    df = spark.createDataFrame([(k, "plain words of a text that is said again", "en", 1, 2, 3, 4, 5) for k in range(20)], "doc_id long, text string, lang string, v int, w int, x int, y int, z int").toDF("doc_id", "text", "lang", *names)
+    bench = spark.createDataFrame([(1, "another thing that nobody says here at all")], "item_id long, text string")
+    for kept in (langid.keep_identified(df), decontam.remove_leaks(df, bench)):
+        assert kept.columns == df.columns and kept.count() == 20 and tuple(kept.first())[3:] == (1, 2, 3, 4, 5)

@@ -118,3 +118,24 @@ def test_slots_are_spread_evenly(spark):
     assert len(cells) == 32 and sum((n - 375) ** 2 / 375 for n in cells.values()) < 60  # chi-square, 18 degrees of freedom
     other = sharding.shuffle_into_shards(df.repartition(5), shards=2, bucket_bytes=1 << 16).collect()
     assert {(r["doc_id"], r["slot"]) for r in other} == {(r["doc_id"], r["slot"]) for r in rows}
+
+
+def test_windows_keep_their_budget_as_written(spark):
+    """Control strings inside texts are escaped, and the escaped text is what a window's tokens are counted on."""
+    said = "<|im|>user <~ <|end|> " * 30
+    rows = [("a.b", k % 2, k, "user" if k % 2 == 0 else "assistant", said[: 40 + 97 * k % 500] + f" {k}") for k in range(120)]
+    df = spark.createDataFrame(rows, "`x.y` string, z int, turn int, role string, text string").withColumn("conv_id", F.lit(1))
+    out = chat.format_windows(df, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, budget=600, history=200).collect()
+    encode = chat._encoder(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    assert len(out) > 3
+    for r in out:
+        n = len(encode([r["text"]])[0])
+        assert n == r["n_tokens"] and (n <= 600 or len(r["turns"]) - r["new_from"] == 1)
+    assert sum(len(r["turns"]) - r["new_from"] for r in out) == 120
+
+
+def test_equal_rows_spread_over_buckets(spark):
+    rows = spark.range(4000).select(F.lit(7).alias("doc_id"), F.lit("one text for all of them").alias("text"), F.col("id").alias("a.b"))
+    out = sharding.shuffle_into_shards(rows, bucket_bytes=1000)
+    assert out.groupBy("bucket").count().agg(F.max("count")).first()[0] < 100
+    assert sorted(r["slot"] for r in out.collect()) == list(range(4000)) and out.select("shard").distinct().count() == 1
