@@ -20,8 +20,8 @@ def daily_profile(rows: DataFrame, column: str, window: Window | None = None, ex
     return kept.where(F.col(column).isNotNull()).groupBy(F.to_date(column).alias("day")).agg(F.count("*").alias("n"))
 
 
-def volume_windows(rows: DataFrame, column: str, limit: int = 900_000) -> DataFrame:
-    """Rows with a `window_id`: consecutive days fill a window up to the limit; a larger day stands alone.
+def window_plan(rows: DataFrame, column: str, limit: int = 900_000) -> DataFrame:
+    """Day and window of every day with rows: consecutive days fill a window up to the limit; a larger day stands alone.
 
     The fold runs over one entry per day.
     """
@@ -36,7 +36,12 @@ def volume_windows(rows: DataFrame, column: str, limit: int = 900_000) -> DataFr
             F.concat(acc["out"], F.array(F.struct(d["day"].alias("day"), number.alias("window_id")))).alias("out"),
         )
 
-    plan = days.select(F.explode(F.aggregate("days", start, step)["out"]).alias("w")).select("w.day", "w.window_id")
+    return days.select(F.explode(F.aggregate("days", start, step)["out"]).alias("w")).select("w.day", "w.window_id")
+
+
+def volume_windows(rows: DataFrame, column: str, limit: int = 900_000) -> DataFrame:
+    """Rows with the `window_id` of their day."""
+    plan = window_plan(rows, column, limit)
     return rows.withColumn("day", F.to_date(column)).join(F.broadcast(plan), "day").drop("day")
 
 

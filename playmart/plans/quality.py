@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from playmart.functions.scratch import shared_path
 from playmart.functions.time import Window
 from playmart.operators import activity, backfill, cdc, protect, quality, source_marts
 from playmart.plans.activity import ACTIVE, METRICS_SQL
 from playmart.plans.bonus import LIVE, live
 from playmart.plans.registry import query
+from playmart.sources.backfills import backfill_log, read_backfill, run_backfill
 from playmart.sources.testdata import Data
 
 MONEY = "decimal(18,2)"
@@ -235,6 +237,34 @@ def K6_backfill(d: Data) -> DataFrame:
     return backfill.backfill(d.v_grants, YEAR.start, YEAR.end, 5000)[0].select("id", "version")
 
 
+_LIVING = """SELECT l_orderkey * 10 + l_linenumber AS id, l_partkey * 1000000 + l_suppkey * 100 + CAST(l_quantity AS INT) AS version, l_shipdate AS synced_at, l_shipdate AS awarding_time FROM lineitem
+    WHERE NOT (l_returnflag = 'N' AND l_linestatus = 'O') AND l_partkey % 50 <> 7"""
+
+
+def _loaded(d: Data) -> str:
+    """A backfill that broke off after three windows and was run again."""
+    path = shared_path(d.spark, "backfill")
+    run_backfill(d.v_grants, path, YEAR.start, YEAR.end, LIMIT, at_most=3)
+    run_backfill(d.v_grants, path, YEAR.start, YEAR.end, LIMIT)
+    return path
+
+
+@query(
+    f"""WITH {_GREEDY} SELECT id, version, CAST(window_id AS INTEGER) AS window_id FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY version DESC, synced_at DESC) AS rn FROM ({_LIVING})
+      JOIN fold ON CAST(awarding_time AS DATE) = day) WHERE rn = 1"""
+)
+def K6_backfill_table(d: Data) -> DataFrame:
+    return read_backfill(d.spark, _loaded(d)).select("id", "version", "window_id")
+
+
+@query(
+    f"""WITH {_GREEDY} SELECT CAST(w.window_id AS INTEGER) AS window_id, CAST(min(w.day) AS DATE) AS first_day, CAST(max(w.day) AS DATE) AS last_day, CAST(count(DISTINCT id) AS BIGINT) AS source_n, CAST(count(DISTINCT id) AS BIGINT) AS target_n, true AS equal
+    FROM fold w LEFT JOIN ({_LIVING}) ON CAST(awarding_time AS DATE) = w.day GROUP BY 1"""
+)
+def K6_backfill_log(d: Data) -> DataFrame:
+    return backfill_log(d.spark, _loaded(d))
+
+
 @query(
     f"""SELECT id, version FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY version DESC, synced_at DESC) AS rn FROM v_grants WHERE is_deleted = 0 AND {_YEAR.format(c='creation_time')}) WHERE rn = 1 AND awarding_time IS NULL""",
     "v_grants",

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from playmart.functions.scratch import shared_path
-from playmart.functions.time import minutes
+from playmart.functions.time import minutes, ts
 from playmart.operators import cdc, tables
 from playmart.plans.registry import query
 from playmart.sources import files
@@ -233,6 +233,13 @@ def A15_low_cursor(d: Data) -> DataFrame:
     return tables.low_cursor({"bets": named(d.v_bets, "updated_at"), "grants": named(d.v_grants, "synced_at"), "none": named(d.v_balance.where("type_id = 1000"), "synced_at")})
 
 
+@query("SELECT least((SELECT max(ts) FROM events), (SELECT max(l_shipdate) FROM lineitem), (SELECT max(o_orderdate) FROM orders)) - INTERVAL 4 HOURS AS start")
+def A15_low_cursor_tables(d: Data) -> DataFrame:
+    times = {"events": "ts", "lineitem": "l_shipdate", "orders": "o_orderdate"}
+    low = files.low_cursor_of_tables(d.spark, [(f"{d.sf_dir}/{t}.parquet", c) for t, c in times.items()])
+    return d.spark.range(1).select(ts(low).alias("start"))
+
+
 @query("SELECT id, bet_time, bet_amount FROM v_bets WHERE CAST(bet_time AS DATE) IN (DATE '2024-01-03', DATE '2024-01-17')", "v_bets")
 def A16_read_by_event_days(d: Data) -> DataFrame:
     return files.read_by_event_days(d.v_bets.select("id", "bet_time", "bet_amount"), "bet_time", ["2024-01-03", "2024-01-17"])

@@ -6,9 +6,11 @@ from collections.abc import Callable, Sequence
 from datetime import date, datetime, timedelta
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType
+from pyspark.sql.types import DoubleType, FloatType, LongType, StructField, StructType
 
 from playmart.functions.time import Window, days, hours, ts
 
@@ -93,6 +95,46 @@ def merge_partitions(path: str, source: DataFrame, keys: Sequence[str], partitio
     merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
 
 
+def pushed_maximum(spark: SparkSession, path: str, column: str) -> DataFrame:
+    """One row, `newest`: the largest number in a column of whole numbers or times (as microseconds), taken from Parquet footers.
+
+    Spark gives maxima of numbers and days to the scan, not of times, so the column is read as its number. A file's
+    columns have to be in the table's order; a row group without statistics, as one of nulls alone, fails.
+    """
+    whole = StructType([StructField(f.name, LongType()) if f.name == column else f for f in spark.read.parquet(path).schema])
+    apart = spark.newSession()  # so that its settings are nobody else's
+    apart.conf.set("spark.sql.sources.useV1SourceList", "")
+    apart.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return apart.read.schema(whole).parquet(path).agg(F.max(column).alias("newest"))
+
+
+def newest_time(spark: SparkSession, path: str, column: str) -> datetime | None:
+    """The newest time of a Parquet table's column of times without zone; none without one.
+
+    The footers' maximum counts once a search for rows from there on, which statistics cut to the row groups that may
+    hold one, finds just that time. Whatever else holds (other units, other orders of columns, no statistics), the
+    column is scanned.
+    """
+    column_from = lambda df: df.agg(F.max(column).alias("newest")).first()["newest"]
+    table = spark.read.parquet(path)
+    try:
+        number = pushed_maximum(spark, path, column).first()["newest"]
+        claimed = None if number is None else datetime(1970, 1, 1) + timedelta(microseconds=number)
+    except (Py4JJavaError, PySparkException, OverflowError):
+        claimed = None
+    if claimed is not None and column_from(table.where(F.col(column) >= ts(claimed))) == claimed:
+        return claimed
+    return column_from(table)
+
+
+def low_cursor_of_tables(spark: SparkSession, tables: Sequence[tuple[str, str]], overlap_hours: int = 4) -> datetime:
+    """`operators.tables.low_cursor` over (path, time column) of stored tables, by their footers: the smallest of their newest times, less the overlap."""
+    newest = [t for t in (newest_time(spark, *table) for table in tables) if t is not None]
+    if not newest:
+        raise ValueError("all tables are empty")
+    return min(newest) - timedelta(hours=overlap_hours)
+
+
 def read_query(spark: SparkSession, sql: str, **frames: DataFrame) -> DataFrame:
     """An ad-hoc SELECT over frames, named in braces."""
     return spark.sql(sql, **frames)

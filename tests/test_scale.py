@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from playmart.operators import backfill, bonus, quality, tables
-from playmart.sources import files
+from playmart.sources import backfills, files
 
 
 def plan(df):
@@ -114,3 +114,85 @@ def test_sales_from_a_database(spark):
     assert found.rdd.getNumPartitions() == 4
     assert sorted(r[0] for r in found.collect()) == list(range(288, 480))
     assert files.read_sales_jdbc(spark, url, "sales", columns, "history", driver=driver).count() == 480
+
+
+@pytest.fixture
+def grants(spark, tmp_path):
+    """Days of 1 to 3 rows; a tombstone alone on a day; id 1 in two windows, newest in the first; a row without a time."""
+    day = lambda n: dt.datetime(2024, 1, n, 12)
+    rows = [(k, 1, day(1), 0, day(1 + k // 3)) for k in range(12)] + [(1, 0, day(1), 0, day(3)), (50, 1, day(1), 1, day(9)), (60, 1, day(1), 0, None), (2, 5, day(2), 0, day(1)), (70, 1, day(1), 0, day(20))]
+    spark.createDataFrame(rows, "id int, version int, synced_at timestamp_ntz, is_deleted int, awarding_time timestamp_ntz").write.parquet(str(tmp_path / "grants"))
+    return spark.read.parquet(str(tmp_path / "grants"))
+
+
+@pytest.mark.parametrize("at_once", [1, 2, 200])
+def test_a_backfill_goes_on_where_it_broke_off(spark, tmp_path, grants, at_once):
+    path = str(tmp_path / "filled")
+    span = ("2024-01-01 00:00:00", "2024-01-15 00:00:00", 4)
+    log = backfills.run_backfill(grants, path, *span, windows_at_once=at_once, at_most=2)
+    assert sorted(r["window_id"] for r in log.collect()) == [0, 1]
+    before = {f: f.stat().st_mtime_ns for f in (tmp_path / "filled" / "rows").glob("window_id=*/*.parquet")}
+    log = backfills.run_backfill(grants, path, *span, windows_at_once=at_once)
+    assert sorted((r["window_id"], r["first_day"].day, r["last_day"].day, r["source_n"], r["target_n"], r["equal"]) for r in log.collect()) == [
+        (0, 1, 1, 3, 3, True), (1, 2, 2, 3, 3, True), (2, 3, 3, 4, 4, True), (3, 4, 9, 3, 3, True),
+    ]
+    assert all(f.stat().st_mtime_ns == t for f, t in before.items())
+    loaded = backfill.backfill(grants, *span)[0]
+    assert sorted((r["id"], r["version"], r["window_id"]) for r in backfills.read_backfill(spark, path).collect()) == sorted((r["id"], r["version"], r["window_id"]) for r in loaded.collect())
+    files_now = {f: f.stat().st_mtime_ns for f in (tmp_path / "filled").glob("**/*.parquet")}
+    backfills.run_backfill(grants, path, *span)
+    assert files_now == {f: f.stat().st_mtime_ns for f in (tmp_path / "filled").glob("**/*.parquet")}
+
+
+def test_a_window_whose_files_are_lost_is_loaded_again(spark, tmp_path, grants):
+    path = str(tmp_path / "filled")
+    span = ("2024-01-01 00:00:00", "2024-01-15 00:00:00", 4)
+    backfills.run_backfill(grants, path, *span)
+    whole = sorted(map(tuple, backfills.read_backfill(spark, path).select("id", "version").collect()))
+    # as a run leaves it whose count did not match
+    bad = backfills.backfill_log(spark, path).where("window_id = 1").withColumns({"target_n": F.lit(1).cast("long"), "equal": F.lit(False), "run": F.current_timestamp()})
+    bad.write.mode("append").parquet(f"{path}/log")
+    lost = next((tmp_path / "filled" / "rows" / "window_id=1").glob("*.parquet"))
+    lost.unlink()
+    assert sorted(r["equal"] for r in backfills.run_backfill(grants, path, *span).collect()) == [True] * 4
+    assert sorted(map(tuple, backfills.read_backfill(spark, path).select("id", "version").collect())) == whole
+
+
+def test_a_backfill_of_nothing(spark, tmp_path, grants):
+    assert backfills.run_backfill(grants, str(tmp_path / "none"), "2025-01-01 00:00:00", "2025-02-01 00:00:00").count() == 0
+
+
+def test_a_backfill_job_reads_its_days_only(spark, tmp_path, grants, monkeypatch):
+    scans = []
+    real = backfills.cdc.latest_row
+    monkeypatch.setattr(backfills.cdc, "latest_row", lambda df, keys: scans.append(plan(df)) or real(df, keys))
+    backfills.run_backfill(grants, str(tmp_path / "filled"), "2024-01-01 00:00:00", "2024-01-15 00:00:00", 4, windows_at_once=2)
+    pushed = [re.search(r"PushedFilters: \[(.*?)\], ReadSchema", s)[1] for s in scans]
+    assert len(pushed) == 2 and "LessThan(awarding_time,2024-01-03T00:00)" in pushed[0] and "GreaterThanOrEqual(awarding_time,2024-01-03T00:00)" in pushed[1]
+
+
+def test_newest_times_come_from_footers(spark, tmp_path, times):
+    path = str(tmp_path / "times")
+    assert "PushedAggregation: [MAX(at)]" in plan(files.pushed_maximum(spark, path, "at"))
+    assert files.newest_time(spark, path, "at") == dt.datetime(2024, 1, 10, 23)
+    schema = "id int, at timestamp_ntz"
+    for name, rows in {"empty": [], "nulls": [(1, None)], "some": [(1, None), (2, dt.datetime(1969, 5, 1, 0, 0, 0, 7))]}.items():
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(tmp_path / name))
+    # a file whose columns are in another order, so that the footer's place is another column
+    times.where("id < 200").select("id", "at").write.parquet(str(tmp_path / "mixed"))
+    times.where("id >= 200").select("at", "id").write.mode("append").parquet(str(tmp_path / "mixed"))
+    newest = {name: files.newest_time(spark, str(tmp_path / name), "at") for name in ("empty", "nulls", "some", "mixed")}
+    assert newest == {"empty": None, "nulls": None, "some": dt.datetime(1969, 5, 1, 0, 0, 0, 7), "mixed": dt.datetime(2024, 1, 10, 23)}
+    assert files.low_cursor_of_tables(spark, [(path, "at"), (str(tmp_path / "empty"), "at")]) == dt.datetime(2024, 1, 10, 19)
+    with pytest.raises(ValueError):
+        files.low_cursor_of_tables(spark, [(str(tmp_path / "empty"), "at")])
+
+
+@pytest.mark.parametrize("unit", ["ms", "us"])
+def test_newest_times_of_files_in_other_units(spark, tmp_path, unit):
+    pa = pytest.importorskip("pyarrow")
+    import pyarrow.parquet as pq
+
+    (tmp_path / "t").mkdir()
+    pq.write_table(pa.table({"id": [1, 2], "at": pa.array([dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2)], pa.timestamp(unit))}), tmp_path / "t" / "a.parquet")
+    assert files.newest_time(spark, str(tmp_path / "t"), "at") == dt.datetime(2024, 1, 2)
