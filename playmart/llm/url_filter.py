@@ -14,10 +14,10 @@ are judged alike. Empty table: empty result. Only the named columns are read; ot
 from __future__ import annotations
 
 import hashlib
-import os
 import tempfile
 from collections.abc import Iterable
 from dataclasses import dataclass
+from typing import BinaryIO
 
 import numpy as np
 import pandas as pd
@@ -79,12 +79,12 @@ def build_index(rules: Iterable[Rule]) -> bytes:
 
 
 class DigestIndex:
-    """A serialised index, memory-mapped from the worker's own temporary folder."""
+    """A serialised index, memory-mapped from a file of the worker's own."""
 
     _open: dict[str, DigestIndex] = {}
 
-    def __init__(self, path: str) -> None:
-        raw = np.memmap(path, dtype="u1", mode="r")
+    def __init__(self, file: str | BinaryIO) -> None:
+        raw = np.memmap(file, dtype="u1", mode="r")
         n, m = (int(x) for x in raw[:16].view("<u8"))
         at = 16
         self.keys = raw[at : at + 8 * n].view("<u8")
@@ -98,15 +98,13 @@ class DigestIndex:
 
     @classmethod
     def of(cls, data: bytes) -> DigestIndex:
-        name = hashlib.sha256(data).hexdigest()[:24]
+        name = hashlib.sha256(data).hexdigest()
         if name not in cls._open:
-            path = os.path.join(tempfile.gettempdir(), f"url-digests-{name}.idx")
-            if not os.path.exists(path):
-                part = f"{path}.{os.getpid()}"
-                with open(part, "wb") as f:
-                    f.write(data)
-                os.replace(part, path)
-            cls._open[name] = cls(path)
+            # a file without a name: no other process finds or leaves one, and it goes with the mapping
+            with tempfile.TemporaryFile() as f:
+                f.write(data)
+                f.flush()
+                cls._open[name] = cls(f)
         return cls._open[name]
 
     def find(self, candidates: list[str]) -> np.ndarray:
@@ -165,19 +163,23 @@ def judge_urls(df: DataFrame, rules: Iterable[Rule], id_col: str = "page_id", ur
 def judge_by_join(df: DataFrame, rules: DataFrame, path_lengths: list[int], id_col: str = "page_id", url_col: str = "url", default: str = "allow") -> DataFrame:
     """The same for rule tables (host, path, verdict) of any size: candidate digests joined to rule digests.
 
-    `path_lengths`: the distinct lengths of rule paths. Ids must be unique here.
+    `path_lengths`: the distinct lengths of rule paths. A url is judged once by its host and path, whatever the ids of
+    its rows are (null and repeated ids, too).
     """
     key = F.concat("host", "path")
     stored = rules.select(F.xxhash64(key).alias("digest"), key.alias("rule"), "verdict").groupBy("digest", "rule").agg(F.max("verdict").alias("verdict"))
-    parsed = df.select(F.col(id_col), url_host(F.col(url_col)).alias("host"), url_path(F.col(url_col)).alias("path"))
+    parsed = df.select(F.col(id_col).alias("_id"), url_host(F.col(url_col)).alias("host"), url_path(F.col(url_col)).alias("path"))
     labels = F.split("host", r"\.")
     probes = (
         parsed.where(F.col("host") != "")
+        .select("host", "path")
+        .distinct()
         .select("*", F.explode(F.sequence(F.lit(1), F.size(labels))).alias("_k"))
         .select("*", F.explode(F.array(*map(F.lit, path_lengths))).alias("_n"))
         .where(F.length("path") >= F.col("_n"))
-        .select(id_col, F.concat(F.array_join(F.slice(labels, F.col("_k"), F.size(labels)), "."), F.expr("substring(path, 1, _n)")).alias("candidate"))
+        .select("host", "path", F.concat(F.array_join(F.slice(labels, F.col("_k"), F.size(labels)), "."), F.expr("substring(path, 1, _n)")).alias("candidate"))
     )
     hits = probes.join(stored, (F.xxhash64("candidate") == F.col("digest")) & (F.col("candidate") == F.col("rule")))
-    best = hits.groupBy(id_col).agg(F.max(F.struct(F.length("rule"), F.length(F.substring_index("rule", "/", 1)), "rule", "verdict")).alias("b"))
-    return parsed.join(best, id_col, "left").select(id_col, "host", "path", F.col("b.rule").alias("rule"), F.coalesce("b.verdict", F.lit(default)).alias("verdict"))
+    best = hits.groupBy("host", "path").agg(F.max(F.struct(F.length("rule"), F.length(F.substring_index("rule", "/", 1)), "rule", "verdict")).alias("b"))
+    judged = parsed.join(best, ["host", "path"], "left")
+    return judged.select(F.col("_id").alias(id_col), "host", "path", F.col("b.rule").alias("rule"), F.coalesce("b.verdict", F.lit(default)).alias("verdict"))

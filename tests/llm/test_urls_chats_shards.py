@@ -37,6 +37,15 @@ def test_urls(spark, small):
     assert url_filter.judge_urls(df.limit(0), queries.URL_RULES).count() == 0
 
 
+def test_rows_without_an_id_or_with_one_id_are_judged_by_their_url(spark):
+    rows = [(None, "http://net/a"), (None, "http://org/de"), (1, "http://example.com/de/x"), (1, "http://org/fr/"), (1, None), (None, "http://net/a")]
+    df = spark.createDataFrame([(*r, "x") for r in rows], "page_id long, url string, rule string")
+    rules = spark.createDataFrame([(r.host, r.path, r.verdict) for r in queries.URL_RULES], "host string, path string, verdict string")
+    want = sorted((str(i), *judged(u)) for i, u in rows)
+    for found in (url_filter.judge_urls(df, queries.URL_RULES), url_filter.judge_by_join(df, rules, [1, 4])):
+        assert sorted(((str(r[0]), *r[1:]) for r in found.collect()), key=str) == sorted(want, key=str)
+
+
 def test_equal_digests_do_not_decide(monkeypatch):
     monkeypatch.setattr(url_filter.xxhash, "xxh64_intdigest", lambda s: 7)
     index = url_filter.DigestIndex.of(url_filter.build_index([url_filter.Rule("a.b", "/", "block"), url_filter.Rule("c.d", "/", "allow")]))
