@@ -1,7 +1,7 @@
 """Language identification: sparse multinomial logistic regression on TF-IDF character n-grams.
 
-Features are hashed 1- to 3-grams of the lower-cased text, everything but letters beyond and within ASCII
-read as space; weights are (1 + log tf) * idf, of length one. Document frequencies come from all rows that may
+Features are hashed 1- to 3-grams of the lower-cased text; of ASCII only letters count and all else reads as space,
+characters beyond ASCII (letters, digits and marks) stay as they are; values are (1 + log tf) * idf, of length one. Document frequencies come from all rows that may
 be learned from. Weights are trained by follow-the-regularised-leader (proximal) with elastic-net penalties on
 a bounded sample of these rows (`rows_per_label`, by hash of the id), in one task; a fifth of the sample is held
 back to calibrate the temperature of the softmax. Prediction reads every whole text. On the test tables four in five

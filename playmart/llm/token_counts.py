@@ -81,7 +81,11 @@ def count_tokens(
     batch_bytes: int = 1 << 20,
     cache_entries: int = 400_000,
 ) -> DataFrame:
-    """(id, n_bytes, n_tokens, over_limit) of every row. `model`: path of the sentencepiece model on every machine."""
+    """(id, n_bytes, n_tokens, over_limit) of every row. `model`: path of the sentencepiece model on every machine.
+
+    Spark ends an Arrow batch after 64 MB (`spark.sql.execution.arrow.maxBytesPerBatch`) or at the text that passes it;
+    within a batch, `batch_bytes` are encoded at once.
+    """
     rows = df.select(F.col(id_col), F.coalesce(F.col(text_col), F.lit("")).alias(f"{id_col}_text"))
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

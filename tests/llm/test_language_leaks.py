@@ -20,6 +20,63 @@ def test_held_out_accuracy_and_calibration(spark, small):
     assert abs(sum(r["score"] for r in rows) / len(rows) - sum(right) / len(rows)) < 0.05
 
 
+def plain_features(text, idf):
+    """Hashed 1- to 3-grams of one text by plain integers, as values of length one."""
+    c = [ord(x) if ord(x) > 127 or "a" <= x <= "z" else 32 for x in text]
+    factors = (0x9E3779B1, 0xC2B2AE35, 0x27D4EB2F)
+    grams = [list(zip(c[i : i + n], factors, strict=False)) for n in (1, 2, 3) for i in range(len(c) - n + 1)]
+    tf = {}
+    for gram in grams:
+        chars = [x for x, _ in gram]
+        if chars[0] == 32 and len(chars) == 1 or len(chars) == 2 and set(chars) == {32} or len(chars) == 3 and chars[1] == 32:
+            continue
+        h = 0
+        for x, factor in gram:
+            h = (h * 31 + x * factor) % 2**32
+        b = ((h ^ h >> 15) * 0x85EBCA6B % 2**32 >> 9) % langid.BUCKETS
+        tf[b] = tf.get(b, 0) + 1
+    value = {b: (1 + math.log(n)) * idf[b] for b, n in tf.items()}
+    norm = math.sqrt(sum(v * v for v in value.values()))
+    return {b: v / norm for b, v in value.items()}
+
+
+def plain_prediction(text, model):
+    logit = list(model.weights[:, -1])
+    for b, v in plain_features(text, model.idf).items():
+        logit = [s + v * w for s, w in zip(logit, model.weights[:, b], strict=True)]
+    e = [math.exp((s - max(logit)) / model.temperature) for s in logit]
+    return model.labels[e.index(max(e))], max(e) / sum(e)
+
+
+def test_features_and_predictions_are_those_of_a_plain_version(spark, tiny):
+    rng = np.random.default_rng(3)
+    model = langid.Model(["a", "b", "c"], rng.normal(size=(3, langid.BUCKETS + 1)), rng.uniform(0.5, 9, langid.BUCKETS), 1.7)
+    own = ["x", "xy", "x y", " xyz ", "a1b22c", "Ünïcödé, naïve!", "漢字かな交じり文 and more", "aaaa aaaa", "ß\u0301\U0001F600z", "-- x --", "abc" * 40_000, "Ж"]
+    texts = own + [r["text"] for r in spark.read.parquet(f"{tiny}/documents.parquet").select("text").collect()]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string").coalesce(2)
+    low = {r["doc_id"]: r["low"] for r in df.select("doc_id", F.lower("text").alias("low")).collect()}
+    found = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in langid.predict(df, model).collect()}
+    assert len(found) == len(texts)
+    for i, t in enumerate(texts):
+        if t is None or not any(unicodedata.category(x).startswith("L") for x in t):
+            assert found[i] == ("und", 0.0)
+        else:
+            label, score = plain_prediction(low[i], model)
+            assert found[i][0] == label and abs(found[i][1] - score) < 1e-9
+
+
+def test_document_frequencies_are_those_of_a_plain_version(spark, tiny):
+    docs = spark.read.parquet(f"{tiny}/documents.parquet").where("text is not null").select("text")
+    ones = np.ones(langid.BUCKETS)
+    want = np.zeros(langid.BUCKETS, "i8")
+    low = [r[0] for r in docs.select(F.lower("text")).collect()]
+    for t in low:
+        if any(x > "\x7f" or x.isalpha() for x in t):
+            want[list(plain_features(t, ones))] += 1
+    got, n = langid.document_frequencies(docs)
+    assert n == len(low) and (got == want).all()
+
+
 def plain_ftrl(rows, labels, k, epochs, alpha, beta, l1, l2):
     """Per-coordinate FTRL-proximal in plain loops."""
     z, n = {}, {}
