@@ -44,6 +44,8 @@ TERMS = 1 << 16
 PIVOTS, PLACES = 64, 4
 #: Tokens of one index shard and of one range; seeds of a round; bytes of text encoded and tokens counted at once.
 SHARD_TOKENS, RANGE_TOKENS, SEEDS, ENCODED_BYTES, COUNTED_TOKENS = 6 << 20, 12 << 20, 64, 8 << 20, 1 << 19
+#: Numbers of the matrix by which documents are scored against the pivots at once.
+SCORED_NUMBERS = 8 << 20
 PIECE_SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 #: Letters, then ASCII punctuation without an apostrophe: the tokenizer parts the two.
 _TAILED = re.compile(r"([^\W\d_]+)([!-&(-/:-@\[-^`{-~]+)")
@@ -246,7 +248,7 @@ class Index:
         self.matrix[self.column[term[often]], owner[often]] = weight[often]
         rare = np.flatnonzero(~statistics.common[term])
         rare = rare[np.argsort(term[rare], kind="stable")]
-        self.owner, self.weight = owner[rare], weight[rare]
+        self.owner, self.weight = owner[rare].astype("i4"), weight[rare].astype("f4")
         self.many = np.bincount(term[rare], minlength=TERMS)
         self.first = np.cumsum(self.many) - self.many
         self.kept = np.arange(len(terms))
@@ -258,7 +260,7 @@ class Index:
         now = place[self.kept[self.owner]]
         term = np.repeat(np.arange(TERMS), self.many)[now >= 0]
         self.matrix = np.ascontiguousarray(self.matrix[:, np.isin(self.kept, positions)])
-        self.owner, self.weight = now[now >= 0], self.weight[now >= 0]
+        self.owner, self.weight = now[now >= 0].astype("i4"), self.weight[now >= 0]
         self.many = np.bincount(term, minlength=TERMS)
         self.first = np.cumsum(self.many) - self.many
         self.kept = positions
@@ -449,9 +451,10 @@ def ordered(docs: DataFrame, statistics: Statistics, pivots: int, seed: int) ->
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         columns, pivot, hashes = shared.value
+        rows = min(2048, SCORED_NUMBERS // max(1, len(pivot)))
         for batch in batches:
-            for at in range(0, batch.num_rows, 2048):
-                b = batch.slice(at, 2048)
+            for at in range(0, batch.num_rows, rows):
+                b = batch.slice(at, rows)
                 term, bounds = _values(b.column("terms"))
                 n = b.num_rows
                 owner, column = np.repeat(np.arange(n), np.diff(bounds)), columns[term]
