@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import weakref
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Paths of the tables of `written` that are still in use.
+_WRITTEN: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
+
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -28,7 +32,17 @@ def written(df: DataFrame, what: str) -> DataFrame:
     """Cut the lineage: write `df` as Parquet to the shared folder and read it back."""
     path = f"{shared_dir(df.sparkSession)}/{what}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    _WRITTEN[table] = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that `written` returned, once all that is read from them is written itself."""
+    for table in tables:
+        spark = table.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop(table))
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, written
+from .common import discard, fresh, written
 from .shingles import mix, shingle_hashes, slices, text_buffer
 
 _U = np.uint64
@@ -180,9 +180,11 @@ def connected_components(edges: DataFrame, what: str = "components") -> DataFram
         spread = labels.union(near).groupBy("node").agg(F.min("component").alias("component"))
         roots = labels.select(F.col("node").alias("component"), F.col("component").alias("root"))
         jumped = spread.join(roots, "component", "left").select("node", F.least("component", F.coalesce("root", "component")).alias("component"))
-        labels = written(jumped, what)
+        before, labels = labels, written(jumped, what)
+        discard(before)
         now = labels.agg(F.sum(F.col("component").cast("decimal(38,0)"))).first()[0]
         if now == total:
+            discard(both)
             return labels
         total = now
 
@@ -195,9 +197,12 @@ def merge_components(labels: DataFrame, edges: DataFrame, what: str = "component
         named = named.join(mine, side, "left").withColumn(f"{side}_component", F.coalesce(f"{side}_component", side))
     named = written(named, f"{what}-links")
     between = named.select(F.col("a_component").alias("a"), F.col("b_component").alias("b")).where("a <> b").distinct()
-    joined = connected_components(between, what).select(F.col("node").alias("component"), F.col("component").alias("joined"))
+    larger = connected_components(between, what)
+    joined = larger.select(F.col("node").alias("component"), F.col("component").alias("joined"))
     new = named.select(F.col("a").alias("node"), F.col("a_component").alias("component")).union(named.select("b", "b_component"))
-    return written(labels.union(new).distinct().join(joined, "component", "left").select("node", F.coalesce("joined", "component").alias("component")), what)
+    merged = written(labels.union(new).distinct().join(joined, "component", "left").select("node", F.coalesce("joined", "component").alias("component")), what)
+    discard(named, larger)
+    return merged
 
 
 def _in_blocks(rows: DataFrame) -> DataFrame:
@@ -290,7 +295,9 @@ def _classes(df: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     again = apart(labels).where(F.col("component") != F.col("main.component")).select(F.col("node").alias("a"), F.col("main.head").alias("b")).distinct()
     again = written(again.join(pairs, ["a", "b"], "left_anti"), "pairs")
-    labels = merge_components(labels, written(verify(again, texts), "links"))
+    links = written(verify(again, texts), "links")
+    interim = [groups, shared, pairs, texts, edges, again, links, labels]
+    labels = merge_components(labels, links)
     blocks = {"main_blocks": F.ceil(F.col("main.n") / BLOCK).cast("int"), "rest_blocks": F.ceil(F.col("others") / BLOCK).cast("int")}
     left = apart(labels).withColumns(blocks).withColumn("is_main", F.col("component") == F.col("main.component"))
     left = written(left.select("key", "node", "component", "is_main", *blocks), "apart")
@@ -299,8 +306,10 @@ def _classes(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     rest = _in_blocks(left.join(marks, "node"))
     rest = written(rest.join(pairs.union(again), ["a", "b"], "left_anti"), "pairs")
     found = written(verify(rest, texts), "links")
+    interim += [left, rest, found, labels]
     if not found.isEmpty():
         labels = merge_components(labels, found)
+        interim.append(labels)
 
     classes = groups.join(labels, "node", "left").select("digest", "id", F.coalesce("component", "node").alias("component"))
     names = classes.groupBy("component").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "digest")).alias("first"))
@@ -308,7 +317,9 @@ def _classes(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     named = classes.join(names, "component").select(
         "digest", "id", F.coalesce("first.id", -1 - F.col("component")).alias("class_id"), (F.col("digest") == F.col("first.digest")).alias("head")
     )
-    return sketches.select("doc_id", "digest"), written(named, "classes")
+    named = written(named, "classes")
+    discard(*interim)
+    return sketches.select("doc_id", "digest"), named
 
 
 def near_duplicates(df: DataFrame) -> DataFrame:

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import discard, written
 from .minhash import connected_components, merge_components
 from .shingles import mix, slices, text_buffer
 
@@ -234,13 +234,18 @@ def components(prints: DataFrame, code: tuple[int, int] | None = None, part_rows
     parts = F.ceil(F.coalesce("rows", F.lit(0)) / part_rows).cast("int")
     dealt = seen.join(large, "anchor", "left") if some else seen.withColumn("rows", F.lit(0))
     dealt = dealt.withColumn("part", F.when(parts > 1, F.pmod(F.xxhash64("print", "anchor"), parts)).otherwise(0).cast("int"))
-    labels = connected_components(written(_within_parts(dealt, threshold), "simhash-links"), "simhash-components")
+    links = written(_within_parts(dealt, threshold), "simhash-links")
+    labels = connected_components(links, "simhash-components")
+    interim = [seen, large, links]
     if some:
         rows = seen.join(large.select("anchor"), "anchor", "left_semi").join(labels.withColumnRenamed("node", "print"), "print", "left")
         rows = written(rows.withColumn("component", F.coalesce("component", "print")), "simhash-apart")
         found = written(_across_parts(rows, part_rows, threshold), "simhash-links")
+        interim += [rows, found]
         if not found.isEmpty():
+            interim.append(labels)
             labels = merge_components(labels, found, "simhash-components")
+    discard(*interim)
     return labels.withColumnRenamed("node", "print")
 
 

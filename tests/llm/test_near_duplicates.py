@@ -1,13 +1,15 @@
 """BagMinHash near-duplicates against brute force, and its signatures against the exact similarity."""
 
+import os
 import random
 from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from test_language_leaks import words as word_list
 
-from playmart.llm import minhash, shingles
+from playmart.llm import common, minhash, shingles, simhash
 
 SCHEMA = "doc_id long, text string, lang string"
 
@@ -141,3 +143,20 @@ def test_large_components_meet_only_the_rest(spark):
     rows += [(1000 + k, " ".join([*line[:110], *(f"u{k}x{i}" for i in range(60))])) for k in range(40)]
     got = {r["doc_id"]: r["class_id"] for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == {k: 0 if k < 1000 else k for k, _ in rows}
+
+
+def test_tables_on_the_way_are_deleted(spark, tmp_path, monkeypatch):
+    """Only the tables that the result reads are left, and tables of others are never deleted."""
+    monkeypatch.setattr(common, "shared_dir", lambda spark: str(tmp_path))
+    w = [f"w{k}" for k in range(200)]
+    texts = [" ".join(w[k // 3 : 150 + k // 3]) for k in range(12)] + [" ".join(w[::-1])]
+    df = spark.createDataFrame([(k, t, "en") for k, t in enumerate(texts)], SCHEMA)
+    found = minhash.near_duplicates(df)
+    assert {f.split("-")[0] for f in os.listdir(tmp_path)} == {"sketches", "classes"}
+    assert {r["doc_id"]: r["class_id"] for r in found.collect()} == {k: 0 for k in range(12)} | {12: 12}
+    before = set(os.listdir(tmp_path))
+    found = simhash.near_duplicates(df, part_rows=2)
+    assert {f.rpartition("-")[0] for f in set(os.listdir(tmp_path)) - before} == {"simhash-prints", "simhash-different", "simhash-components"}
+    assert found.count() == 13
+    with pytest.raises(KeyError):
+        common.discard(df)
