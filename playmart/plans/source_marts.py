@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from playmart.functions.time import Window
 from playmart.operators import source_marts as marts
 from playmart.plans.registry import query
+from playmart.sources import files
 from playmart.sources.testdata import Data
 
 START = "2024-01-25 00:00:00"
@@ -153,6 +154,14 @@ def C13_freshness_gate(d: Data) -> DataFrame:
     return marts.freshness_gate(d.v_balance, "created_at", "2024-02-01")
 
 
+@query(
+    """WITH n AS (SELECT max(CAST(o_orderdate - INTERVAL 3 HOURS AS DATE)) AS newest_day FROM orders)
+    SELECT newest_day, CAST(DATE '2001-08-02' - 1 - newest_day AS INTEGER) AS days_late, CASE WHEN DATE '2001-08-02' - 1 - newest_day <= 0 THEN 'ok' WHEN DATE '2001-08-02' - 1 - newest_day = 1 THEN 'skip' ELSE 'fail' END AS gate FROM n"""
+)
+def C13_freshness_gate_table(d: Data) -> DataFrame:
+    return files.freshness_of_table(d.spark, f"{d.sf_dir}/orders.parquet", "o_orderdate", "2001-08-02")
+
+
 @query(
     """WITH u AS (SELECT id, status FROM v_user WHERE id % 10 <> 3), c AS (SELECT user_id AS id, CAST(sum(deposit_qty) AS BIGINT) AS deposits FROM v_user_daily WHERE user_id % 10 <> 4 GROUP BY 1),
     b AS (SELECT client_id AS id, CAST(count(*) AS BIGINT) AS bets FROM v_bets GROUP BY 1)

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, LongType, StructField, StructType
 
 from playmart.functions.time import Window, days, hours, ts
+from playmart.operators.source_marts import freshness_gate
 
 
 def read_changes(df: DataFrame, column: str, start: datetime | str | None = None, end: datetime | str | None = None) -> DataFrame:
@@ -135,6 +136,12 @@ def low_cursor_of_tables(spark: SparkSession, tables: Sequence[tuple[str, str]],
     return min(newest) - timedelta(hours=overlap_hours)
 
 
+def freshness_of_table(spark: SparkSession, path: str, column: str, as_of: date | str, offset_hours: int = -3) -> DataFrame:
+    """`operators.source_marts.freshness_gate` over a stored table, by its footers. The newest time has the newest local day, as the offset is one for all."""
+    newest = spark.createDataFrame([(newest_time(spark, path, column),)], "newest timestamp_ntz")
+    return freshness_gate(newest, "newest", as_of, offset_hours)
+
+
 def read_query(spark: SparkSession, sql: str, **frames: DataFrame) -> DataFrame:
     """An ad-hoc SELECT over frames, named in braces."""
     return spark.sql(sql, **frames)

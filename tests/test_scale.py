@@ -8,7 +8,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from playmart.operators import backfill, bonus, quality, tables
+from playmart.operators import backfill, bonus, quality, source_marts, tables
 from playmart.sources import backfills, files
 
 
@@ -188,6 +188,20 @@ def test_newest_times_come_from_footers(spark, tmp_path, times):
         files.low_cursor_of_tables(spark, [(str(tmp_path / "empty"), "at")])
 
 
+def test_freshness_comes_from_footers(spark, tmp_path, times):
+    """Newest time 2024-01-10 23:00; the same row as over the table itself, also without rows."""
+    path, empty = str(tmp_path / "times"), str(tmp_path / "empty")
+    times.limit(0).write.parquet(empty)
+    gates = {}
+    for as_of in ("2024-01-10", "2024-01-11", "2024-01-12", "2024-01-13"):
+        for offset in (-3, 0, 3):
+            row = files.freshness_of_table(spark, path, "at", as_of, offset).first()
+            assert row == source_marts.freshness_gate(times, "at", as_of, offset).first()
+            gates[as_of, offset] = row["gate"]
+    assert [gates[f"2024-01-1{k}", -3] for k in range(4)] == ["ok", "ok", "skip", "fail"] and gates["2024-01-13", 3] == "skip"
+    assert files.freshness_of_table(spark, empty, "at", "2024-01-10").first() == (None, None, "fail")
+
+
 @pytest.mark.parametrize("unit", ["ms", "us"])
 def test_newest_times_of_files_in_other_units(spark, tmp_path, unit):
     pa = pytest.importorskip("pyarrow")
