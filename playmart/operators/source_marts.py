@@ -130,8 +130,8 @@ def bonus_dim(bonuses: DataFrame, partner: int | None = None) -> DataFrame:
 
 def bonus_product_bridge(bridge: DataFrame, bonuses: DataFrame, partner: int) -> DataFrame:
     """Newest bridge rows of the partner's living bonuses; several versions of a bonus do not multiply them."""
-    mine = bonuses.where((F.col("partner_id") == partner) & (F.col("is_deleted") == 0)).select("bonus_id")
-    return cdc.drop_deleted(bridge.join(mine, "bonus_id"), ["id"])
+    mine = bonuses.where((F.col("partner_id") == partner) & (F.col("is_deleted") == 0)).select("bonus_id").distinct()
+    return cdc.drop_deleted(bridge.join(mine, "bonus_id", "left_semi"), ["id"])
 
 
 def trigger_ref_patch(grants: DataFrame, windows: Sequence[Window], columns: Sequence[str], time: str = "synced_at") -> DataFrame:

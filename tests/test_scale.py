@@ -210,3 +210,11 @@ def test_newest_times_of_files_in_other_units(spark, tmp_path, unit):
     (tmp_path / "t").mkdir()
     pq.write_table(pa.table({"id": [1, 2], "at": pa.array([dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2)], pa.timestamp(unit))}), tmp_path / "t" / "a.parquet")
     assert files.newest_time(spark, str(tmp_path / "t"), "at") == dt.datetime(2024, 1, 2)
+
+
+def test_versions_of_a_bonus_do_not_multiply_bridge_rows_on_the_way(spark):
+    bridge = spark.createDataFrame([(k, 1, None, 0, k % 3) for k in range(10)], "id int, version int, synced_at timestamp_ntz, is_deleted int, bonus_id int")
+    bonuses = spark.createDataFrame([(1, 180, 0)] * 50 + [(2, 180, 1), (0, 181, 0)], "bonus_id int, partner_id int, is_deleted int")
+    found = source_marts.bonus_product_bridge(bridge, bonuses, 180)
+    assert "LeftSemi" in plan(found) and "Inner" not in plan(found)
+    assert sorted(r["id"] for r in found.collect()) == [1, 4, 7]
