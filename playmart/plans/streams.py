@@ -58,8 +58,9 @@ def S2_stream_burst(d: Data) -> DataFrame:
     "v_bets",
 )
 def S3_stream_reuse(d: Data) -> DataFrame:
-    found = jobs.stream_reuse(view_stream(d, "v_bets"), "bet_time", "product_id", least=2)
-    return collected(d, found, ["client_id", "product_id", "window_start"])
+    rows = view_stream(d, "v_bets").select("client_id", "product_id", "bet_time")
+    found = jobs.run_windows(rows, shared_path(d.spark, "reuse"), "bet_time", "product_id", 1440, 60, 2, ["client_id", "product_id"])
+    return found.select("client_id", "product_id", "window_start", "value")
 
 
 @query(

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime
 from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
+from math import gcd
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,19 +26,20 @@ class KeyedTable:
     Who names a batch reads the buckets of its keys alone. Batches count from 0 without a gap, as a query's do. A batch that
     runs again takes the place of its first run. Places are used in turn, so the folder holds each bucket twice and the changes
     of two epochs, and a reader has an epoch to finish. A change of a key replaces its row; null keys are equal.
+    `by`: the keys that the hash takes, so that rows equal in them share a bucket; else all.
     """
 
     EPOCH = 16
 
-    def __init__(self, spark: SparkSession, path: str, schema, keys: Sequence[str], buckets: int = 16) -> None:
-        self.spark, self.path, self.keys, self.buckets = spark, path, list(keys), buckets
+    def __init__(self, spark: SparkSession, path: str, schema, keys: Sequence[str], buckets: int = 16, by: Sequence[str] | None = None) -> None:
+        self.spark, self.path, self.keys, self.buckets, self.by = spark, path, list(keys), buckets, list(by or keys)
         empty = spark.createDataFrame([], schema)
         self.schema = empty.schema
         for part in ("changes", "whole"):
             self._put(empty, part, -1, F.lit(0))  # makes the folder, leaves what it holds
 
     def _bucket(self) -> Column:
-        return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
+        return F.pmod(F.xxhash64(*self.by), F.lit(self.buckets)).cast("int")
 
     def buckets_of(self, rows: DataFrame) -> list[int]:
         """At most all buckets."""
@@ -143,11 +145,52 @@ def retracting(keys: Sequence[str], flag: str = "holds") -> Callable[[DataFrame,
     return merge
 
 
-def stream_reuse(stream: DataFrame, time: str, bonus: str, window_hours: int = 24, late: str = "4 hours", least: int = 5) -> DataFrame:
-    """(client, bonus) pairs with `least` grants or more within a window that slides by the hour."""
-    window = F.window(time, f"{window_hours} hours", "1 hour")
-    counted = _event_time(stream, time, late).groupBy(window.alias("w"), "client_id", bonus).agg(F.count("*").alias("value"))
-    return counted.where(F.col("value") >= least).select("client_id", bonus, F.col("w.start").cast("timestamp_ntz").alias("window_start"), "value")
+def run_windows(
+    stream: DataFrame, path: str, time: str, bonus: str, minutes: int, slide: int, least: int, group: Sequence[str], prize: Column | None = None, buckets: int = 64
+) -> DataFrame:
+    """Run sliding windows over all that is there: per `group` and window the different bonuses, grants and prizes of windows with `least` grants or more.
+
+    Grants are counted once, in panes that make up the windows, and not once for every window that holds them. A table of panes is
+    kept; a batch sums up the windows that hold a pane which it changed. Rows count however late they come.
+    With `prize`, only windows of `least` different bonuses and no prize hold; one that holds no more is taken back.
+    """
+    spark, pane, group = stream.sparkSession, f"{gcd(minutes, slide)} minutes", list(group)
+    own = list(dict.fromkeys([*group, bonus]))
+
+    def paned(batch: DataFrame, number: int) -> DataFrame:
+        rows = batch.where(F.col(time).isNotNull()).groupBy(*own, F.window(time, pane)["start"].alias("pane"))
+        counted = F.count("*" if prize is None else bonus)
+        return rows.agg(counted.alias("n"), F.sum(F.lit(0) if prize is None else F.coalesce(prize, F.lit(0))).alias("prize"), F.lit(number).cast("long").alias("batch"))
+
+    def windows(panes: DataFrame, number: int) -> DataFrame:
+        # windows that hold a pane reach less than a window's length to both sides of it
+        over = f"over (partition by {', '.join(f'`{g}`' for g in group)} order by pane range between interval {minutes} minutes preceding and interval {minutes} minutes following)"
+        near = panes.withColumns({"_near": F.expr(f"sum(n) {over}"), "_last": F.expr(f"max(batch) {over}")}).where((F.col("_near") >= least) & (F.col("_last") >= number))
+        each = near.groupBy(*own, F.window("pane", f"{minutes} minutes", f"{slide} minutes").alias("w"))
+        each = each.agg(F.sum("n").alias("n"), F.sum("prize").alias("prize"), F.max("batch").alias("batch"))
+        found = each.groupBy(*group, "w").agg(
+            F.count(F.when(F.col("n") > 0, F.col(bonus))).cast("int").alias("distinct_bonuses"), F.sum("n").alias("value"), F.sum("prize").alias("prize"), F.max("batch").alias("batch")
+        )
+        holds = (F.col("value") if prize is None else F.col("distinct_bonuses")) >= least
+        holds = holds if prize is None else holds & (F.col("prize") == 0)
+        return found.where(F.col("batch") >= number).select(*group, F.col("w.start").alias("window_start"), "distinct_bonuses", "value", holds.alias("holds"))
+
+    none = paned(spark.createDataFrame([], stream.schema), 0)
+    panes = KeyedTable(spark, f"{path}/panes", none.schema, [*own, "pane"], buckets, group)
+    table = KeyedTable(spark, f"{path}/windows", windows(none, 0).schema, [*group, "window_start"], buckets, group)
+    merge = retracting(table.keys)
+
+    def each(batch: DataFrame, number: int) -> None:
+        new = paned(batch, number)
+        old = _of_keys(panes.before(number, batch), new, panes.keys)
+        both = new.unionByName(old).groupBy(*own, "pane")
+        panes.write(both.agg(F.sum("n").alias("n"), F.sum("prize").cast(none.schema["prize"].dataType).alias("prize"), F.lit(number).cast("long").alias("batch")), number)
+        found = windows(panes.before(number + 1, batch), number)
+        table.write(merge(table.before(number, batch), found), number)
+
+    query = stream.writeStream.option("checkpointLocation", f"{path}/stream").trigger(availableNow=True).foreachBatch(each).start()
+    query.awaitTermination()
+    return table.read().where("holds").drop("holds")
 
 
 def stream_game_hourly(stream: DataFrame, late: str = "4 hours") -> DataFrame:

@@ -1,6 +1,7 @@
 """Streams over several batches."""
 
 import datetime as dt
+import random
 import shutil
 from decimal import Decimal
 
@@ -155,3 +156,29 @@ def test_hours_equal_the_batch_job(spark, tmp_path):
 def test_late_rows(spark):
     df = spark.createDataFrame([(1, at(1), at(5)), (2, at(1), at(5, 1))], "id int, event timestamp_ntz, synced timestamp_ntz")
     assert [r["id"] for r in jobs.late_report(df, "event", "synced").collect()] == [2]
+
+
+def test_windows_over_several_batches(spark, tmp_path):
+    """Windows of 50 minutes every 20 (panes of 10) over batches, late ones and one that takes bursts back, against plain loops; a pane is kept once."""
+    r = random.Random(5)
+    batches = [[(r.choice((1, 2, 3, None)), r.randrange(4), at(1) + dt.timedelta(minutes=r.randrange(900)), None) for _ in range(150)] for _ in range(2)]
+    batches.append([(1, 9, at(3), Decimal(5)), (3, 1, at(4), Decimal(1)), (2, 1, None, None)])
+    rows = [row for batch in batches for row in batch if row[2] is not None]
+    starts = [at(0) + dt.timedelta(minutes=20 * k) for k in range(60)]
+    inside = lambda s, row: s <= row[2] < s + dt.timedelta(minutes=50)
+    reuse, bursts = set(), set()
+    for s in starts:
+        for client in (1, 2, 3, None):
+            own = [row for row in rows if row[0] == client and inside(s, row)]
+            if len({row[1] for row in own}) >= 3 and sum(row[3] or 0 for row in own) == 0:
+                bursts.add((client, s, len({row[1] for row in own}), len(own)))
+            for bonus in {row[1] for row in own}:
+                if (n := sum(row[1] == bonus for row in own)) >= 3:
+                    reuse.add((client, bonus, s, n))
+    stream = files(spark, str(tmp_path / "in"), [batches[k] for k in (1, 2, 0)], BURSTS)
+    got = jobs.run_windows(stream, str(tmp_path / "reuse"), "time", "bonus_id", 50, 20, 3, ["client_id", "bonus_id"], buckets=4)
+    assert {tuple(x) for x in got.select("client_id", "bonus_id", "window_start", "value").collect()} == reuse and len(reuse) > 20
+    got = jobs.run_windows(stream, str(tmp_path / "bursts"), "time", "bonus_id", 50, 20, 3, ["client_id"], F.col("prize"), buckets=4)
+    assert {tuple(x) for x in got.collect()} == bursts and len(bursts) > 20
+    panes = spark.read.parquet(str(tmp_path / "reuse" / "panes" / "changes"))
+    assert panes.agg(F.sum("n")).first()[0] <= 3 * len(rows)  # one row for a grant's pane and batch, not one for each of its windows
