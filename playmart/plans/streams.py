@@ -46,10 +46,8 @@ def S1_stream_upsert(d: Data) -> DataFrame:
 )
 def S2_stream_burst(d: Data) -> DataFrame:
     rows = view_stream(d, "v_balance").where("type_id <> 99")
-    found = jobs.stream_burst(rows, "created_at", "type_id", F.when(F.col("type_id") == 3, F.col("balance")), 720, 60, "4 hours", 2)
-    keys = ["client_id", "window_start"]
-    table = KeyedTable(d.spark, shared_path(d.spark, "bursts"), found.schema, keys)
-    return jobs.run_available(found, table, jobs.retracting(keys), "update").where("holds").drop("holds")
+    rows = rows.where("client_id is not null").select("client_id", "type_id", "created_at", F.when(F.col("type_id") == 3, F.col("balance")).alias("prize"))
+    return jobs.run_windows(rows, shared_path(d.spark, "bursts"), "created_at", "type_id", 720, 60, 2, ["client_id"], F.col("prize"))
 
 
 @query(
