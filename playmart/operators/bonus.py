@@ -23,10 +23,19 @@ def impacted_pairs(increment: DataFrame) -> DataFrame:
     return increment.select(*PAIR).dropna().distinct()
 
 
-def bonus_agg(user_bonus: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
-    """Per (client, bonus) over the full history of the impacted pairs; a sum of nulls only stays null."""
+def bonus_agg(user_bonus: DataFrame, pairs: DataFrame | None = None, changed: Column | None = None) -> DataFrame:
+    """Per (client, bonus) over the full history of the impacted pairs; a sum of nulls only stays null.
+
+    Impacted are `pairs`, or the pairs with a row that `changed` holds for: the same aggregate finds them, so the history is read once.
+    """
     rows = user_bonus.dropna(subset=PAIR) if pairs is None else user_bonus.join(pairs, PAIR, "left_semi")
+    out = _bonus_agg(rows, F.lit(True) if changed is None else F.coalesce(changed, F.lit(False)))
+    return (out if changed is None else out.where("_changed")).drop("_changed")
+
+
+def _bonus_agg(rows: DataFrame, changed: Column) -> DataFrame:
     return rows.groupBy(*PAIR).agg(
+        F.bool_or(changed).alias("_changed"),
         F.max("partner_id").alias("partner_id"), F.count("*").alias("grants"), F.sum("bonus_prize").cast(MONEY).alias("prize"), F.sum("cost").cast(MONEY).alias("cost"),
         F.max("reuse_number").alias("max_reuse"), F.sum("turnover_left").cast(MONEY).alias("turnover_left"), F.min("awarding_time").alias("first_award"),
         F.max("awarding_time").alias("last_award"), F.max("synced_at").alias("source_updated_at"),

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from playmart.functions.scratch import written
 from playmart.operators import bonus, cdc
 from playmart.plans.registry import query
 from playmart.sources.testdata import Data
@@ -22,8 +23,16 @@ def live(d: Data) -> DataFrame:
     return cdc.drop_deleted(d.v_grants, ["id"])
 
 
+def live_once(d: Data, *columns: str) -> DataFrame:
+    """Columns of the living grants as a table, for what reads them several times."""
+    return written(live(d).select(*columns), "live")
+
+
+_CHANGED = F.expr("synced_at >= timestamp_ntz '2000-06-01 00:00:00' and synced_at < timestamp_ntz '2000-07-01 00:00:00'")
+
+
 def _recent(d: Data) -> DataFrame:
-    return live(d).where("synced_at >= timestamp_ntz '2000-06-01 00:00:00' and synced_at < timestamp_ntz '2000-07-01 00:00:00'")
+    return live(d).where(_CHANGED)
 
 
 @query(f"WITH {LIVE} {_PAIRS}", "v_grants")
@@ -33,7 +42,7 @@ def F1_impacted_pairs(d: Data) -> DataFrame:
 
 @query(f"WITH {LIVE}, p AS ({_PAIRS}) {_AGG.format(where='AND (client_id, bonus_id) IN (SELECT (client_id, bonus_id) FROM p)')}", "v_grants")
 def F2_bonus_agg(d: Data) -> DataFrame:
-    return bonus.bonus_agg(live(d), bonus.impacted_pairs(_recent(d)))
+    return bonus.bonus_agg(live(d), changed=_CHANGED)
 
 
 @query(
@@ -44,7 +53,7 @@ def F2_bonus_agg(d: Data) -> DataFrame:
 )
 def F3_bonus_agg_upsert(d: Data) -> DataFrame:
     old = bonus.bonus_agg(live(d).where("synced_at < timestamp_ntz '2000-06-01 00:00:00'"))
-    stage = bonus.bonus_agg(live(d), bonus.impacted_pairs(_recent(d)))
+    stage = bonus.bonus_agg(live(d), changed=_CHANGED)
     return bonus.bonus_agg_upsert(old, stage).select("client_id", "bonus_id", "grants", "cost")
 
 
@@ -73,8 +82,13 @@ def metrics(d: Data) -> DataFrame:
     return bonus.client_bonus_metrics(bonus.bonus_agg(live(d)))
 
 
+def metrics_once(d: Data) -> DataFrame:
+    """The metrics as a table: cut-offs take several passes over them, and score and watchlist read them again."""
+    return written(metrics(d), "metrics")
+
+
 def scored(d: Data) -> DataFrame:
-    m = metrics(d)
+    m = metrics_once(d)
     return bonus.risk_score(m, bonus.p99_cutoffs(m))
 
 
@@ -94,7 +108,7 @@ def F6_p99_cutoffs(d: Data) -> DataFrame:
     "v_grants",
 )
 def F7_daily_cutoff_cache(d: Data) -> DataFrame:
-    m = metrics(d)
+    m = metrics_once(d)
     day = lambda s: F.lit(s).cast("date").alias("day")
     one = bonus.p99_cutoffs(m).withColumn("cutoff", F.lit(1.0))
     # today has three of four signals, so it is computed again; yesterday is complete and stays

@@ -218,3 +218,19 @@ def test_versions_of_a_bonus_do_not_multiply_bridge_rows_on_the_way(spark):
     found = source_marts.bonus_product_bridge(bridge, bonuses, 180)
     assert "LeftSemi" in plan(found) and "Inner" not in plan(found)
     assert sorted(r["id"] for r in found.collect()) == [1, 4, 7]
+
+
+def test_grants_are_read_once(spark, tiny):
+    """Cut-offs, score and watchlist read a table of metrics; the aggregate finds its impacted pairs itself."""
+    from playmart.plans.registry import QUERIES
+
+    for name, scans in {"F2_bonus_agg": 1, "F8_risk_score": 0, "F9_watchlist_update": 0, "F10_watchlist_insert": 0}.items():
+        assert plan(QUERIES[name](spark, tiny)).split("Initial Plan")[0].count("lineitem.parquet") == scans, name
+
+
+def test_changed_rows_name_the_impacted_pairs(spark):
+    rows = [(1, 1, 5), (1, 1, 9), (1, 2, 5), (None, 1, 9), (2, None, 9), (2, 3, None), (2, 3, 9)]
+    grants = spark.createDataFrame([(c, b, 180, None, None, 1, None, None, s) for c, b, s in rows], "client_id int, bonus_id int, partner_id int, bonus_prize decimal(18,2), cost decimal(18,2), reuse_number int, turnover_left decimal(18,2), awarding_time int, synced_at int")
+    found = bonus.bonus_agg(grants, changed=F.col("synced_at") > 5)
+    same = bonus.bonus_agg(grants, bonus.impacted_pairs(grants.where("synced_at > 5")))
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, same.collect())) and found.columns == same.columns and found.count() == 2
