@@ -7,6 +7,7 @@ from datetime import date
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from playmart.functions.time import Window, day
@@ -67,12 +68,8 @@ def recon_period(table: DataFrame, source: DataFrame, target: DataFrame, start:
     return table.where(~inside).unionByName(reconcile(source.where(inside), target.where(inside)))
 
 
-def differing_parts(left: DataFrame, right: DataFrame, key: str, columns: Sequence[str], parts: int = 4096) -> tuple[DataFrame, DataFrame]:
-    """Both sides' rows of those parts of the keys in which they differ.
-
-    Rows fall into `parts` by a hash of the key. A part's digest is the count, sum and exclusive or of its rows' hashes, in any
-    order; so equal tables exchange one digest for each part and task, and rows move only where digests differ.
-    """
+def _by_parts(left: DataFrame, right: DataFrame, key: str, columns: Sequence[str], parts: int) -> tuple[tuple[DataFrame, DataFrame], tuple[DataFrame, DataFrame]]:
+    """Both sides' rows of the parts in which they differ, and both sides' other rows."""
     part = F.pmod(F.xxhash64(key), F.lit(parts)).cast("int")
 
     def digests(df: DataFrame, side: str) -> DataFrame:
@@ -82,31 +79,47 @@ def differing_parts(left: DataFrame, right: DataFrame, key: str, columns: Sequen
 
     both = digests(left, "l").join(digests(right, "r"), "part", "full_outer")
     apart = F.broadcast(both.where(~F.col("l").eqNullSafe(F.col("r"))).select("part"))  # at most `parts` numbers
-    return tuple(df.withColumn("part", part).join(apart, "part", "left_semi").drop("part") for df in (left, right))
+    of = lambda how: tuple(df.withColumn("part", part).join(apart, "part", how).drop("part") for df in (left, right))
+    return of("left_semi"), of("left_anti")
+
+
+def differing_parts(left: DataFrame, right: DataFrame, key: str, columns: Sequence[str], parts: int = 4096) -> tuple[DataFrame, DataFrame]:
+    """Both sides' rows of those parts of the keys in which they differ.
+
+    Rows fall into `parts` by a hash of the key. A part's digest is the count, sum and exclusive or of its rows' hashes, in any
+    order; so equal tables exchange one digest for each part and task, and rows move only where digests differ.
+    """
+    return _by_parts(left, right, key, columns, parts)[0]
 
 
 def compare_results(left: DataFrame, right: DataFrame, key: str, on_date: str, on_value: str, updated: str, parts: int = 4096) -> tuple[DataFrame, DataFrame]:
     """(differences, summary per kind) of two results, whose rows are joined only in parts that differ.
 
     Kinds: only_left, only_right, date, value. A difference of date or value is explained when the right row is newer.
-    The summary also counts repeated keys of each side.
+    The summary also counts repeated keys of each side: those of the joined rows on the way, of the other parts by key alone.
     """
-    one = lambda df, side: cdc.latest_row(df, [key], [updated, on_value]).select(key, *(F.col(c).alias(f"{side}_{c}") for c in (on_date, on_value, updated)), F.lit(True).alias(f"_{side}"))
-    apart = differing_parts(left, right, key, [key, on_date, on_value, updated], parts)
+
+    def one(df: DataFrame, side: str) -> DataFrame:
+        rows = cdc.latest_row(df.withColumn("_n", F.count("*").over(W.partitionBy(key))), [key], [updated, on_value])
+        return rows.select(key, *(F.col(c).alias(f"{side}_{c}") for c in (on_date, on_value, updated)), F.lit(True).alias(f"_{side}"), F.col("_n").alias(f"_n_{side}"))
+
+    apart, alike = _by_parts(left, right, key, [key, on_date, on_value, updated], parts)
     both = one(apart[0], "left").join(one(apart[1], "right"), key, "full_outer")
     newer = F.coalesce(F.col(f"right_{updated}") > F.col(f"left_{updated}"), F.lit(False))
     value = lambda side: F.round(F.col(f"{side}_{on_value}").cast("decimal(20,4)"), 2)
-    kinds = F.array_compact(
-        F.array(
-            F.when(F.col("_right").isNull(), "only_left"), F.when(F.col("_left").isNull(), "only_right"),
-            F.when(F.col("_left") & F.col("_right") & ~F.col(f"left_{on_date}").eqNullSafe(F.col(f"right_{on_date}")), "date"),
-            F.when(F.col("_left") & F.col("_right") & ~value("left").eqNullSafe(value("right")), "value"),
-        )
-    )
-    diffs = both.select(key, F.explode(kinds).alias("kind"), newer.alias("explained"))
-    twice = lambda df, name: df.groupBy(key).count().where("count > 1").agg(F.count("*").alias("n")).select(F.lit(name).alias("kind"), "n", F.lit(0).cast("long").alias("explained"))
-    summary = diffs.groupBy("kind").agg(F.count("*").alias("n"), F.count_if("explained").alias("explained"))
-    return diffs, summary.union(twice(left, "repeated_left")).union(twice(right, "repeated_right"))
+    kinds = [
+        F.when(F.col("_right").isNull(), "only_left"), F.when(F.col("_left").isNull(), "only_right"),
+        F.when(F.col("_left") & F.col("_right") & ~F.col(f"left_{on_date}").eqNullSafe(F.col(f"right_{on_date}")), "date"),
+        F.when(F.col("_left") & F.col("_right") & ~value("left").eqNullSafe(value("right")), "value"),
+    ]
+    repeated = [F.when(F.col("_n_left") > 1, "repeated_left"), F.when(F.col("_n_right") > 1, "repeated_right")]
+    diffs = both.select(key, F.explode(F.array_compact(F.array(*kinds))).alias("kind"), newer.alias("explained"))
+    found = both.select(F.explode(F.array_compact(F.array(*kinds, *repeated))).alias("kind"), newer.alias("explained")).groupBy("kind")
+    summary = found.agg(F.count("*").alias("n"), F.count_if(F.col("explained") & ~F.col("kind").startswith("repeated")).alias("explained"))
+    for df, name in zip(alike, ("repeated_left", "repeated_right"), strict=True):  # one row each, also for none
+        twice = df.groupBy(key).count().where("count > 1").agg(F.count("*").alias("n"))
+        summary = summary.union(twice.select(F.lit(name), "n", F.lit(0).cast("long")))
+    return diffs, summary.groupBy("kind").agg(F.sum("n").alias("n"), F.sum("explained").alias("explained"))
 
 
 def _labelled(df: DataFrame, column: str, windows: Sequence[tuple[date | str, date | str]]) -> DataFrame:

@@ -9,7 +9,7 @@ from playmart.functions.scratch import shared_path
 from playmart.functions.time import Window
 from playmart.operators import activity, backfill, cdc, protect, quality, source_marts
 from playmart.plans.activity import ACTIVE, METRICS_SQL
-from playmart.plans.bonus import LIVE, live
+from playmart.plans.bonus import LIVE, live, live_once
 from playmart.plans.registry import query
 from playmart.sources.backfills import backfill_log, read_backfill, run_backfill
 from playmart.sources.testdata import Data
@@ -99,8 +99,10 @@ _TWO = f"""{LIVE}, l AS (SELECT id, CAST(awarding_time AS DATE) AS d, cost AS v,
 
 def _two(d: Data) -> tuple[DataFrame, DataFrame]:
     i, at = F.col("id"), F.to_date("awarding_time")
-    left = live(d).where("id % 11 <> 0").select("id", at.alias("d"), F.col("cost").alias("v"), F.col("synced_at").alias("u"))
-    right = live(d).where("id % 19 <> 0").select(
+    # read for digests, rows and repeated keys
+    rows = live_once(d, "id", "awarding_time", "cost", "synced_at")
+    left = rows.where("id % 11 <> 0").select("id", at.alias("d"), F.col("cost").alias("v"), F.col("synced_at").alias("u"))
+    right = rows.where("id % 19 <> 0").select(
         "id", F.when(i % 13 == 0, F.date_sub(at, 1)).otherwise(at).alias("d"), F.when(i % 17 == 0, (F.col("cost") + 1).cast(MONEY)).otherwise(F.col("cost")).alias("v"),
         F.when(i % 2 == 0, F.col("synced_at") + F.make_dt_interval(F.lit(0), F.lit(1))).otherwise(F.col("synced_at")).alias("u"),
     )

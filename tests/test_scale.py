@@ -234,3 +234,14 @@ def test_changed_rows_name_the_impacted_pairs(spark):
     found = bonus.bonus_agg(grants, changed=F.col("synced_at") > 5)
     same = bonus.bonus_agg(grants, bonus.impacted_pairs(grants.where("synced_at > 5")))
     assert sorted(map(tuple, found.collect())) == sorted(map(tuple, same.collect())) and found.columns == same.columns and found.count() == 2
+
+
+def test_repeated_keys_are_counted_in_equal_parts_too(spark, tiny):
+    from playmart.plans.registry import QUERIES
+
+    schema = "id long, d date, v decimal(18,2), u int"
+    left = spark.createDataFrame([(1, None, None, 1)] * 2 + [(2, None, None, 1)] * 3 + [(k, None, None, 1) for k in range(3, 90)], schema)
+    right = left.union(spark.createDataFrame([(5, None, None, 1), (100, None, None, 1)], schema))
+    got = {r["kind"]: (r["n"], r["explained"]) for r in quality.compare_results(left, right, "id", "d", "v", "u")[1].collect()}
+    assert got == {"only_right": (1, 0), "repeated_left": (2, 0), "repeated_right": (3, 0)}
+    assert "lineitem.parquet" not in plan(QUERIES["J5_compare_summary"](spark, tiny))  # the grants are read once, before
