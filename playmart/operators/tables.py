@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import zlib
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from datetime import datetime
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from playmart.functions.time import hours, minutes, ts
 
@@ -82,20 +85,50 @@ def run_history(events: DataFrame, as_of: datetime | str, stale_minutes: int = 3
 
     `events`: tenant, operation, start_time, event_order, status, ended_at, error. The newest event decides the
     status; a run without a close is RUNNING, and stale after `stale_minutes`.
+    Error texts are long and much alike, so they are cut and packed before they are sorted and shuffled.
     """
     newest = F.max_by(F.struct("status", "ended_at", "error"), "event_order").alias("e")
-    runs = events.groupBy("tenant", "operation", "start_time").agg(newest)
+    texts = events.withColumn("error", F.substring("error", 1, error_length))
+    runs = _packed(texts, "error").groupBy("tenant", "operation", "start_time").agg(newest)
     seconds = F.unix_micros(F.col("e.ended_at").cast("timestamp")) - F.unix_micros(F.col("start_time").cast("timestamp"))
-    return runs.select(
+    runs = runs.select(
         "tenant",
         "operation",
         "start_time",
         F.col("e.ended_at").alias("ended_at"),
         F.col("e.status").alias("status"),
         F.round(seconds.cast("decimal(24,0)") / 1_000_000, 2).cast("decimal(12,2)").alias("duration_seconds"),
-        F.substring("e.error", 1, error_length).alias("error"),
+        F.col("e.error").alias("error"),
         ((F.col("e.status") == "RUNNING") & (F.col("start_time") < ts(as_of) - minutes(stale_minutes))).alias("is_stale"),
     )
+    return _unpacked(runs, "error")
+
+
+#: Texts that are packed, or unpacked into one Arrow batch, at once.
+PACKED_ROWS = 256
+
+
+def _texts(df: DataFrame, column: str, kind: str, f: Callable[[bytes], bytes]) -> DataFrame:
+    """`column` with a function of its bytes, as `kind`, in small Arrow batches."""
+    at, arrow = df.columns.index(column), pa.binary() if kind == "binary" else pa.string()
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(0, batch.num_rows, PACKED_ROWS):
+                part = batch.slice(k, PACKED_ROWS)
+                values = pa.array([None if v is None else f(v) for v in part.column(at).cast(pa.binary()).to_pylist()], pa.binary()).cast(arrow)
+                yield part.set_column(at, pa.field(column, arrow), values)
+
+    schema = T.StructType([T.StructField(x.name, T.BinaryType() if kind == "binary" else T.StringType()) if x.name == column else x for x in df.schema])
+    return df.mapInArrow(each, schema)
+
+
+def _packed(df: DataFrame, column: str) -> DataFrame:
+    return _texts(df, column, "binary", lambda v: zlib.compress(v, 1))
+
+
+def _unpacked(df: DataFrame, column: str) -> DataFrame:
+    return _texts(df, column, "string", zlib.decompress)
 
 
 def low_cursor(tables: Mapping[str, DataFrame], column: str = "updated_at", overlap_hours: int = 4) -> DataFrame:

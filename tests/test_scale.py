@@ -245,3 +245,15 @@ def test_repeated_keys_are_counted_in_equal_parts_too(spark, tiny):
     got = {r["kind"]: (r["n"], r["explained"]) for r in quality.compare_results(left, right, "id", "d", "v", "u")[1].collect()}
     assert got == {"only_right": (1, 0), "repeated_left": (2, 0), "repeated_right": (3, 0)}
     assert "lineitem.parquet" not in plan(QUERIES["J5_compare_summary"](spark, tiny))  # the grants are read once, before
+
+
+def test_error_texts_are_packed_before_they_are_sorted(spark):
+    at = dt.datetime(2024, 1, 1)
+    events = spark.range(600).select(
+        F.lit("a").alias("tenant"), (F.col("id") % 300).cast("string").alias("operation"), F.lit(at).cast("timestamp_ntz").alias("start_time"), F.col("id").alias("event_order"), F.lit("FAILED").alias("status"),
+        F.lit(at).cast("timestamp_ntz").alias("ended_at"), F.when(F.col("id") % 3 > 0, F.concat(F.repeat(F.lit("é"), 20), F.col("id").cast("string"))).alias("error"),
+    )
+    found = tables.run_history(events, "2024-01-01 00:00:00", error_length=22)
+    below = plan(found).split("Initial Plan")[0]
+    assert below.count("MapInArrow") == 2 and below.rindex("MapInArrow") > below.index("Aggregate")
+    assert {(r["operation"], r["error"]) for r in found.collect()} == {(str(k - 300), "é" * 20 + str(k)[:2] if k % 3 else None) for k in range(300, 600)}
