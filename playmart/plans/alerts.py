@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from playmart.functions.scratch import written
 from playmart.functions.text import truncate_utf8_bytes
 from playmart.functions.time import ts
 from playmart.operators import alerts, reports
-from playmart.plans.bonus import LIVE, live
+from playmart.plans.bonus import LIVE, live, live_once
 from playmart.plans.registry import query
 from playmart.plans.state import active, usage
 from playmart.sources.testdata import Data
@@ -30,12 +31,12 @@ _USAGE = """usage AS (SELECT client_id, pix_key, pix_type, CAST(count(*) AS BIGI
     WHERE rn = 1 AND status IN (7, 8, 2) GROUP BY 1, 2, 3 HAVING pix_type <> 4 OR count(*) > 1)"""
 
 
-def reuse(d: Data) -> DataFrame:
-    return alerts.detect_reuse(live(d).where("client_id is not null"), NOW, 180, window_hours=9600, least=3)
+def reuse(d: Data, rows: DataFrame | None = None) -> DataFrame:
+    return alerts.detect_reuse((live(d) if rows is None else rows).where("client_id is not null"), NOW, 180, window_hours=9600, least=3)
 
 
-def rollover(d: Data) -> DataFrame:
-    return alerts.detect_rollover(live(d), "2000-06-01", 180, "2000-06-30").where("client_id is not null")
+def rollover(d: Data, rows: DataFrame | None = None) -> DataFrame:
+    return alerts.detect_rollover(live(d) if rows is None else rows, "2000-06-01", 180, "2000-06-30").where("client_id is not null")
 
 
 def burst(d: Data) -> DataFrame:
@@ -44,13 +45,14 @@ def burst(d: Data) -> DataFrame:
     return alerts.detect_burst(rows, "2024-01-15 12:00:00", 720, 2, time="created_at", bonus="type_id", prize="prize")
 
 
-def signup(d: Data) -> DataFrame:
-    return alerts.detect_fresh_signup(live(d), d.v_user, 525_600)
+def signup(d: Data, rows: DataFrame | None = None) -> DataFrame:
+    return alerts.detect_fresh_signup(live(d) if rows is None else rows, d.v_user, 525_600)
 
 
 def new_account(d: Data) -> DataFrame:
     # the keys of some clients are blank
-    blank = active(usage(d)).withColumn("pix_key", F.when(F.col("client_id") % 11 == 0, F.lit(" ")).otherwise(F.col("pix_key")))
+    # new accounts and the others on their keys read it
+    blank = written(active(usage(d)), "usage").withColumn("pix_key", F.when(F.col("client_id") % 11 == 0, F.lit(" ")).otherwise(F.col("pix_key")))
     return alerts.detect_new_account_shared_key(blank, d.v_user, "1995-06-30 00:00:00", 4320)
 
 
@@ -88,9 +90,10 @@ _MATCHED = f"""cand AS ({_SIGNUP}), earlier AS (SELECT * FROM v_user WHERE id NO
       (SELECT min(id) FROM earlier e WHERE e.first_name = c.first_name AND e.last_name = c.last_name AND e.birth_date = c.birth_date)) AS same_person FROM cand c)"""
 
 
-def matched(d: Data) -> DataFrame:
+def matched(d: Data, rows: DataFrame | None = None) -> DataFrame:
+    """The candidates are written, as they are held against themselves."""
     earlier = d.v_user.withColumnRenamed("id", "client_id")
-    return alerts.identity_match(signup(d), earlier)
+    return alerts.identity_match(written(signup(d, rows), "signups"), earlier)
 
 
 @query(f"WITH {LIVE}, {_MATCHED} SELECT client_id, same_person FROM matched", "v_grants", "v_user")
@@ -123,8 +126,8 @@ _SIGNUP_LOG = f"""signup_log AS (SELECT CAST(client_id AS VARCHAR) AS key, CASE
       FROM matched m LEFT JOIN signup_log l ON l.key = CAST(m.client_id AS VARCHAR) WHERE l.key IS NULL OR CAST(l.last_fired AS DATE) <> CAST(TIMESTAMP '{NOW}' AS DATE))"""
 
 
-def signed(d: Data) -> DataFrame:
-    cases = matched(d)
+def signed(d: Data, rows: DataFrame | None = None) -> DataFrame:
+    cases = written(matched(d, rows), "matched")
     c = F.col("client_id")
     old = cases.where(c % 3 == 0).select(
         F.lit("fresh_signup").alias("report"), c.cast("string").alias("key"), F.lit(0).cast("decimal(18,2)").alias("ref_value"), F.when(c % 2 == 0, ts("2000-06-20 00:00:00")).otherwise(ts(NOW)).alias("last_fired"),
@@ -359,9 +362,11 @@ _TYPE_CASE = "CASE pix_type " + " ".join(f"WHEN {k} THEN '{v}'" for k, v in repo
     "v_grants", "v_user", "v_pix", "v_balance",
 )
 def G25_case_messages(d: Data) -> DataFrame:
-    parts = {"reuse": reuse(d), "rollover": rollover(d), "burst": burst(d), "shared_key": new_account(d)}
+    # three of the kinds read the grants
+    rows = live_once(d, "client_id", "bonus_id", "partner_id", "status", "turnover_left", "synced_at", "awarding_time")
+    parts = {"reuse": reuse(d, rows), "rollover": rollover(d, rows), "burst": burst(d), "shared_key": new_account(d)}
     frames = [df.withColumn("kind", F.lit(kind)).withColumn("value", F.col("value").cast("string") if "value" in df.columns else F.lit(None).cast("string")) for kind, df in parts.items()]
-    fresh = signed(d).withColumn("kind", F.when(F.col("kind") == "new", "signup").otherwise(F.col("kind"))).withColumn("value", F.col("value").cast("string"))
+    fresh = signed(d, rows).withColumn("kind", F.when(F.col("kind") == "new", "signup").otherwise(F.col("kind"))).withColumn("value", F.col("value").cast("string"))
     rows = fresh
     for f in frames:
         rows = rows.unionByName(f, allowMissingColumns=True)

@@ -257,3 +257,9 @@ def test_error_texts_are_packed_before_they_are_sorted(spark):
     below = plan(found).split("Initial Plan")[0]
     assert below.count("MapInArrow") == 2 and below.rindex("MapInArrow") > below.index("Aggregate")
     assert {(r["operation"], r["error"]) for r in found.collect()} == {(str(k - 300), "é" * 20 + str(k)[:2] if k % 3 else None) for k in range(300, 600)}
+
+
+def test_messages_read_grants_and_keys_once(spark, tiny):
+    from playmart.plans.registry import QUERIES
+
+    assert "lineitem.parquet" not in plan(QUERIES["G25_case_messages"](spark, tiny)).split("Initial Plan")[0]
