@@ -28,7 +28,8 @@ def live_once(d: Data, *columns: str) -> DataFrame:
     return written(live(d).select(*columns), "live")
 
 
-_CHANGED = F.expr("synced_at >= timestamp_ntz '2000-06-01 00:00:00' and synced_at < timestamp_ntz '2000-07-01 00:00:00'")
+# text, as a Column can't be made before there is a session
+_CHANGED = "synced_at >= timestamp_ntz '2000-06-01 00:00:00' and synced_at < timestamp_ntz '2000-07-01 00:00:00'"
 
 
 def _recent(d: Data) -> DataFrame:
@@ -42,7 +43,7 @@ def F1_impacted_pairs(d: Data) -> DataFrame:
 
 @query(f"WITH {LIVE}, p AS ({_PAIRS}) {_AGG.format(where='AND (client_id, bonus_id) IN (SELECT (client_id, bonus_id) FROM p)')}", "v_grants")
 def F2_bonus_agg(d: Data) -> DataFrame:
-    return bonus.bonus_agg(live(d), changed=_CHANGED)
+    return bonus.bonus_agg(live(d), changed=F.expr(_CHANGED))
 
 
 @query(
@@ -53,7 +54,7 @@ def F2_bonus_agg(d: Data) -> DataFrame:
 )
 def F3_bonus_agg_upsert(d: Data) -> DataFrame:
     old = bonus.bonus_agg(live(d).where("synced_at < timestamp_ntz '2000-06-01 00:00:00'"))
-    stage = bonus.bonus_agg(live(d), changed=_CHANGED)
+    stage = bonus.bonus_agg(live(d), changed=F.expr(_CHANGED))
     return bonus.bonus_agg_upsert(old, stage).select("client_id", "bonus_id", "grants", "cost")
 
 

@@ -1,5 +1,8 @@
 """The driver's contract, and every query with SQL against DuckDB on the smallest tables."""
 
+import os
+import subprocess
+import sys
 from collections import Counter
 from decimal import Decimal
 
@@ -31,6 +34,14 @@ def test_entry(spark):
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
+def test_names_are_read_without_a_session():
+    at = os.path.dirname(os.path.abspath(entry.__file__))
+    code = "import __spark_entry__ as e; names = set(e.queries()); assert set(e.oracle_sql()) <= names; print('NAMES', *names)"
+    said = subprocess.run([sys.executable, "-B", "-c", code], cwd=at, capture_output=True, text=True, timeout=120)
+    assert said.returncode == 0, said.stderr
+    assert set(said.stdout.rpartition("NAMES")[2].split()) == set(entry.queries())
+
+
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLE_SQL)
 
