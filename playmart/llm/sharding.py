@@ -64,7 +64,8 @@ def shuffle_into_shards(
     counts = scattered.groupBy("shard", "bucket").agg(F.count("*").alias("n"))
     before = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select(number, "shard", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
-    placed = held.join(starts, "number").select("shard", "bucket", "start", F.posexplode("rows").alias("at", "row"))
+    # a row for each bucket, sent to all: else the buckets may be dealt and sorted once more, depending on which side is done first
+    placed = held.join(F.broadcast(starts), "number").select("shard", "bucket", "start", F.posexplode("rows").alias("at", "row"))
     return placed.select(
         F.col("row.key").alias(key),
         F.col("row.text").alias(text),

@@ -118,6 +118,21 @@ def test_written_shards(spark, tiny, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out")).count() == docs.count()
 
 
+def test_buckets_are_not_dealt_again_to_be_numbered(spark, small):
+    """Texts are shuffled twice, by equal rows and by bucket, whatever Spark knows of the tables' sizes before it runs."""
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = sharding.shuffle_into_shards(docs, bucket_bytes=50_000)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        rows = out.select("doc_id", "shard", "slot", F.crc32(F.col("text").cast("binary")).alias("crc")).collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+    assert {tuple(r) for r in rows} == {tuple(r) for r in sharding.shuffle_into_shards(docs, bucket_bytes=50_000).select("doc_id", "shard", "slot", F.crc32(F.col("text").cast("binary"))).collect()}
+    assert len(rows) == len({(r["shard"], r["slot"]) for r in rows}) == docs.count()
+
+
 def test_slots_are_spread_evenly(spark):
     """Each quarter of the ids is found in each quarter of the slots about as often, whatever the number of partitions."""
     df = spark.range(12_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("t"), "id").alias("text"))
